@@ -1 +1,52 @@
-"""Further registered queries (single operators, checks, readers, store, KPIs)."""
+"""Further registered queries: data checks, single operators, readers, store, plan, KPIs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from aerostage.plans import checks, staging
+from aerostage.plans.catalog import AIRPORTS_LOADED_AT, arr_base, dep_base, query, raw
+
+
+# ---- data checks Q1-Q7 ---------------------------------------------------------------------
+@query("checks_departures")
+def q_checks_departures(spark, sf_dir):
+    """All declared checks of the four departure models."""
+    base = dep_base(spark, sf_dir)
+    return checks.run_all({
+        "stg_departures_base": base,
+        "stg_departures_not_departed": staging.departures_not_departed(base),
+        "stg_departures_operator": staging.departures_operator(base),
+        "stg_departures_unlinkable": staging.departures_unlinkable(base),
+    })
+
+
+@query("checks_arrivals")
+def q_checks_arrivals(spark, sf_dir):
+    """All declared checks of the four arrival models."""
+    base = arr_base(spark, sf_dir)
+    return checks.run_all({
+        "stg_arrivals_base": base,
+        "stg_arrivals_not_arrived": staging.arrivals_not_arrived(base),
+        "stg_arrivals_operator": staging.arrivals_operator(base),
+        "stg_arrivals_unlinkable": staging.arrivals_unlinkable(base),
+    })
+
+
+@query("checks_airports")
+def q_checks_airports(spark, sf_dir):
+    return checks.run_checks(staging.airports(raw(spark, sf_dir, "raw_airports"), AIRPORTS_LOADED_AT), "stg_airports")
+
+
+@query("checks_flights")
+def q_checks_flights(spark, sf_dir):
+    return checks.run_checks(staging.flights(raw(spark, sf_dir, "raw_flights")), "stg_flights")
+
+
+@query("duplicate_groups")
+def q_duplicate_groups(spark, sf_dir):
+    """A2: keys of the base departures that appear more than once under the declared unique key."""
+    base = dep_base(spark, sf_dir)
+    keys = ["flight_number", "flight_date", "airport_icao", "departure_scheduled_utc", "arrival_airport_icao",
+            "arrival_scheduled_utc"]
+    return base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
