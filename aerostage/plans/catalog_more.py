@@ -50,3 +50,207 @@ def q_duplicate_groups(spark, sf_dir):
     keys = ["flight_number", "flight_date", "airport_icao", "departure_scheduled_utc", "arrival_airport_icao",
             "arrival_scheduled_utc"]
     return base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
+
+
+# ---- single operators: filters F1-F8 ---------------------------------------------------------
+from aerostage.functions import casts, flags, predicates as P, text  # noqa: E402
+from aerostage.operators.dedup import asc, desc, keep_first, rank_within  # noqa: E402
+from aerostage.operators.surrogate import global_row_number  # noqa: E402
+
+
+@query("filter_cargo")
+def q_filter_cargo(spark, sf_dir):
+    """raw departures that are not cargo (null cargo flag dropped)."""
+    return raw(spark, sf_dir, "raw_departures").where(P.not_cargo("isCargo"))
+
+
+@query("filter_same_day")
+def q_filter_same_day(spark, sf_dir):
+    """raw departures scheduled (UTC) on their flight date."""
+    return raw(spark, sf_dir, "raw_departures").where(P.same_day("departure_scheduledtime_utc"))
+
+
+@query("filter_operator")
+def q_filter_operator(spark, sf_dir):
+    """operator rows of the base departures."""
+    return dep_base(spark, sf_dir).where(P.is_operator())
+
+
+def _classes(spark, sf_dir, dep_pred, arr_pred):
+    cols = ["row_id", "flight_date", "airport_icao", "status", "codeshare_status"]
+    dep = dep_base(spark, sf_dir).where(dep_pred).select(F.lit("departure").alias("direction"), *cols)
+    arr = arr_base(spark, sf_dir).where(arr_pred).select(F.lit("arrival").alias("direction"), *cols)
+    return dep.unionByName(arr)
+
+
+@query("filter_status")
+def q_filter_status(spark, sf_dir):
+    """F4 + F5: departed departures and arrived-class arrivals."""
+    return _classes(spark, sf_dir, P.status_is(P.DEPARTED), P.status_in(P.ARRIVED_STATUSES))
+
+
+@query("filter_status_not")
+def q_filter_status_not(spark, sf_dir):
+    """the complements; a null status is in neither side."""
+    return _classes(spark, sf_dir, P.status_not(P.DEPARTED), P.status_not_in(P.ARRIVED_STATUSES))
+
+
+@query("filter_identified")
+def q_filter_identified(spark, sf_dir):
+    """base departures with a callsign or a mode-S code."""
+    return dep_base(spark, sf_dir).where(P.identified())
+
+
+@query("filter_unidentified")
+def q_filter_unidentified(spark, sf_dir):
+    """F8: base departures with neither."""
+    return dep_base(spark, sf_dir).where(P.unidentified())
+
+
+# ---- single operators: scalar functions P3-P16 -----------------------------------------------
+@query("text_clean")
+def q_text_clean(spark, sf_dir):
+    """P3 + P4: upper and trim on observed-flight and schedule text."""
+    return raw(spark, sf_dir, "raw_flights").select(
+        "row_id",
+        text.upper("icao24").alias("icao24"),
+        text.upper_trim("callsign").alias("callsign"),
+        text.upper("estDepartureAirport").alias("est_departure_airport"),
+        text.trim(F.concat(F.lit("  "), F.col("callsign"))).alias("callsign_trimmed"),
+    )
+
+
+@query("safe_casts")
+def q_safe_casts(spark, sf_dir):
+    """Text to double, number and date; failures give null."""
+    fl = raw(spark, sf_dir, "raw_flights").select(
+        F.lit("flights").alias("source"), "row_id",
+        casts.try_long("estDepartureAirportHorizDistance").alias("as_number"),
+        casts.try_date("record_date").alias("as_date"),
+    )
+    ap = raw(spark, sf_dir, "raw_airports").select(
+        F.lit("airports").alias("source"), F.col("row_id").cast("bigint").alias("row_id"),
+        casts.try_double_text("elevation_ft").alias("as_double"),
+        casts.try_double_text("latitude").alias("latitude"),
+    )
+    return fl.unionByName(ap, allowMissingColumns=True)
+
+
+@query("epoch_time")
+def q_epoch_time(spark, sf_dir):
+    """P8 + P9: epoch seconds to UTC timestamp, and timestamp to date."""
+    return raw(spark, sf_dir, "raw_flights").select(
+        "row_id",
+        casts.epoch_to_timestamp("firstSeen").alias("first_seen_ts"),
+        casts.epoch_to_timestamp("lastSeen").alias("last_seen_ts"),
+        F.to_date(casts.epoch_to_timestamp("firstSeen")).alias("first_seen_date"),
+    )
+
+
+@query("airline_fallback")
+def q_airline_fallback(spark, sf_dir):
+    """P12 + P13 on every raw departure."""
+    r = raw(spark, sf_dir, "raw_departures")
+    return r.select(
+        "row_id", F.col("number").alias("flight_number"), text.upper("callSign").alias("callsign"),
+        text.airline_iata_fallback("airline_iata", "number").alias("airline_iata"),
+        text.airline_icao_fallback("airline_icao", text.upper("callSign")).alias("airline_icao"),
+    )
+
+
+@query("reliability_score")
+def q_reliability_score(spark, sf_dir):
+    """P14 on the base arrivals."""
+    return arr_base(spark, sf_dir).select("row_id", flags.reliability_score().alias("reliability_score"))
+
+
+@query("completeness_flag")
+def q_completeness_flag(spark, sf_dir):
+    """P15 (as deployed, and the strict reading of its comment) on renamed departures."""
+    return staging.departures_filtered(raw(spark, sf_dir, "raw_departures")).select(
+        "row_id", flags.completeness_flag().alias("completeness_flag"),
+        flags.completeness_flag(strict=True).alias("strict_flag"),
+    )
+
+
+# ---- single operators: windows W1-W8 ----------------------------------------------------------
+@query("latest_flight")
+def q_latest_flight(spark, sf_dir):
+    """Newest load of each (icao24, first seen) on the raw observed flights."""
+    r = raw(spark, sf_dir, "raw_flights").select(
+        "row_id", "icao24", casts.epoch_to_timestamp("firstSeen").alias("first_seen_ts"), "ingestion_timestamp")
+    return keep_first(r, ["icao24", "first_seen_ts"], [desc("ingestion_timestamp")])
+
+
+@query("airport_key")
+def q_airport_key(spark, sf_dir):
+    """Global surrogate numbering by ICAO code without a one-task window."""
+    r = raw(spark, sf_dir, "raw_airports").select("row_id", "icao")
+    return global_row_number(r, [asc("icao"), asc("row_id")], name="airport_key")
+
+
+@query("latest_arrival")
+def q_latest_arrival(spark, sf_dir):
+    """W4 (= the arrivals base model)."""
+    return arr_base(spark, sf_dir).select("row_id", *staging.ARRIVAL_IDENTITY, "ingestion_timestamp")
+
+
+@query("latest_departure")
+def q_latest_departure(spark, sf_dir):
+    """Newest record of each full departure identity."""
+    f = staging.departures_filtered(raw(spark, sf_dir, "raw_departures"))
+    return keep_first(f, staging.DEPARTURE_IDENTITY, [desc("ingestion_timestamp")]).select(
+        "row_id", *staging.DEPARTURE_IDENTITY, "ingestion_timestamp")
+
+
+@query("most_complete")
+def q_most_complete(spark, sf_dir):
+    """The most complete record of each flight (after W5)."""
+    return dep_base(spark, sf_dir).select("row_id", *staging.DEPARTURE_FLIGHT,
+                                          flags.completeness_flag().alias("completeness_flag"))
+
+
+def _pair_ranks(df, order, name="pair_rank"):
+    return rank_within(df, staging.PAIR_KEYS, order, name=name).where(F.col(name) <= 2)
+
+
+@query("pair_rank")
+def q_pair_rank(spark, sf_dir):
+    """Rank 1 and 2 of the departed operator rows by scheduled time."""
+    rows = dep_base(spark, sf_dir).where(P.status_is(P.DEPARTED) & P.is_operator() & P.identified())
+    return _pair_ranks(rows, [asc("departure_scheduled_utc")]).select(
+        "row_id", *staging.PAIR_KEYS, "departure_scheduled_utc", "pair_rank")
+
+
+@query("pair_rank_scored")
+def q_pair_rank_scored(spark, sf_dir):
+    """Rank 1 and 2 of the arrived operator rows by reliability."""
+    rows = arr_base(spark, sf_dir).where(P.status_in(P.ARRIVED_STATUSES) & P.identified() & P.is_operator())
+    rows = rows.withColumn("reliability_score", flags.reliability_score())
+    return _pair_ranks(rows, [desc("reliability_score")]).select(
+        "row_id", *staging.PAIR_KEYS, "reliability_score", "pair_rank")
+
+
+@query("pair_merge_departures")
+def q_pair_merge_departures(spark, sf_dir):
+    """J1 in the self-join form the staging SQL is written in (compare with ``departures_operator``)."""
+    return staging.departures_operator_join_form(dep_base(spark, sf_dir))
+
+
+@query("pair_merge_arrivals")
+def q_pair_merge_arrivals(spark, sf_dir):
+    """J2 through the window form."""
+    return staging.arrivals_operator(arr_base(spark, sf_dir))
+
+
+# ---- airport selection A1, F9 -----------------------------------------------------------------
+@query("airport_codes")
+def q_airport_codes(spark, sf_dir):
+    """A1: distinct ICAO codes of the raw airport list."""
+    return raw(spark, sf_dir, "raw_airports").select("icao").distinct()
+
+
+@query("airports_by_country")
+def q_airports_by_country(spark, sf_dir):
+    """ICAO codes of the airports in the load countries (no DISTINCT, as the load requests them)."""
+    return raw(spark, sf_dir, "raw_airports").where(P.country_in()).select("icao")

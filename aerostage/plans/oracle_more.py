@@ -2,6 +2,121 @@
 
 from __future__ import annotations
 
+from aerostage.plans.oracle import (
+    AIRPORTS,
+    ARR_BASE_CTES,
+    ARR_OPERATOR,
+    DEP_BASE_CTES,
+    DEP_FILTERED,
+    DEP_NOT_DEPARTED,
+    DEP_OPERATOR,
+    FLIGHTS,
+    with_ctes,
+)
+
+_EPOCH = "TIMESTAMP '1970-01-01 00:00:00' + TRY_CAST(CAST({c} AS VARCHAR) AS BIGINT) * INTERVAL 1 SECOND"
+
+_COMPLETENESS = """CASE WHEN departure_revised_utc IS NULL THEN 1
+            WHEN departure_runway_utc IS NOT NULL THEN 1
+            WHEN arrival_scheduled_utc IS NULL THEN 1
+            WHEN arrival_revised_utc IS NULL THEN 1
+            WHEN arrival_runway_utc IS NULL THEN 1 ELSE 0 END"""
+_STRICT = _COMPLETENESS.replace("departure_runway_utc IS NOT NULL", "departure_runway_utc IS NULL")
+
+_IATA_FALLBACK_RAW = """COALESCE(airline_iata,
+             CASE WHEN number IS NULL THEN NULL
+                  WHEN strpos(number, ' ') = 0 THEN ''
+                  ELSE left(number, strpos(number, ' ') - 1) END)"""
+
+
+def single_operator_sql() -> dict[str, str]:
+    dep, arr, fl, ap = ["raw_departures"], ["raw_arrivals"], ["raw_flights"], ["raw_airports"]
+    classes = """
+SELECT 'departure' AS direction, row_id, flight_date, airport_icao, status, codeshare_status FROM dep_base WHERE {d}
+UNION ALL
+SELECT 'arrival' AS direction, row_id, flight_date, airport_icao, status, codeshare_status FROM arr_base WHERE {a}"""
+    both = lambda final: with_ctes(dep + arr, DEP_BASE_CTES + ARR_BASE_CTES, final)
+    return {
+        "filter_cargo": with_ctes(dep, [], "SELECT * FROM raw_departures WHERE isCargo = FALSE"),
+        "filter_same_day": with_ctes(dep, [], "SELECT * FROM raw_departures "
+                                              "WHERE CAST(departure_scheduledtime_utc AS DATE) = flight_date"),
+        "filter_operator": with_ctes(dep, DEP_BASE_CTES, "SELECT * FROM dep_base WHERE codeshare_status = 'IsOperator'"),
+        "filter_status": both(classes.format(d="status = 'Departed'",
+                                             a="status IN ('Arrived', 'Approaching', 'Delayed')")),
+        "filter_status_not": both(classes.format(d="status != 'Departed'",
+                                                 a="status NOT IN ('Arrived', 'Approaching', 'Delayed')")),
+        "filter_identified": with_ctes(dep, DEP_BASE_CTES, "SELECT * FROM dep_base "
+                                                           "WHERE callsign IS NOT NULL OR aircraft_mode_s IS NOT NULL"),
+        "filter_unidentified": with_ctes(dep, DEP_BASE_CTES, "SELECT * FROM dep_base "
+                                                             "WHERE callsign IS NULL AND aircraft_mode_s IS NULL"),
+        "text_clean": with_ctes(fl, [], """
+SELECT row_id, UPPER(icao24) AS icao24, UPPER(TRIM(callsign)) AS callsign,
+       UPPER(estDepartureAirport) AS est_departure_airport, TRIM('  ' || callsign) AS callsign_trimmed
+FROM raw_flights"""),
+        "safe_casts": with_ctes(fl + ap, [], """
+SELECT 'flights' AS source, row_id,
+       TRY_CAST(CAST(estDepartureAirportHorizDistance AS VARCHAR) AS BIGINT) AS as_number,
+       TRY_CAST(CAST(record_date AS VARCHAR) AS DATE) AS as_date,
+       CAST(NULL AS DOUBLE) AS as_double, CAST(NULL AS DOUBLE) AS latitude
+FROM raw_flights
+UNION ALL
+SELECT 'airports', CAST(row_id AS BIGINT), NULL, NULL,
+       TRY_CAST(CAST(elevation_ft AS VARCHAR) AS DOUBLE), TRY_CAST(CAST(latitude AS VARCHAR) AS DOUBLE)
+FROM raw_airports"""),
+        "epoch_time": with_ctes(fl, [], f"""
+SELECT row_id, {_EPOCH.format(c='firstSeen')} AS first_seen_ts, {_EPOCH.format(c='lastSeen')} AS last_seen_ts,
+       CAST({_EPOCH.format(c='firstSeen')} AS DATE) AS first_seen_date
+FROM raw_flights"""),
+        "airline_fallback": with_ctes(dep, [], f"""
+SELECT row_id, number AS flight_number, UPPER(callSign) AS callsign,
+       {_IATA_FALLBACK_RAW} AS airline_iata,
+       COALESCE(airline_icao, left(UPPER(callSign), 3)) AS airline_icao
+FROM raw_departures"""),
+        "reliability_score": with_ctes(arr, ARR_BASE_CTES, """
+SELECT row_id, CASE WHEN arrival_runway_utc IS NOT NULL THEN 2
+                    WHEN arrival_revised_utc IS NOT NULL THEN 1 ELSE 0 END AS reliability_score
+FROM arr_base"""),
+        "completeness_flag": with_ctes(dep, [DEP_FILTERED], f"""
+SELECT row_id, {_COMPLETENESS} AS completeness_flag, {_STRICT} AS strict_flag FROM dep_filtered"""),
+        "latest_flight": with_ctes(fl, [], f"""
+SELECT row_id, icao24, {_EPOCH.format(c='firstSeen')} AS first_seen_ts, ingestion_timestamp
+FROM raw_flights
+QUALIFY ROW_NUMBER() OVER (PARTITION BY icao24, first_seen_ts ORDER BY ingestion_timestamp DESC NULLS FIRST, row_id) = 1"""),
+        "airport_key": with_ctes(ap, [], """
+SELECT row_id, icao, CAST(ROW_NUMBER() OVER (ORDER BY icao NULLS LAST, row_id) AS BIGINT) AS airport_key
+FROM raw_airports"""),
+        "latest_arrival": with_ctes(arr, ARR_BASE_CTES, """
+SELECT row_id, flight_number, flight_date, departure_airport_icao, departure_scheduled_utc, airport_icao,
+       arrival_scheduled_utc, ingestion_timestamp
+FROM arr_base"""),
+        "latest_departure": with_ctes(dep, DEP_BASE_CTES[:2], """
+SELECT row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc,
+       arrival_airport_icao, arrival_scheduled_utc, ingestion_timestamp
+FROM dep_latest"""),
+        "most_complete": with_ctes(dep, DEP_BASE_CTES, f"""
+SELECT row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao,
+       {_COMPLETENESS} AS completeness_flag
+FROM dep_base"""),
+        "pair_rank": with_ctes(dep, DEP_BASE_CTES + [DEP_OPERATOR], """
+SELECT row_id, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc,
+       CAST(rn AS INTEGER) AS pair_rank
+FROM dep_ranked WHERE rn <= 2"""),
+        "pair_rank_scored": with_ctes(arr, ARR_BASE_CTES + [ARR_OPERATOR], """
+SELECT row_id, flight_date, callsign, aircraft_mode_s, airport_icao, reliability_score,
+       CAST(rn AS INTEGER) AS pair_rank
+FROM arr_ranked WHERE rn <= 2"""),
+        "pair_merge_departures": with_ctes(dep, DEP_BASE_CTES + [DEP_OPERATOR], "SELECT * FROM dep_operator"),
+        "pair_merge_arrivals": with_ctes(arr, ARR_BASE_CTES + [ARR_OPERATOR], "SELECT * FROM arr_operator"),
+        "airport_codes": with_ctes(ap, [], "SELECT DISTINCT icao FROM raw_airports"),
+        "airports_by_country": with_ctes(ap, [], "SELECT icao FROM raw_airports "
+                                                 "WHERE country IN ('DE', 'FR', 'CH', 'AE')"),
+    }
+
 
 def more_sql() -> dict[str, str]:
-    return {}
+    out = {}
+    out.update(single_operator_sql())
+    return out
+
+
+__all__ = ["more_sql", "AIRPORTS", "FLIGHTS", "DEP_NOT_DEPARTED"]

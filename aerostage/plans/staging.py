@@ -247,3 +247,26 @@ def flights(raw: DataFrame) -> DataFrame:
         F.col("ingestion_timestamp"),
     )
     return keep_first(renamed, ["icao24", "first_seen_ts"], [desc("ingestion_timestamp")])
+
+
+def departures_operator_join_form(base: DataFrame) -> DataFrame:
+    """M5 written as rank + left self join (the warehouse form); same rows as ``departures_operator``.
+
+    Kept for comparison and benchmarking: it needs an extra exchange and a sort-merge join.
+    """
+    from aerostage.operators.dedup import rank_within
+
+    rows = base.where(P.status_is(P.DEPARTED) & P.is_operator() & P.identified())
+    ranked = rank_within(rows, PAIR_KEYS, [asc("departure_scheduled_utc")], name="rn")
+    p = ranked.where(F.col("rn") == 1).alias("p")
+    s = ranked.where(F.col("rn") == 2).alias("s")
+    cond = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in PAIR_KEYS]
+    joined = p.join(s, cond, "left")
+    extras = [c for c in rows.columns if c not in DEP_BASE_COLUMNS]
+    cols = [F.col(f"p.{c}").alias(c) for c in extras]
+    for c in _DEP_OPERATOR_OUT:
+        if c in _DEP_FILL:
+            cols.append(F.coalesce(F.col(f"p.{c}"), F.col(f"s.{c}")).alias(c))
+        else:
+            cols.append(F.col(f"p.{c}").alias(c))
+    return _with_fallbacks(joined.select(*cols))
