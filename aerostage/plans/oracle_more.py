@@ -116,7 +116,98 @@ FROM arr_ranked WHERE rn <= 2"""),
 def more_sql() -> dict[str, str]:
     out = {}
     out.update(single_operator_sql())
+    out.update(nested_sql())
     return out
 
 
 __all__ = ["more_sql", "AIRPORTS", "FLIGHTS", "DEP_NOT_DEPARTED"]
+
+
+# ---- payloads and nesting -----------------------------------------------------------------------
+def _half(col: str) -> str:
+    return f"CASE WHEN coalesce(hour({col}), 0) < 12 THEN 'first_half' ELSE 'second_half' END AS half"
+
+
+def _leg_columns(side_fields) -> str:
+    return ", ".join(f'"{n}"' for n, _, _ in side_fields)
+
+
+def _flat_leg() -> str:
+    """The nested leg flattened with ``_`` (departure rows have no departure airport, gate or belt)."""
+    cols = ["number", "callSign", "status", "codeshareStatus", "isCargo", "aircraft_reg", "aircraft_modeS",
+            "aircraft_model", "airline_name", "airline_iata", "airline_icao"]
+    out = [f'{c} AS "{c}"' for c in cols]
+    for side in ("departure", "arrival"):
+        for k in ("icao", "iata", "name", "timeZone"):
+            src = f"{side}_airport_{k.lower()}" if side == "arrival" else "CAST(NULL AS VARCHAR)"
+            out.append(f'{src} AS "{side}_airport_{k}"')
+        for kind in ("scheduled", "revised", "runway"):
+            for z in ("utc", "local"):
+                out.append(f'{side}_{kind}time_{z} AS "{side}_{kind}Time_{z}"')
+        present = {"departure": {"terminal", "runway"}, "arrival": {"terminal", "gate", "baggagebelt"}}[side]
+        for raw_name, name in (("terminal", "terminal"), ("runway", "runway"), ("gate", "gate"),
+                               ("baggagebelt", "baggageBelt")):
+            src = f"{side}_{raw_name}" if raw_name in present else "CAST(NULL AS VARCHAR)"
+            out.append(f'{src} AS "{side}_{name}"')
+    return ", ".join(out)
+
+
+_INT_FIELDS = ["estDepartureAirportHorizDistance", "estDepartureAirportVertDistance",
+               "estArrivalAirportHorizDistance", "estArrivalAirportVertDistance",
+               "departureAirportCandidatesCount", "arrivalAirportCandidatesCount"]
+_OBSERVED = ("icao24, firstSeen, estDepartureAirport, lastSeen, estArrivalAirport, callsign, "
+             + ", ".join(f'TRY_CAST(CAST({c} AS VARCHAR) AS INTEGER) AS "{c}"' for c in _INT_FIELDS))
+_REQUEST_DAY = "CAST(TIMESTAMP '1970-01-01 00:00:00' + firstSeen * INTERVAL 1 SECOND AS DATE)"
+
+
+def nested_sql() -> dict[str, str]:
+    from aerostage.schemas import ARRIVAL_FIELDS, DEPARTURE_FIELDS
+
+    dep, arr, fl, ap = ["raw_departures"], ["raw_arrivals"], ["raw_flights"], ["raw_airports"]
+    q_cols = "airport_icao, flight_date, number, callSign"
+    return {
+        "payload_flatten_departures": with_ctes(dep, [], f"SELECT {_leg_columns(DEPARTURE_FIELDS)}, "
+                                                         f"{_half('departure_scheduledtime_utc')} FROM raw_departures"),
+        "payload_flatten_arrivals": with_ctes(arr, [], f"SELECT {_leg_columns(ARRIVAL_FIELDS)}, "
+                                                       f"{_half('arrival_scheduledtime_utc')} FROM raw_arrivals"),
+        "array_column": with_ctes(dep, [], f"""
+SELECT {q_cols}, 0 AS pos, 'Basic' AS quality FROM raw_departures
+UNION ALL
+SELECT {q_cols}, 1, 'Live' FROM raw_departures WHERE departure_revisedtime_utc IS NOT NULL
+UNION ALL
+SELECT {q_cols}, CASE WHEN departure_revisedtime_utc IS NOT NULL THEN 2 ELSE 1 END, 'Runway'
+FROM raw_departures WHERE departure_runwaytime_utc IS NOT NULL"""),
+        "nested_default": with_ctes(dep, [], """
+SELECT row_id,
+       CASE WHEN aircraft_modeS IS NULL THEN NULL ELSE aircraft_reg END AS aircraft_reg,
+       COALESCE(CASE WHEN aircraft_modeS IS NULL THEN NULL ELSE aircraft_model END, 'unknown') AS aircraft_model
+FROM raw_departures"""),
+        "flatten_struct": with_ctes(dep, [], f"SELECT row_id, {_flat_leg()} FROM raw_departures"),
+        "align_keys": with_ctes(dep + arr, [], """
+SELECT row_id, number, departure_terminal, departure_runway, arrival_gate, arrival_baggagebelt, 'departure' AS kind
+FROM raw_departures
+UNION ALL BY NAME
+SELECT row_id, number, departure_terminal, departure_runway, arrival_runway, arrival_gate, 'arrival' AS kind
+FROM raw_arrivals"""),
+        "read_flights_json": with_ctes(fl, [], f"SELECT {_OBSERVED}, {_REQUEST_DAY} AS record_date FROM raw_flights"),
+        "read_airports_csv": with_ctes(ap, [], """
+SELECT airport, country, state, city, icao, iata,
+       TRY_CAST(elevation_ft AS DOUBLE) AS elevation_ft, TRY_CAST(latitude AS DOUBLE) AS latitude,
+       TRY_CAST(longitude AS DOUBLE) AS longitude
+FROM raw_airports"""),
+        "directional_flights": with_ctes(fl, [], f"""
+SELECT {_OBSERVED}, {_REQUEST_DAY} AS record_date, UPPER(estDepartureAirport) AS airport_icao,
+       'departure' AS direction
+FROM raw_flights WHERE estDepartureAirport IS NOT NULL
+UNION ALL
+SELECT {_OBSERVED}, {_REQUEST_DAY}, UPPER(estArrivalAirport), 'arrival'
+FROM raw_flights WHERE estArrivalAirport IS NOT NULL"""),
+        "delay_payload": with_ctes(dep, DEP_BASE_CTES, """
+SELECT airport_icao,
+       h AS from_utc, h + INTERVAL 1 HOUR AS from_local,
+       h + INTERVAL 59 MINUTE AS to_utc, h + INTERVAL 59 MINUTE + INTERVAL 1 HOUR AS to_local,
+       count(*) FILTER (WHERE departure_runway_utc IS NOT NULL) AS "numDeparted",
+       count(*) FILTER (WHERE departure_runway_utc > departure_scheduled_utc + INTERVAL 15 MINUTE) AS "numDelayed"
+FROM (SELECT *, date_trunc('hour', departure_scheduled_utc) AS h FROM dep_base) t
+GROUP BY airport_icao, h"""),
+    }
