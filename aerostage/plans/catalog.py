@@ -102,6 +102,6 @@ def q_flights(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     # Import modules that register further queries.
-    from aerostage.plans import catalog_more, catalog_nested  # noqa: F401
+    from aerostage.plans import catalog_more, catalog_nested, catalog_ops  # noqa: F401
 
     return dict(_REGISTRY)

@@ -117,6 +117,7 @@ def more_sql() -> dict[str, str]:
     out = {}
     out.update(single_operator_sql())
     out.update(nested_sql())
+    out.update(ops_sql())
     return out
 
 
@@ -211,3 +212,129 @@ SELECT airport_icao,
 FROM (SELECT *, date_trunc('hour', departure_scheduled_utc) AS h FROM dep_base) t
 GROUP BY airport_icao, h"""),
     }
+
+
+# ---- loads, request plan, KPIs, streaming ------------------------------------------------------------
+_LOAD_COUNTRY_AIRPORTS = "SELECT DISTINCT UPPER(icao) AS icao FROM raw_airports WHERE country IN ('DE', 'FR', 'CH', 'AE')"
+_DAYS = """days AS (
+  SELECT CAST(d AS DATE) AS flight_date
+  FROM (SELECT min(flight_date) AS lo, max(flight_date) AS hi FROM raw_departures) r,
+       unnest(generate_series(CAST(r.lo AS TIMESTAMP), CAST(r.hi AS TIMESTAMP), INTERVAL 1 DAY)) AS g(d)
+)"""
+_HALVES = """halves AS (
+  SELECT * FROM (VALUES ('first_half', 'T00:00', 'T12:00'), ('second_half', 'T12:00', 'T23:59')) AS h(half, f, t)
+)"""
+_PLAN_SELECT = """SELECT a.icao AS airport_icao, d.flight_date, h.half,
+       strftime(d.flight_date, '%Y-%m-%d') || h.f AS time_from, strftime(d.flight_date, '%Y-%m-%d') || h.t AS time_to
+FROM plan_airports a CROSS JOIN days d CROSS JOIN halves h"""
+
+
+def _movements_cte() -> str:
+    return """moves AS (
+  SELECT 'departure' AS direction, airport_icao, flight_date, departure_scheduled_utc AS scheduled_utc,
+         COALESCE(departure_runway_utc, departure_revised_utc) AS actual_utc,
+         date_diff('second', departure_scheduled_utc, COALESCE(departure_runway_utc, departure_revised_utc)) AS delay_seconds
+  FROM dep_operator
+  UNION ALL
+  SELECT 'arrival', airport_icao, flight_date, arrival_scheduled_utc,
+         COALESCE(arrival_runway_utc, arrival_revised_utc),
+         date_diff('second', arrival_scheduled_utc, COALESCE(arrival_runway_utc, arrival_revised_utc))
+  FROM arr_operator
+)"""
+
+
+def ops_sql() -> dict[str, str]:
+    from aerostage.plans.oracle import ARR_BASE_CTES, DEP_BASE, DEP_LATEST
+    from aerostage.schemas import ARRIVAL_FIELDS, DEPARTURE_FIELDS
+
+    dep, arr, ap, fl = ["raw_departures"], ["raw_arrivals"], ["raw_airports"], ["raw_flights"]
+    dep_cols = ", ".join(f'"{n}"' for n, _, _ in DEPARTURE_FIELDS)
+    arr_cols = ", ".join(f'"{n}"' for n, _, _ in ARRIVAL_FIELDS)
+    first = "TIMESTAMP '2025-01-02 00:00:00'"
+    late = f"""raw_all AS (
+  SELECT * FROM raw_departures
+  UNION ALL
+  SELECT * REPLACE ('Departed' AS status, TIMESTAMP '2025-01-03 00:00:00' AS ingestion_timestamp)
+  FROM raw_departures WHERE status = 'Canceled' AND flight_date >= DATE '2024-01-28'
+)"""
+    filtered_all = DEP_FILTERED.replace("FROM raw_departures", "FROM raw_all")
+    kpi_ctes = DEP_BASE_CTES + [DEP_OPERATOR] + ARR_BASE_CTES + [ARR_OPERATOR, _movements_cte()]
+    delay_aggs = """count(delay_seconds) AS with_actual,
+       CAST(sum(delay_seconds) AS BIGINT) AS total_delay_seconds,
+       CASE WHEN count(delay_seconds) > 0
+            THEN CAST(sum(delay_seconds) AS DOUBLE) / count(delay_seconds) / 60.0 END AS avg_delay_minutes"""
+    adherence = """count(*) FILTER (WHERE delay_seconds <= 900) AS on_time,
+       CASE WHEN count(delay_seconds) > 0
+            THEN CAST(100.0 AS DOUBLE) * count(*) FILTER (WHERE delay_seconds <= 900) / count(delay_seconds)
+       END AS adherence_pct"""
+    return {
+        "append_defaults": with_ctes(dep, [], f"SELECT row_id, {dep_cols}, {first} AS ingestion_timestamp, "
+                                              "'AeroDataBox' AS data_source FROM raw_departures"),
+        "committed_batches": with_ctes(dep + arr, [], f"""
+SELECT 'departures' AS table_name, CAST(1 AS BIGINT) AS batch_id, row_id, flight_date, {first} AS ingestion_timestamp
+FROM raw_departures
+UNION ALL
+SELECT 'arrivals', CAST(1 AS BIGINT), row_id, flight_date, {first} FROM raw_arrivals"""),
+        "incremental_refresh": with_ctes(dep, [late, filtered_all, DEP_LATEST, DEP_BASE, DEP_OPERATOR],
+                                         "SELECT * FROM dep_operator"),
+        "day_bounds": with_ctes(dep, [], """
+SELECT flight_date,
+       (flight_date - DATE '1970-01-01') * 86400 AS start_epoch,
+       (flight_date - DATE '1970-01-01') * 86400 + 86399 AS end_epoch,
+       strftime(flight_date, '%Y-%m-%d') || 'T00:00' AS start_str,
+       strftime(flight_date, '%Y-%m-%d') || 'T12:00' AS midday_str,
+       strftime(flight_date, '%Y-%m-%d') || 'T23:59' AS end_str
+FROM (SELECT DISTINCT flight_date FROM raw_departures) d"""),
+        "request_plan": with_ctes(dep + ap, [f"plan_airports AS ({_LOAD_COUNTRY_AIRPORTS})", _DAYS, _HALVES],
+                                  _PLAN_SELECT),
+        "load_coverage": with_ctes(dep + arr + ap, [
+            f"plan_airports AS (SELECT airport_icao AS icao FROM raw_departures UNION {_LOAD_COUNTRY_AIRPORTS})",
+            _DAYS, _HALVES, f"plan AS ({_PLAN_SELECT})",
+            f"""dep_n AS (SELECT airport_icao, flight_date, {_half('departure_scheduledtime_utc')}, count(*) AS n
+              FROM raw_departures GROUP BY ALL)""",
+            f"""arr_n AS (SELECT airport_icao, flight_date, {_half('arrival_scheduledtime_utc')}, count(*) AS n
+              FROM raw_arrivals GROUP BY ALL)"""], """
+SELECT p.airport_icao, p.flight_date, p.half, p.time_from, p.time_to,
+       COALESCE(d.n, 0) AS departures, COALESCE(a.n, 0) AS arrivals,
+       CASE WHEN COALESCE(d.n, 0) = 0 AND COALESCE(a.n, 0) = 0 THEN 'no_content'
+            WHEN COALESCE(d.n, 0) = 0 THEN 'no_departures'
+            WHEN COALESCE(a.n, 0) = 0 THEN 'no_arrivals' ELSE 'ok' END AS status
+FROM plan p
+LEFT JOIN dep_n d ON p.airport_icao = d.airport_icao AND p.flight_date = d.flight_date AND p.half = d.half
+LEFT JOIN arr_n a ON p.airport_icao = a.airport_icao AND p.flight_date = a.flight_date AND p.half = a.half"""),
+        "movement_delays": with_ctes(dep + arr, kpi_ctes, "SELECT * FROM moves"),
+        "delay_daily": with_ctes(dep + arr, kpi_ctes, f"""
+SELECT airport_icao, flight_date, direction, count(*) AS flights, {delay_aggs}
+FROM moves GROUP BY airport_icao, flight_date, direction"""),
+        "adherence": with_ctes(dep + arr, kpi_ctes, f"""
+SELECT airport_icao, flight_date, direction, count(delay_seconds) AS with_actual, {adherence}
+FROM moves GROUP BY airport_icao, flight_date, direction"""),
+        "hourly_efficiency": with_ctes(dep, DEP_BASE_CTES + [DEP_OPERATOR, DEP_NOT_DEPARTED], f"""
+SELECT airport_icao, flight_date, hour, count(*) AS scheduled,
+       count(*) FILTER (WHERE operated) AS operated, count(*) FILTER (WHERE NOT operated) AS not_departed,
+       {delay_aggs}, {adherence},
+       count(*) FILTER (WHERE NOT operated) / count(*) AS not_departed_share
+FROM (
+  SELECT airport_icao, flight_date, CAST(hour(departure_scheduled_utc) AS INTEGER) AS hour, TRUE AS operated,
+         date_diff('second', departure_scheduled_utc, COALESCE(departure_runway_utc, departure_revised_utc)) AS delay_seconds
+  FROM dep_operator
+  UNION ALL
+  SELECT airport_icao, flight_date, CAST(hour(departure_scheduled_utc) AS INTEGER), FALSE, CAST(NULL AS BIGINT)
+  FROM dep_not_departed
+) t
+GROUP BY airport_icao, flight_date, hour"""),
+        "link_schedule_observed": with_ctes(dep + fl, DEP_BASE_CTES + [DEP_OPERATOR, FLIGHTS], """
+SELECT d.row_id, d.flight_number, d.flight_date, d.callsign, d.aircraft_mode_s, d.airport_icao,
+       d.departure_scheduled_utc, o.icao24, o.first_seen_ts,
+       abs(date_diff('second', COALESCE(d.departure_runway_utc, d.departure_revised_utc, d.departure_scheduled_utc),
+                     o.first_seen_ts)) AS gap_seconds
+FROM dep_operator d
+LEFT JOIN stg_flights o ON d.aircraft_mode_s = o.icao24 AND d.flight_date = CAST(o.first_seen_ts AS DATE)
+QUALIFY ROW_NUMBER() OVER (
+  PARTITION BY d.row_id, d.flight_number, d.flight_date, d.callsign, d.aircraft_mode_s, d.airport_icao,
+               d.departure_scheduled_utc
+  ORDER BY gap_seconds NULLS LAST, o.first_seen_ts NULLS LAST, o.icao24 NULLS LAST) = 1"""),
+        "streaming_landing": with_ctes(dep, [], f"SELECT {dep_cols}, {first} AS ingestion_timestamp, "
+                                                "'AeroDataBox' AS data_source, CAST(0 AS BIGINT) AS batch "
+                                                "FROM raw_departures"),
+    }
