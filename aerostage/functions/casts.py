@@ -33,7 +33,9 @@ def epoch_to_timestamp(c) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=try_long(c).cast("decimal(18,6)"))
 
 
-_TIME_TEXT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}(:\d{2})?)(Z|([+-])(\d{2}):?(\d{2}))?$"
+# Offset-carrying layouts of ``*_utc`` time text, most frequent first.
+OFFSET_FORMATS = ["yyyy-MM-dd HH:mmXXX", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd HH:mmXX", "yyyy-MM-dd HH:mm:ssXX"]
+_OFFSET_SUFFIX = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
 def _normalised(c) -> Column:
@@ -42,22 +44,18 @@ def _normalised(c) -> Column:
 
 def parse_local_time(c) -> Column:
     """Time text of a ``*_local`` field to ``timestamp_ntz``: the wall clock, any offset dropped."""
-    text = _normalised(c)
-    with_secs = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}"), F.substring(text, 1, 19))
-    no_secs = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}"), F.concat(F.substring(text, 1, 16), F.lit(":00")))
-    return F.coalesce(with_secs, no_secs).try_cast("timestamp_ntz")
+    return F.regexp_replace(_normalised(c), _OFFSET_SUFFIX, "").try_cast("timestamp_ntz")
 
 
 def parse_utc_time(c) -> Column:
     """Time text of a ``*_utc`` field to a UTC ``timestamp_ntz``.
 
     Accepts ``T`` or a blank between date and time, with or without seconds, followed by ``Z``, a
-    numeric offset (subtracted, so the result is UTC) or nothing. Anything else gives null.
+    numeric offset (applied, so the result is UTC) or nothing. Anything else gives null. Text with an
+    offset is parsed to an instant and turned into epoch seconds, so the session time zone plays no
+    part; the no-offset layouts (16 or 19 characters) are read as UTC wall clocks directly.
     """
     text = _normalised(c)
-    valid = text.rlike(_TIME_TEXT)
-    sign = F.when(F.regexp_extract(text, _TIME_TEXT, 4) == "-", F.lit(-1)).otherwise(F.lit(1))
-    hours = F.coalesce(F.regexp_extract(text, _TIME_TEXT, 5).try_cast("int"), F.lit(0))
-    minutes = F.coalesce(F.regexp_extract(text, _TIME_TEXT, 6).try_cast("int"), F.lit(0))
-    offset = F.make_dt_interval(mins=sign * (hours * 60 + minutes))
-    return F.when(valid, parse_local_time(text) - offset)
+    instant = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in OFFSET_FORMATS])
+    plain = F.length(text).isin(16, 19)
+    return F.when(plain, text.try_cast("timestamp_ntz")).otherwise(epoch_to_timestamp(F.unix_seconds(instant)))

@@ -15,6 +15,7 @@ def build_session(master: str | None = None, app: str = "aerostage", shuffle_par
         builder = builder.master(master)
     builder = (
         builder.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -92,7 +92,8 @@ def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: st
             F.collect_list("__leg").alias(name))
         parts.append(obj.select("airport_icao", "flight_date", "half",
                                 F.to_json(F.struct(F.col(name))).alias("value")))
-    out = parts[0].unionByName(parts[1])
+    # Rebalance on the folder keys: few files per folder, and AQE splits a hot folder across tasks.
+    out = parts[0].unionByName(parts[1]).hint("rebalance", "airport_icao", "flight_date", "half")
     out.write.mode("overwrite").partitionBy("airport_icao", "flight_date", "half").text(path)
     return path
 
@@ -107,6 +108,7 @@ def write_flight_arrays(flights: DataFrame, path: str, date_col: str = "record_d
     keys = [date_col] + extra
     chunks = _chunked(flights, keys, rec, chunk_rows)
     arrays = chunks.groupBy(*keys, "__chunk").agg(F.to_json(F.collect_list("__leg")).alias("value"))
+    arrays = arrays.hint("rebalance", *keys)
     arrays.select(*keys, F.col("__chunk").alias("part"), "value").write.mode("overwrite").partitionBy(
         *keys, "part").text(path)
     return path
