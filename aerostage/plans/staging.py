@@ -69,7 +69,8 @@ def _airport(side: str) -> list[Column]:
     return [F.col(f"{side}_airport_{k}") for k in ("icao", "iata", "name", "timezone")]
 
 
-_TAIL = [F.col("ingestion_timestamp"), F.col("data_source")]
+def _tail() -> list[Column]:
+    return [F.col("ingestion_timestamp"), F.col("data_source")]
 
 DEPARTURE_IDENTITY = ["flight_number", "flight_date", "callsign", "aircraft_mode_s", "airport_icao",
                       "departure_scheduled_utc", "arrival_airport_icao", "arrival_scheduled_utc"]
@@ -103,7 +104,7 @@ def departures_filtered(raw: DataFrame) -> DataFrame:
     extras = _extras(raw, _RAW_KNOWN_DEP)
     return raw.where(P.not_cargo("isCargo") & P.same_day("departure_scheduledtime_utc", "flight_date")).select(
         *[F.col(c) for c in extras],
-        *_renamed_core(), *_times("departure"), *_airport("arrival"), *_times("arrival"), *_TAIL,
+        *_renamed_core(), *_times("departure"), *_airport("arrival"), *_times("arrival"), *_tail(),
     )
 
 
@@ -117,7 +118,7 @@ def arrivals_filtered(raw: DataFrame) -> DataFrame:
     extras = _extras(raw, _RAW_KNOWN_ARR)
     return raw.where(P.not_cargo("isCargo") & P.same_day("arrival_scheduledtime_utc", "flight_date")).select(
         *[F.col(c) for c in extras],
-        *_renamed_core(), *_airport("departure"), *_times("departure"), *_times("arrival"), *_TAIL,
+        *_renamed_core(), *_airport("departure"), *_times("departure"), *_times("arrival"), *_tail(),
     )
 
 

@@ -80,8 +80,9 @@ def _chunked(df: DataFrame, keys: list[str], payload: Column, chunk_rows: int) -
     return with_n.select(*keys, F.pmod(F.xxhash64(payload), n_chunks).alias("__chunk"), payload.alias("__leg"))
 
 
-def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: str, chunk_rows: int = 256) -> str:
-    """Write raw departures and arrivals as nested payload JSON under ``path``."""
+def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: str, chunk_rows: int = 256,
+                            mode: str = "overwrite") -> str:
+    """Write raw departures and arrivals as nested payload JSON under ``path`` (``mode="append"`` lands more)."""
     parts = []
     for name, df, sched in (("departures", departures, "departure_scheduledtime_utc"),
                             ("arrivals", arrivals, "arrival_scheduledtime_utc")):
@@ -94,7 +95,7 @@ def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: st
                                 F.to_json(F.struct(F.col(name))).alias("value")))
     # Rebalance on the folder keys: few files per folder, and AQE splits a hot folder across tasks.
     out = parts[0].unionByName(parts[1]).hint("rebalance", "airport_icao", "flight_date", "half")
-    out.write.mode("overwrite").partitionBy("airport_icao", "flight_date", "half").text(path)
+    out.write.mode(mode).partitionBy("airport_icao", "flight_date", "half").text(path)
     return path
 
 
