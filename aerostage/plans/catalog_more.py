@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 
 from aerostage.plans import checks, staging
 from aerostage.plans.catalog import AIRPORTS_LOADED_AT, arr_base, dep_base, query, raw
+from aerostage.session import materialize
 
 
 # ---- data checks Q1-Q7 ---------------------------------------------------------------------
 @query("checks_departures")
 def q_checks_departures(spark, sf_dir):
-    """All declared checks of the four departure models."""
-    base = dep_base(spark, sf_dir)
+    """All declared checks of the four departure models (the base is materialised once, shared by all)."""
+    base = materialize(dep_base(spark, sf_dir), "stg_departures_base")
     return checks.run_all({
         "stg_departures_base": base,
         "stg_departures_not_departed": staging.departures_not_departed(base),
@@ -23,8 +24,8 @@ def q_checks_departures(spark, sf_dir):
 
 @query("checks_arrivals")
 def q_checks_arrivals(spark, sf_dir):
-    """All declared checks of the four arrival models."""
-    base = arr_base(spark, sf_dir)
+    """All declared checks of the four arrival models (the base is materialised once, shared by all)."""
+    base = materialize(arr_base(spark, sf_dir), "stg_arrivals_base")
     return checks.run_all({
         "stg_arrivals_base": base,
         "stg_arrivals_not_arrived": staging.arrivals_not_arrived(base),

@@ -12,7 +12,7 @@ from aerostage.functions import predicates as P
 from aerostage.functions.time import day_bounds
 from aerostage.plans import kpi, staging, store
 from aerostage.plans.catalog import dep_base, arr_base, query, raw
-from aerostage.session import scratch_path
+from aerostage.session import materialize, scratch_path
 from aerostage.sources import requests
 
 # Load times used by the registered load queries, so results repeat.
@@ -136,7 +136,7 @@ def q_adherence(spark, sf_dir):
 @query("hourly_efficiency")
 def q_hourly_efficiency(spark, sf_dir):
     """Hourly departure efficiency per airport and day, including not-departed flights."""
-    base = dep_base(spark, sf_dir)
+    base = materialize(dep_base(spark, sf_dir), "stg_departures_base")
     return kpi.hourly_efficiency(staging.departures_operator(base), staging.departures_not_departed(base))
 
 

@@ -77,7 +77,9 @@ def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,
                        model: Callable[[DataFrame], DataFrame], touched: DataFrame,
                        raw_schema: T.StructType | None = None, partition_col: str = "flight_date") -> None:
     """Recompute ``model`` for the days in ``touched`` and overwrite just those partitions."""
-    days = touched.select(partition_col).distinct()
+    # The touched days are bounded by the calendar, not by the data: broadcasting them is safe and lets
+    # dynamic partition pruning skip every untouched day of the raw table.
+    days = F.broadcast(touched.select(partition_col).distinct())
     raw = read_table(spark, raw_path, raw_schema).join(days, partition_col, "left_semi")
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")

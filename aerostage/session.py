@@ -63,3 +63,15 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "prepare", "shared_dir", "scratch_path", "local_path"]
+
+
+def materialize(df, label: str):
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Used when one model feeds several consumers (checks, KPI unions): they then share one columnar
+    table (column pruning still applies) instead of each recomputing the scan and shuffles, and the
+    lineage is cut, so a lost executor does not trigger a recompute of the whole upstream plan.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -76,3 +76,15 @@ def test_link_ranking_reuses_the_join_partitioning(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # 3 for the operator departures, 1 for the observed dedup, 2 for the join sides, none for the ranking
     assert p.count("Exchange hashpartitioning") == 6
+
+
+def test_refresh_prunes_untouched_days(spark):
+    path = scratch_path(spark, "t_plan_refresh")
+    r = raw(spark, SF_SMALL, "raw_departures")
+    r.write.partitionBy("flight_date").parquet(path)
+    touched = r.where(F.col("flight_date") == "2024-01-20")
+    days = F.broadcast(touched.select("flight_date").distinct())
+    df = spark.read.schema(r.schema).parquet(path).join(days, "flight_date", "left_semi")
+    p = plan(staging.departures_operator(staging.departures_base(df)))
+    scans = [line for line in p.splitlines() if "FileScan parquet" in line and "PartitionFilters: [isnotnull(flight_date" in line]
+    assert scans and all("dynamicpruningexpression(flight_date" in s for s in scans)
