@@ -166,3 +166,55 @@ def q_streaming_landing(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return read_raw(spark, raw_root, "departures")
+
+
+# ---- publication K6-K8, D6, F11 ------------------------------------------------------------------------
+def _staging_models(spark, sf_dir) -> dict:
+    dep = materialize(dep_base(spark, sf_dir), "stg_departures_base")
+    arr = materialize(arr_base(spark, sf_dir), "stg_arrivals_base")
+    return {
+        "stg_airports": staging.airports(raw(spark, sf_dir, "raw_airports"), loaded_at=dt.datetime(2025, 1, 1)),
+        "stg_flights": staging.flights(raw(spark, sf_dir, "raw_flights")),
+        "stg_departures_base": dep,
+        "stg_departures_not_departed": staging.departures_not_departed(dep),
+        "stg_departures_operator": staging.departures_operator(dep),
+        "stg_departures_unlinkable": staging.departures_unlinkable(dep),
+        "stg_arrivals_base": arr,
+        "stg_arrivals_operator": staging.arrivals_operator(arr),
+        "stg_arrivals_not_arrived": staging.arrivals_not_arrived(arr),
+        "stg_arrivals_unlinkable": staging.arrivals_unlinkable(arr),
+    }
+
+
+@query("staging_views")
+def q_staging_views(spark, sf_dir):
+    """K6: all ten staging models published as views and queried from SQL by name."""
+    names = store.publish_views(spark, _staging_models(spark, sf_dir))
+    return spark.sql(" UNION ALL ".join(f"SELECT '{n}' AS model, count(*) AS n_rows FROM {n}" for n in names))
+
+
+@query("curated_layer")
+def q_curated_layer(spark, sf_dir):
+    """K7 + D6: operator models and hourly KPIs written as production-target tables; the KPI table read back."""
+    base = materialize(dep_base(spark, sf_dir), "stg_departures_base")
+    dep_op = staging.departures_operator(base)
+    hourly = kpi.hourly_efficiency(dep_op, staging.departures_not_departed(base))
+    paths = store.write_models({"departures_operator": dep_op,
+                                "arrivals_operator": staging.arrivals_operator(arr_base(spark, sf_dir)),
+                                "hourly_efficiency": hourly}, scratch_path(spark, "curated"), target="prod")
+    return spark.read.schema(hourly.schema).parquet(paths["hourly_efficiency"])
+
+
+@query("legacy_load")
+def q_legacy_load(spark, sf_dir):
+    """K8: a legacy-named departures table mapped onto the current raw layout."""
+    legacy = raw(spark, sf_dir, "raw_departures").drop("codeshareStatus")
+    for old, new in store.LEGACY_RENAMES.items():
+        legacy = legacy.withColumnRenamed(new, old)
+    return store.from_legacy(legacy, schemas.RAW_DEPARTURES)
+
+
+@query("filter_destination")
+def q_filter_destination(spark, sf_dir):
+    """observed flights to one destination airport."""
+    return staging.flights(raw(spark, sf_dir, "raw_flights")).where(F.col("est_arrival_airport") == "LFPG")

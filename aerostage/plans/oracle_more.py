@@ -118,6 +118,7 @@ def more_sql() -> dict[str, str]:
     out.update(single_operator_sql())
     out.update(nested_sql())
     out.update(ops_sql())
+    out.update(publication_sql())
     return out
 
 
@@ -338,3 +339,28 @@ QUALIFY ROW_NUMBER() OVER (
                                                 "'AeroDataBox' AS data_source, CAST(0 AS BIGINT) AS batch "
                                                 "FROM raw_departures"),
     }
+
+
+def publication_sql() -> dict[str, str]:
+    from aerostage.plans.oracle import ARR_BASE_CTES, ARR_NOT_ARRIVED, ARR_UNLINKABLE, DEP_UNLINKABLE
+    from aerostage.schemas import DEPARTURE_FIELDS, LOAD_DEFAULTS
+
+    models = {"stg_airports": "stg_airports", "stg_flights": "stg_flights", "stg_departures_base": "dep_base",
+              "stg_departures_not_departed": "dep_not_departed", "stg_departures_operator": "dep_operator",
+              "stg_departures_unlinkable": "dep_unlinkable", "stg_arrivals_base": "arr_base",
+              "stg_arrivals_operator": "arr_operator", "stg_arrivals_not_arrived": "arr_not_arrived",
+              "stg_arrivals_unlinkable": "arr_unlinkable"}
+    all_ctes = ([AIRPORTS, FLIGHTS] + DEP_BASE_CTES + [DEP_NOT_DEPARTED, DEP_OPERATOR, DEP_UNLINKABLE]
+                + ARR_BASE_CTES + [ARR_OPERATOR, ARR_NOT_ARRIVED, ARR_UNLINKABLE])
+    counts = " UNION ALL ".join(f"SELECT '{m}' AS model, count(*) AS n_rows FROM {c}" for m, c in models.items())
+    legacy_cols = ", ".join(
+        ("CAST(NULL AS VARCHAR) AS \"codeshareStatus\"" if n == "codeshareStatus" else f'"{n}"')
+        for n in [f for f, _, _ in DEPARTURE_FIELDS] + [d for d, _ in LOAD_DEFAULTS])
+    ops = ops_sql()
+    return {
+        "staging_views": with_ctes(["raw_airports", "raw_flights", "raw_departures", "raw_arrivals"], all_ctes, counts),
+        "curated_layer": ops["hourly_efficiency"],
+        "legacy_load": with_ctes(["raw_departures"], [], f"SELECT row_id, {legacy_cols} FROM raw_departures"),
+        "filter_destination": with_ctes(["raw_flights"], [FLIGHTS],
+                                        "SELECT * FROM stg_flights WHERE est_arrival_airport = 'LFPG'"),
+    }

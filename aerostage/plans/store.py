@@ -87,3 +87,42 @@ def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,
         model(raw).write.mode("overwrite").partitionBy(partition_col).parquet(curated_path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+
+
+# ---- model publication (K6, K7, D6) and legacy tables (K8) ---------------------------------------
+# Target schemas of the two deployment targets.
+TARGET_SCHEMAS = {"dev": "staging", "prod": "staging_prod"}
+
+
+def publish_views(spark: SparkSession, models: dict[str, DataFrame]) -> list[str]:
+    """K6: staging models as session views, queryable from SQL by their model names."""
+    for name, df in models.items():
+        df.createOrReplaceTempView(name)
+    return list(models)
+
+
+def write_models(models: dict[str, DataFrame], root: str, target: str = "dev",
+                 partition_col: str | None = "flight_date") -> dict[str, str]:
+    """K7 + D6: materialise models as Parquet tables under the target's schema folder."""
+    out = {}
+    for name, df in models.items():
+        path = f"{root}/{TARGET_SCHEMAS[target]}/{name}"
+        writer = df.write.mode("overwrite")
+        if partition_col and partition_col in df.columns:
+            writer = writer.partitionBy(partition_col)
+        writer.parquet(path)
+        out[name] = path
+    return out
+
+
+# Column names of the legacy schedule tables and their current names.
+LEGACY_RENAMES = {"flight_number": "number", "callsign": "callSign", "iscargo": "isCargo"}
+
+
+def from_legacy(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """K8: a legacy-named raw table in the current layout (the legacy tables have no codeshare column)."""
+    renamed = df
+    for old, new in LEGACY_RENAMES.items():
+        if old in df.columns:
+            renamed = renamed.withColumnRenamed(old, new)
+    return conform(renamed, schema)
