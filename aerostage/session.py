@@ -75,3 +75,30 @@ def materialize(df, label: str):
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings that size shuffles and scans for an input of ``input_bytes`` on ``total_cores`` cores.
+
+    Shuffle partitions are set so one partition holds about ``target_partition_bytes`` of input (the
+    staging plans shuffle roughly their input size once per window), never fewer than twice the cores;
+    AQE then coalesces small partitions and splits skewed ones at run time. For 100 TB on 1,000
+    executors x 8 cores: ~400k partitions of 256 MB, scan splits of 256 MB.
+    """
+    partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
+def apply_settings(spark, settings: dict[str, str]) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)

@@ -111,3 +111,11 @@ def test_day_bounds(spark):
         parse_flight_date("2025-13-01")
     with pytest.raises(ValueError):
         parse_flight_date("")
+
+
+def test_scale_settings_size_partitions_from_input():
+    from aerostage.session import scale_settings
+
+    s = scale_settings(100 * (1 << 40), total_cores=8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert scale_settings(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
