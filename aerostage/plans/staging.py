@@ -7,9 +7,9 @@ through every model, the way ``SELECT *`` carries them, and serve as the tie-bre
 Physical shape, per model (see ``explain``):
 
 * ``departures_base`` (M3): scan -> project/filter (pushed to Parquet) -> partial top-1 -> exchange on
-  the 8 identity keys -> top-1 -> partial top-1 -> exchange on the 5 flight keys -> top-1.
-* ``departures_operator`` (M5): M3 -> filter -> partial top-2 -> exchange on the 4 pair keys -> top-2
-  -> ``lead`` in the same window (no further exchange) -> rank 1.
+  the 8 identity keys -> top-1 -> exchange on the 4 pair keys -> top-1 per flight.
+* ``departures_operator`` (M5): M3 -> filter -> top-2 on the pair keys (already clustered, no exchange)
+  -> ``lead`` in the same window -> rank 1. Two exchanges in all.
 * arrivals (M7, M8): the same shape with one dedup.
 
 Every window key list starts from ``flight_date`` so date filters pass through the windows to the scan.
@@ -109,9 +109,15 @@ def departures_filtered(raw: DataFrame) -> DataFrame:
 
 
 def departures_base(raw: DataFrame, strict_complete: bool = False) -> DataFrame:
-    """M3: newest record of each full identity, then the most complete record of each flight."""
+    """M3: newest record of each full identity, then the most complete record of each flight.
+
+    The newest-record step keeps its own exchange so its partial top-1 collapses groups of repeated
+    copies map-side. Its output is then clustered once on the four pair keys, a subset of both the
+    flight keys (this model's second step) and the pair-merge keys (M5), so neither needs a shuffle.
+    """
     latest = keep_first(departures_filtered(raw), DEPARTURE_IDENTITY, [desc("ingestion_timestamp")])
-    return keep_first(latest, DEPARTURE_FLIGHT, [asc(flags.completeness_flag(strict_complete))])
+    clustered = latest.repartition(*PAIR_KEYS)
+    return keep_first(clustered, DEPARTURE_FLIGHT, [asc(flags.completeness_flag(strict_complete))])
 
 
 def arrivals_filtered(raw: DataFrame) -> DataFrame:

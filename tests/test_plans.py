@@ -26,11 +26,14 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_operator_departures_three_shuffles_and_partial_limits(spark):
+def test_operator_departures_two_shuffles_partial_limit_first(spark):
     with no_aqe(spark):
         p = plan(E.queries()["departures_operator"](spark, SF_SMALL))
-    assert p.count("Exchange hashpartitioning") == 3
-    assert p.count("WindowGroupLimit") == 6  # partial + final for W5, W6, W7
+    assert p.count("Exchange hashpartitioning") == 2
+    lines = p.splitlines()
+    first_exchange = max(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
+    # the newest-record step limits each group map-side, below the first shuffle
+    assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[first_exchange:])
     assert "Join" not in p
 
 
@@ -74,8 +77,8 @@ def test_link_ranking_reuses_the_join_partitioning(spark):
             p = plan(E.queries()["link_schedule_observed"](spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # 3 for the operator departures, 1 for the observed dedup, 2 for the join sides, none for the ranking
-    assert p.count("Exchange hashpartitioning") == 6
+    # 2 for the operator departures, 1 for the observed dedup, 2 for the join sides, none for the ranking
+    assert p.count("Exchange hashpartitioning") == 5
 
 
 def test_refresh_prunes_untouched_days(spark):
