@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from aerostage.functions import casts, flags, predicates as P, text
+from aerostage.operators.dedup import asc, desc, keep_first, rank_within
+from aerostage.operators.surrogate import global_row_number
 from aerostage.plans import checks, staging
 from aerostage.plans.catalog import AIRPORTS_LOADED_AT, arr_base, dep_base, query, raw
 from aerostage.session import materialize
@@ -54,9 +57,6 @@ def q_duplicate_groups(spark, sf_dir):
 
 
 # ---- single operators: filters F1-F8 ---------------------------------------------------------
-from aerostage.functions import casts, flags, predicates as P, text  # noqa: E402
-from aerostage.operators.dedup import asc, desc, keep_first, rank_within  # noqa: E402
-from aerostage.operators.surrogate import global_row_number  # noqa: E402
 
 
 @query("filter_cargo")

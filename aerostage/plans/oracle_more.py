@@ -122,7 +122,6 @@ def more_sql() -> dict[str, str]:
     return out
 
 
-__all__ = ["more_sql", "AIRPORTS", "FLIGHTS", "DEP_NOT_DEPARTED"]
 
 
 # ---- payloads and nesting -----------------------------------------------------------------------

@@ -1,7 +1,5 @@
 """Edge rows for the DataFrame operators."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from aerostage.operators import align, explode_array, flatten, global_row_number, keep_first, pair_merge
@@ -27,7 +25,6 @@ def test_keep_first_without_row_id_uses_all_columns(spark):
 
 
 def test_pair_merge_groups_of_one_two_three_and_null_keys(spark):
-    t = dt.datetime
     rows = [
         (1, "A", "M", 1, None, None),       # group of one
         (2, "B", "M", 1, None, "x2"),       # primary missing x, secondary has it
@@ -41,7 +38,6 @@ def test_pair_merge_groups_of_one_two_three_and_null_keys(spark):
     df = spark.createDataFrame(rows, "row_id long, cs string, ms string, s int, y string, x string")
     out = {r.row_id: (r.y, r.x) for r in pair_merge(df, ["cs", "ms"], [asc("s")], ["x", "y"]).collect()}
     assert out == {1: (None, None), 2: ("y3", "x2"), 4: ("p4", "q4"), 7: (None, None)}
-    _ = t
 
 
 def test_window_pair_merge_equals_self_join_form(spark):
@@ -86,4 +82,4 @@ def test_align_sorted_union_of_keys(spark):
     b = spark.createDataFrame([(2, 3.0)], "b int, c double")
     out = align([a, b])
     assert out.columns == ["a", "b", "c"]
-    assert sorted(out.collect(), key=lambda r: r.b) == [(  "x", 1, None), (None, 2, 3.0)]
+    assert sorted(out.collect(), key=lambda r: r.b) == [("x", 1, None), (None, 2, 3.0)]
