@@ -21,6 +21,11 @@ def build_session(master: str | None = None, app: str = "aerostage", shuffle_par
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Broadcast only from measured sizes: no static estimate-based broadcast; AQE converts a join
+        # once a shuffled side is materialised and known to be small. Explicit broadcast hints are kept
+        # for tables with a proven bound (per-partition counts, touched days).
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 << 20))
     )
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -96,6 +101,8 @@ def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: i
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 << 20),
     }
 
 
