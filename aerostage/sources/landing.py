@@ -1,6 +1,6 @@
 """Land raw tables as the feeds deliver them: nested schedule payloads and flat observed-flight arrays.
 
-The reference pulls these payloads from web APIs; here they are files in a landing folder, written
+The feeds serve these payloads over web APIs; here they are files in a landing folder, written
 from tables Spark derives from the driver's data. Layout:
 
 * schedules: ``<root>/airport_icao=XXXX/flight_date=YYYY-MM-DD/half=first_half|second_half/``, one JSON
