@@ -91,3 +91,16 @@ def test_refresh_prunes_untouched_days(spark):
     p = plan(staging.departures_operator(staging.departures_base(df)))
     scans = [line for line in p.splitlines() if "FileScan parquet" in line and "PartitionFilters: [isnotnull(flight_date" in line]
     assert scans and all("dynamicpruningexpression(flight_date" in s for s in scans)
+
+
+def test_payload_date_filter_prunes_landing_folders(spark):
+    from aerostage.sources import landing, payload
+
+    root = scratch_path(spark, "t_plan_landing")
+    landing.write_schedule_payloads(raw(spark, SF_SMALL, "raw_departures"), raw(spark, SF_SMALL, "raw_arrivals"), root)
+    df = payload.departures_from_payloads(payload.read_schedule_payloads(spark, root)).where(
+        F.col("flight_date") == "2024-01-05")
+    p = plan(df)
+    scan = [line for line in p.splitlines() if "FileScan json" in line][0]
+    assert "PartitionFilters: [isnotnull(flight_date" in scan and "2024-01-05" in scan
+    assert df.count() == raw(spark, SF_SMALL, "raw_departures").where(F.col("flight_date") == "2024-01-05").count()
