@@ -8,9 +8,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "aerostage", shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(master: str | None = None, app: str = "aerostage", shuffle_partitions: int | None = None,
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session for local runs and tests. On a cluster, pass the cluster's own builder instead."""
     builder = SparkSession.builder.appName(app)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = (
