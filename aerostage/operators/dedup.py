@@ -37,10 +37,13 @@ def _sortable(t: T.DataType) -> bool:
 
 
 def default_tiebreak(df: DataFrame, keys) -> list[Column]:
+    """``row_id`` when present; else every other sortable column, in column-name order (so the rule
+    does not depend on how a table's columns happen to be ordered)."""
     if "row_id" in df.columns:
         return [asc("row_id")]
     skip = {k for k in keys if isinstance(k, str)}
-    return [asc(f.name) for f in df.schema.fields if f.name not in skip and _sortable(f.dataType)]
+    fields = sorted((f for f in df.schema.fields if f.name not in skip and _sortable(f.dataType)), key=lambda f: f.name)
+    return [asc(f.name) for f in fields]
 
 
 def _order(order) -> list[Column]:

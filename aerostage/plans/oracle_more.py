@@ -119,6 +119,7 @@ def more_sql() -> dict[str, str]:
     out.update(nested_sql())
     out.update(ops_sql())
     out.update(publication_sql())
+    out.update(daily_sql())
     return out
 
 
@@ -363,3 +364,27 @@ def publication_sql() -> dict[str, str]:
         "filter_destination": with_ctes(["raw_flights"], [FLIGHTS],
                                         "SELECT * FROM stg_flights WHERE est_arrival_airport = 'LFPG'"),
     }
+
+
+def daily_sql() -> dict[str, str]:
+    """The daily run loads schedules without a row id, stamped with one batch time: every ranking's
+    ties fall back to all other columns in name order."""
+    from aerostage.plans.oracle import DEP_BASE, DEP_LATEST
+    from aerostage.plans.staging import DEP_BASE_COLUMNS, DEPARTURE_FLIGHT, DEPARTURE_IDENTITY, PAIR_KEYS
+    from aerostage.schemas import DEPARTURE_FIELDS
+
+    def tiebreak(keys) -> str:
+        return ", ".join(f"{c} ASC NULLS LAST" for c in sorted(c for c in DEP_BASE_COLUMNS if c not in keys))
+
+    cols = ", ".join(f'"{n}"' for n, _, _ in DEPARTURE_FIELDS)
+    loaded = (f"raw_loaded AS (SELECT {cols}, TIMESTAMP '2025-01-02 00:00:00' AS ingestion_timestamp, "
+              "'AeroDataBox' AS data_source FROM raw_departures)")
+    filtered = DEP_FILTERED.replace("SELECT row_id,", "SELECT").replace("FROM raw_departures", "FROM raw_loaded")
+    latest = DEP_LATEST.replace("row_id) = 1", f"{tiebreak(DEPARTURE_IDENTITY)}) = 1")
+    base = DEP_BASE.replace("END, row_id) = 1", f"END, {tiebreak(DEPARTURE_FLIGHT)}) = 1")
+    operator = DEP_OPERATOR.replace("p.row_id, ", "").replace(
+        "ORDER BY departure_scheduled_utc NULLS LAST, row_id", f"ORDER BY departure_scheduled_utc NULLS LAST, "
+                                                               f"{tiebreak(PAIR_KEYS)}")
+    assert "row_id" not in filtered + latest + base + operator
+    return {"daily_run": with_ctes(["raw_departures"], [loaded, filtered, latest, base, operator],
+                                   "SELECT * FROM dep_operator")}

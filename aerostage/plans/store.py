@@ -55,11 +55,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int, batch_ts: dt.datetime,
-                publish: bool = True) -> None:
-    """K5: write every table of one load stamped with ``batch_id``; publish the id last."""
+                publish: bool = True, sources: dict[str, str | None] | None = None,
+                partition_cols: dict[str, str] | None = None) -> None:
+    """K5: write every table of one load stamped with ``batch_id``; publish the id last.
+
+    ``sources`` gives a table's feed name (``None``: the table has no ``data_source`` column);
+    ``partition_cols`` its day column (default ``flight_date``).
+    """
+    sources, partition_cols = sources or {}, partition_cols or {}
     for name, df in tables.items():
-        stamped = with_load_defaults(df, batch_ts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        stamped.write.mode("append").partitionBy("flight_date").parquet(f"{root}/{name}")
+        source = sources.get(name, SCHEDULE_SOURCE_NAME)
+        stamped = with_load_defaults(df, batch_ts, source).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        stamped.write.mode("append").partitionBy(partition_cols.get(name, "flight_date")).parquet(f"{root}/{name}")
     if publish:
         spark = next(iter(tables.values())).sparkSession
         manifest = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
