@@ -27,6 +27,8 @@ def halves(date_col: str = "flight_date"):
 
 def request_plan(airports: DataFrame, start: dt.date, end: dt.date, icao_col: str = "icao") -> DataFrame:
     """One row per (airport, day, half) for the days ``start``..``end``."""
+    if start > end:
+        raise ValueError(f"empty date range: {start} > {end}")
     days = airports.select(F.col(icao_col).alias("airport_icao"),
                            F.explode(F.sequence(F.lit(start), F.lit(end))).alias("flight_date"))
     return days.select("airport_icao", "flight_date", halves("flight_date").alias("w")).select(
