@@ -29,8 +29,10 @@ def try_date(c) -> Column:
 
 
 def epoch_to_timestamp(c) -> Column:
-    """Epoch seconds to a UTC wall-clock ``timestamp_ntz`` (no session zone involved)."""
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=try_long(c).cast("decimal(18,6)"))
+    """Epoch seconds (a number, or text read with ``try_long``) to a UTC wall-clock ``timestamp_ntz``
+    (no session zone involved)."""
+    secs = _c(c) if not isinstance(c, str) else try_long(c)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
 
 
 # Offset-carrying layouts of ``*_utc`` time text, most frequent first.
@@ -59,3 +61,23 @@ def parse_utc_time(c) -> Column:
     instant = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in OFFSET_FORMATS])
     plain = F.length(text).isin(16, 19)
     return F.when(plain, text.try_cast("timestamp_ntz")).otherwise(epoch_to_timestamp(F.unix_seconds(instant)))
+
+
+def safe_cast(df, name: str, target) -> Column:
+    """``try_cast`` of column ``name`` of ``df`` to ``target``, without a per-row text round trip when the
+    column already has a compatible type (a date stays a date, an integer widens, a number becomes a
+    double). Text goes through ``try_cast`` (junk gives null)."""
+    from pyspark.sql import types as T
+
+    if isinstance(target, str):
+        target = {"bigint": T.LongType(), "date": T.DateType(), "double": T.DoubleType()}[target]
+    src = df.schema[name].dataType
+    c = F.col(name)
+    if src == target:
+        return c
+    integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    if isinstance(target, T.LongType) and isinstance(src, integral):
+        return c.cast(target)
+    if isinstance(target, T.DoubleType) and isinstance(src, integral + (T.FloatType, T.DoubleType, T.DecimalType)):
+        return c.cast(target)
+    return c.cast("string").try_cast(target)

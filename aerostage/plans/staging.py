@@ -39,10 +39,10 @@ def _extras(df: DataFrame, known: set[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in low]
 
 
-def _renamed_core() -> list[Column]:
+def _renamed_core(raw: DataFrame) -> list[Column]:
     return [
         F.col("number").alias("flight_number"),
-        casts.try_date("flight_date").alias("flight_date"),
+        casts.safe_cast(raw, "flight_date", "date").alias("flight_date"),
         text.upper("callSign").alias("callsign"),
         text.trim("status").alias("status"),
         text.trim("codeshareStatus").alias("codeshare_status"),
@@ -104,7 +104,7 @@ def departures_filtered(raw: DataFrame) -> DataFrame:
     extras = _extras(raw, _RAW_KNOWN_DEP)
     return raw.where(P.not_cargo("isCargo") & P.same_day("departure_scheduledtime_utc", "flight_date")).select(
         *[F.col(c) for c in extras],
-        *_renamed_core(), *_times("departure"), *_airport("arrival"), *_times("arrival"), *_tail(),
+        *_renamed_core(raw), *_times("departure"), *_airport("arrival"), *_times("arrival"), *_tail(),
     )
 
 
@@ -124,7 +124,7 @@ def arrivals_filtered(raw: DataFrame) -> DataFrame:
     extras = _extras(raw, _RAW_KNOWN_ARR)
     return raw.where(P.not_cargo("isCargo") & P.same_day("arrival_scheduledtime_utc", "flight_date")).select(
         *[F.col(c) for c in extras],
-        *_renamed_core(), *_airport("departure"), *_times("departure"), *_times("arrival"), *_tail(),
+        *_renamed_core(raw), *_airport("departure"), *_times("departure"), *_times("arrival"), *_tail(),
     )
 
 
@@ -222,9 +222,9 @@ def airports(raw: DataFrame, loaded_at: _dt.datetime | None = None) -> DataFrame
         F.col("city"),
         text.upper("icao").alias("airport_icao"),
         text.upper("iata").alias("airport_iata"),
-        casts.try_double_text("elevation_ft").alias("elevation_ft"),
-        casts.try_double_text("latitude").alias("latitude"),
-        casts.try_double_text("longitude").alias("longitude"),
+        casts.safe_cast(keyed, "elevation_ft", "double").alias("elevation_ft"),
+        casts.safe_cast(keyed, "latitude", "double").alias("latitude"),
+        casts.safe_cast(keyed, "longitude", "double").alias("longitude"),
         loaded.alias("record_loaded_at"),
         F.lit(AIRPORTS_SOURCE_TABLE).alias("source_table"),
     )
@@ -234,23 +234,27 @@ def airports(raw: DataFrame, loaded_at: _dt.datetime | None = None) -> DataFrame
 def flights(raw: DataFrame) -> DataFrame:
     """M2: observed flights, newest load of each (icao24, first seen)."""
     extras = [c for c in raw.columns if c == "row_id"]
+
+    def num(name: str) -> Column:
+        return casts.safe_cast(raw, name, "bigint")
+
     renamed = raw.select(
         *extras,
         text.upper("icao24").alias("icao24"),
         text.upper_trim("callsign").alias("callsign"),
         text.upper("estDepartureAirport").alias("est_departure_airport"),
         text.upper("estArrivalAirport").alias("est_arrival_airport"),
-        casts.try_long("firstSeen").alias("first_seen"),
-        casts.try_long("lastSeen").alias("last_seen"),
-        casts.epoch_to_timestamp("firstSeen").alias("first_seen_ts"),
-        casts.epoch_to_timestamp("lastSeen").alias("last_seen_ts"),
-        casts.try_long("estDepartureAirportHorizDistance").alias("dep_airport_horiz_distance"),
-        casts.try_long("estDepartureAirportVertDistance").alias("dep_airport_vert_distance"),
-        casts.try_long("estArrivalAirportHorizDistance").alias("arr_airport_horiz_distance"),
-        casts.try_long("estArrivalAirportVertDistance").alias("arr_airport_vert_distance"),
-        casts.try_long("departureAirportCandidatesCount").alias("departure_airport_candidates_count"),
-        casts.try_long("arrivalAirportCandidatesCount").alias("arrival_airport_candidates_count"),
-        casts.try_date("record_date").alias("flight_date"),
+        num("firstSeen").alias("first_seen"),
+        num("lastSeen").alias("last_seen"),
+        casts.epoch_to_timestamp(num("firstSeen")).alias("first_seen_ts"),
+        casts.epoch_to_timestamp(num("lastSeen")).alias("last_seen_ts"),
+        num("estDepartureAirportHorizDistance").alias("dep_airport_horiz_distance"),
+        num("estDepartureAirportVertDistance").alias("dep_airport_vert_distance"),
+        num("estArrivalAirportHorizDistance").alias("arr_airport_horiz_distance"),
+        num("estArrivalAirportVertDistance").alias("arr_airport_vert_distance"),
+        num("departureAirportCandidatesCount").alias("departure_airport_candidates_count"),
+        num("arrivalAirportCandidatesCount").alias("arrival_airport_candidates_count"),
+        casts.safe_cast(raw, "record_date", "date").alias("flight_date"),
         F.col("ingestion_timestamp"),
     )
     return keep_first(renamed, ["icao24", "first_seen_ts"], [desc("ingestion_timestamp")])

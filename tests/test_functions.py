@@ -119,3 +119,14 @@ def test_scale_settings_size_partitions_from_input():
     s = scale_settings(100 * (1 << 40), total_cores=8000)
     assert int(s["spark.sql.shuffle.partitions"]) == 409600
     assert scale_settings(1 << 20, total_cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_safe_cast_skips_text_round_trip_for_typed_columns(spark):
+    df = spark.createDataFrame([(dt.date(2024, 1, 2), 5, 1.5, "12", "x")],
+                               "d date, i int, f double, s string, junk string")
+    exprs = [casts.safe_cast(df, "d", "date"), casts.safe_cast(df, "i", "bigint"), casts.safe_cast(df, "f", "double"),
+             casts.safe_cast(df, "s", "bigint"), casts.safe_cast(df, "junk", "date")]
+    plan = df.select(*exprs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(d#" not in plan and "cast(f#" not in plan  # typed columns pass through
+    assert tuple(df.select(*[e.alias(f"c{i}") for i, e in enumerate(exprs)]).first()) == (
+        dt.date(2024, 1, 2), 5, 1.5, 12, None)
