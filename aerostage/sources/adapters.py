@@ -1,7 +1,7 @@
 """Raw flight tables derived from the driver's tables.
 
 The test tables carry no flights, so the raw landing tables are derived from ``events`` (one schedule
-record per event) and ``nation`` (two airport rows per nation). Each column is one SQL expression
+record per event) and ``supplier`` (two airport rows per supplier). Each column is one SQL expression
 that Spark and DuckDB evaluate identically, so the same text builds the Spark input and the oracle's
 CTE. The values are invented; they exist to hit every branch of the staging logic: padded and null
 text, cargo, records of the wrong day, missing identifiers, groups of one to four rows, missing times.
@@ -129,29 +129,30 @@ RAW_FLIGHTS: list[tuple[str, str]] = [
     ("ingestion_timestamp", _INGESTED),
 ]
 
-# Built over ``nation`` taken twice (dup = 0, 1): upper-casing folds the two ICAO spellings together.
+# Built over ``supplier`` taken twice (dup = 0, 1), so the airport list grows with the tables;
+# upper-casing folds the two ICAO spellings of one airport together.
 RAW_AIRPORTS: list[tuple[str, str]] = [
-    ("row_id", "n_nationkey * 2 + dup"),
-    ("airport", "n_name"),
-    ("country", "case n_regionkey when 0 then 'DE' when 1 then 'FR' when 2 then 'CH' when 3 then 'AE' else 'US' end"),
-    ("state", "case when n_nationkey%5=0 then null else concat('S', cast(n_regionkey as string)) end"),
-    ("city", "lower(n_name)"),
-    ("icao", "case when dup=0 then concat('N', lpad(cast(n_nationkey as string), 3, '0')) "
-             "else concat('n', lpad(cast(n_nationkey as string), 3, '0')) end"),
-    ("iata", "concat('n', cast(n_nationkey as string))"),
-    ("elevation_ft", "case n_nationkey%3 when 0 then '' when 1 then 'x' else cast(n_nationkey * 100 as string) end"),
-    ("latitude", "concat(cast(n_nationkey as string), '.25')"),
-    ("longitude", "case when n_nationkey%4=0 then null else concat('-', cast(n_regionkey as string), '.5') end"),
+    ("row_id", "s_suppkey * 2 + dup"),
+    ("airport", "s_name"),
+    ("country", "case s_nationkey%5 when 0 then 'DE' when 1 then 'FR' when 2 then 'CH' when 3 then 'AE' else 'US' end"),
+    ("state", "case when s_suppkey%5=0 then null else concat('S', cast(s_nationkey%5 as string)) end"),
+    ("city", "lower(s_name)"),
+    ("icao", "case when dup=0 then concat('N', lpad(cast(s_suppkey as string), 8, '0')) "
+             "else concat('n', lpad(cast(s_suppkey as string), 8, '0')) end"),
+    ("iata", "concat('n', cast(s_suppkey as string))"),
+    ("elevation_ft", "case s_suppkey%3 when 0 then '' when 1 then 'x' else cast(s_suppkey * 100 as string) end"),
+    ("latitude", "concat(cast(s_suppkey%90 as string), '.25')"),
+    ("longitude", "case when s_suppkey%4=0 then null else concat('-', cast(s_nationkey as string), '.5') end"),
 ]
 
 ADAPTERS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "raw_departures": ("events", RAW_DEPARTURES),
     "raw_arrivals": ("events", RAW_ARRIVALS),
     "raw_flights": ("events", RAW_FLIGHTS),
-    "raw_airports": ("nation_twice", RAW_AIRPORTS),
+    "raw_airports": ("supplier_twice", RAW_AIRPORTS),
 }
 
-_NATION_TWICE_SQL = "(select *, 0 as dup from nation union all select *, 1 as dup from nation)"
+_SUPPLIER_TWICE_SQL = "(select *, 0 as dup from supplier union all select *, 1 as dup from supplier)"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,9 +160,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _source(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
-    if source == "nation_twice":
-        nation = table(spark, sf_dir, "nation")
-        return nation.withColumn("dup", F.lit(0)).unionByName(nation.withColumn("dup", F.lit(1)))
+    if source == "supplier_twice":
+        supplier = table(spark, sf_dir, "supplier")
+        return supplier.withColumn("dup", F.lit(0)).unionByName(supplier.withColumn("dup", F.lit(1)))
     return table(spark, sf_dir, source)
 
 
@@ -178,7 +179,7 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def sql_cte(name: str) -> str:
     """The adapter ``name`` as a DuckDB CTE: ``name AS (SELECT ...)``."""
     source, columns = ADAPTERS[name]
-    src = _NATION_TWICE_SQL if source == "nation_twice" else source
+    src = _SUPPLIER_TWICE_SQL if source == "supplier_twice" else source
     cols = ",\n    ".join(f'{expr} AS "{col}"' for col, expr in columns)
     return f"{name} AS (\n  SELECT\n    {cols}\n  FROM {src} AS src\n)"
 
