@@ -18,13 +18,13 @@ from aerostage.operators.nested import explode_array, path
 REQUEST_COLUMNS = [("airport_icao", schemas.S), ("flight_date", schemas.D), ("half", schemas.S)]
 
 
-def _with(schema: T.StructType, extra) -> T.StructType:
+def with_fields(schema: T.StructType, extra) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in extra])
 
 
 def read_schedule_payloads(spark: SparkSession, root: str) -> DataFrame:
     """One row per landed payload object: ``departures``, ``arrivals`` arrays and the request columns."""
-    return spark.read.schema(_with(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS)).json(root)
+    return spark.read.schema(with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS)).json(root)
 
 
 def _field(name: str, p: str | None, t: T.DataType) -> Column:
@@ -55,14 +55,14 @@ def arrivals_from_payloads(payloads: DataFrame, keep_quality: bool = False) -> D
 def read_observed_flights(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """Flat observed-flight arrays; ``record_date`` from the folder. Line mode stays splittable;
     ``multi_line`` reads pretty-printed documents (one per file)."""
-    schema = _with(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("part", schemas.I)])
+    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("part", schemas.I)])
     df = spark.read.schema(schema).option("multiLine", multi_line).json(root)
     return df.drop("part")
 
 
 def read_directional_flights(spark: SparkSession, root: str) -> DataFrame:
     """Per-airport directional flights; airport and direction from the folder names."""
-    schema = _with(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("airport_icao", schemas.S),
+    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("airport_icao", schemas.S),
                                              ("direction", schemas.S), ("part", schemas.I)])
     return spark.read.schema(schema).json(root).drop("part")
 

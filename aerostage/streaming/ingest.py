@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from aerostage import schemas
 from aerostage.plans.store import conform, with_load_defaults
-from aerostage.sources.payload import REQUEST_COLUMNS, _with, arrivals_from_payloads, departures_from_payloads
+from aerostage.sources.payload import REQUEST_COLUMNS, arrivals_from_payloads, departures_from_payloads, with_fields
 
 RAW_TABLES = {"departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS}
 
@@ -33,7 +33,7 @@ def ingest_schedules(spark: SparkSession, landing_root: str, raw_root: str, chec
                      base_time: dt.datetime, available_now: bool = True,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops by itself after the files present at start."""
-    reader = spark.readStream.schema(_with(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS))
+    reader = spark.readStream.schema(with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_root)
