@@ -6,8 +6,9 @@ Failures count what the check's query returns, as in the warehouse's test runner
 * ``accepted_values`` / ``not_accepted_values``: distinct offending values (null is never offending)
 * ``unique`` (non-null values) and ``unique_combination_of_columns`` (nulls group together): duplicated keys
 
-Row-level checks of one model run in a single aggregate pass (``count_if``); each uniqueness check is
-one ``groupBy`` with partial aggregation, so a hot key is counted map-side before any shuffle.
+Row-level checks of one model run in a single aggregate pass (``count_if``); each uniqueness and
+value-set check is one ``groupBy`` with partial aggregation over just its columns, so a hot key or value
+is counted map-side before any shuffle.
 """
 
 from __future__ import annotations
@@ -92,13 +93,21 @@ def _row_level(check: Check):
         return F.count_if(reduce(lambda a, b: a & b, [c.isNull() for c in cols]))
     if check.kind == "only_both_null":
         return F.count_if(reduce(lambda a, b: a | b, [c.isNotNull() for c in cols]))
-    if check.kind == "accepted_values":
-        return F.count_distinct(F.when(~cols[0].isin(list(check.values)), cols[0]))
-    if check.kind == "not_accepted_values":
-        return F.count_distinct(F.when(cols[0].isin(list(check.values)), cols[0]))
     return None
 
 
+def _bad_values(df: DataFrame, check: Check) -> DataFrame:
+    """Distinct offending values of an accepted / not-accepted values check, counted.
+
+    A grouped distinct on the one column (partially aggregated, one column read) rather than a
+    ``count(DISTINCT)`` in the row pass, which Spark would expand into one copy of every row per
+    distinct aggregate.
+    """
+    c = F.col(check.columns[0])
+    bad = ~c.isin(list(check.values)) if check.kind == "accepted_values" else c.isin(list(check.values))
+    return df.select(c).where(bad).distinct().agg(F.count(F.lit(1)).alias("failures"))
+
+
 def _duplicates(df: DataFrame, check: Check) -> DataFrame:
     keyed = df.select(*check.columns)
     if check.kind == "unique":
@@ -118,9 +127,11 @@ def run_checks(df: DataFrame, model: str, checks: list[Check] | None = None) ->
         stack = ", ".join(f"'{c.name}', c{i}" for i, (c, _) in enumerate(row_checks))
         parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (check_name, failures)"))
     for c in checks:
-        if c.kind in ("unique", "unique_combination_of_columns"):
-            parts.append(_duplicates(df, c).select(F.lit(c.name).alias("check_name"),
-                                                   F.col("failures").cast("bigint").alias("failures")))
+        grouped = {"unique": _duplicates, "unique_combination_of_columns": _duplicates,
+                   "accepted_values": _bad_values, "not_accepted_values": _bad_values}.get(c.kind)
+        if grouped is not None:
+            parts.append(grouped(df, c).select(F.lit(c.name).alias("check_name"),
+                                               F.col("failures").cast("bigint").alias("failures")))
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.select(F.lit(model).alias("model"), "check_name", "failures",
                       (F.col("failures") == 0).alias("passed"))
