@@ -2,7 +2,8 @@
 
 Each takes the raw (or upstream staging) DataFrame and returns a new one; nothing is collected.
 Extra input columns that the models do not name (for instance a ``row_id`` lineage column) are carried
-through every model, the way ``SELECT *`` carries them, and serve as the tie-break of every ranking.
+through every model, the way ``SELECT *`` carries them; ``row_id``, when present, is the tie-break of
+every ranking (else all other columns in name order).
 
 Physical shape, per model (see ``explain``):
 
@@ -10,9 +11,11 @@ Physical shape, per model (see ``explain``):
   the 8 identity keys -> top-1 -> exchange on the 4 pair keys -> top-1 per flight.
 * ``departures_operator`` (M5): M3 -> filter -> top-2 on the pair keys (already clustered, no exchange)
   -> ``lead`` in the same window -> rank 1. Two exchanges in all.
-* arrivals (M7, M8): the same shape with one dedup.
+* arrivals (M7, M8): newest-record dedup (partial top-1, exchange on its 6 keys), then the pair merge
+  with its own exchange on the 4 pair keys (partial top-2 before it): the two key lists share only the
+  day and airport, too coarse to cluster on.
 
-Every window key list starts from ``flight_date`` so date filters pass through the windows to the scan.
+Every window key list contains ``flight_date``, so a date filter passes through the windows to the scan.
 """
 
 from __future__ import annotations
