@@ -6,9 +6,10 @@ Failures count what the check's query returns, as in the warehouse's test runner
 * ``accepted_values`` / ``not_accepted_values``: distinct offending values (null is never offending)
 * ``unique`` (non-null values) and ``unique_combination_of_columns`` (nulls group together): duplicated keys
 
-Row-level checks of one model run in a single aggregate pass (``count_if``); each uniqueness and
-value-set check is one ``groupBy`` with partial aggregation over just its columns, so a hot key or value
-is counted map-side before any shuffle.
+All row-level and value-set checks of one model run in one grouped pass (value columns plus one
+failure flag per check, counted; partial aggregation leaves a few combinations per map task), and
+each uniqueness check is one ``groupBy`` over just its key columns. Hot keys and values are counted
+map-side before any shuffle; no check expands or gathers the rows.
 """
 
 from __future__ import annotations
@@ -84,28 +85,47 @@ CHECKS: dict[str, list[Check]] = {
 RESULT_COLUMNS = ["model", "check_name", "failures", "passed"]
 
 
-def _row_level(check: Check):
-    """Aggregate expression counting the check's failures, or None for grouping checks."""
+def _row_flag(check: Check):
+    """Boolean column marking a failing row of a row-level check, or None for other kinds."""
     cols = [F.col(c) for c in check.columns]
     if check.kind == "not_null":
-        return F.count_if(cols[0].isNull())
+        return cols[0].isNull()
     if check.kind == "not_both_null":
-        return F.count_if(reduce(lambda a, b: a & b, [c.isNull() for c in cols]))
+        return reduce(lambda a, b: a & b, [c.isNull() for c in cols])
     if check.kind == "only_both_null":
-        return F.count_if(reduce(lambda a, b: a | b, [c.isNotNull() for c in cols]))
+        return reduce(lambda a, b: a | b, [c.isNotNull() for c in cols])
     return None
 
 
-def _bad_values(df: DataFrame, check: Check) -> DataFrame:
-    """Distinct offending values of an accepted / not-accepted values check, counted.
+def _bad_value(check: Check):
+    c = F.col(check.columns[0])
+    return ~c.isin(list(check.values)) if check.kind == "accepted_values" else c.isin(list(check.values))
+
+
+VALUE_KINDS = ("accepted_values", "not_accepted_values")
+GROUP_KINDS = ("unique", "unique_combination_of_columns")
 
-    A grouped distinct on the one column (partially aggregated, one column read) rather than a
-    ``count(DISTINCT)`` in the row pass, which Spark would expand into one copy of every row per
-    distinct aggregate.
+
+def _profile(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """All row-level and value-set checks of one model in one grouped pass.
+
+    Rows are grouped by the value-set columns and one failure flag per row-level check, with a row
+    count: partial aggregation collapses each map task to a few distinct combinations, so only those
+    cross the shuffle. Row failures are then sums of counts, value failures distinct offending values,
+    both computed on that small table.
     """
-    c = F.col(check.columns[0])
-    bad = ~c.isin(list(check.values)) if check.kind == "accepted_values" else c.isin(list(check.values))
-    return df.select(c).where(bad).distinct().agg(F.count(F.lit(1)).alias("failures"))
+    row = [(c, _row_flag(c)) for c in checks if c.kind not in VALUE_KINDS + GROUP_KINDS]
+    values = [c for c in checks if c.kind in VALUE_KINDS]
+    value_cols = sorted({c.columns[0] for c in values})
+    grouped = df.groupBy(*[F.col(v) for v in value_cols],
+                         *[flag.alias(f"__f{i}") for i, (_, flag) in enumerate(row)]).agg(
+        F.count(F.lit(1)).alias("__n"))
+    aggs = [F.sum(F.when(F.col(f"__f{i}"), F.col("__n")).otherwise(F.lit(0))) for i in range(len(row))]
+    aggs += [F.count_distinct(F.when(_bad_value(c), F.col(c.columns[0]))) for c in values]
+    named = [c for c, _ in row] + values
+    out = grouped.agg(*[F.coalesce(a, F.lit(0)).cast("bigint").alias(f"c{i}") for i, a in enumerate(aggs)])
+    stack = ", ".join(f"'{c.name}', c{i}" for i, c in enumerate(named))
+    return out.selectExpr(f"stack({len(named)}, {stack}) AS (check_name, failures)")
 
 
 def _duplicates(df: DataFrame, check: Check) -> DataFrame:
@@ -120,18 +140,12 @@ def run_checks(df: DataFrame, model: str, checks: list[Check] | None = None) ->
     """One row per check: (model, check_name, failures, passed)."""
     checks = CHECKS[model] if checks is None else checks
     parts = []
-    row_checks = [(c, _row_level(c)) for c in checks]
-    row_checks = [(c, e) for c, e in row_checks if e is not None]
-    if row_checks:
-        agg = df.agg(*[e.cast("bigint").alias(f"c{i}") for i, (_, e) in enumerate(row_checks)])
-        stack = ", ".join(f"'{c.name}', c{i}" for i, (c, _) in enumerate(row_checks))
-        parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) AS (check_name, failures)"))
+    if any(c.kind not in GROUP_KINDS for c in checks):
+        parts.append(_profile(df, checks))
     for c in checks:
-        grouped = {"unique": _duplicates, "unique_combination_of_columns": _duplicates,
-                   "accepted_values": _bad_values, "not_accepted_values": _bad_values}.get(c.kind)
-        if grouped is not None:
-            parts.append(grouped(df, c).select(F.lit(c.name).alias("check_name"),
-                                               F.col("failures").cast("bigint").alias("failures")))
+        if c.kind in GROUP_KINDS:
+            parts.append(_duplicates(df, c).select(F.lit(c.name).alias("check_name"),
+                                                   F.col("failures").cast("bigint").alias("failures")))
     out = reduce(lambda a, b: a.unionByName(b), parts)
     return out.select(F.lit(model).alias("model"), "check_name", "failures",
                       (F.col("failures") == 0).alias("passed"))
