@@ -24,3 +24,17 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.schema == E.entry(spark).schema
+
+
+def test_contract_loads_without_a_spark_context():
+    """The driver may list queries before any session exists: nothing may build a Column at import."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import __spark_entry__ as E; q = E.queries(); s = E.oracle_sql(); "
+            "assert set(q) == set(s); print(len(q))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout.strip()) == len(NAMES)
