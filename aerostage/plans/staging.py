@@ -8,9 +8,9 @@ every ranking (else all other columns in name order).
 Physical shape, per model (see ``explain``):
 
 * ``departures_base`` (M3): scan -> project/filter (pushed to Parquet) -> partial top-1 -> exchange on
-  the 8 identity keys -> top-1 -> exchange on the 4 pair keys -> top-1 per flight.
-* ``departures_operator`` (M5): M3 -> filter -> top-2 on the pair keys (already clustered, no exchange)
-  -> ``lead`` in the same window -> rank 1. Two exchanges in all.
+  the 8 identity keys -> top-1 -> partial top-1 -> exchange on the 5 flight keys -> top-1.
+* ``departures_operator`` (M5): M3 -> filter to operator departures -> partial top-2 -> exchange on the
+  4 pair keys (only the filtered rows) -> top-2 -> ``lead`` in the same window -> rank 1.
 * arrivals (M7, M8): newest-record dedup (partial top-1, exchange on its 6 keys), then the pair merge
   with its own exchange on the 4 pair keys (partial top-2 before it): the two key lists share only the
   day and airport, too coarse to cluster on.
@@ -114,13 +114,12 @@ def departures_filtered(raw: DataFrame) -> DataFrame:
 def departures_base(raw: DataFrame, strict_complete: bool = False) -> DataFrame:
     """M3: newest record of each full identity, then the most complete record of each flight.
 
-    The newest-record step keeps its own exchange so its partial top-1 collapses groups of repeated
-    copies map-side. Its output is then clustered once on the four pair keys, a subset of both the
-    flight keys (this model's second step) and the pair-merge keys (M5), so neither needs a shuffle.
+    Each step shuffles on its own keys with a partial top-1 before the shuffle: copies collapse before
+    the first, and the second spreads a day's unidentified flights of one airport (null callsign and
+    mode-S, one group under coarser keys) over their flight numbers.
     """
     latest = keep_first(departures_filtered(raw), DEPARTURE_IDENTITY, [desc("ingestion_timestamp")])
-    clustered = latest.repartition(*PAIR_KEYS)
-    return keep_first(clustered, DEPARTURE_FLIGHT, [asc(flags.completeness_flag(strict_complete))])
+    return keep_first(latest, DEPARTURE_FLIGHT, [asc(flags.completeness_flag(strict_complete))])
 
 
 def arrivals_filtered(raw: DataFrame) -> DataFrame:

@@ -26,14 +26,15 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_operator_departures_two_shuffles_partial_limit_first(spark):
+def test_operator_departures_partial_limit_below_every_shuffle(spark):
     with no_aqe(spark):
         p = plan(E.queries()["departures_operator"](spark, SF_SMALL))
-    assert p.count("Exchange hashpartitioning") == 2
     lines = p.splitlines()
-    first_exchange = max(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line)
-    # the newest-record step limits each group map-side, below the first shuffle
-    assert any("WindowGroupLimit" in line and "Partial" in line for line in lines[first_exchange:])
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 3
+    # every ranking shuffle is fed by a partial top-k of the same window, right below it
+    for i in exchanges:
+        assert "WindowGroupLimit" in lines[i + 1] and "Partial" in lines[i + 1], lines[i:i + 2]
     assert "Join" not in p
 
 
@@ -77,8 +78,8 @@ def test_link_ranking_reuses_the_join_partitioning(spark):
             p = plan(E.queries()["link_schedule_observed"](spark, SF_SMALL))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # 2 for the operator departures, 1 for the observed dedup, 2 for the join sides, none for the ranking
-    assert p.count("Exchange hashpartitioning") == 5
+    # 3 for the operator departures, 1 for the observed dedup, 2 for the join sides, none for the ranking
+    assert p.count("Exchange hashpartitioning") == 6
 
 
 def test_refresh_prunes_untouched_days(spark):

@@ -48,3 +48,27 @@ def test_hot_copy_group_is_collapsed_map_side(spark):
         print("records written per exchange:", written)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_unidentified_flights_of_one_airport_day_spread_over_tasks(spark):
+    """A day's flights without callsign and mode-S at one airport share every coarse key; the
+    flight-level dedup must still spread them (its shuffle keys include the flight number)."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        r = raw(spark, SF_SMALL, "raw_departures")
+        hot = (spark.range(4000).select(F.col("id").alias("k"))
+               .join(r.where(F.col("row_id") == 2), how="cross")
+               .withColumn("row_id", F.col("k") + 10 ** 6)
+               .withColumn("number", F.concat(F.lit("HX "), F.col("k").cast("string")))
+               .withColumn("callSign", F.lit(None).cast("string"))
+               .withColumn("aircraft_modeS", F.lit(None).cast("string"))
+               .drop("k"))
+        base = staging.departures_base(r.unionByName(hot))
+        hot_rows = base.where(F.col("flight_number").startswith("HX "))
+        spread = hot_rows.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(x["count"] for x in spread) == 4000
+        assert len(spread) == int(spark.conf.get("spark.sql.shuffle.partitions"))  # every task gets a share
+        assert max(x["count"] for x in spread) < 4000 / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
