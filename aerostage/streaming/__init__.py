@@ -1 +1 @@
-"""Structured Streaming ingestion of landed schedule payloads."""
+"""Structured Streaming ingestion of the landed feeds (schedule payloads, observed-flight arrays)."""

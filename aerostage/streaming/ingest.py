@@ -55,3 +55,23 @@ def read_raw(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
     """All loaded batches of one raw table (``batch`` and ``flight_date`` come from the folders)."""
     schema = T.StructType(list(RAW_TABLES[name].fields) + [T.StructField("batch", T.LongType(), True)])
     return spark.read.schema(schema).parquet(f"{raw_root}/{name}")
+
+
+def ingest_flights(spark: SparkSession, landing_root: str, raw_root: str, checkpoint: str,
+                   base_time: dt.datetime, available_now: bool = True) -> StreamingQuery:
+    """The observed-flights feed (JSON arrays, ``record_date=`` folders) into the raw flights table."""
+    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("part", schemas.I)])
+    stream = spark.readStream.schema(schema).json(landing_root).drop("part")
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        rows = with_load_defaults(batch, batch_time(base_time, batch_id), source=None)
+        rows.write.mode("overwrite").partitionBy("record_date").parquet(f"{raw_root}/flights/batch={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def read_raw_flights(spark: SparkSession, raw_root: str) -> DataFrame:
+    schema = T.StructType(list(schemas.RAW_FLIGHTS.fields) + [T.StructField("batch", T.LongType(), True)])
+    return spark.read.schema(schema).parquet(f"{raw_root}/flights")
