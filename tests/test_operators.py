@@ -83,3 +83,17 @@ def test_align_sorted_union_of_keys(spark):
     out = align([a, b])
     assert out.columns == ["a", "b", "c"]
     assert sorted(out.collect(), key=lambda r: r.b) == [("x", 1, None), (None, 2, 3.0)]
+
+
+def test_operators_on_empty_input(spark):
+    from aerostage.plans.checks import CHECKS, run_checks
+
+    empty = spark.createDataFrame([], "row_id long, icao string, k1 string, k2 string, o int, x int")
+    assert global_row_number(empty, [asc("icao"), asc("row_id")], "n").count() == 0
+    assert pair_merge(empty, ["k1", "k2"], [asc("o")], ["x"]).count() == 0
+    assert keep_first(empty, ["k1"], [asc("o")]).count() == 0
+    base = spark.createDataFrame([], "flight_number string, flight_date date, airport_icao string, "
+                                     "departure_scheduled_utc timestamp_ntz, arrival_airport_icao string, "
+                                     "arrival_scheduled_utc timestamp_ntz")
+    out = run_checks(base, "stg_departures_base").collect()
+    assert len(out) == len(CHECKS["stg_departures_base"]) and all(r.failures == 0 and r.passed for r in out)
