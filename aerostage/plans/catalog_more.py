@@ -255,3 +255,23 @@ def q_airport_codes(spark, sf_dir):
 def q_airports_by_country(spark, sf_dir):
     """ICAO codes of the airports in the load countries (no DISTINCT, as the load requests them)."""
     return raw(spark, sf_dir, "raw_airports").where(P.country_in()).select("icao")
+
+
+@query("parse_times")
+def q_parse_times(spark, sf_dir):
+    """Time text in six layouts (``T``/blank, seconds or not, ``Z``/offset/none, junk) parsed back."""
+    r = raw(spark, sf_dir, "raw_departures")
+    utc, local = F.col("departure_revisedtime_utc"), F.col("departure_revisedtime_local")
+    layout = F.pmod(F.col("row_id"), F.lit(6)).cast("int")
+    minus_530 = utc - F.expr("INTERVAL '5:30' HOUR TO MINUTE")
+    utc_text = (F.when(layout == 0, F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm"), F.lit("Z")))
+                .when(layout == 1, F.concat(F.date_format(local, "yyyy-MM-dd HH:mm"), F.lit("+01:00")))
+                .when(layout == 2, F.concat(F.date_format(minus_530, "yyyy-MM-dd HH:mm:ss"), F.lit("-05:30")))
+                .when(layout == 3, F.date_format(utc, "yyyy-MM-dd HH:mm"))
+                .when(layout == 4, F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"))
+                .otherwise(F.concat(F.lit("at "), F.date_format(utc, "yyyy-MM-dd HH:mm"))))
+    local_text = F.when(layout == 5, F.lit("n/a")).otherwise(
+        F.concat(F.date_format(local, "yyyy-MM-dd HH:mm"), F.lit("+01:00")))
+    texts = r.select("row_id", layout.alias("layout"), utc_text.alias("utc_text"), local_text.alias("local_text"))
+    return texts.select("row_id", "layout", casts.parse_utc_time("utc_text").alias("parsed_utc"),
+                        casts.parse_local_time("local_text").alias("parsed_local"))

