@@ -4,6 +4,7 @@ from aerostage.functions.casts import (  # noqa: F401
     epoch_to_timestamp,
     parse_local_time,
     parse_utc_time,
+    safe_cast,
     try_date,
     try_double_text,
     try_long,

@@ -130,3 +130,25 @@ def test_safe_cast_skips_text_round_trip_for_typed_columns(spark):
     assert "cast(d#" not in plan and "cast(f#" not in plan  # typed columns pass through
     assert tuple(df.select(*[e.alias(f"c{i}") for i, e in enumerate(exprs)]).first()) == (
         dt.date(2024, 1, 2), 5, 1.5, 12, None)
+
+
+def test_coverage_statuses(spark):
+    from aerostage.sources.requests import coverage, request_plan
+
+    airports = spark.createDataFrame([("AAAA",), ("BBBB",), ("CCCC",), ("DDDD",)], "icao string")
+    plan = request_plan(airports, dt.date(2025, 1, 2), dt.date(2025, 1, 2))
+    morning = dt.datetime(2025, 1, 2, 8, 0)
+    dep = spark.createDataFrame([("AAAA", dt.date(2025, 1, 2), morning), ("BBBB", dt.date(2025, 1, 2), morning)],
+                                "airport_icao string, flight_date date, departure_scheduledtime_utc timestamp_ntz")
+    arr = spark.createDataFrame([("AAAA", dt.date(2025, 1, 2), morning), ("CCCC", dt.date(2025, 1, 2), morning)],
+                                "airport_icao string, flight_date date, arrival_scheduledtime_utc timestamp_ntz")
+    got = {(r.airport_icao, r.half): (r.departures, r.arrivals, r.status)
+           for r in coverage(plan, dep, arr).collect()}
+    assert got[("AAAA", "first_half")] == (1, 1, "ok")
+    assert got[("BBBB", "first_half")] == (1, 0, "no_arrivals")
+    assert got[("CCCC", "first_half")] == (0, 1, "no_departures")
+    assert got[("DDDD", "first_half")] == (0, 0, "no_content")
+    assert got[("AAAA", "second_half")] == (0, 0, "no_content")
+    assert len(got) == 8
+    with pytest.raises(ValueError):
+        request_plan(airports, dt.date(2025, 1, 3), dt.date(2025, 1, 2))
