@@ -78,17 +78,29 @@ def hourly_efficiency(dep_operator: DataFrame, dep_not_departed: DataFrame,
 def link_observed(dep_operator: DataFrame, observed: DataFrame, id_cols: list[str]) -> DataFrame:
     """Each operated departure with its nearest observed flight of the same aircraft and day.
 
-    Equi-join on (mode-S = icao24, flight date = day first seen): every candidate is considered, none
-    capped. The nearest is a top-1 over the departure's identity; the join output is already
-    partitioned on a subset of those keys, so the ranking adds no exchange.
+    The aircraft is matched on mode-S = icao24, or, for a departure without mode-S, on its callsign.
+    Both ways run as one equi-join on (link kind, key, day): the departure carries the key it links by,
+    each observed flight offers two keys (its icao24 and its callsign). Every candidate is considered,
+    none capped, and the nearest by first-seen time wins. The ranking's partition keys contain the join
+    keys (the link kind and key follow from the departure's identity), so it reuses the join's
+    partitioning and adds no exchange; the departures are computed once.
     """
-    dep = dep_operator.select(*id_cols, actual_time("departure").alias("__dep_time"),
+    kind = F.when(F.col("aircraft_mode_s").isNotNull(), F.lit("mode_s")).otherwise(F.lit("callsign"))
+    dep = dep_operator.select(*id_cols, kind.alias("link_key"),
+                              F.coalesce("aircraft_mode_s", "callsign").alias("__key"),
+                              actual_time("departure").alias("__dep_time"),
                               F.col("departure_scheduled_utc").alias("__dep_sched"))
-    obs = observed.select(F.col("icao24"), F.col("first_seen_ts"),
-                          F.to_date("first_seen_ts").alias("__seen_day"))
-    joined = dep.join(obs, (F.col("aircraft_mode_s") == F.col("icao24")) & (F.col("flight_date") == F.col("__seen_day")),
-                      "left")
+    offers = F.explode(F.array(
+        F.struct(F.lit("mode_s").alias("__kind"), F.col("icao24").alias("__okey")),
+        F.struct(F.lit("callsign").alias("__kind"), F.col("callsign").alias("__okey"))))
+    obs = observed.select("icao24", "first_seen_ts", F.to_date("first_seen_ts").alias("__seen_day"),
+                          offers.alias("__offer")).select(
+        "icao24", "first_seen_ts", "__seen_day", "__offer.__kind", "__offer.__okey")
+    cond = ((F.col("link_key") == F.col("__kind")) & (F.col("__key") == F.col("__okey"))
+            & (F.col("flight_date") == F.col("__seen_day")))
+    joined = dep.join(obs, cond, "left")
     gap = F.abs(F.timestamp_diff("SECOND", F.coalesce("__dep_time", "__dep_sched"), F.col("first_seen_ts")))
     ranked = joined.withColumn("gap_seconds", gap)
-    best = keep_first(ranked, id_cols, [asc("gap_seconds")], tiebreak=[asc("first_seen_ts"), asc("icao24")])
-    return best.select(*id_cols, "icao24", "first_seen_ts", "gap_seconds")
+    best = keep_first(ranked, [*id_cols, "link_key", "__key"], [asc("gap_seconds")],
+                      tiebreak=[asc("first_seen_ts"), asc("icao24")])
+    return best.select(*id_cols, "link_key", "icao24", "first_seen_ts", "gap_seconds")

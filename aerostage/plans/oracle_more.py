@@ -330,16 +330,23 @@ FROM (
 ) t
 GROUP BY airport_icao, flight_date, hour"""),
         "link_schedule_observed": with_ctes(dep + fl, DEP_BASE_CTES + [DEP_OPERATOR, FLIGHTS], """
-SELECT d.row_id, d.flight_number, d.flight_date, d.callsign, d.aircraft_mode_s, d.airport_icao,
-       d.departure_scheduled_utc, o.icao24, o.first_seen_ts,
-       abs(date_diff('second', COALESCE(d.departure_runway_utc, d.departure_revised_utc, d.departure_scheduled_utc),
-                     o.first_seen_ts)) AS gap_seconds
-FROM dep_operator d
-LEFT JOIN stg_flights o ON d.aircraft_mode_s = o.icao24 AND d.flight_date = CAST(o.first_seen_ts AS DATE)
+SELECT row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc,
+       link_key, icao24, first_seen_ts, gap_seconds
+FROM (
+  SELECT d.*, 'mode_s' AS link_key, o.icao24, o.first_seen_ts
+  FROM dep_operator d
+  LEFT JOIN stg_flights o ON d.aircraft_mode_s = o.icao24 AND d.flight_date = CAST(o.first_seen_ts AS DATE)
+  WHERE d.aircraft_mode_s IS NOT NULL
+  UNION ALL
+  SELECT d.*, 'callsign' AS link_key, o.icao24, o.first_seen_ts
+  FROM dep_operator d
+  LEFT JOIN stg_flights o ON d.callsign = o.callsign AND d.flight_date = CAST(o.first_seen_ts AS DATE)
+  WHERE d.aircraft_mode_s IS NULL
+) j, LATERAL (SELECT abs(date_diff('second', COALESCE(j.departure_runway_utc, j.departure_revised_utc,
+                                                      j.departure_scheduled_utc), j.first_seen_ts)) AS gap_seconds) g
 QUALIFY ROW_NUMBER() OVER (
-  PARTITION BY d.row_id, d.flight_number, d.flight_date, d.callsign, d.aircraft_mode_s, d.airport_icao,
-               d.departure_scheduled_utc
-  ORDER BY gap_seconds NULLS LAST, o.first_seen_ts NULLS LAST, o.icao24 NULLS LAST) = 1"""),
+  PARTITION BY row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc
+  ORDER BY gap_seconds NULLS LAST, first_seen_ts NULLS LAST, icao24 NULLS LAST) = 1"""),
         "streaming_landing": with_ctes(dep, [], f"SELECT {dep_cols}, {first} AS ingestion_timestamp, "
                                                 "'AeroDataBox' AS data_source, CAST(0 AS BIGINT) AS batch "
                                                 "FROM raw_departures"),
