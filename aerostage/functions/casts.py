@@ -81,3 +81,17 @@ def safe_cast(df, name: str, target) -> Column:
     if isinstance(target, T.DoubleType) and isinstance(src, integral + (T.FloatType, T.DoubleType, T.DecimalType)):
         return c.cast(target)
     return c.cast("string").try_cast(target)
+
+
+def unparsed_report(df, columns: dict):
+    """Per time column, the non-null texts and how many of them parsed to null, in one aggregate pass.
+
+    ``columns`` maps a report name to ``(text column, parsed column)``. Returns rows
+    ``(column_name, texts, unparsed)``.
+    """
+    aggs = []
+    for i, (text_col, parsed_col) in enumerate(columns.values()):
+        t, p = F.col(text_col), F.col(parsed_col)
+        aggs += [F.count(t).alias(f"t{i}"), F.count_if(t.isNotNull() & p.isNull()).alias(f"u{i}")]
+    stack = ", ".join(f"'{name}', t{i}, u{i}" for i, name in enumerate(columns))
+    return df.agg(*aggs).selectExpr(f"stack({len(columns)}, {stack}) AS (column_name, texts, unparsed)")

@@ -257,9 +257,9 @@ def q_airports_by_country(spark, sf_dir):
     return raw(spark, sf_dir, "raw_airports").where(P.country_in()).select("icao")
 
 
-@query("parse_times")
-def q_parse_times(spark, sf_dir):
-    """Time text in six layouts (``T``/blank, seconds or not, ``Z``/offset/none, junk) parsed back."""
+def _time_texts(spark, sf_dir):
+    """Departure revised times written as text in six layouts (``T``/blank, seconds or not,
+    ``Z``/offset/none, junk), chosen by the row id."""
     r = raw(spark, sf_dir, "raw_departures")
     utc, local = F.col("departure_revisedtime_utc"), F.col("departure_revisedtime_local")
     layout = F.pmod(F.col("row_id"), F.lit(6)).cast("int")
@@ -272,6 +272,22 @@ def q_parse_times(spark, sf_dir):
                 .otherwise(F.concat(F.lit("at "), F.date_format(utc, "yyyy-MM-dd HH:mm"))))
     local_text = F.when(layout == 5, F.lit("n/a")).otherwise(
         F.concat(F.date_format(local, "yyyy-MM-dd HH:mm"), F.lit("+01:00")))
-    texts = r.select("row_id", layout.alias("layout"), utc_text.alias("utc_text"), local_text.alias("local_text"))
-    return texts.select("row_id", "layout", casts.parse_utc_time("utc_text").alias("parsed_utc"),
-                        casts.parse_local_time("local_text").alias("parsed_local"))
+    return r.select("row_id", layout.alias("layout"), utc_text.alias("utc_text"), local_text.alias("local_text"))
+
+
+@query("parse_times")
+def q_parse_times(spark, sf_dir):
+    """The six layouts parsed back to UTC and local wall-clock times."""
+    return _time_texts(spark, sf_dir).select("row_id", "layout",
+                                             casts.parse_utc_time("utc_text").alias("parsed_utc"),
+                                             casts.parse_local_time("local_text").alias("parsed_local"))
+
+
+@query("time_parse_report")
+def q_time_parse_report(spark, sf_dir):
+    """P16 report: per time column, the texts seen and how many parsed to null."""
+    parsed = _time_texts(spark, sf_dir).select(
+        "utc_text", "local_text", casts.parse_utc_time("utc_text").alias("u"),
+        casts.parse_local_time("local_text").alias("l"))
+    return casts.unparsed_report(parsed, {"departure_revisedtime_utc": ("utc_text", "u"),
+                                          "departure_revisedtime_local": ("local_text", "l")})

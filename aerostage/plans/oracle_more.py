@@ -82,6 +82,16 @@ SELECT row_id, {_COMPLETENESS} AS completeness_flag, {_STRICT} AS strict_flag FR
 SELECT row_id, CAST(row_id % 6 AS INTEGER) AS layout,
        CASE WHEN row_id % 6 = 5 THEN NULL ELSE departure_revisedtime_utc END AS parsed_utc,
        CASE WHEN row_id % 6 = 5 THEN NULL ELSE departure_revisedtime_local END AS parsed_local
+FROM raw_departures"""),
+        "time_parse_report": with_ctes(dep, [], """
+SELECT 'departure_revisedtime_utc' AS column_name,
+       count(departure_revisedtime_utc) AS texts,
+       count(*) FILTER (WHERE departure_revisedtime_utc IS NOT NULL AND row_id % 6 = 5) AS unparsed
+FROM raw_departures
+UNION ALL
+SELECT 'departure_revisedtime_local',
+       count(*) FILTER (WHERE departure_revisedtime_local IS NOT NULL OR row_id % 6 = 5),
+       count(*) FILTER (WHERE row_id % 6 = 5)
 FROM raw_departures"""),
         "latest_flight": with_ctes(fl, [], f"""
 SELECT row_id, icao24, {_EPOCH.format(c='firstSeen')} AS first_seen_ts, ingestion_timestamp
