@@ -62,41 +62,49 @@ def q_departures_operator(spark, sf_dir):
 
 @query("departures_not_departed")
 def q_departures_not_departed(spark, sf_dir):
+    """M4: operator departures whose status is not departed."""
     return staging.departures_not_departed(dep_base(spark, sf_dir))
 
 
 @query("departures_unlinkable")
 def q_departures_unlinkable(spark, sf_dir):
+    """M6: departed operator rows with neither callsign nor mode-S."""
     return staging.departures_unlinkable(dep_base(spark, sf_dir))
 
 
 @query("arrivals_base")
 def q_arrivals_base(spark, sf_dir):
+    """M7: newest record of each arrival identity."""
     return arr_base(spark, sf_dir)
 
 
 @query("arrivals_operator")
 def q_arrivals_operator(spark, sf_dir):
+    """M8 (J2): pair-merged operator arrivals, ranked by reliability."""
     return staging.arrivals_operator(arr_base(spark, sf_dir))
 
 
 @query("arrivals_not_arrived")
 def q_arrivals_not_arrived(spark, sf_dir):
+    """Operator arrivals whose status is not an arrived class."""
     return staging.arrivals_not_arrived(arr_base(spark, sf_dir))
 
 
 @query("arrivals_unlinkable")
 def q_arrivals_unlinkable(spark, sf_dir):
+    """M9: arrived operator rows with neither callsign nor mode-S."""
     return staging.arrivals_unlinkable(arr_base(spark, sf_dir))
 
 
 @query("airports")
 def q_airports(spark, sf_dir):
+    """M1: airport dimension, one row per upper-cased ICAO code, with its surrogate key."""
     return staging.airports(raw(spark, sf_dir, "raw_airports"), loaded_at=AIRPORTS_LOADED_AT)
 
 
 @query("flights")
 def q_flights(spark, sf_dir):
+    """M2: observed flights, newest load of each (icao24, first seen)."""
     return staging.flights(raw(spark, sf_dir, "raw_flights"))
 
 

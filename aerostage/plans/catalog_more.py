@@ -39,11 +39,13 @@ def q_checks_arrivals(spark, sf_dir):
 
 @query("checks_airports")
 def q_checks_airports(spark, sf_dir):
+    """Declared checks of the airport dimension (key and code not null and unique)."""
     return checks.run_checks(staging.airports(raw(spark, sf_dir, "raw_airports"), AIRPORTS_LOADED_AT), "stg_airports")
 
 
 @query("checks_flights")
 def q_checks_flights(spark, sf_dir):
+    """Declared checks of the observed flights (identity not null and unique)."""
     return checks.run_checks(staging.flights(raw(spark, sf_dir, "raw_flights")), "stg_flights")
 
 
