@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aerostage.plans import checks, staging, store
 from aerostage.sources import payload
@@ -110,38 +111,47 @@ def _overwrite_days(df: DataFrame, path: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
 
 
-def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None) -> DataFrame:
-    df = spark.read.parquet(layout.staging(model))
-    return _on_days(df, "flight_date", days)
+def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None,
+                schema: T.StructType | None = None) -> DataFrame:
+    """A staging table (its days). Pass the model's schema when the table may hold no file yet."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return _on_days(reader.parquet(layout.staging(model)), "flight_date", days)
 
 
 def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv: str | None = None,
-          loaded_at: dt.datetime | None = None) -> list[str]:
-    """Step 2. Rebuild the staging tables of ``days``; returns the models written."""
-    written = []
+          loaded_at: dt.datetime | None = None) -> dict[str, T.StructType]:
+    """Step 2. Rebuild the staging tables of ``days``; returns each written model's schema.
+
+    A model can have no row on the touched days; its folder then holds no data file, so staged tables
+    are read back with the schema of the plan that wrote them, never by inference.
+    """
+    written: dict[str, T.StructType] = {}
+
+    def put(name: str, df: DataFrame) -> None:
+        _overwrite_days(df, layout.staging(name))
+        written[name] = df.schema
+
     for base_name, base_fn, raw_name, derived in (
             ("stg_departures_base", staging.departures_base, "departures", DEPARTURE_MODELS),
             ("stg_arrivals_base", staging.arrivals_base, "arrivals", ARRIVAL_MODELS)):
-        _overwrite_days(base_fn(_committed(spark, layout, raw_name, "flight_date", days)), layout.staging(base_name))
-        base = read_staged(spark, layout, base_name, days)
+        put(base_name, base_fn(_committed(spark, layout, raw_name, "flight_date", days)))
+        base = read_staged(spark, layout, base_name, days, written[base_name])
         for name, fn in derived.items():
-            _overwrite_days(fn(base), layout.staging(name))
-        written += [base_name, *derived]
-    _overwrite_days(staging.flights(_committed(spark, layout, "flights", "record_date", days)),
-                    layout.staging("stg_flights"))
-    written.append("stg_flights")
+            put(name, fn(base))
+    put("stg_flights", staging.flights(_committed(spark, layout, "flights", "record_date", days)))
     if airports_csv:
         stg = staging.airports(payload.read_airports_csv(spark, airports_csv), loaded_at=loaded_at)
         stg.write.mode("overwrite").parquet(layout.staging("stg_airports"))
-        written.append("stg_airports")
+        written["stg_airports"] = stg.schema
     return written
 
 
-def check(spark: SparkSession, layout: Layout, models: list[str], days: list[dt.date], batch_id: int) -> DataFrame:
+def check(spark: SparkSession, layout: Layout, models: dict[str, T.StructType], days: list[dt.date],
+          batch_id: int) -> DataFrame:
     """Step 3. Checks of the touched days, appended to the results table; returns the results."""
     parts = {}
-    for m in models:
-        df = spark.read.parquet(layout.staging(m))
+    for m, schema in models.items():
+        df = spark.read.schema(schema).parquet(layout.staging(m))
         parts[m] = df if m == "stg_airports" else _on_days(df, "flight_date", days)
     results = checks.run_all(parts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     results.write.mode("append").parquet(layout.checks)
