@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aerostage import schemas
 from aerostage.plans import checks, staging, store
 from aerostage.sources import payload
 
@@ -83,11 +84,18 @@ def _on_days(df: DataFrame, col: str, days: list[dt.date] | None) -> DataFrame:
 
 def load(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
          days: list[dt.date] | None = None) -> list[dt.date]:
-    """Step 1. Returns the touched days (bounded by the calendar)."""
-    payloads = _on_days(payload.read_schedule_payloads(spark, layout.schedules), "flight_date", days)
+    """Step 1. Returns the touched days (bounded by the calendar). A feed with nothing landed (no
+    folder) loads as empty; the other feed still loads."""
+    payload_schema = payload.with_fields(schemas.SCHEDULE_PAYLOAD, payload.REQUEST_COLUMNS)
+    flights_schema = payload.with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)])
+    payloads = (payload.read_schedule_payloads(spark, layout.schedules) if store.path_exists(spark, layout.schedules)
+                else spark.createDataFrame([], payload_schema))
+    payloads = _on_days(payloads, "flight_date", days)
     dep = payload.departures_from_payloads(payloads).drop("half")
     arr = payload.arrivals_from_payloads(payloads).drop("half")
-    fl = _on_days(payload.read_observed_flights(spark, layout.flights), "record_date", days)
+    fl = (payload.read_observed_flights(spark, layout.flights) if store.path_exists(spark, layout.flights)
+          else spark.createDataFrame([], flights_schema))
+    fl = _on_days(fl, "record_date", days)
     landed = set(landed_days(payloads, "flight_date")) | set(landed_days(fl, "record_date"))
     touched = sorted(landed if days is None else landed & set(days))
     if not touched:
@@ -97,8 +105,12 @@ def load(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.dateti
     return touched
 
 
+RAW_SCHEMAS = {"departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS, "flights": schemas.RAW_FLIGHTS}
+
+
 def _committed(spark: SparkSession, layout: Layout, name: str, day_col: str, days: list[dt.date]) -> DataFrame:
-    return store.read_committed(spark, layout.raw, name).where(F.col(day_col).isin(days)).drop("batch_id")
+    raw = store.read_committed(spark, layout.raw, name, RAW_SCHEMAS[name])
+    return raw.where(F.col(day_col).isin(days)).drop("batch_id")
 
 
 def _overwrite_days(df: DataFrame, path: str) -> None:

@@ -74,10 +74,21 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int, batch_ts
         manifest.write.mode("append").parquet(f"{root}/{MANIFEST}")
 
 
-def read_committed(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Rows of published batches only."""
+def read_committed(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of published batches only. Pass the table's schema (without ``batch_id``) when a load may
+    have written no row, so nothing has to be inferred from files."""
     manifest = spark.read.parquet(f"{root}/{MANIFEST}").select("batch_id")
-    return spark.read.parquet(f"{root}/{name}").join(manifest, "batch_id", "left_semi")
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType(), True)]))
+    return reader.parquet(f"{root}/{name}").join(manifest, "batch_id", "left_semi")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (Hadoop FileSystem API)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,

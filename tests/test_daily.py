@@ -82,3 +82,16 @@ def test_days_where_some_models_are_empty(spark):
     assert results.count() == sum(len(v) for k, v in CHECKS.items() if k != "stg_airports")
     staged = daily.read_staged(spark, layout, "stg_departures_base")
     assert sorted(r[0] for r in staged.select("flight_date").distinct().collect()) == days
+
+
+def test_a_feed_with_nothing_landed_loads_as_empty(spark):
+    """Schedules landed, observed flights not (their folder is missing): the run still loads and
+    stages the schedules, and the flights checks report on an empty table."""
+    root = scratch_path(spark, "t_one_feed")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    dep, arr = raw(spark, SF_SMALL, "raw_departures"), raw(spark, SF_SMALL, "raw_arrivals")
+    landing.write_schedule_payloads(dep, arr, layout.schedules)
+    results = daily.run_days(spark, layout, 1, dt.datetime(2025, 1, 2))
+    flights_checks = results.where(F.col("model") == "stg_flights").collect()
+    assert flights_checks and all(r.failures == 0 for r in flights_checks)
+    assert daily.read_staged(spark, layout, "stg_departures_base").count() > 0
