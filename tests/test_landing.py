@@ -20,3 +20,29 @@ def test_hot_airport_day_is_cut_into_bounded_objects(spark):
     assert sum(sizes) == r.count()
     assert len(sizes) >= r.count() // 100          # many objects, not one
     assert max(sizes) <= 3 * 100                    # each about chunk_rows legs
+
+
+def test_pretty_printed_flight_documents_read_with_multi_line(spark, tmp_path):
+    import json
+
+    folder = tmp_path / "flights" / "record_date=2024-01-05"
+    folder.mkdir(parents=True)
+    docs = [[{"icao24": "3c1", "firstSeen": 1704441600, "callsign": "DLH1 ", "estDepartureAirportHorizDistance": 5}],
+            [{"icao24": "3c2", "firstSeen": 1704445200}, {"icao24": "3c3", "firstSeen": 1704448800}]]
+    for i, doc in enumerate(docs):
+        (folder / f"response-{i}.json").write_text(json.dumps(doc, indent=2))
+    got = payload.read_observed_flights(spark, str(tmp_path / "flights"), multi_line=True)
+    rows = sorted((r.icao24, r.firstSeen, str(r.record_date)) for r in got.collect())
+    assert rows == [("3c1", 1704441600, "2024-01-05"), ("3c2", 1704445200, "2024-01-05"),
+                    ("3c3", 1704448800, "2024-01-05")]
+
+
+def test_strict_completeness_variant_runs_and_keeps_one_row_per_flight(spark):
+    from aerostage.plans import staging
+
+    r = raw(spark, SF_CHECK, "raw_departures")
+    default = staging.departures_base(r)
+    strict = staging.departures_base(r, strict_complete=True)
+    assert strict.count() == default.count()  # same groups, possibly other winners
+    keys = staging.DEPARTURE_FLIGHT
+    assert strict.groupBy(*keys).count().where("count > 1").count() == 0
