@@ -73,7 +73,7 @@ def q_align_keys(spark, sf_dir):
     return align([dep, arr])
 
 
-def _flights_for_landing(spark, sf_dir):
+def flights_for_landing(spark, sf_dir):
     r = raw(spark, sf_dir, "raw_flights")
     return r.withColumn("record_date", F.to_date(casts.epoch_to_timestamp("firstSeen")))
 
@@ -82,7 +82,7 @@ def _flights_for_landing(spark, sf_dir):
 def q_read_flights_json(spark, sf_dir):
     """Observed flights landed as JSON arrays per day, read back with the request date appended."""
     root = scratch_path(spark, "flights")
-    landing.write_flight_arrays(_flights_for_landing(spark, sf_dir), root)
+    landing.write_flight_arrays(flights_for_landing(spark, sf_dir), root)
     return payload.read_observed_flights(spark, root)
 
 
@@ -97,7 +97,7 @@ def q_read_airports_csv(spark, sf_dir):
 @query("directional_flights")
 def q_directional_flights(spark, sf_dir):
     """Per-airport departure and arrival flight lists; airport and direction from the folders."""
-    fl = _flights_for_landing(spark, sf_dir)
+    fl = flights_for_landing(spark, sf_dir)
     dep = fl.where(F.col("estDepartureAirport").isNotNull()).withColumn(
         "airport_icao", F.upper("estDepartureAirport")).withColumn("direction", F.lit("departure"))
     arr = fl.where(F.col("estArrivalAirport").isNotNull()).withColumn(

@@ -225,14 +225,14 @@ def q_filter_destination(spark, sf_dir):
 def q_daily_run(spark, sf_dir):
     """Land every feed, run the daily job over all landed days, read the staged operator departures."""
     from aerostage.plans import daily
-    from aerostage.plans.catalog_nested import _flights_for_landing
+    from aerostage.plans.catalog_nested import flights_for_landing
     from aerostage.sources import landing
 
     root = scratch_path(spark, "daily")
     layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
     landing.write_schedule_payloads(raw(spark, sf_dir, "raw_departures"), raw(spark, sf_dir, "raw_arrivals"),
                                     layout.schedules)
-    landing.write_flight_arrays(_flights_for_landing(spark, sf_dir), layout.flights)
+    landing.write_flight_arrays(flights_for_landing(spark, sf_dir), layout.flights)
     airports_csv = f"{root}/landing/airports"
     landing.write_airports_csv(raw(spark, sf_dir, "raw_airports"), airports_csv)
     daily.run_days(spark, layout, batch_id=1, batch_ts=FIRST_LOAD, airports_csv=airports_csv)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aerostage.plans import daily
 from aerostage.plans.catalog import raw
-from aerostage.plans.catalog_nested import _flights_for_landing
+from aerostage.plans.catalog_nested import flights_for_landing
 from aerostage.session import local_path, scratch_path
 from aerostage.sources import landing
 
@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 
 def _land(spark, root, where=None, mode="overwrite"):
     dep, arr = raw(spark, SF_SMALL, "raw_departures"), raw(spark, SF_SMALL, "raw_arrivals")
-    fl = _flights_for_landing(spark, SF_SMALL)
+    fl = flights_for_landing(spark, SF_SMALL)
     if where is not None:
         dep, arr, fl = dep.where(where), arr.where(where), fl.where(where.replace("flight_date", "record_date"))
     layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")

@@ -31,12 +31,12 @@ def test_restart_loads_only_new_files(spark):
 
 
 def test_flights_stream_loads_arrays_once(spark):
-    from aerostage.plans.catalog_nested import _flights_for_landing
+    from aerostage.plans.catalog_nested import flights_for_landing
     from aerostage.streaming.ingest import ingest_flights, read_raw_flights
 
     landing_root = scratch_path(spark, "t_fl_landing")
     raw_root, ckpt = scratch_path(spark, "t_fl_raw"), scratch_path(spark, "t_fl_ckpt")
-    fl = _flights_for_landing(spark, SF_SMALL)
+    fl = flights_for_landing(spark, SF_SMALL)
     landing.write_flight_arrays(fl, landing_root)
     for _ in range(2):  # the second run finds nothing new
         ingest_flights(spark, landing_root, raw_root, ckpt, dt.datetime(2025, 1, 2)).awaitTermination()
