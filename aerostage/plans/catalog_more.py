@@ -49,6 +49,12 @@ def q_checks_flights(spark, sf_dir):
     return checks.run_checks(staging.flights(raw(spark, sf_dir, "raw_flights")), "stg_flights")
 
 
+@query("checks_raw_constraints")
+def q_checks_raw_constraints(spark, sf_dir):
+    """Declared raw-table constraints (NOT NULL day and airport, the two primary keys) as checks."""
+    return checks.run_all({name: raw(spark, sf_dir, name) for name in checks.RAW_CHECKS})
+
+
 @query("duplicate_groups")
 def q_duplicate_groups(spark, sf_dir):
     """A2: keys of the base departures that appear more than once under the declared unique key."""

@@ -82,6 +82,15 @@ CHECKS: dict[str, list[Check]] = {
         _accepted("status", _ARRIVED), _OP, Check("only_both_null", ("callsign", "aircraft_mode_s"))],
 }
 
+# Declared constraints of the raw tables (NOT NULL columns, primary keys), run as checks: the loads
+# do not enforce them, which is why staging de-duplicates.
+RAW_CHECKS: dict[str, list[Check]] = {
+    "raw_departures": _nn("flight_date", "airport_icao"),
+    "raw_arrivals": _nn("flight_date", "airport_icao"),
+    "raw_flights": _nn("icao24", "firstSeen") + [Check("unique_combination_of_columns", ("icao24", "firstSeen"))],
+    "raw_airports": _nn("airport") + [Check("unique", ("airport",))],
+}
+
 RESULT_COLUMNS = ["model", "check_name", "failures", "passed"]
 
 
@@ -138,7 +147,7 @@ def _duplicates(df: DataFrame, check: Check) -> DataFrame:
 
 def run_checks(df: DataFrame, model: str, checks: list[Check] | None = None) -> DataFrame:
     """One row per check: (model, check_name, failures, passed)."""
-    checks = CHECKS[model] if checks is None else checks
+    checks = {**CHECKS, **RAW_CHECKS}[model] if checks is None else checks
     parts = []
     if any(c.kind not in GROUP_KINDS for c in checks):
         parts.append(_profile(df, checks))
