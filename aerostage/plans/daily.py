@@ -22,6 +22,7 @@ import datetime as dt
 import re
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,17 +92,25 @@ def load(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.dateti
     payloads = (payload.read_schedule_payloads(spark, layout.schedules) if store.path_exists(spark, layout.schedules)
                 else spark.createDataFrame([], payload_schema))
     payloads = _on_days(payloads, "flight_date", days)
+    schedule_days = landed_days(payloads, "flight_date")  # from the file listing, before caching
+    # Departures and arrivals are written by two jobs from the same files: parse the day's JSON once.
+    # Disk-backed, so it is not bounded by executor memory; a lost block is re-parsed from its files.
+    payloads = payloads.persist(StorageLevel.DISK_ONLY)
     dep = payload.departures_from_payloads(payloads).drop("half")
     arr = payload.arrivals_from_payloads(payloads).drop("half")
     fl = (payload.read_observed_flights(spark, layout.flights) if store.path_exists(spark, layout.flights)
           else spark.createDataFrame([], flights_schema))
     fl = _on_days(fl, "record_date", days)
-    landed = set(landed_days(payloads, "flight_date")) | set(landed_days(fl, "record_date"))
+    landed = set(schedule_days) | set(landed_days(fl, "record_date"))
     touched = sorted(landed if days is None else landed & set(days))
     if not touched:
+        payloads.unpersist()
         return []
-    store.write_batch({"departures": dep, "arrivals": arr, "flights": fl}, layout.raw, batch_id, batch_ts,
-                      sources={"flights": None}, partition_cols={"flights": "record_date"})
+    try:
+        store.write_batch({"departures": dep, "arrivals": arr, "flights": fl}, layout.raw, batch_id, batch_ts,
+                          sources={"flights": None}, partition_cols={"flights": "record_date"})
+    finally:
+        payloads.unpersist()
     return touched
 
 
