@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -40,11 +41,16 @@ def ingest_schedules(spark: SparkSession, landing_root: str, raw_root: str, chec
 
     def load(batch: DataFrame, batch_id: int) -> None:
         ts = batch_time(base_time, batch_id)
-        for name, flat in (("departures", departures_from_payloads(batch)),
-                           ("arrivals", arrivals_from_payloads(batch))):
-            rows = conform(with_load_defaults(flat.drop("half"), ts), RAW_TABLES[name])
-            # Overwrite this batch's own folder: a replayed batch replaces, never repeats, its rows.
-            rows.write.mode("overwrite").partitionBy("flight_date").parquet(f"{raw_root}/{name}/batch={batch_id}")
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # two writes below, one parse of the batch's files
+        try:
+            for name, flat in (("departures", departures_from_payloads(batch)),
+                               ("arrivals", arrivals_from_payloads(batch))):
+                rows = conform(with_load_defaults(flat.drop("half"), ts), RAW_TABLES[name])
+                # Overwrite this batch's own folder: a replayed batch replaces, never repeats, its rows.
+                rows.write.mode("overwrite").partitionBy("flight_date").parquet(
+                    f"{raw_root}/{name}/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
