@@ -1,4 +1,4 @@
-"""Raw-table loads and curated refreshes.
+"""Raw-table loads, curated refreshes and model publication.
 
 * ``append_raw``: typed append with one batch timestamp and the feed name (K1-K4). The first append
   creates the table; an empty batch writes nothing.
@@ -7,8 +7,10 @@
   becomes visible only when its id is appended to a manifest, after both writes succeeded. Readers
   semi-join on the manifest; rows of a batch that crashed half-way are never read.
 * ``refresh_partitions``: recompute only the ``flight_date`` partitions a new load touched, with
-  dynamic partition overwrite (D5). Every staging window is partitioned by ``flight_date`` first, so a
-  per-day recompute is exact; the touched-day semi-join lets dynamic partition pruning skip the rest.
+  dynamic partition overwrite (D5). Every staging window's keys contain ``flight_date``, so a per-day
+  recompute is exact; the touched-day semi-join lets dynamic partition pruning skip the rest.
+* ``publish_views`` / ``write_models`` / ``from_legacy``: models as session views or target tables, and
+  legacy-named raw tables in the current layout (K6-K8, D6).
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ MANIFEST = "_batches"
 
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
-    """Columns of ``schema`` in order and type (missing ones null), then any extra columns."""
+    """Extra (lineage) columns first, then the columns of ``schema`` in order and type (missing ones null)."""
     have = set(df.columns)
     cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}] if keep_extra else []
