@@ -4,7 +4,7 @@ A document's set holds its distinct 5-word shingles (ASCII lower case; a shorter
 sets form a class. Shingles are ordered rare first: a count-min row of 2**BUCKET_BITS counters, summed over
 all documents, gives each shingle a frequency level (powers of two over the mean), and the order is
 (level, hash). Two sets that reach the threshold share a shingle in their prefixes of that order, so only
-prefixes are shuffled, each entry with the set's size, its position there and four part sizes.
+prefixes are shuffled, each entry with the set's size and its position there.
 
 Links are needed up to components, so pairs are tried in two rounds. First every member of a prefix group is
 paired with the group's two heaviest members (see ``_weighted``) and its predecessor. Components of the verified links follow. Second,
@@ -13,8 +13,8 @@ in blocks. A pair is verified once, by intersecting whole sets. A pair inside on
 test: its class is known already. So no group's pairs are expanded as a whole and none that matters is lost.
 
 Filters for sizes a, b and the least shared number s = ceil(3 (a + b) / 7): length (the smaller reaches 75 %
-of the larger), positional (shingles left after this one suffice for s) and suffix (sets are split by hash
-into four parts; the sizes' differences may not exceed a + b - 2 s).
+of the larger), positional (shingles left after this one suffice for s) and suffix (differing bits of the
+sets' parity bitmaps may not exceed a + b - 2 s); what is left is verified on whole sets.
 
 Defined cases: null, empty or blank texts have an empty set, link with nothing and are their own component.
 Rows with a null id join through their text; a component of null ids has a null id. Repeated rows are
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerostage.llm.bytetext import U64, Texts, mix, text_slices
-from aerostage.llm.common import read, saved, semi_join
+from aerostage.llm.common import BROADCAST_ROWS, read, saved, semi_join
 from aerostage.llm.components import components
 
 WORDS = 5
@@ -87,8 +87,21 @@ def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
 
 
+def _bits(h: np.ndarray) -> np.ndarray:
+    """Parity bitmap of a set over about two bits for each member, as 64-bit words: an element in only one of
+    two sets flips one bit, so differing bits never outnumber differing elements."""
+    size = max(64, 1 << max(0, 2 * len(h) - 1).bit_length())
+    odd = np.bincount(((h >> U64(8)) & U64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _bitmaps(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    bits = [_bits(h[lo:hi]) for lo, hi in zip(bounds[:-1], bounds[1:])]
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in bits])], pa.int32()), pa.array(np.concatenate(bits)))
+
+
 def _profile(rows: DataFrame) -> DataFrame:
-    """Every document's (doc_id, n, cls, check) and, in rows with a part, each task's shingle counters."""
+    """Every document's (doc_id, n, cls, check, bits) and, in rows with a part, each task's shingle counters."""
     def run(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.int32)
         for batch, t in text_slices(batches, table=_LOWER):
@@ -96,19 +109,19 @@ def _profile(rows: DataFrame) -> DataFrame:
             np.add.at(counts, (h >> U64(64 - BUCKET_BITS)).astype(np.int64), 1)
             cls, check = _signatures(h, bounds)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(bounds)), pa.array(cls), pa.array(check), pa.nulls(t.n, pa.int32()), pa.nulls(t.n, pa.binary())], names)
+                [batch.column(0), pa.array(np.diff(bounds)), pa.array(cls), pa.array(check), _bitmaps(h, bounds), pa.nulls(t.n, pa.int32()), pa.nulls(t.n, pa.binary())], names)
         used = [k for k in range(len(counts) // _CHUNK) if counts[k * _CHUNK:(k + 1) * _CHUNK].any()]
         if used:
             m = len(used)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.array(used, pa.int32()),
+                [pa.nulls(m, kind), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int64())), pa.array(used, pa.int32()),
                  pa.array([counts[k * _CHUNK:(k + 1) * _CHUNK].tobytes() for k in used], pa.binary())], names)
 
-    names = ["doc_id", "n", "cls", "check", "part", "counts"]
+    names = ["doc_id", "n", "cls", "check", "bits", "part", "counts"]
     from pyspark.sql.pandas.types import to_arrow_type
 
     kind = to_arrow_type(rows.schema["doc_id"].dataType)
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n bigint, cls bigint, check bigint, part int, counts binary")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n bigint, cls bigint, check bigint, bits array<bigint>, part int, counts binary")
 
 
 def _levels(parts: DataFrame) -> np.ndarray:
@@ -130,7 +143,7 @@ def _levels(parts: DataFrame) -> np.ndarray:
 
 
 def _postings(rows: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Prefix entries (key, cls, n, pos, parts) of every class; a class once for each task."""
+    """Prefix entries (key, cls, spot: size and position) of every class; a class once for each task."""
     def run(batches):
         done: set[int] = set()
         for _, t in text_slices(batches, table=_LOWER):
@@ -138,10 +151,6 @@ def _postings(rows: DataFrame, levels: np.ndarray) -> DataFrame:
             cls, _ = _signatures(h, bounds)
             keys = (levels[(h >> U64(64 - BUCKET_BITS)).astype(np.int64)].astype(np.uint64) << U64(56)) | (h >> U64(8))
             n = np.diff(bounds)
-            low = (h >> U64(8)).astype(np.int64) & 3
-            text = np.repeat(np.arange(t.n), n)
-            parts = np.minimum(np.bincount(text * 4 + low, minlength=4 * t.n), 32767).reshape(-1, 4)
-            packed = (parts[:, 0] << 48) | (parts[:, 1] << 32) | (parts[:, 2] << 16) | parts[:, 3]
             out = []
             for i in range(t.n):
                 c = int(cls[i])
@@ -153,12 +162,11 @@ def _postings(rows: DataFrame, levels: np.ndarray) -> DataFrame:
             if out:
                 sizes = [len(k) for _, k in out]
                 which = np.repeat([i for i, _ in out], sizes)
-                pos = np.concatenate([np.arange(s, dtype=np.int32) for s in sizes])
+                pos = np.concatenate([np.arange(s) for s in sizes])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([k for _, k in out]).view(np.int64)), pa.array(cls[which]), pa.array(n[which].astype(np.int32)),
-                     pa.array(pos), pa.array(packed[which])], ["key", "cls", "n", "pos", "parts"])
+                    [pa.array(np.concatenate([k for _, k in out]).view(np.int64)), pa.array(cls[which]), pa.array((n[which] << 32) | pos)], ["key", "cls", "spot"])
 
-    return rows.mapInArrow(run, "key bigint, cls bigint, n int, pos int, parts bigint")
+    return rows.mapInArrow(run, "key bigint, cls bigint, spot bigint")
 
 
 def _shared(postings: DataFrame) -> DataFrame:
@@ -184,35 +192,37 @@ def _shared(postings: DataFrame) -> DataFrame:
         if held is not None and met:
             yield held
 
-    return postings.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(run, postings.schema)
+    found = postings.repartition("key").sortWithinPartitions("key", "cls").mapInArrow(run, postings.schema)
+    return found.select("key", "cls", F.shiftright("spot", 32).cast("int").alias("n"), F.col("spot").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos"))
 
 
 def _passes(a: str, b: str) -> Column:
-    """Length, positional and suffix filters of two entries of one key."""
+    """Length and positional filters of two entries of one key."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    need = F.floor((3 * (na + nb) + 6) / 7)
     left = F.least(na - F.col(f"{a}.pos"), nb - F.col(f"{b}.pos"))
-    part = lambda x, k: F.shiftright(F.col(f"{x}.parts"), k).bitwiseAND(0xFFFF)
-    apart = sum((F.abs(part(a, k) - part(b, k)) for k in (0, 16, 32, 48)), F.lit(0))
-    return (100 * F.least(na, nb) >= 75 * F.greatest(na, nb)) & (left >= need) & (apart <= na + nb - 2 * need)
+    return (100 * F.least(na, nb) >= 75 * F.greatest(na, nb)) & (left >= F.floor((3 * (na + nb) + 6) / 7))
 
 
 def _pair(a: str, b: str) -> list[Column]:
     return [F.least(f"{a}.cls", f"{b}.cls").alias("a"), F.greatest(f"{a}.cls", f"{b}.cls").alias("b")]
 
 
+def _attach(rows: DataFrame, by_class: DataFrame, how: str = "inner") -> DataFrame:
+    """Join a table of one row for each class on ``cls``: broadcast while it is small, a shuffle join beyond."""
+    return rows.join(F.broadcast(by_class) if by_class.count() <= BROADCAST_ROWS else by_class, "cls", how)
+
+
 def _weighted(shared: DataFrame) -> DataFrame:
     """Entries with ``weight``: how many other classes share the entries of this class, for each of its
     shingles. In a group of near copies the least edited ones weigh most."""
-    sizes = shared.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    weights = shared.join(sizes, "key").groupBy("cls").agg((F.sum("m") / F.max("n")).alias("weight"))
-    return shared.join(weights, "cls")
+    met = shared.withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("key")))
+    return _attach(shared, saved(met.groupBy("cls").agg((F.sum("m") / F.max("n")).alias("weight")), "join-weights"))
 
 
 def _star_pairs(weighted: DataFrame) -> DataFrame:
     """Every member of a prefix group with the group's two heaviest members and its predecessor by weight."""
     w = Window.partitionBy("key").orderBy(F.desc("weight"), "cls")
-    entry = F.struct("cls", "n", "pos", "parts")
+    entry = F.struct("cls", "n", "pos")
     rows = weighted.select(entry.alias("x"), F.first(entry).over(w).alias("y"), F.nth_value(entry, 2).over(w).alias("z"), F.lag(entry).over(w).alias("p"))
     return (rows.select("x", F.explode(F.array("y", "z", "p")).alias("y")).where("y is not null and y.cls <> x.cls")
             .where(_passes("x", "y")).select(*_pair("x", "y")).distinct())
@@ -222,14 +232,14 @@ def _cross_pairs(shared: DataFrame, comps: DataFrame, block: int) -> DataFrame:
     """Pairs of entries of one key in different components, by blocks of ``block`` members of a key. An
     entry knows the class's last few shared keys before this one: two entries with one of them in common
     have met at that earlier key, so the pair is not produced again."""
-    before = Window.partitionBy("cls").orderBy("pos")
-    rows = (shared.select("*", *[F.coalesce(F.lag("key", k + 1).over(before), F.lit(0)).alias(f"p{k}") for k in range(EARLIER)])
-            .join(comps.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root"))
-    mixed = (rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-             .where("lo <> hi").select("key", F.ceil(F.col("m") / block).cast("int").alias("g")))
+    rows = _attach(shared, comps.withColumnRenamed("node", "cls"), "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
+    group, before = Window.partitionBy("key"), Window.partitionBy("cls").orderBy("pos")
+    mixed = (rows.withColumn("lo", F.min("comp").over(group)).withColumn("hi", F.max("comp").over(group))
+             .withColumn("g", F.ceil(F.count(F.lit(1)).over(group) / block).cast("int")).where("lo <> hi").drop("lo", "hi"))
+    mixed = mixed.select("*", *[F.coalesce(F.lag("key", k + 1).over(before), F.lit(0)).alias(f"p{k}") for k in range(EARLIER)])
     every = F.transform(F.sequence(F.lit(0), F.col("g") - 1), lambda o: F.struct(F.least(o, F.col("s")).alias("i"), F.greatest(o, F.col("s")).alias("j")))
-    names = ["key", "i", "j", "comp", "s", "cls", "n", "pos", "parts", *[f"p{k}" for k in range(EARLIER)]]
-    dealt = (rows.join(mixed, "key").withColumn("s", F.pmod(F.hash("cls"), F.col("g"))).withColumn("ij", F.explode(every))
+    names = ["key", "i", "j", "comp", "s", "cls", "n", "pos", *[f"p{k}" for k in range(EARLIER)]]
+    dealt = (mixed.withColumn("s", F.pmod(F.hash("cls"), F.col("g"))).withColumn("ij", F.explode(every))
              .select("*", "ij.i", "ij.j").select(names))
 
     def run(batches):
@@ -254,9 +264,6 @@ def _cross_pairs(shared: DataFrame, comps: DataFrame, block: int) -> DataFrame:
                 need = (3 * (na + nb) + 6) // 7
                 left = np.minimum(na - c["pos"][x], nb - c["pos"][y])
                 fine = np.flatnonzero(cross & (100 * np.minimum(na, nb) >= 75 * np.maximum(na, nb)) & (left >= need))
-                x, y, most = x[fine], y[fine], (na + nb - 2 * need)[fine]
-                apart = sum(np.abs((c["parts"][x] >> k & 0xFFFF) - (c["parts"][y] >> k & 0xFFFF)) for k in (0, 16, 32, 48))
-                fine = apart <= most
                 x, y = x[fine], y[fine]
                 met = np.zeros(len(x), bool)
                 for k in range(EARLIER):
@@ -293,14 +300,6 @@ def _whole_groups(batches, n_keys: int):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _bits(h: np.ndarray) -> np.ndarray:
-    """Parity bitmap of a set over about two bits for each member, as 64-bit words: an element in only one of
-    two sets flips one bit, so differing bits never outnumber differing elements."""
-    size = max(64, 1 << int(2 * len(h) - 1).bit_length())
-    odd = np.bincount(((h >> U64(8)) & U64(size - 1)).astype(np.int64), minlength=size) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
-
-
 def _may_reach(x: str, y: str) -> Column:
     """Suffix filter on whole sets: differing bits of the parity bitmaps (the longer folded to the shorter)."""
     def fold(a: str, b: str) -> Column:
@@ -314,47 +313,55 @@ def _may_reach(x: str, y: str) -> Column:
     return ~comparable | (differing <= total - 2 * F.floor((3 * total + 6) / 7))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, shared) of the pairs whose whole sets reach the threshold: bitmaps first, then the sets."""
-    part = lambda key, col, as_, *more: sets.select(F.col("cls").alias(key), F.col(col).alias(as_), *more)
-    near = (pairs.join(part("a", "bits", "x", F.col("n").alias("nx")), "a").join(part("b", "bits", "y", F.col("n").alias("ny")), "b")
+def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """(a, b, shared) of the pairs whose whole sets reach the threshold: bitmaps first, then the sets of the
+    classes that are left."""
+    part = lambda key, col, as_, size: classes.select(F.col("cls").alias(key), F.col(col).alias(as_), F.col("n").alias(size))
+    near = (pairs.join(part("a", "bits", "x", "nx"), "a").join(part("b", "bits", "y", "ny"), "b")
             .where(_may_reach("x", "y")).select("a", "b"))
     near = saved(near, "join-near")
-    found = near.join(part("a", "ids", "x"), "a").join(part("b", "ids", "y"), "b").select(
+    sets = _sets(rows, classes, near.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
+    found = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select(
         "a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("total"))
     return found.where("175 * shared >= 75 * total").select("a", "b", "shared")
 
 
-def _sets(rows: DataFrame, profile: DataFrame, classes: DataFrame) -> DataFrame:
-    """(cls, n, bits, ids) for the given classes, from one document of each."""
-    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    ids = saved(profile.join(classes, "cls").groupBy("cls").agg(F.min(key("doc_id")).alias("__id")).select("__id").distinct(), "join-ids")
+def _id(doc_id: str) -> Column:
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
+def _classes(profile: DataFrame) -> DataFrame:
+    """(cls, n, bits, id): each non-empty class and the id of one of its documents."""
+    return profile.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), F.first("bits").alias("bits"), F.min(_id("doc_id")).alias("id"))
+
+
+def _sets(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cls, ids) of the wanted classes, read again from one document of each."""
+    chosen = saved(classes.select("cls", "id").join(wanted, "cls"), "join-wanted")
+    n = chosen.count()
 
     def run(batches):
         for _, t in text_slices(batches, table=_LOWER):
             h, bounds = shingles(t)
             cls, _ = _signatures(h, bounds)
-            bits = [_bits(h[lo:hi]) for lo, hi in zip(bounds[:-1], bounds[1:])]
-            words = np.r_[0, np.cumsum([len(x) for x in bits])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cls), pa.array(np.diff(bounds)), pa.ListArray.from_arrays(pa.array(words, pa.int32()), pa.array(np.concatenate(bits))),
-                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(h.view(np.int64)))], ["cls", "n", "bits", "ids"])
+                [pa.array(cls), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(h.view(np.int64)))], ["cls", "ids"])
 
-    chosen = semi_join(rows.withColumn("__id", key("doc_id")), ids, ["__id"], ids.count()).select("text")
-    return chosen.mapInArrow(run, "cls bigint, n bigint, bits array<bigint>, ids array<bigint>").where("n > 0").dropDuplicates(["cls"])
+    texts = semi_join(rows.withColumn("id", _id("doc_id")), chosen.select("id").distinct(), ["id"], n).select("text")
+    found = semi_join(texts.mapInArrow(run, "cls bigint, ids array<bigint>"), chosen.select("cls"), ["cls"], n)
+    return saved(found.dropDuplicates(["cls"]), "join-sets")
 
 
 def links(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group_block: int = GROUP_BLOCK) -> tuple[DataFrame, DataFrame]:
-    """(profile, roots): every document's (doc_id, n, cls, check) and every linked class's (node, root)."""
+    """(profile, roots): every document's (doc_id, n, cls, check, bits) and every linked class's (node, root)."""
     rows = _rows(docs, doc_id, text)
     both = saved(_profile(rows), "join-profile")
     profile = both.where("part is null").drop("part", "counts")
     shared = saved(_shared(_postings(rows, _levels(both.where("part is not null")))), "join-shared")
-    classes = shared.select("cls").distinct()
-    sets = saved(_sets(rows, profile, classes), "join-sets")
-    first = saved(_verified(_star_pairs(_weighted(shared)), sets), "join-star")
+    classes = saved(_classes(profile), "join-classes")
+    first = saved(_verified(saved(_star_pairs(_weighted(shared)), "join-pairs"), classes, rows), "join-star")
     roots = components(first, "a", "b")
-    second = saved(_verified(_cross_pairs(shared, roots, group_block), sets), "join-cross")
+    second = saved(_verified(saved(_cross_pairs(shared, roots, group_block), "join-pairs"), classes, rows), "join-cross")
     if second.isEmpty():
         return profile, roots
     merged = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second.select("a", "b"))
