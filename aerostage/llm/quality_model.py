@@ -91,7 +91,7 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
     n, width = x.shape
     share = float(y.mean()) if n else 0.5
     none = Trees(float(np.log(share / (1 - share))) if 0 < share < 1 else (6.0 if share == 1 else -6.0), *(np.zeros((0, 1)),) * 3)
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         return none
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS + 1)[1:-1]).astype(np.float32)) for f in range(width)]
     binned = np.column_stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)])
