@@ -30,14 +30,14 @@ def try_date(c) -> Column:
 
 def epoch_to_timestamp(c) -> Column:
     """Epoch seconds (a number, or text read with ``try_long``) to a UTC wall-clock ``timestamp_ntz``
-    (no session zone involved)."""
+    (no session zone involved); null from 10**12 seconds on."""
     secs = _c(c) if not isinstance(c, str) else try_long(c)
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs.cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=secs.try_cast("decimal(18,6)"))
 
 
-# Offset-carrying layouts of ``*_utc`` time text, most frequent first.
-OFFSET_FORMATS = ["yyyy-MM-dd HH:mmXXX", "yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd HH:mmXX", "yyyy-MM-dd HH:mm:ssXX"]
-_OFFSET_SUFFIX = r"(Z|[+-]\d{2}:?\d{2})$"
+# Date, time of day with optional seconds and fraction, and an optional offset (Z, +hh, +hhmm or +hh:mm).
+_TIME_TEXT = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?)(Z|[+-]\d{2}(?::?\d{2})?)?$"
+_LARGEST_OFFSET = 18 * 60  # minutes
 
 
 def _normalised(c) -> Column:
@@ -46,21 +46,26 @@ def _normalised(c) -> Column:
 
 def parse_local_time(c) -> Column:
     """Time text of a ``*_local`` field to ``timestamp_ntz``: the wall clock, any offset dropped."""
-    return F.regexp_replace(_normalised(c), _OFFSET_SUFFIX, "").try_cast("timestamp_ntz")
+    text = _normalised(c)
+    clock = F.regexp_extract(text, _TIME_TEXT, 1)
+    return F.when(clock != "", clock).otherwise(text).try_cast("timestamp_ntz")
 
 
 def parse_utc_time(c) -> Column:
     """Time text of a ``*_utc`` field to a UTC ``timestamp_ntz``.
 
-    Accepts ``T`` or a blank between date and time, with or without seconds, followed by ``Z``, a
-    numeric offset (applied, so the result is UTC) or nothing. Anything else gives null. Text with an
-    offset is parsed to an instant and turned into epoch seconds, so the session time zone plays no
-    part; the no-offset layouts (16 or 19 characters) are read as UTC wall clocks directly.
+    Decided by pattern: ``T`` or a blank between date and time, with or without seconds and their fraction,
+    followed by ``Z``, a numeric offset (applied, so the result is UTC) or nothing. Anything else gives
+    null. The offset is subtracted from the wall clock, so the session time zone plays no part.
     """
     text = _normalised(c)
-    instant = F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in OFFSET_FORMATS])
-    plain = F.length(text).isin(16, 19)
-    return F.when(plain, text.try_cast("timestamp_ntz")).otherwise(epoch_to_timestamp(F.unix_seconds(instant)))
+    clock = F.regexp_extract(text, _TIME_TEXT, 1).try_cast("timestamp_ntz")
+    digits = F.regexp_replace(F.regexp_extract(text, _TIME_TEXT, 2), "[Z:]", "")
+    hours = F.coalesce(F.substring(digits, 2, 2).try_cast("int"), F.lit(0))
+    minutes = F.coalesce(F.substring(digits, 4, 2).try_cast("int"), F.lit(0))
+    offset = (hours * 60 + minutes) * F.when(digits.startswith("-"), -1).otherwise(1)
+    valid = (minutes < 60) & (F.abs(offset) <= _LARGEST_OFFSET)
+    return F.when(valid, clock - F.make_dt_interval(mins=offset))
 
 
 def safe_cast(df, name: str, target) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,9 +24,5 @@ def completeness_flag(strict: bool = False) -> Column:
     that lacks any of the five times instead (what the rule's comment describes).
     """
     runway = F.col("departure_runway_utc").isNull() if strict else F.col("departure_runway_utc").isNotNull()
-    return (F.when(F.col("departure_revised_utc").isNull(), 1)
-            .when(runway, 1)
-            .when(F.col("arrival_scheduled_utc").isNull(), 1)
-            .when(F.col("arrival_revised_utc").isNull(), 1)
-            .when(F.col("arrival_runway_utc").isNull(), 1)
-            .otherwise(0))
+    needed = ["departure_revised_utc", "arrival_scheduled_utc", "arrival_revised_utc", "arrival_runway_utc"]
+    return (runway | ~reduce(and_, [F.col(c).isNotNull() for c in needed])).cast("int")

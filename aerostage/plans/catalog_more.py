@@ -242,8 +242,8 @@ def q_pair_rank_scored(spark, sf_dir):
 
 @query("pair_merge_departures")
 def q_pair_merge_departures(spark, sf_dir):
-    """J1 in the self-join form the staging SQL is written in (compare with ``departures_operator``)."""
-    return staging.departures_operator_join_form(dep_base(spark, sf_dir))
+    """J1 as one aggregation of each group's first two records (compare with ``departures_operator``)."""
+    return staging.departures_operator_grouped(dep_base(spark, sf_dir))
 
 
 @query("pair_merge_arrivals")

@@ -122,16 +122,6 @@ def _committed(spark: SparkSession, layout: Layout, name: str, day_col: str, day
     return raw.where(F.col(day_col).isin(days)).drop("batch_id")
 
 
-def _overwrite_days(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy("flight_date").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-
-
 def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None,
                 schema: T.StructType | None = None) -> DataFrame:
     """A staging table (its days). Pass the model's schema when the table may hold no file yet."""
@@ -149,7 +139,7 @@ def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv
     written: dict[str, T.StructType] = {}
 
     def put(name: str, df: DataFrame) -> None:
-        _overwrite_days(df, layout.staging(name))
+        store.replace_days(df, layout.staging(name), days)
         written[name] = df.schema
 
     for base_name, base_fn, raw_name, derived in (

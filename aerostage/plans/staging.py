@@ -262,24 +262,22 @@ def flights(raw: DataFrame) -> DataFrame:
     return keep_first(renamed, ["icao24", "first_seen_ts"], [desc("ingestion_timestamp")])
 
 
-def departures_operator_join_form(base: DataFrame) -> DataFrame:
-    """M5 written as rank + left self join (the warehouse form); same rows as ``departures_operator``.
+def departures_operator_grouped(base: DataFrame) -> DataFrame:
+    """M5 as one aggregation of each group's first two records; same rows as ``departures_operator``.
 
-    Kept for comparison and benchmarking: it needs an extra exchange and a sort-merge join.
+    The rank limit below the exchange leaves two rows of a group at most, so the aggregation is bounded. A
+    group with a null key gets no fill.
     """
     from aerostage.operators.dedup import rank_within
 
     rows = base.where(P.status_is(P.DEPARTED) & P.is_operator() & P.identified())
-    ranked = rank_within(rows, PAIR_KEYS, [asc("departure_scheduled_utc")], name="rn")
-    p = ranked.where(F.col("rn") == 1).alias("p")
-    s = ranked.where(F.col("rn") == 2).alias("s")
-    cond = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in PAIR_KEYS]
-    joined = p.join(s, cond, "left")
-    extras = [c for c in rows.columns if c not in DEP_BASE_COLUMNS]
-    cols = [F.col(f"p.{c}").alias(c) for c in extras]
-    for c in _DEP_OPERATOR_OUT:
-        if c in _DEP_FILL:
-            cols.append(F.coalesce(F.col(f"p.{c}"), F.col(f"s.{c}")).alias(c))
-        else:
-            cols.append(F.col(f"p.{c}").alias(c))
-    return _with_fallbacks(joined.select(*cols))
+    two = rank_within(rows, PAIR_KEYS, [asc("departure_scheduled_utc")], name="rn").where(F.col("rn") <= 2)
+    filled = [c for c in _DEP_OPERATOR_OUT if c in _DEP_FILL]
+    merged = two.groupBy(*PAIR_KEYS).agg(
+        F.min_by(F.struct(*rows.columns), "rn").alias("one"),
+        F.max(F.when(F.col("rn") == 2, F.struct(*filled))).alias("two"))
+    known = F.concat(*[F.col(k).cast("string") for k in PAIR_KEYS]).isNotNull()
+    cols = [F.col(f"one.{c}").alias(c) for c in rows.columns if c not in DEP_BASE_COLUMNS]
+    cols += [F.coalesce(F.col(f"one.{c}"), F.when(known, F.col(f"two.{c}"))).alias(c) if c in filled else F.col(f"one.{c}").alias(c)
+             for c in _DEP_OPERATOR_OUT]
+    return _with_fallbacks(merged.select(*cols))

@@ -23,15 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostage.schemas import SCHEDULE_SOURCE_NAME
+from aerostage.session import materialize
 
 MANIFEST = "_batches"
 
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
-    """Extra (lineage) columns first, then the columns of ``schema`` in order and type (missing ones null)."""
-    have = set(df.columns)
-    cols = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    extra = [F.col(c) for c in df.columns if c not in {f.name for f in schema.fields}] if keep_extra else []
+    """Extra (lineage) columns first, then the columns of ``schema`` in order and type (missing ones null).
+    Names match without regard to case, as Spark resolves them."""
+    have = {c.lower(): c for c in df.columns}
+    known = {f.name.lower() for f in schema.fields}
+    cols = [(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
+    extra = [F.col(c) for c in df.columns if c.lower() not in known] if keep_extra else []
     return df.select(*extra, *cols)
 
 
@@ -93,6 +96,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def replace_days(df: DataFrame, path: str, days: list, partition_col: str = "flight_date") -> None:
+    """Replace ``days`` of a day-partitioned table by the rows of ``df`` as a set: a day without rows is emptied.
+
+    The rows are written once to the shared folder, then over the table's days that they hold; folders of
+    days that came out empty are removed only after that write has succeeded. ``days`` is bounded by the calendar.
+    """
+    spark = df.sparkSession
+    new = materialize(df, "replace-days")
+    present = {r[0] for r in new.select(partition_col).distinct().collect()}
+    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for day in days:
+        if day is not None and day not in present:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={day}")
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,
                        model: Callable[[DataFrame], DataFrame], touched: DataFrame,
                        raw_schema: T.StructType | None = None, partition_col: str = "flight_date") -> None:
@@ -101,12 +121,8 @@ def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,
     # dynamic partition pruning skip every untouched day of the raw table.
     days = F.broadcast(touched.select(partition_col).distinct())
     raw = read_table(spark, raw_path, raw_schema).join(days, partition_col, "left_semi")
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        model(raw).write.mode("overwrite").partitionBy(partition_col).parquet(curated_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    listed = [r[0] for r in touched.select(partition_col).distinct().collect()]
+    replace_days(model(raw), curated_path, listed, partition_col)
 
 
 # ---- model publication (K6, K7, D6) and legacy tables (K8) ---------------------------------------
@@ -127,7 +143,7 @@ def write_models(models: dict[str, DataFrame], root: str, target: str = "dev",
     out = {}
     for name, df in models.items():
         path = f"{root}/{TARGET_SCHEMAS[target]}/{name}"
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")  # a rebuild replaces all days
         if partition_col and partition_col in df.columns:
             writer = writer.partitionBy(partition_col)
         writer.parquet(path)

@@ -5,11 +5,10 @@ from tables Spark derives from the driver's data. Layout:
 
 * schedules: ``<root>/airport_icao=XXXX/flight_date=YYYY-MM-DD/half=first_half|second_half/``, one JSON
   object per line: ``{"departures": [...]}`` or ``{"arrivals": [...]}`` (an object may lack either array)
-* observed flights: ``<root>/record_date=YYYY-MM-DD/part=N/``, one JSON array per line
+* observed flights: ``<root>/record_date=YYYY-MM-DD/``, one JSON array per line
 
-Objects are cut into chunks of at most ``chunk_rows`` legs: group sizes come from a partially
-aggregated count (skew-safe), and each leg's chunk is a hash of its content, so a hot airport-day
-becomes many bounded objects and no task ever holds a whole group.
+Every line holds one leg (or record), so nothing is counted, joined or grouped: copies of one leg and a hot
+airport-day spread over tasks like any rows, and legs with a null folder key are kept.
 """
 
 from __future__ import annotations
@@ -72,46 +71,32 @@ def leg_struct(df: DataFrame, text_times: bool = True, with_quality: bool = True
     )
 
 
-def _chunked(df: DataFrame, keys: list[str], payload: Column, chunk_rows: int) -> DataFrame:
-    """``keys`` + ``__chunk``: legs of one group split into chunks of about ``chunk_rows``."""
-    sized = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    with_n = df.join(sized, keys)
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(chunk_rows)))
-    return with_n.select(*keys, F.pmod(F.xxhash64(payload), n_chunks).alias("__chunk"), payload.alias("__leg"))
-
-
-def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: str, chunk_rows: int = 256,
-                            mode: str = "overwrite") -> str:
-    """Write raw departures and arrivals as nested payload JSON under ``path`` (``mode="append"`` lands more)."""
+def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: str, mode: str = "overwrite") -> str:
+    """Write raw departures and arrivals as nested payload JSON under ``path`` (``mode="append"`` lands more),
+    one leg to a line: nothing is grouped, so equal legs and null keys cost nothing and are kept."""
     parts = []
     for name, df, sched in (("departures", departures, "departure_scheduledtime_utc"),
                             ("arrivals", arrivals, "arrival_scheduledtime_utc")):
         half = F.when(F.coalesce(F.hour(F.col(sched)), F.lit(0)) < 12, F.lit(HALF_FIRST)).otherwise(F.lit(HALF_SECOND))
         keyed = df.withColumn("half", half)
-        chunks = _chunked(keyed, ["airport_icao", "flight_date", "half"], leg_struct(keyed), chunk_rows)
-        obj = chunks.groupBy("airport_icao", "flight_date", "half", "__chunk").agg(
-            F.collect_list("__leg").alias(name))
-        parts.append(obj.select("airport_icao", "flight_date", "half",
-                                F.to_json(F.struct(F.col(name))).alias("value")))
+        parts.append(keyed.select("airport_icao", "flight_date", "half",
+                                  F.to_json(F.struct(F.array(leg_struct(keyed)).alias(name))).alias("value")))
     # Rebalance on the folder keys: few files per folder, and AQE splits a hot folder across tasks.
     out = parts[0].unionByName(parts[1]).hint("rebalance", "airport_icao", "flight_date", "half")
     out.write.mode(mode).partitionBy("airport_icao", "flight_date", "half").text(path)
     return path
 
 
-def write_flight_arrays(flights: DataFrame, path: str, date_col: str = "record_date", chunk_rows: int = 256,
+def write_flight_arrays(flights: DataFrame, path: str, date_col: str = "record_date",
                         extra_partitions: list[str] | None = None) -> str:
-    """Write observed flights as one JSON array per line, partitioned by ``date_col`` (and extras)."""
+    """Write observed flights as JSON arrays of one record, one to a line, partitioned by ``date_col`` (and extras)."""
     from aerostage.schemas import OBSERVED_FLIGHT
 
     extra = extra_partitions or []
     rec = F.struct(*[F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in OBSERVED_FLIGHT.fields])
     keys = [date_col] + extra
-    chunks = _chunked(flights, keys, rec, chunk_rows)
-    arrays = chunks.groupBy(*keys, "__chunk").agg(F.to_json(F.collect_list("__leg")).alias("value"))
-    arrays = arrays.hint("rebalance", *keys)
-    arrays.select(*keys, F.col("__chunk").alias("part"), "value").write.mode("overwrite").partitionBy(
-        *keys, "part").text(path)
+    lines = flights.select(*keys, F.to_json(F.array(rec)).alias("value")).hint("rebalance", *keys)
+    lines.write.mode("overwrite").partitionBy(*keys).text(path)
     return path
 
 

@@ -55,16 +55,16 @@ def arrivals_from_payloads(payloads: DataFrame, keep_quality: bool = False) -> D
 def read_observed_flights(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """Flat observed-flight arrays; ``record_date`` from the folder. Line mode stays splittable;
     ``multi_line`` reads pretty-printed documents (one per file)."""
-    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("part", schemas.I)])
+    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)])
     df = spark.read.schema(schema).option("multiLine", multi_line).json(root)
-    return df.drop("part")
+    return df
 
 
 def read_directional_flights(spark: SparkSession, root: str) -> DataFrame:
     """Per-airport directional flights; airport and direction from the folder names."""
     schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("airport_icao", schemas.S),
-                                             ("direction", schemas.S), ("part", schemas.I)])
-    return spark.read.schema(schema).json(root).drop("part")
+                                             ("direction", schemas.S)])
+    return spark.read.schema(schema).json(root)
 
 
 AIRPORT_TEXT = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schemas.AIRPORTS_CSV.fields])

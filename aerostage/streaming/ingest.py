@@ -66,8 +66,8 @@ def read_raw(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
 def ingest_flights(spark: SparkSession, landing_root: str, raw_root: str, checkpoint: str,
                    base_time: dt.datetime, available_now: bool = True) -> StreamingQuery:
     """The observed-flights feed (JSON arrays, ``record_date=`` folders) into the raw flights table."""
-    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("part", schemas.I)])
-    stream = spark.readStream.schema(schema).json(landing_root).drop("part")
+    schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)])
+    stream = spark.readStream.schema(schema).json(landing_root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         rows = with_load_defaults(batch, batch_time(base_time, batch_id), source=None)

@@ -9,17 +9,18 @@ from aerostage.sources import landing, payload
 from conftest import SF_CHECK
 
 
-def test_hot_airport_day_is_cut_into_bounded_objects(spark):
+def test_copies_and_null_keys_land_one_leg_to_a_line(spark):
     r = raw(spark, SF_CHECK, "raw_departures")
-    hot = (r.withColumn("airport_icao", F.lit("EDDF")).withColumn("flight_date", F.lit("2024-01-05").cast("date"))
-           .withColumn("departure_scheduledtime_utc", F.lit("2024-01-05 06:00:00").cast("timestamp_ntz")))
+    hot = r.withColumn("airport_icao", F.when(F.col("row_id") % 10 > 0, "EDDF")) if "row_id" in r.columns else r.withColumn(
+        "airport_icao", F.when(F.xxhash64("number") % 10 != 0, "EDDF"))
+    copies = hot.limit(1).crossJoin(spark.range(2000)).drop("id")
+    every = hot.unionByName(copies)
     root = scratch_path(spark, "t_hot_landing")
-    landing.write_schedule_payloads(hot, r.limit(0), root, chunk_rows=100)
-    objects = payload.read_schedule_payloads(spark, root).select(F.size("departures").alias("n"))
-    sizes = [row.n for row in objects.where(F.col("n") > 0).collect()]
-    assert sum(sizes) == r.count()
-    assert len(sizes) >= r.count() // 100          # many objects, not one
-    assert max(sizes) <= 3 * 100                    # each about chunk_rows legs
+    landing.write_schedule_payloads(every, r.limit(0), root)
+    read = payload.read_schedule_payloads(spark, root)
+    sizes = read.select(F.size("departures").alias("n")).where("n > 0").groupBy("n").count().collect()
+    assert [(x["n"], x["count"]) for x in sizes] == [(1, r.count() + 2000)]
+    assert read.where("airport_icao is null").count() == every.where("airport_icao is null").count() > 0
 
 
 def test_pretty_printed_flight_documents_read_with_multi_line(spark, tmp_path):

@@ -43,7 +43,7 @@ def test_pair_merge_groups_of_one_two_three_and_null_keys(spark):
 def test_window_pair_merge_equals_self_join_form(spark):
     base = dep_base(spark, SF_CHECK)
     a = staging.departures_operator(base)
-    b = staging.departures_operator_join_form(base)
+    b = staging.departures_operator_grouped(base)
     assert a.count() == b.count() == a.unionByName(b).distinct().count()
 
 
