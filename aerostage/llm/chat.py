@@ -18,6 +18,7 @@ and are never a parent. An empty table gives no rows.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -78,16 +79,20 @@ def parents(parsed: DataFrame) -> DataFrame:
 
 
 def threads(links: DataFrame) -> DataFrame:
-    """(conv, turn, root, depth) of every linked message, by pointer doubling."""
-    state = saved(links.select("conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")), "chat-links")
+    """(conv, turn, root, depth) of every linked message, by pointer doubling. Only messages whose root is still
+    a reply itself go into the next round, so one long thread costs the others no rounds."""
+    active = saved(links.select("conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")), "chat-links")
+    ended: list[DataFrame] = []
     while True:
-        up = state.select("conv", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        joined = state.join(up, ["conv", "root"], "left")
-        moved = saved(joined.select("conv", "turn", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-                                    F.col("next").isNotNull().alias("moved")), "chat-threads")
-        state = moved.drop("moved")
-        if moved.where("moved").isEmpty():
-            return state
+        known = reduce(DataFrame.unionByName, ended, active)
+        up = known.select("conv", F.col("turn").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
+        joined = active.join(up, ["conv", "root"], "left")
+        step = saved(joined.select("conv", "turn", F.coalesce("next", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+                                   F.col("next").isNotNull().alias("moved")), "chat-threads")
+        ended.append(step.where("not moved").drop("moved"))
+        active = step.where("moved").drop("moved")
+        if active.isEmpty():
+            return reduce(DataFrame.unionByName, ended)
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:

@@ -302,6 +302,13 @@ def test_chat_quotes(sent):
     assert chat.link_quotes(sent.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).collect() == []
 
 
+def test_chat_long_thread(sent):
+    rows = [(1, t, "a", f"> line {t - 1}\nline {t}" if t else "line 0") for t in range(41)] + [(2, 0, "a", "x"), (2, 1, "b", "> x\ny"), (3, 0, "a", "z")]
+    got = {(r["conv_id"], r["turn"]): (r["root_turn"], r["depth"], r["position"]) for r in
+           chat.link_quotes(sent.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()}
+    assert got == {(1, t): (0, t, t) for t in range(41)} | {(2, 0): (0, 0, 0), (2, 1): (0, 1, 1), (3, 0): (0, 0, 0)}
+
+
 def test_chat_restores_conversations(sent):
     conv = read(sent, SF, "conversations")
     got = {(r["conv_id"], r["turn"]): (r["text"], r["parent_turn"]) for r in chat.link_quotes(chat.as_mail(conv)).collect()}
