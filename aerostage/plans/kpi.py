@@ -2,20 +2,23 @@
 
 The KPIs (D2-D4) are single-shuffle aggregates over the merged records with map-side partial
 aggregation (a hot airport-day is reduced in every map task before the exchange); averages are sums
-and counts divided at the end. The link to observed flights (D7) is one equi-join plus a top-1 that
-reuses the join's partitioning.
+and counts divided at the end. The link to observed flights (D7) is a union of both sides and two ordered
+passes over one partitioning, then one aggregation; it has no join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import datetime as dt
 
-from aerostage.operators.dedup import asc, keep_first
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 # Fixed value (ours; the KPI is declared, not defined, upstream): a movement within this many seconds
 # of its schedule counts as on time.
 ON_TIME_SECONDS = 15 * 60
+# Fixed value (ours): an observed flight first seen this far from a departure's time, at most, may be it.
+LINK_HOURS = 12
+_EPOCH = dt.datetime(1970, 1, 1)
 
 
 def actual_time(side: str) -> Column:
@@ -79,31 +82,43 @@ def hourly_efficiency(dep_operator: DataFrame, dep_not_departed: DataFrame,
 
 
 def link_observed(dep_operator: DataFrame, observed: DataFrame, id_cols: list[str]) -> DataFrame:
-    """Each operated departure with its nearest observed flight of the same aircraft and day.
-
-    The aircraft is matched on mode-S = icao24, or, for a departure without mode-S, on its callsign.
-    Both ways run as one equi-join on (link kind, key, day): the departure carries the key it links by,
-    each observed flight offers two keys (its icao24 and its callsign). Every candidate is considered,
-    none capped, and the nearest by first-seen time wins. The ranking's partition keys contain the join
-    keys (the link kind and key follow from the departure's identity), so it reuses the join's
-    partitioning and adds no exchange; the departures are computed once.
+    """Each operated departure with its nearest observed flight of the same aircraft, LINK_HOURS away at
+    most (midnight does not matter).
+
+    The aircraft is matched on mode-S = icao24; a departure that finds none so is tried by callsign. Both sides are
+    put together by key and time bucket (an observation also goes into the two buckets beside its own), and
+    one ordered pass forward and one back give each departure the last and the next observation: rows grow with
+    the input, not with the pairs of an identifier. Departures without a key are spread by their identity.
+    ``link_key`` is null where nothing was found; equal gaps take the earlier, then the lower icao24.
     """
-    kind = F.when(F.col("aircraft_mode_s").isNotNull(), F.lit("mode_s")).otherwise(F.lit("callsign"))
-    dep = dep_operator.select(*id_cols, kind.alias("link_key"),
-                              F.coalesce("aircraft_mode_s", "callsign").alias("__key"),
-                              actual_time("departure").alias("__dep_time"),
-                              F.col("departure_scheduled_utc").alias("__dep_sched"))
-    offers = F.explode(F.array(
-        F.struct(F.lit("mode_s").alias("__kind"), F.col("icao24").alias("__okey")),
-        F.struct(F.lit("callsign").alias("__kind"), F.col("callsign").alias("__okey"))))
-    obs = observed.select("icao24", "first_seen_ts", F.to_date("first_seen_ts").alias("__seen_day"),
-                          offers.alias("__offer")).select(
-        "icao24", "first_seen_ts", "__seen_day", "__offer.__kind", "__offer.__okey")
-    cond = ((F.col("link_key") == F.col("__kind")) & (F.col("__key") == F.col("__okey"))
-            & (F.col("flight_date") == F.col("__seen_day")))
-    joined = dep.join(obs, cond, "left")
-    gap = F.abs(F.timestamp_diff("SECOND", F.coalesce("__dep_time", "__dep_sched"), F.col("first_seen_ts")))
-    ranked = joined.withColumn("gap_seconds", gap)
-    best = keep_first(ranked, [*id_cols, "link_key", "__key"], [asc("gap_seconds")],
-                      tiebreak=[asc("first_seen_ts"), asc("icao24")])
-    return best.select(*id_cols, "link_key", "icao24", "first_seen_ts", "gap_seconds")
+    seconds = lambda c: F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c)
+    offers = lambda a, b: F.explode(F.array(
+        F.struct(F.lit("mode_s").alias("kind"), F.col(a).alias("key")),
+        F.struct(F.lit("callsign").alias("kind"), F.col(b).alias("key")))).alias("by")
+    span = LINK_HOURS * 3600
+    dep = dep_operator.select(F.struct(*id_cols).alias("id"), seconds(F.coalesce(actual_time("departure"), "departure_scheduled_utc")).alias("s"),
+                              offers("aircraft_mode_s", "callsign"))
+    alone = F.col("by.key").isNull() | F.col("s").isNull()
+    dep = dep.select("id", "s", "by", F.floor(F.col("s") / span).alias("bucket"), F.when(alone, F.xxhash64("id")).otherwise(F.lit(0)).alias("spread"))
+    obs = observed.where(F.col("first_seen_ts").isNotNull()).select(
+        F.struct("first_seen_ts", "icao24").alias("seen"), seconds(F.col("first_seen_ts")).alias("s"), offers("icao24", "callsign"))
+    own = F.floor(F.col("s") / span)
+    obs = obs.where(F.col("by.key").isNotNull()).select(
+        "seen", "s", "by", F.explode(F.array(own - 1, own, own + 1)).alias("bucket"), F.lit(0).cast("bigint").alias("spread"))
+    rows = dep.unionByName(obs, allowMissingColumns=True)
+    group = Window.partitionBy("by", "bucket", "spread")
+    ties = [F.col("id").isNotNull(), F.col("seen.icao24").desc_nulls_first()]
+    near = {name: F.last("seen", ignorenulls=True).over(group.orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0))
+            for name, order in (("before", F.col("s").asc()), ("after", F.col("s").desc()))}
+    rows = rows.withColumns(near).where(F.col("id").isNotNull())
+
+    def gap(c: str) -> Column:
+        away = F.abs(seconds(F.col(f"{c}.first_seen_ts")) - F.col("s"))
+        return F.when(away <= span, F.struct(away.alias("gap"), F.col(f"{c}.first_seen_ts").alias("first_seen_ts"), F.col(f"{c}.icao24").alias("icao24")))
+
+    rows = rows.withColumn("one", F.least(gap("before"), gap("after")))
+    found = F.struct(F.when(F.col("one").isNull(), 2).when(F.col("by.kind") == "mode_s", 0).otherwise(1).alias("pref"),
+                     F.when(F.col("one").isNotNull(), F.col("by.kind")).alias("kind"), "one")
+    return rows.groupBy("id").agg(F.min(found).alias("f")).select(
+        "id.*", F.col("f.kind").alias("link_key"), F.col("f.one.icao24").alias("icao24"),
+        F.col("f.one.first_seen_ts").alias("first_seen_ts"), F.col("f.one.gap").alias("gap_seconds"))

@@ -6,22 +6,25 @@ from aerostage.plans.oracle import (
     AIRPORTS,
     ARR_BASE_CTES,
     ARR_OPERATOR,
+    COMPLETE,
     DEP_BASE_CTES,
     DEP_FILTERED,
     DEP_NOT_DEPARTED,
     DEP_OPERATOR,
     FLIGHTS,
+    PAIR,
+    RELIABILITY,
+    departures,
+    departures_merged,
     with_ctes,
 )
 
 _EPOCH = "TIMESTAMP '1970-01-01 00:00:00' + TRY_CAST(CAST({c} AS VARCHAR) AS BIGINT) * INTERVAL 1 SECOND"
 
-_COMPLETENESS = """CASE WHEN departure_revised_utc IS NULL THEN 1
-            WHEN departure_runway_utc IS NOT NULL THEN 1
-            WHEN arrival_scheduled_utc IS NULL THEN 1
-            WHEN arrival_revised_utc IS NULL THEN 1
-            WHEN arrival_runway_utc IS NULL THEN 1 ELSE 0 END"""
-_STRICT = _COMPLETENESS.replace("departure_runway_utc IS NOT NULL", "departure_runway_utc IS NULL")
+_COMPLETENESS = f"CAST(NOT {COMPLETE} AS INTEGER)"
+_STRICT = "CAST(" + " OR ".join(
+    f"{c} IS NULL" for c in ("departure_revised_utc", "departure_runway_utc", "arrival_scheduled_utc",
+                             "arrival_revised_utc", "arrival_runway_utc")) + " AS INTEGER)"
 
 _IATA_FALLBACK_RAW = """COALESCE(airline_iata,
              CASE WHEN number IS NULL THEN NULL
@@ -73,9 +76,7 @@ SELECT row_id, number AS flight_number, UPPER(callSign) AS callsign,
        COALESCE(airline_icao, left(UPPER(callSign), 3)) AS airline_icao
 FROM raw_departures"""),
         "reliability_score": with_ctes(arr, ARR_BASE_CTES, """
-SELECT row_id, CASE WHEN arrival_runway_utc IS NOT NULL THEN 2
-                    WHEN arrival_revised_utc IS NOT NULL THEN 1 ELSE 0 END AS reliability_score
-FROM arr_base"""),
+SELECT row_id, {r} AS reliability_score FROM arr_base""".format(r=RELIABILITY)),
         "completeness_flag": with_ctes(dep, [DEP_FILTERED], f"""
 SELECT row_id, {_COMPLETENESS} AS completeness_flag, {_STRICT} AS strict_flag FROM dep_filtered"""),
         "parse_times": with_ctes(dep, [], """
@@ -112,14 +113,19 @@ FROM dep_latest"""),
 SELECT row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao,
        {_COMPLETENESS} AS completeness_flag
 FROM dep_base"""),
-        "pair_rank": with_ctes(dep, DEP_BASE_CTES + [DEP_OPERATOR], """
-SELECT row_id, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc,
-       CAST(rn AS INTEGER) AS pair_rank
-FROM dep_ranked WHERE rn <= 2"""),
-        "pair_rank_scored": with_ctes(arr, ARR_BASE_CTES + [ARR_OPERATOR], """
-SELECT row_id, flight_date, callsign, aircraft_mode_s, airport_icao, reliability_score,
-       CAST(rn AS INTEGER) AS pair_rank
-FROM arr_ranked WHERE rn <= 2"""),
+        "pair_rank": with_ctes(dep, DEP_BASE_CTES, f"""
+SELECT row_id, {PAIR}, departure_scheduled_utc, CAST(pair_rank AS INTEGER) AS pair_rank
+FROM (SELECT *, row_number() OVER (PARTITION BY {PAIR} ORDER BY departure_scheduled_utc NULLS LAST, row_id) AS pair_rank
+      FROM dep_base WHERE codeshare_status = 'IsOperator' AND status = 'Departed'
+        AND COALESCE(callsign, aircraft_mode_s) IS NOT NULL) g
+WHERE pair_rank < 3"""),
+        "pair_rank_scored": with_ctes(arr, ARR_BASE_CTES, f"""
+SELECT row_id, {PAIR}, reliability_score, CAST(pair_rank AS INTEGER) AS pair_rank
+FROM (SELECT *, {RELIABILITY} AS reliability_score,
+             row_number() OVER (PARTITION BY {PAIR} ORDER BY {RELIABILITY} DESC, row_id) AS pair_rank
+      FROM arr_base WHERE codeshare_status = 'IsOperator' AND status IN ('Arrived', 'Approaching', 'Delayed')
+        AND COALESCE(callsign, aircraft_mode_s) IS NOT NULL) g
+WHERE pair_rank < 3"""),
         "pair_merge_departures": with_ctes(dep, DEP_BASE_CTES + [DEP_OPERATOR], "SELECT * FROM dep_operator"),
         "pair_merge_arrivals": with_ctes(arr, ARR_BASE_CTES + [ARR_OPERATOR], "SELECT * FROM arr_operator"),
         "airport_codes": with_ctes(ap, [], "SELECT DISTINCT icao FROM raw_airports"),
@@ -260,7 +266,6 @@ def _movements_cte() -> str:
 
 
 def ops_sql() -> dict[str, str]:
-    from aerostage.plans.oracle import ARR_BASE_CTES, DEP_BASE, DEP_LATEST
     from aerostage.schemas import ARRIVAL_FIELDS, DEPARTURE_FIELDS
 
     dep, arr, ap, fl = ["raw_departures"], ["raw_arrivals"], ["raw_airports"], ["raw_flights"]
@@ -273,7 +278,6 @@ def ops_sql() -> dict[str, str]:
   SELECT * REPLACE ('Departed' AS status, TIMESTAMP '2025-01-03 00:00:00' AS ingestion_timestamp)
   FROM raw_departures WHERE status = 'Canceled' AND flight_date >= DATE '2024-01-28'
 )"""
-    filtered_all = DEP_FILTERED.replace("FROM raw_departures", "FROM raw_all")
     kpi_ctes = DEP_BASE_CTES + [DEP_OPERATOR] + ARR_BASE_CTES + [ARR_OPERATOR, _movements_cte()]
     delay_aggs = """count(delay_seconds) AS with_actual,
        CAST(sum(delay_seconds) AS BIGINT) AS total_delay_seconds,
@@ -291,7 +295,7 @@ SELECT 'departures' AS table_name, CAST(1 AS BIGINT) AS batch_id, row_id, flight
 FROM raw_departures
 UNION ALL
 SELECT 'arrivals', CAST(1 AS BIGINT), row_id, flight_date, {first} FROM raw_arrivals"""),
-        "incremental_refresh": with_ctes(dep, [late, filtered_all, DEP_LATEST, DEP_BASE, DEP_OPERATOR],
+        "incremental_refresh": with_ctes(dep, [late, *departures("raw_all"), DEP_OPERATOR],
                                          "SELECT * FROM dep_operator"),
         "day_bounds": with_ctes(dep, [], """
 SELECT flight_date,
@@ -339,24 +343,23 @@ FROM (
   FROM dep_not_departed
 ) t
 GROUP BY airport_icao, flight_date, hour"""),
-        "link_schedule_observed": with_ctes(dep + fl, DEP_BASE_CTES + [DEP_OPERATOR, FLIGHTS], """
-SELECT row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc,
-       link_key, icao24, first_seen_ts, gap_seconds
-FROM (
-  SELECT d.*, 'mode_s' AS link_key, o.icao24, o.first_seen_ts
-  FROM dep_operator d
-  LEFT JOIN stg_flights o ON d.aircraft_mode_s = o.icao24 AND d.flight_date = CAST(o.first_seen_ts AS DATE)
-  WHERE d.aircraft_mode_s IS NOT NULL
+        "link_schedule_observed": with_ctes(dep + fl, DEP_BASE_CTES + [DEP_OPERATOR, FLIGHTS, """timed AS (
+  SELECT row_id, callsign, aircraft_mode_s,
+         COALESCE(departure_runway_utc, departure_revised_utc, departure_scheduled_utc) AS t
+  FROM dep_operator
+)""", """found AS (
+  SELECT d.row_id, 0 AS pref, 'mode_s' AS link_key, o.icao24, o.first_seen_ts, abs(date_diff('second', d.t, o.first_seen_ts)) AS gap
+  FROM timed d JOIN stg_flights o ON d.aircraft_mode_s = o.icao24
   UNION ALL
-  SELECT d.*, 'callsign' AS link_key, o.icao24, o.first_seen_ts
-  FROM dep_operator d
-  LEFT JOIN stg_flights o ON d.callsign = o.callsign AND d.flight_date = CAST(o.first_seen_ts AS DATE)
-  WHERE d.aircraft_mode_s IS NULL
-) j, LATERAL (SELECT abs(date_diff('second', COALESCE(j.departure_runway_utc, j.departure_revised_utc,
-                                                      j.departure_scheduled_utc), j.first_seen_ts)) AS gap_seconds) g
-QUALIFY ROW_NUMBER() OVER (
-  PARTITION BY row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc
-  ORDER BY gap_seconds NULLS LAST, first_seen_ts NULLS LAST, icao24 NULLS LAST) = 1"""),
+  SELECT d.row_id, 1, 'callsign', o.icao24, o.first_seen_ts, abs(date_diff('second', d.t, o.first_seen_ts))
+  FROM timed d JOIN stg_flights o ON d.callsign = o.callsign
+)""", """best AS (
+  SELECT row_id, first(f ORDER BY pref, gap, first_seen_ts, icao24 NULLS LAST) AS one
+  FROM found f WHERE gap <= 43200 GROUP BY row_id
+)"""], """
+SELECT d.row_id, flight_number, flight_date, callsign, aircraft_mode_s, airport_icao, departure_scheduled_utc,
+       one.link_key AS link_key, one.icao24 AS icao24, one.first_seen_ts AS first_seen_ts, one.gap AS gap_seconds
+FROM dep_operator d LEFT JOIN best b ON d.row_id = b.row_id"""),
         "streaming_landing": with_ctes(dep, [], f"SELECT {dep_cols}, {first} AS ingestion_timestamp, "
                                                 "'AeroDataBox' AS data_source, CAST(0 AS BIGINT) AS batch "
                                                 "FROM raw_departures"),
@@ -391,22 +394,14 @@ def publication_sql() -> dict[str, str]:
 def daily_sql() -> dict[str, str]:
     """The daily run loads schedules without a row id, stamped with one batch time: every ranking's
     ties fall back to all other columns in name order."""
-    from aerostage.plans.oracle import DEP_BASE, DEP_LATEST
-    from aerostage.plans.staging import DEP_BASE_COLUMNS, DEPARTURE_FLIGHT, DEPARTURE_IDENTITY, PAIR_KEYS
+    from aerostage.plans.staging import DEP_BASE_COLUMNS
     from aerostage.schemas import DEPARTURE_FIELDS
 
-    def tiebreak(keys) -> str:
-        return ", ".join(f"{c} ASC NULLS LAST" for c in sorted(c for c in DEP_BASE_COLUMNS if c not in keys))
+    def tiebreak(keys: str) -> str:
+        return ", ".join(f"{c} ASC NULLS LAST" for c in sorted(set(DEP_BASE_COLUMNS) - set(keys.split(", "))))
 
     cols = ", ".join(f'"{n}"' for n, _, _ in DEPARTURE_FIELDS)
     loaded = (f"raw_loaded AS (SELECT {cols}, TIMESTAMP '2025-01-02 00:00:00' AS ingestion_timestamp, "
               "'AeroDataBox' AS data_source FROM raw_departures)")
-    filtered = DEP_FILTERED.replace("SELECT row_id,", "SELECT").replace("FROM raw_departures", "FROM raw_loaded")
-    latest = DEP_LATEST.replace("row_id) = 1", f"{tiebreak(DEPARTURE_IDENTITY)}) = 1")
-    base = DEP_BASE.replace("END, row_id) = 1", f"END, {tiebreak(DEPARTURE_FLIGHT)}) = 1")
-    operator = DEP_OPERATOR.replace("p.row_id, ", "").replace(
-        "ORDER BY departure_scheduled_utc NULLS LAST, row_id", f"ORDER BY departure_scheduled_utc NULLS LAST, "
-                                                               f"{tiebreak(PAIR_KEYS)}")
-    assert "row_id" not in filtered + latest + base + operator
-    return {"daily_run": with_ctes(["raw_departures"], [loaded, filtered, latest, base, operator],
-                                   "SELECT * FROM dep_operator")}
+    ctes = [loaded, *departures("raw_loaded", tiebreak, row_id=False), departures_merged(tiebreak, row_id=False)]
+    return {"daily_run": with_ctes(["raw_departures"], ctes, "SELECT * FROM dep_operator")}
