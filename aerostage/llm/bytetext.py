@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 #: Blank bytes: 0x20 and 0x09-0x0D (fixed by the operators' definition of a word).
 SPACE = np.zeros(256, bool)

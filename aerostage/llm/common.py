@@ -13,6 +13,8 @@ from aerostage.session import scratch_path
 
 #: Row limit up to which a one-column key list may be broadcast (about 16 bytes a row).
 BROADCAST_ROWS = 1_000_000
+#: Bytes of rows in one Arrow batch for a Python worker (one row at least); the JVM and the worker hold a few of them.
+BATCH_BYTES = 8 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,7 +46,9 @@ def partitions(spark: SparkSession) -> int:
 
 def ship(spark: SparkSession) -> None:
     """Send the library to the executors as a zip through Spark's own file server, once for each context,
-    so that the Arrow functions of this package can be imported there without an installation."""
+    so that the Arrow functions of this package can be imported there without an installation. Arrow batches of
+    the session are bounded by BATCH_BYTES, on both sides of the Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return

@@ -26,7 +26,7 @@ END = 2
 #: Pieces packed together in one task.
 BLOCK = 16_384
 #: Bytes of text encoded together.
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 def default_vocabulary() -> str:
     import public_tokenizers
