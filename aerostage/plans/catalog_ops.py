@@ -37,12 +37,15 @@ def q_append_defaults(spark, sf_dir):
 
 @query("committed_batches")
 def q_committed_batches(spark, sf_dir):
-    """K5: batch 1 published; batch 2 crashed after departures, before arrivals - only batch 1 is read."""
+    """K5: batch 1 crashed, was retried, published and sent again; batch 2 crashed after departures, before
+    arrivals - batch 1 is read, once."""
     root = scratch_path(spark, "batches")
     dep = _without_defaults(raw(spark, sf_dir, "raw_departures"))
     arr = _without_defaults(raw(spark, sf_dir, "raw_arrivals"))
-    store.write_batch({"departures": dep, "arrivals": arr}, root, 1, FIRST_LOAD)
-    store.write_batch({"departures": dep}, root, 2, LATE_LOAD, publish=False)
+    store.write_batch({"departures": dep}, root, 1, FIRST_LOAD, publish_it=False)
+    for _ in range(2):
+        store.write_batch({"departures": dep, "arrivals": arr}, root, 1, FIRST_LOAD)
+    store.write_batch({"departures": dep}, root, 2, LATE_LOAD, publish_it=False)
     d = store.read_committed(spark, root, "departures").select(F.lit("departures").alias("table_name"), "batch_id",
                                                                "row_id", "flight_date", "ingestion_timestamp")
     a = store.read_committed(spark, root, "arrivals").select(F.lit("arrivals").alias("table_name"), "batch_id",
@@ -223,7 +226,8 @@ def q_filter_destination(spark, sf_dir):
 # ---- the daily run -------------------------------------------------------------------------------------
 @query("daily_run")
 def q_daily_run(spark, sf_dir):
-    """Land every feed, run the daily job over all landed days, read the staged operator departures."""
+    """Land every feed, run the daily job twice (the second run finds nothing new), read the staged
+    operator departures."""
     from aerostage.plans import daily
     from aerostage.plans.catalog_nested import flights_for_landing
     from aerostage.sources import landing
@@ -236,4 +240,5 @@ def q_daily_run(spark, sf_dir):
     airports_csv = f"{root}/landing/airports"
     landing.write_airports_csv(raw(spark, sf_dir, "raw_airports"), airports_csv)
     daily.run_days(spark, layout, batch_id=1, batch_ts=FIRST_LOAD, airports_csv=airports_csv)
+    daily.run_days(spark, layout, batch_id=2, batch_ts=LATE_LOAD, airports_csv=airports_csv)
     return daily.read_staged(spark, layout, "stg_departures_operator")

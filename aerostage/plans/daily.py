@@ -1,34 +1,33 @@
 """The daily run: landed feeds -> raw tables -> staging tables -> checks, as Spark jobs.
 
-One run covers the requested days (every landed day when none are given):
+One run loads the files that no earlier run has loaded, or, with days given, reloads those days:
 
-1. **Load** (E1, E2): read the landed schedule payloads and observed flights of those days (folder
-   partition pruning), flatten them and append departures, arrivals and flights to the raw tables as
-   one batch, published through the manifest only after all three are written (K2-K5).
-2. **Stage** (E3, D5, D6): rebuild the staging models for the touched days only, from the published
-   raw rows of those days, with dynamic partition overwrite. The departures and arrivals base tables
+1. **Load** (E1, E2): read those landed schedule payloads and observed flights (folder partition
+   pruning), flatten them and write departures, arrivals, flights and the list of files as one batch,
+   published through the manifest only after all are written (K2-K5). A malformed record fails the load.
+2. **Stage** (E3, D5, D6): rebuild the staging models of the touched days (of every batch that is
+   published and not staged yet) from the published raw rows of those days, replaced as a set. The departures and arrivals base tables
    are written first; the class and pair-merged tables are derived from the written base tables.
    The airport dimension is rebuilt whole when an airport file is given.
 3. **Check** (Q1-Q7): run the declared checks on the touched days of every staging table and append
    the results, stamped with the batch id, to a results table.
 
-Layout under ``warehouse``: ``raw/{departures,arrivals,flights,_batches}``, ``staging/<model>``,
+Layout under ``warehouse``: ``raw/{departures,arrivals,flights,files,_batches,_staged}``, ``staging/<model>``,
 ``checks``. Every step is a distributed job; the driver only holds the list of touched days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostage import schemas
 from aerostage.plans import checks, staging, store
+from aerostage.session import materialize
 from aerostage.sources import payload
 
 
@@ -69,14 +68,16 @@ ARRIVAL_MODELS = {
 }
 
 
-def landed_days(df: DataFrame, col: str) -> list[dt.date]:
-    """Days present in a day-partitioned read, from its file listing (no data is read)."""
-    found = set()
-    for f in df.inputFiles():
-        m = re.search(rf"/{col}=(\d{{4}}-\d{{2}}-\d{{2}})/", f)
-        if m:
-            found.add(dt.date.fromisoformat(m.group(1)))
-    return sorted(found)
+FILE = "file_path string, file_modification_time timestamp, day date"
+
+
+def landed_files(spark: SparkSession, root: str, col: str) -> DataFrame:
+    """Landed files of a feed with their change time and day, from the listing (no content is read)."""
+    if not store.path_exists(spark, root):
+        return spark.createDataFrame([], FILE)
+    listed = spark.read.format("binaryFile").load(root)
+    day = F.col(col).cast("date") if col in listed.columns else F.lit(None).cast("date")
+    return listed.select("_metadata.file_path", "_metadata.file_modification_time", day.alias("day"))
 
 
 def _on_days(df: DataFrame, col: str, days: list[dt.date] | None) -> DataFrame:
@@ -85,36 +86,61 @@ def _on_days(df: DataFrame, col: str, days: list[dt.date] | None) -> DataFrame:
 
 def load(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
          days: list[dt.date] | None = None) -> list[dt.date]:
-    """Step 1. Returns the touched days (bounded by the calendar). A feed with nothing landed (no
-    folder) loads as empty; the other feed still loads."""
-    payload_schema = payload.with_fields(schemas.SCHEDULE_PAYLOAD, payload.REQUEST_COLUMNS)
-    flights_schema = payload.with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)])
-    payloads = (payload.read_schedule_payloads(spark, layout.schedules) if store.path_exists(spark, layout.schedules)
-                else spark.createDataFrame([], payload_schema))
-    payloads = _on_days(payloads, "flight_date", days)
-    schedule_days = landed_days(payloads, "flight_date")  # from the file listing, before caching
-    # Departures and arrivals are written by two jobs from the same files: parse the day's JSON once.
-    # Disk-backed, so it is not bounded by executor memory; a lost block is re-parsed from its files.
-    payloads = payloads.persist(StorageLevel.DISK_ONLY)
-    dep = payload.departures_from_payloads(payloads).drop("half")
-    arr = payload.arrivals_from_payloads(payloads).drop("half")
-    fl = (payload.read_observed_flights(spark, layout.flights) if store.path_exists(spark, layout.flights)
-          else spark.createDataFrame([], flights_schema))
-    fl = _on_days(fl, "record_date", days)
-    landed = set(schedule_days) | set(landed_days(fl, "record_date"))
-    touched = sorted(landed if days is None else landed & set(days))
-    if not touched:
-        payloads.unpersist()
+    """Step 1. Returns the touched days (bounded by the calendar). Without ``days``, files that no published
+    batch holds (by name and change time) are loaded; ``days`` reloads all files of those days. The files of a
+    batch are published with its rows. A feed with nothing landed loads as empty; the other still loads."""
+    feeds = {"schedules": (layout.schedules, "flight_date"), "flights": (layout.flights, "record_date")}
+    listed = [landed_files(spark, root, col).withColumn("feed", F.lit(name)) for name, (root, col) in feeds.items()]
+    new = listed[0].unionByName(listed[1])
+    if days is None:
+        done = store.read_committed(spark, layout.raw, "files", RAW_SCHEMAS["files"])
+        new = new.join(done, ["file_path", "file_modification_time"], "left_anti")
+    else:
+        new = new.where(F.col("day").isin(days))
+    new = materialize(new, "new-files")  # fixed, so that a file landing meanwhile is taken by the next load
+    found = {name: [r[0] for r in new.where(F.col("feed") == name).select("day").distinct().collect()] for name in feeds}
+    if not any(found.values()):
         return []
-    try:
-        store.write_batch({"departures": dep, "arrivals": arr, "flights": fl}, layout.raw, batch_id, batch_ts,
-                          sources={"flights": None}, partition_cols={"flights": "record_date"})
-    finally:
-        payloads.unpersist()
-    return touched
+
+    def rows(name: str, read, empty: T.StructType) -> DataFrame:
+        root, col = feeds[name]
+        if not found[name]:
+            return spark.createDataFrame([], empty)
+        known = [d for d in found[name] if d is not None]
+        on_days = F.col(col).isin(known) | (F.col(col).isNull() if None in found[name] else F.lit(False))
+        files = store.bounded(new.where(F.col("feed") == name).select(F.col("file_path").alias("__file")))
+        return read(spark, root).withColumn("__file", F.col("_metadata.file_path")).where(on_days).join(
+            files, "__file", "left_semi").drop("__file")
+
+    payloads = rows("schedules", payload.read_schedule_payloads, payload.with_fields(schemas.SCHEDULE_PAYLOAD, payload.REQUEST_COLUMNS))
+    fl = rows("flights", payload.read_observed_flights, payload.with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)]))
+    tables = {"departures": payload.departures_from_payloads(payloads).drop("half"),
+              "arrivals": payload.arrivals_from_payloads(payloads).drop("half"),
+              "flights": fl.withColumn("seen_day", staging.raw_seen_day(fl)), "files": new}
+    if not store.write_batch(tables, layout.raw, batch_id, batch_ts, sources={"flights": None, "files": None},
+                             partition_cols={"flights": "seen_day", "files": None}, schemas=RAW_SCHEMAS):
+        raise ValueError(f"batch {batch_id} is published already; load new files under a new id")
+    return sorted({d for ds in found.values() for d in ds if d is not None})
+
+
+RAW_SCHEMAS = {
+    "departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS,
+    "flights": payload.with_fields(schemas.RAW_FLIGHTS, [("seen_day", schemas.D)]),
+    "files": T.StructType([T.StructField("file_path", T.StringType(), True),
+                           T.StructField("file_modification_time", T.TimestampType(), True),
+                           T.StructField("day", T.DateType(), True), T.StructField("feed", T.StringType(), True)]),
+}
+#: Manifest of the batches whose days are staged and checked.
+STAGED = "_staged"
 
 
-RAW_SCHEMAS = {"departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS, "flights": schemas.RAW_FLIGHTS}
+def pending(spark: SparkSession, layout: Layout) -> tuple[list[int], list[dt.date]]:
+    """Published batches that are not staged yet (a run that failed after its load leaves one), and their days."""
+    done = store.manifest(spark, layout.raw, STAGED)
+    ids = store.manifest(spark, layout.raw).join(done, "batch_id", "left_anti").select("batch_id")
+    files = store.read_committed(spark, layout.raw, "files", RAW_SCHEMAS["files"]).join(store.bounded(ids), "batch_id", "left_semi")
+    batches = sorted(r[0] for r in ids.collect())
+    return batches, sorted(r[0] for r in files.where("day is not null").select("day").distinct().collect())
 
 
 def _committed(spark: SparkSession, layout: Layout, name: str, day_col: str, days: list[dt.date]) -> DataFrame:
@@ -122,6 +148,13 @@ def _committed(spark: SparkSession, layout: Layout, name: str, day_col: str, day
     return raw.where(F.col(day_col).isin(days)).drop("batch_id")
 
 
+def seen_days(spark: SparkSession, layout: Layout, days: list[dt.date], batches: list[int] | None) -> list[dt.date]:
+    """First-seen days of the flights of ``batches`` (only their folders are read), or else of record days ``days``."""
+    raw = store.read_committed(spark, layout.raw, "flights", RAW_SCHEMAS["flights"])
+    raw = raw.where(F.col("record_date").isin(days) if batches is None else F.col("batch_id").isin(batches))
+    return sorted(r[0] for r in raw.select("seen_day").distinct().collect())
+
+
 def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None,
                 schema: T.StructType | None = None) -> DataFrame:
     """A staging table (its days). Pass the model's schema when the table may hold no file yet."""
@@ -130,16 +163,19 @@ def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.d
 
 
 def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv: str | None = None,
-          loaded_at: dt.datetime | None = None) -> dict[str, T.StructType]:
+          loaded_at: dt.datetime | None = None, batches: list[int] | None = None) -> dict[str, T.StructType]:
     """Step 2. Rebuild the staging tables of ``days``; returns each written model's schema.
 
+    A flight can be returned on several record days, so ``stg_flights`` is kept by first-seen day
+    (``seen_day``): all records of one flight share it, and the touched first-seen days are rebuilt whole.
+
     A model can have no row on the touched days; its folder then holds no data file, so staged tables
     are read back with the schema of the plan that wrote them, never by inference.
     """
     written: dict[str, T.StructType] = {}
 
-    def put(name: str, df: DataFrame) -> None:
-        store.replace_days(df, layout.staging(name), days)
+    def put(name: str, df: DataFrame, on: list[dt.date] = days, col: str = "flight_date") -> None:
+        store.replace_days(df, layout.staging(name), on, col)
         written[name] = df.schema
 
     for base_name, base_fn, raw_name, derived in (
@@ -149,7 +185,9 @@ def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv
         base = read_staged(spark, layout, base_name, days, written[base_name])
         for name, fn in derived.items():
             put(name, fn(base))
-    put("stg_flights", staging.flights(_committed(spark, layout, "flights", "record_date", days)))
+    seen = seen_days(spark, layout, days, batches)
+    observed = staging.flights(_committed(spark, layout, "flights", "seen_day", seen))
+    put("stg_flights", observed.withColumn("seen_day", staging.seen_day("first_seen_ts")), seen, "seen_day")
     if airports_csv:
         stg = staging.airports(payload.read_airports_csv(spark, airports_csv), loaded_at=loaded_at)
         stg.write.mode("overwrite").parquet(layout.staging("stg_airports"))
@@ -165,17 +203,21 @@ def check(spark: SparkSession, layout: Layout, models: dict[str, T.StructType],
         df = spark.read.schema(schema).parquet(layout.staging(m))
         parts[m] = df if m == "stg_airports" else _on_days(df, "flight_date", days)
     results = checks.run_all(parts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-    results.write.mode("append").parquet(layout.checks)
-    return spark.read.parquet(layout.checks).where(F.col("batch_id") == batch_id)
+    path = f"{layout.checks}/batch_id={batch_id}"
+    results.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(results.schema).parquet(layout.checks).where(F.col("batch_id") == batch_id)
 
 
 def run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
              days: list[dt.date] | None = None, airports_csv: str | None = None) -> DataFrame:
     """Load, stage and check; returns the check results of this run (empty when nothing landed)."""
-    touched = load(spark, layout, batch_id, batch_ts, days)
-    if not touched:
+    load(spark, layout, batch_id, batch_ts, days)
+    batches, touched = pending(spark, layout)
+    if not batches:
         return spark.createDataFrame([], "model string, check_name string, failures bigint, passed boolean, "
                                          "batch_id bigint")
-    models = stage(spark, layout, touched, airports_csv, loaded_at=batch_ts)
-    return check(spark, layout, models, touched, batch_id)
-
+    models = stage(spark, layout, touched, airports_csv, loaded_at=batch_ts, batches=batches)
+    results = check(spark, layout, models, touched, batch_id)
+    for b in batches:
+        store.publish(spark, layout.raw, b, batch_ts, STAGED)
+    return results

@@ -20,6 +20,7 @@ Every window key list contains ``flight_date``, so a date filter passes through
 
 from __future__ import annotations
 
+
 import datetime as _dt
 
 from pyspark.sql import Column, DataFrame
@@ -233,6 +234,20 @@ def airports(raw: DataFrame, loaded_at: _dt.datetime | None = None) -> DataFrame
     return keep_first(renamed, ["airport_icao"], [desc("record_loaded_at")], tiebreak=[asc("airport_key")])
 
 
+# Fixed value: the first-seen day of records without a usable first-seen time.
+SEEN_UNKNOWN = _dt.date(1900, 1, 1)
+
+
+def seen_day(first_seen_ts) -> Column:
+    """Day a flight was first seen: a function of M2's key, so all records of one flight share it."""
+    return F.coalesce(F.to_date(first_seen_ts), F.lit(SEEN_UNKNOWN))
+
+
+def raw_seen_day(raw: DataFrame) -> Column:
+    """``seen_day`` of raw observed flights."""
+    return seen_day(casts.epoch_to_timestamp(casts.safe_cast(raw, "firstSeen", "bigint")))
+
+
 def flights(raw: DataFrame) -> DataFrame:
     """M2: observed flights, newest load of each (icao24, first seen)."""
     extras = [c for c in raw.columns if c == "row_id"]

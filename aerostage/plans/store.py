@@ -3,9 +3,9 @@
 * ``append_raw``: typed append with one batch timestamp and the feed name (K1-K4). The first append
   creates the table; an empty batch writes nothing.
 * ``write_batch`` / ``read_committed``: the schedule load writes departures *and* arrivals or neither
-  (K5). Plain Parquet has no multi-table transaction, so each row carries its ``batch_id`` and a batch
-  becomes visible only when its id is appended to a manifest, after both writes succeeded. Readers
-  semi-join on the manifest; rows of a batch that crashed half-way are never read.
+  (K5). Plain Parquet has no multi-table transaction, so a batch has its own ``batch_id=`` folder in each
+  table and becomes visible only when its id is in the manifest, after all writes succeeded. A batch that
+  crashed is never read; retried under its id it replaces its own folders; a published one is not written again.
 * ``refresh_partitions``: recompute only the ``flight_date`` partitions a new load touched, with
   dynamic partition overwrite (D5). Every staging window's keys contain ``flight_date``, so a per-day
   recompute is exact; the touched-day semi-join lets dynamic partition pruning skip the rest.
@@ -26,6 +26,9 @@ from aerostage.schemas import SCHEDULE_SOURCE_NAME
 from aerostage.session import materialize
 
 MANIFEST = "_batches"
+MANIFEST_SCHEMA = T.StructType([T.StructField("committed_at", T.TimestampNTZType(), True), T.StructField("batch_id", T.LongType(), True)])
+#: Rows (16 bytes each) up to which a list of ids or file names may be broadcast; beyond, the join shuffles.
+BROADCAST_ROWS = 1_000_000
 
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = True) -> DataFrame:
@@ -59,34 +62,63 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def bounded(keys: DataFrame) -> DataFrame:
+    """``keys`` with a broadcast hint if they are few enough (counted), else as they are."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def manifest(spark: SparkSession, root: str, name: str = MANIFEST) -> DataFrame:
+    """Published batch ids and their times; none where nothing was published yet."""
+    path = f"{root}/{name}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+
+
+def publish(spark: SparkSession, root: str, batch_id: int, batch_ts: dt.datetime, name: str = MANIFEST) -> None:
+    """Enter a batch in a manifest; entering it again replaces the entry."""
+    entry = spark.range(1).select(F.lit(batch_ts).cast("timestamp_ntz").alias("committed_at"))
+    entry.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}/batch_id={batch_id}")
+
+
 def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int, batch_ts: dt.datetime,
-                publish: bool = True, sources: dict[str, str | None] | None = None,
-                partition_cols: dict[str, str] | None = None) -> None:
-    """K5: write every table of one load stamped with ``batch_id``; publish the id last.
+                publish_it: bool = True, sources: dict[str, str | None] | None = None,
+                partition_cols: dict[str, str | None] | None = None,
+                schemas: dict[str, T.StructType] | None = None) -> bool:
+    """K5: write every table of one load to its ``batch_id=`` folder; publish the id last. Returns False, and
+    writes nothing, if the id is published already.
 
     ``sources`` gives a table's feed name (``None``: the table has no ``data_source`` column);
-    ``partition_cols`` its day column (default ``flight_date``).
+    ``partition_cols`` its day column (default ``flight_date``; ``None``: not partitioned); ``schemas`` its
+    typed layout. Writers that share a root must use different ids.
     """
-    sources, partition_cols = sources or {}, partition_cols or {}
+    spark = next(iter(tables.values())).sparkSession
+    if not manifest(spark, root).where(F.col("batch_id") == batch_id).isEmpty():
+        return False
+    sources, partition_cols, schemas = sources or {}, partition_cols or {}, schemas or {}
     for name, df in tables.items():
-        source = sources.get(name, SCHEDULE_SOURCE_NAME)
-        stamped = with_load_defaults(df, batch_ts, source).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        stamped.write.mode("append").partitionBy(partition_cols.get(name, "flight_date")).parquet(f"{root}/{name}")
-    if publish:
-        spark = next(iter(tables.values())).sparkSession
-        manifest = spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
-                                         F.lit(batch_ts).cast("timestamp_ntz").alias("committed_at"))
-        manifest.write.mode("append").parquet(f"{root}/{MANIFEST}")
+        rows = with_load_defaults(df, batch_ts, sources.get(name, SCHEDULE_SOURCE_NAME))
+        rows = conform(rows, schemas[name]) if name in schemas else rows
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        day = partition_cols.get(name, "flight_date")
+        (writer.partitionBy(day) if day else writer).parquet(f"{root}/{name}/batch_id={batch_id}")
+    if publish_it:
+        publish(spark, root, batch_id, batch_ts)
+    return True
 
 
 def read_committed(spark: SparkSession, root: str, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of published batches only. Pass the table's schema (without ``batch_id``) when a load may
-    have written no row, so nothing has to be inferred from files."""
-    manifest = spark.read.parquet(f"{root}/{MANIFEST}").select("batch_id")
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType(), True)]))
-    return reader.parquet(f"{root}/{name}").join(manifest, "batch_id", "left_semi")
+    """Rows of published batches only, chosen by folder (``batch_id`` is a partition value, so rows are not
+    shuffled on it). Pass the table's schema (without ``batch_id``) when a load may have written no row, so
+    nothing has to be inferred from files."""
+    ids = bounded(manifest(spark, root).select("batch_id"))
+    if schema is None:
+        found = spark.read.parquet(f"{root}/{name}").withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        return found.join(ids, "batch_id", "left_semi")
+    full = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType(), True)])
+    if not path_exists(spark, f"{root}/{name}"):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(f"{root}/{name}").join(ids, "batch_id", "left_semi")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

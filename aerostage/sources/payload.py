@@ -3,6 +3,9 @@
 Every reader declares its schema (nothing is inferred: an airport code like ``0123`` stays text) and
 takes request attributes (airport, date, half, direction) from the landing folder names, which Spark
 turns into partition columns - a date filter on a read becomes partition pruning.
+
+A malformed record (cut off, or a document over several lines read line by line) fails the read, as a bad
+response fails the load; ``multi_line`` reads pretty-printed documents, one to a file.
 """
 
 from __future__ import annotations
@@ -22,9 +25,17 @@ def with_fields(schema: T.StructType, extra) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(n, t, True) for n, t in extra])
 
 
-def read_schedule_payloads(spark: SparkSession, root: str) -> DataFrame:
+#: Reader option of every JSON feed: no record is lost without an error.
+STRICT = {"mode": "FAILFAST"}
+
+
+def _json(spark: SparkSession, root: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    return spark.read.schema(schema).options(**STRICT).option("multiLine", multi_line).json(root)
+
+
+def read_schedule_payloads(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """One row per landed payload object: ``departures``, ``arrivals`` arrays and the request columns."""
-    return spark.read.schema(with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS)).json(root)
+    return _json(spark, root, with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS), multi_line)
 
 
 def _field(name: str, p: str | None, t: T.DataType) -> Column:
@@ -56,15 +67,14 @@ def read_observed_flights(spark: SparkSession, root: str, multi_line: bool = Fal
     """Flat observed-flight arrays; ``record_date`` from the folder. Line mode stays splittable;
     ``multi_line`` reads pretty-printed documents (one per file)."""
     schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)])
-    df = spark.read.schema(schema).option("multiLine", multi_line).json(root)
-    return df
+    return _json(spark, root, schema, multi_line)
 
 
-def read_directional_flights(spark: SparkSession, root: str) -> DataFrame:
+def read_directional_flights(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """Per-airport directional flights; airport and direction from the folder names."""
     schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D), ("airport_icao", schemas.S),
                                              ("direction", schemas.S)])
-    return spark.read.schema(schema).json(root)
+    return _json(spark, root, schema, multi_line)
 
 
 AIRPORT_TEXT = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schemas.AIRPORTS_CSV.fields])
@@ -89,9 +99,9 @@ DELAY_PAYLOAD = T.StructType([
 ])
 
 
-def read_delay_payloads(spark: SparkSession, root: str) -> DataFrame:
+def read_delay_payloads(spark: SparkSession, root: str, multi_line: bool = False) -> DataFrame:
     """Airport-delay payloads; the ``from``/``to`` windows as parsed UTC and local times."""
-    df = spark.read.schema(DELAY_PAYLOAD).json(root)
+    df = _json(spark, root, DELAY_PAYLOAD, multi_line)
     return df.select(
         F.col("airportIcao").alias("airport_icao"),
         parse_utc_time(path("from.utc")).alias("from_utc"),

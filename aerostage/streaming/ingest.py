@@ -3,8 +3,10 @@
 The daily load (fetch, flatten, append departures and arrivals) re-expressed as a file-source stream:
 new payload files under the landing root are picked up once, flattened (N5, N3/N4) and appended to the
 raw departures and arrivals tables. Progress lives in the checkpoint, so a restarted job resumes where
-it stopped and no file is loaded twice. Each micro-batch writes to its own ``batch_id=N`` partition with
-overwrite, so a retried batch replaces its own rows instead of repeating them (idempotent sink).
+it stopped and no file is loaded twice. A micro-batch is one batch of ``store.write_batch`` (same layout and
+manifest as the daily load): departures and arrivals become visible together, a retried batch replaces its own
+rows, a published one is not written again. Writers that share a raw root need different ids: the schedule
+stream counts from 0, the flights stream from FLIGHTS_FROM, the daily job takes seconds since the epoch.
 
 ``trigger(availableNow=True)`` runs it as a scheduled batch job: everything landed so far, then stop.
 """
@@ -13,16 +15,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aerostage import schemas
-from aerostage.plans.store import conform, with_load_defaults
-from aerostage.sources.payload import REQUEST_COLUMNS, arrivals_from_payloads, departures_from_payloads, with_fields
+from aerostage.plans import staging, store
+from aerostage.sources.payload import REQUEST_COLUMNS, STRICT, arrivals_from_payloads, departures_from_payloads, with_fields
 
-RAW_TABLES = {"departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS}
+RAW_TABLES = {"departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS,
+              "flights": with_fields(schemas.RAW_FLIGHTS, [("seen_day", schemas.D)])}
+#: First batch id of the flights stream.
+FLIGHTS_FROM = 500_000_000
 
 
 def batch_time(base: dt.datetime, batch_id: int) -> dt.datetime:
@@ -34,23 +37,15 @@ def ingest_schedules(spark: SparkSession, landing_root: str, raw_root: str, chec
                      base_time: dt.datetime, available_now: bool = True,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops by itself after the files present at start."""
-    reader = spark.readStream.schema(with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS))
+    reader = spark.readStream.schema(with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS)).options(**STRICT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing_root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        ts = batch_time(base_time, batch_id)
-        batch = batch.persist(StorageLevel.DISK_ONLY)  # two writes below, one parse of the batch's files
-        try:
-            for name, flat in (("departures", departures_from_payloads(batch)),
-                               ("arrivals", arrivals_from_payloads(batch))):
-                rows = conform(with_load_defaults(flat.drop("half"), ts), RAW_TABLES[name])
-                # Overwrite this batch's own folder: a replayed batch replaces, never repeats, its rows.
-                rows.write.mode("overwrite").partitionBy("flight_date").parquet(
-                    f"{raw_root}/{name}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        tables = {"departures": departures_from_payloads(batch).drop("half"),
+                  "arrivals": arrivals_from_payloads(batch).drop("half")}
+        store.write_batch(tables, raw_root, batch_id, batch_time(base_time, batch_id), schemas=RAW_TABLES)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -58,20 +53,20 @@ def ingest_schedules(spark: SparkSession, landing_root: str, raw_root: str, chec
 
 
 def read_raw(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
-    """All loaded batches of one raw table (``batch`` and ``flight_date`` come from the folders)."""
-    schema = T.StructType(list(RAW_TABLES[name].fields) + [T.StructField("batch", T.LongType(), True)])
-    return spark.read.schema(schema).parquet(f"{raw_root}/{name}")
+    """All published batches of one raw table (``batch`` is the batch id)."""
+    return store.read_committed(spark, raw_root, name, RAW_TABLES[name]).withColumnRenamed("batch_id", "batch")
 
 
 def ingest_flights(spark: SparkSession, landing_root: str, raw_root: str, checkpoint: str,
                    base_time: dt.datetime, available_now: bool = True) -> StreamingQuery:
     """The observed-flights feed (JSON arrays, ``record_date=`` folders) into the raw flights table."""
     schema = with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)])
-    stream = spark.readStream.schema(schema).json(landing_root)
+    stream = spark.readStream.schema(schema).options(**STRICT).json(landing_root)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = with_load_defaults(batch, batch_time(base_time, batch_id), source=None)
-        rows.write.mode("overwrite").partitionBy("record_date").parquet(f"{raw_root}/flights/batch={batch_id}")
+        rows = batch.withColumn("seen_day", staging.raw_seen_day(batch))
+        store.write_batch({"flights": rows}, raw_root, FLIGHTS_FROM + batch_id, batch_time(base_time, batch_id),
+                          sources={"flights": None}, partition_cols={"flights": "seen_day"}, schemas=RAW_TABLES)
 
     writer = stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
@@ -79,5 +74,4 @@ def ingest_flights(spark: SparkSession, landing_root: str, raw_root: str, checkp
 
 
 def read_raw_flights(spark: SparkSession, raw_root: str) -> DataFrame:
-    schema = T.StructType(list(schemas.RAW_FLIGHTS.fields) + [T.StructField("batch", T.LongType(), True)])
-    return spark.read.schema(schema).parquet(f"{raw_root}/flights")
+    return read_raw(spark, raw_root, "flights")

@@ -47,7 +47,8 @@ def test_loading_twice_leaves_staging_unchanged(spark):
     first = daily.read_staged(spark, layout, "stg_departures_operator").drop("ingestion_timestamp")
     first = first.cache()
     n = first.count()
-    daily.run_days(spark, layout, 2, dt.datetime(2025, 1, 3))
+    days = [r[0] for r in daily.read_staged(spark, layout, "stg_departures_base").select("flight_date").distinct().collect()]
+    daily.run_days(spark, layout, 2, dt.datetime(2025, 1, 3), days=days)
     second = daily.read_staged(spark, layout, "stg_departures_operator")
     assert [r[0] for r in second.select("ingestion_timestamp").distinct().collect()] == [dt.datetime(2025, 1, 3)]
     second = second.drop("ingestion_timestamp")
@@ -95,3 +96,49 @@ def test_a_feed_with_nothing_landed_loads_as_empty(spark):
     flights_checks = results.where(F.col("model") == "stg_flights").collect()
     assert flights_checks and all(r.failures == 0 for r in flights_checks)
     assert daily.read_staged(spark, layout, "stg_departures_base").count() > 0
+
+
+def test_only_new_files_are_loaded(spark):
+    root = scratch_path(spark, "t_new_files")
+    layout = _land(spark, root, where="flight_date < '2024-01-10'")
+
+    def loaded():
+        return daily.store.read_committed(spark, layout.raw, "departures", daily.RAW_SCHEMAS["departures"]).count()
+
+    daily.run_days(spark, layout, 1, dt.datetime(2025, 1, 2))
+    n = loaded()
+    assert n == raw(spark, SF_SMALL, "raw_departures").where("flight_date < '2024-01-10'").count() > 0
+    assert daily.run_days(spark, layout, 2, dt.datetime(2025, 1, 3)).count() == 0 and loaded() == n
+    _land(spark, root, where="flight_date = '2024-01-05'", mode="append")  # more files of a loaded day
+    assert daily.load(spark, layout, 3, dt.datetime(2025, 1, 4))[-1] == dt.date(2024, 1, 5)
+    assert loaded() == n + raw(spark, SF_SMALL, "raw_departures").where("flight_date = '2024-01-05'").count()
+    # that run failed before staging: the next one, with nothing new to load, stages its days
+    assert daily.pending(spark, layout)[0] == [3]
+    assert daily.run_days(spark, layout, 4, dt.datetime(2025, 1, 5)).count() > 0
+    assert daily.pending(spark, layout) == ([], [])
+
+
+def test_a_flight_returned_on_two_days_is_staged_once(spark):
+    root = scratch_path(spark, "t_two_days")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    fl = flights_for_landing(spark, SF_SMALL).where("icao24 is not null and firstSeen is not null")
+    one = fl.orderBy("icao24", "firstSeen").limit(1)
+    for batch, day in ((1, "2024-01-05"), (2, "2024-01-06")):
+        landing.write_flight_arrays(one.withColumn("record_date", F.lit(day).cast("date")), layout.flights)
+        daily.run_days(spark, layout, batch, dt.datetime(2025, 1, 1 + batch))
+    got = daily.read_staged(spark, layout, "stg_flights").collect()
+    assert [str(r.flight_date) for r in got] == ["2024-01-06"]
+
+
+def test_a_malformed_record_fails_the_load(spark, tmp_path):
+    import pytest
+
+    folder = tmp_path / "landing" / "schedules" / "airport_icao=EDDF" / "flight_date=2024-01-05" / "half=first_half"
+    folder.mkdir(parents=True)
+    layout = daily.Layout(landing=str(tmp_path / "landing"), warehouse=str(tmp_path / "warehouse"))
+    for text in ('{"departures": [{"number": "A 1"}]}\n{"departures": [{"num', '{\n "departures": [\n {"number": "A 1"}\n ]\n}'):
+        (folder / "response.json").write_text(text)
+        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
+            daily.load(spark, layout, 1, dt.datetime(2025, 1, 2))
+    from aerostage.sources import payload
+    assert payload.read_schedule_payloads(spark, layout.schedules, multi_line=True).first().departures[0].number == "A 1"

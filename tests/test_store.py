@@ -36,7 +36,7 @@ def test_unpublished_batch_is_invisible(spark):
     dep = raw(spark, SF_SMALL, "raw_departures").drop("ingestion_timestamp", "data_source")
     arr = raw(spark, SF_SMALL, "raw_arrivals").drop("ingestion_timestamp", "data_source")
     store.write_batch({"departures": dep, "arrivals": arr}, root, 1, T0)
-    store.write_batch({"departures": dep}, root, 2, T0, publish=False)  # crash before arrivals and manifest
+    store.write_batch({"departures": dep}, root, 2, T0, publish_it=False)  # crash before arrivals and manifest
     seen = store.read_committed(spark, root, "departures")
     assert [r.batch_id for r in seen.select("batch_id").distinct().collect()] == [1]
     assert seen.count() == dep.count()
@@ -69,3 +69,15 @@ def test_reloading_the_same_rows_leaves_staging_unchanged(spark):
     once = staging.departures_operator(staging.departures_base(r)).drop("ingestion_timestamp")
     twice = staging.departures_operator(staging.departures_base(r.unionByName(again))).drop("ingestion_timestamp")
     assert once.count() == twice.count() == once.unionByName(twice).distinct().count()
+
+
+def test_a_retried_batch_is_read_once_without_a_shuffle(spark):
+    root = scratch_path(spark, "t_retry")
+    dep = raw(spark, SF_SMALL, "raw_departures").drop("ingestion_timestamp", "data_source")
+    store.write_batch({"departures": dep}, root, 1, T0, publish_it=False)
+    assert store.write_batch({"departures": dep}, root, 1, T0) is True
+    assert store.write_batch({"departures": dep}, root, 1, T0) is False
+    seen = store.read_committed(spark, root, "departures")
+    assert seen.count() == dep.count()
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(batch_id" not in plan and "SortMergeJoin" not in plan
