@@ -16,7 +16,7 @@ from aerostage.llm.near_duplicates import keep_one_of_each
 from aerostage.llm.packing import digests
 from aerostage.llm.quality_rules import keep_documents
 
-#: A language score below this is taken as no language at all.
+#: A language that contains a smaller share of a text's grams is taken as no language at all.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
