@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from aerostage.llm import language
+from aerostage.llm import language, near_duplicates
 from aerostage.llm.common import ship
 
 DOCUMENT = "doc_id bigint, text string, lang string"
@@ -39,3 +39,23 @@ def test_language_stage_with_few_and_many_languages(sent, n):
     docs = sent.createDataFrame(rows, DOCUMENT)
     kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language_id"](sent, docs, "").collect()}
     assert kept == set(range(len(clean)))
+
+
+def test_near_duplicates_keep_one_row_of_each_group(sent):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(40))
+    a, b, c, d, e = (text() for _ in range(5))
+    near = lambda t: t + " end"
+    rows = [
+        (1, a, "s"), (2, near(a), "s"), (2, b, "s"),  # 2: a near copy of 1 and a text of its own
+        (3, c, "s"), (3, d, "s"),  # one id, unrelated texts
+        (None, e, "s"), (None, e, "s"), (None, near(e), "s"),  # a group without ids
+        (None, near(d), "s"),  # a copy without an id of a text with one
+        (4, None, "s"), (None, "", "s"), (5, text(), "s"), (5, None, "s"),
+    ]
+    rows[-1] = (5, rows[-2][1], "s")  # a repeated row
+    docs = sent.createDataFrame(rows, DOCUMENT)
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in near_duplicates.keep_one_of_each(docs).collect()))
+    left = [x for x in got if x[0] or x[1] not in (e, near(e))]
+    assert left == sorted([(1, a), (2, b), (3, c), (3, d), (4, ""), (0, ""), (5, rows[-1][1])])
+    assert len(got) - len(left) == 1
