@@ -1,4 +1,5 @@
-"""Language ID (5): Bloom filters of byte 4-grams, bit-sliced so that one slot holds a bit for each language.
+"""Language ID (5): Bloom filters of byte 4-grams, bit-sliced so that one slot holds a bit for each language, in as
+many 62-bit words as the languages need.
 
 A lookup ANDs the slots of a gram and returns every language that may contain it. A document's hits are
 counted for each language, corrected for the filter's false positives (fill ** hashes), and the language with
@@ -7,8 +8,8 @@ MIN_COUNT times, and with at least RELATIVE of the highest rate in any language,
 from another language don't count.
 
 The model is fitted on a bounded sample: about SAMPLE_DOCS training documents of each language, chosen by a
-hash of the id. Grams are counted by Spark; the driver gets the filter (SLOTS_MAX slots at most) and a row
-for each language (62 at most).
+hash of the id. Grams are counted by Spark; the driver gets the filter (SLOTS_MAX slots at most, of 8 bytes for
+each 62 languages) and a row for each language. Every language of the training rows is learned.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0. A text without any known gram
 gets the most frequent language with score 0. Rows with null ids are predicted and not learned from. With no
@@ -32,6 +33,8 @@ SAMPLE_DOCS = 8_000
 FOLDS, HELD_OUT = 4, 2
 MIN_COUNT, RELATIVE = 3, 0.2
 SLOTS_MAX = 1 << 22
+#: Languages in one mask word.
+WORD_BITS = 62
 #: Odd multipliers of the hash functions.
 HASHES = (0x5BD1E995, 0x1B873593, 0x2C1B3C6D)
 
@@ -61,16 +64,16 @@ def _lowered(texts: pa.Array) -> Texts:
 @dataclass
 class LanguageModel:
     languages: list[str]
-    masks: np.ndarray  # bit l of a slot: language l
+    masks: np.ndarray  # words x slots; bit l % WORD_BITS of word l // WORD_BITS of a slot: language l
     false_hits: np.ndarray  # chance that an absent gram is found, by language
     common: int  # most frequent language
 
     def languages_of(self, g: np.ndarray) -> np.ndarray:
-        """Bitmask of the languages that contain each gram, or seem to."""
-        shift = U64(32 - int(np.log2(len(self.masks))))
+        """Mask words (words x grams) of the languages that contain each gram, or seem to."""
+        shift = U64(32 - int(np.log2(self.masks.shape[1])))
         out = None
         for c in HASHES:
-            m = self.masks[((g.astype(np.uint64) * U64(c)) & U64(0xFFFFFFFF)) >> shift]
+            m = self.masks[:, ((g.astype(np.uint64) * U64(c)) & U64(0xFFFFFFFF)) >> shift]
             out = m if out is None else out & m
         return out
 
@@ -85,7 +88,7 @@ class LanguageModel:
         total = np.maximum(t.per_text(np.r_[ok, np.zeros(pad, bool)]), 1)
         share = np.empty((len(self.languages), t.n))
         for l in range(len(self.languages)):
-            hits = t.per_text(np.r_[(mask >> l) & 1, np.zeros(pad, mask.dtype)])
+            hits = t.per_text(np.r_[(mask[l // WORD_BITS] >> (l % WORD_BITS)) & 1, np.zeros(pad, mask.dtype)])
             share[l] = np.clip((hits / total - self.false_hits[l]) / (1 - self.false_hits[l]), 0, 1)
         best, own, all_ = share.argmax(0), share.max(0), share.sum(0)
         score = np.where(all_ > 0, own / np.where(all_ > 0, all_, 1), 0.0)
@@ -125,30 +128,33 @@ def _counted(train: DataFrame, languages: list[str]) -> DataFrame:
 
 def fit(train: DataFrame, sample: int = SAMPLE_DOCS) -> LanguageModel:
     """Model from (lang, text, doc_id) rows with a language."""
-    sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(62).collect()}
+    sizes = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return LanguageModel([], np.zeros(1 << 10, np.int64), np.zeros(0), 0)
-    share = F.create_map(*[x for l in languages for x in (F.lit(l), F.lit(min(1.0, sample / sizes[l])))])
-    chosen = train.where((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)) < share[F.col("lang")])
+        return LanguageModel([], np.zeros((1, 1 << 10), np.int64), np.zeros(0), 0)
+    many = {l: sample / n for l, n in sizes.items() if n > sample}
+    share = F.coalesce(F.create_map(*[F.lit(x) for l in sorted(many) for x in (l, many[l])])[F.col("lang")], F.lit(1.0)) if many else F.lit(1.0)
+    chosen = train.where((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)) < share)
     counts = _counted(chosen.select("lang", "text"), languages).persist()
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     per = F.create_map(*[F.lit(x) for l, n in sorted(totals.items()) for x in (l, float(max(n, 1)))]) if totals else F.create_map(F.lit(0), F.lit(1.0))
     rates = counts.withColumn("rate", F.col("n") / per[F.col("lang")])
     top = rates.groupBy("gram").agg(F.max("rate").alias("top"))
     kept = rates.where(f"n >= {MIN_COUNT}").join(top, "gram").where(F.col("rate") >= RELATIVE * F.col("top"))
-    bits = kept.groupBy("gram").agg(F.bit_or(F.expr("shiftleft(1L, lang)")).alias("mask"))
+    words = range(-(-len(languages) // WORD_BITS))
+    bit = F.expr(f"shiftleft(1L, lang % {WORD_BITS})")
+    bits = kept.groupBy("gram").agg(*[F.bit_or(F.when(F.floor(F.col("lang") / WORD_BITS) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"mask{w}") for w in words])
     n = bits.count()
     size = min(SLOTS_MAX, max(1 << 16, 1 << (16 * max(n, 1) - 1).bit_length()))
     shift = 32 - (size.bit_length() - 1)
     slots = F.array(*[F.shiftright((F.col("gram") * c).bitwiseAND(0xFFFFFFFF), shift) for c in HASHES])
-    filled = bits.select(F.explode(slots).alias("slot"), "mask").groupBy("slot").agg(F.bit_or("mask").alias("mask"))
-    masks = np.zeros(size, np.int64)
+    filled = bits.select(F.explode(slots).alias("slot"), *[f"mask{w}" for w in words]).groupBy("slot").agg(*[F.bit_or(f"mask{w}").alias(f"mask{w}") for w in words])
+    masks = np.zeros((len(words), size), np.int64)
     for r in filled.toLocalIterator():  # as many rows as slots at most
-        masks[r["slot"]] = r["mask"]
+        masks[:, r["slot"]] = r[1:]
     counts.unpersist()
     kind = np.uint8 if len(languages) <= 8 else np.int64
-    fill = np.array([((masks >> l) & 1).mean() for l in range(len(languages))])
+    fill = np.array([((masks[l // WORD_BITS] >> (l % WORD_BITS)) & 1).mean() for l in range(len(languages))])
     return LanguageModel(languages, masks.astype(kind), fill ** len(HASHES), max(range(len(languages)), key=lambda l: (sizes[languages[l]], -l)))
 
 

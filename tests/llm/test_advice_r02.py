@@ -59,3 +59,14 @@ def test_near_duplicates_keep_one_row_of_each_group(sent):
     left = [x for x in got if x[0] or x[1] not in (e, near(e))]
     assert left == sorted([(1, a), (2, b), (3, c), (3, d), (4, ""), (0, ""), (5, rows[-1][1])])
     assert len(got) - len(left) == 1
+
+
+def test_language_of_the_rarest_of_150(sent):
+    made = _languages(150, 14)
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(made)]
+    rows += [(100_000 + i, t, lang) for i, (t, lang) in enumerate(made) if lang < "l100"]  # the last 50 are the rarer ones
+    got = language.identify(sent.createDataFrame(rows, DOCUMENT)).where("not held_out").collect()
+    want = {i: lang for i, _, lang in rows}
+    right = np.mean([r["lang_pred"] == want[r["doc_id"]] for r in got])
+    rare = np.mean([r["lang_pred"] == want[r["doc_id"]] for r in got if want[r["doc_id"]] >= "l100"])
+    assert right > 0.99 and rare > 0.99
