@@ -6,15 +6,21 @@ sample every rule runs on every document, which gives its seconds a byte and its
 the rules then run in descending order of rejections per second, each only on what the earlier ones left.
 A verdict is a conjunction, so the order changes the work and never the result.
 
+RULES are those of the query's SQL, whose 'capitals' rule sees A-Z and a-z only. The pipeline's stage takes
+STAGE_RULES, where it counts the letters of every script.
+
 Defined cases: a null or empty text has no words, fails the base rule and is not kept. A null id stays a
 row of its own. Repeated rows are judged each for itself. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import sys
 import time
+import unicodedata
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -129,6 +135,28 @@ RULES = [
 ]
 
 
+@cache
+def _case() -> np.ndarray:
+    """By code point: 1 for a capital letter, -1 for any other letter (also of a script without case), 0 for the rest."""
+    kinds = {"Lu": 1, "Lt": 1, "Ll": -1, "Lm": -1, "Lo": -1}
+    return np.fromiter((kinds.get(unicodedata.category(chr(c)), 0) for c in range(sys.maxunicode + 1)), np.int8, sys.maxunicode + 1)
+
+
+def _mostly_capitals(t: Texts, f: dict) -> np.ndarray:
+    """Capitals are over half of all letters, in every script."""
+    sign = _UPPER[t.b]
+    for size, low, high in ((2, 0xC0, 0xE0), (3, 0xE0, 0xF0), (4, 0xF0, 0xF8)):
+        at = np.flatnonzero((t.b >= low) & (t.b < high))
+        code = t.b[at].astype(np.int32) & (0x7F >> size)
+        for k in range(1, size):
+            code = (code << 6) | (t.b[at + k] & 0x3F)
+        sign[at] = _case()[code]
+    return t.per_text(sign) > 0
+
+
+STAGE_RULES = [Rule("capitals", _mostly_capitals) if r.name == "capitals" else r for r in RULES]
+
+
 def cascade(texts: pa.Array, rules: list[Rule]) -> dict[str, np.ndarray]:
     """Base figures and ``kept`` of one slice of texts; the texts still in play are compacted whenever
     fewer than half of them are left, so a later rule reads only those."""
@@ -200,7 +228,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")
 
 
-def keep_documents(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
+def keep_documents(docs: DataFrame, text: str = "text", rules: list[Rule] = STAGE_RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns unchanged."""
     order = rule_order(docs, text, rules=rules)
 

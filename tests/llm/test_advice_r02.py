@@ -70,3 +70,12 @@ def test_language_of_the_rarest_of_150(sent):
     right = np.mean([r["lang_pred"] == want[r["doc_id"]] for r in got])
     rare = np.mean([r["lang_pred"] == want[r["doc_id"]] for r in got if want[r["doc_id"]] >= "l100"])
     assert right > 0.99 and rare > 0.99
+
+
+@pytest.mark.parametrize("letters", ["абвгдежзиклмнопрст", "αβγδεζηθικλμνξοπρσ", "ابتثجحخدذرزسشصضطظع", "가나다라마바사아자차카타파하", "abcdefghijklmnoprs"])
+def test_rules_stage_keeps_texts_of_every_script_with_a_capital_word(sent, letters):
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(70))
+    rows = [(1, f"{text} NATO USB", "x"), (2, text, "x"), (3, text.upper(), "x")]
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["quality_rules"](sent, sent.createDataFrame(rows, DOCUMENT), "").collect()}
+    assert kept == ({1, 2} if text.upper() != text else {1, 2, 3})
