@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from aerostage.llm import language, near_duplicates
+from aerostage.llm import chat, language, near_duplicates
 from aerostage.llm.common import ship
 
 DOCUMENT = "doc_id bigint, text string, lang string"
@@ -79,3 +79,37 @@ def test_rules_stage_keeps_texts_of_every_script_with_a_capital_word(sent, lette
     rows = [(1, f"{text} NATO USB", "x"), (2, text, "x"), (3, text.upper(), "x")]
     kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["quality_rules"](sent, sent.createDataFrame(rows, DOCUMENT), "").collect()}
     assert kept == ({1, 2} if text.upper() != text else {1, 2, 3})
+
+
+MESSAGE = "conv_id bigint, turn bigint, role string, text string"
+
+
+def _parents(spark, rows):
+    return {(r["conv_id"], r["turn"]): r["parent_turn"] for r in chat.link_quotes(spark.createDataFrame(rows, MESSAGE)).collect()}
+
+
+def test_chat_links_nested_repeated_and_rewrapped_quotes(sent):
+    rows = [
+        (1, 0, "a", "first words"), (1, 1, "b", "> first words\nsecond words"), (1, 2, "a", "> > first words\nonly the nested quote is left"),
+        (2, 0, "a", "never quoted on level one"), (2, 1, "b", "other"), (2, 2, "c", "> > never quoted on level one\nyes"),
+        (3, 0, "a", "ok"), (3, 1, "b", "> ok\nthanks"), (3, 2, "a", "ok"), (3, 3, "b", "> ok\nfine"), (3, 4, "a", "ok"),
+        (4, 0, "a", "one long line that a mail\nprogram wraps anew. And more of it."), (4, 1, "b", "> one long line\n> that a mail program wraps\n> anew. And more of it.\nyes"),
+        (4, 2, "c", "> one long line that\n> a mail program wraps anew.\nonly the first sentence"),
+        (5, 10, "a", "far"), (5, 5_400, "b", "> far\nback"), (5, 5_401, "c", "far"), (5, 5_401, "c", "> far\nsame turn"), (5, 9_000, "c", "> far\nlate"),
+    ]
+    got = _parents(sent, rows)
+    assert (got[1, 1], got[1, 2], got[2, 2]) == (0, 1, 0)
+    assert (got[3, 1], got[3, 3], got[3, 4]) == (0, 2, None)
+    assert (got[4, 1], got[4, 2]) == (0, 0)
+    assert (got[5, 5_400], got[5, 5_401], got[5, 9_000]) == (10, 10, 5_401)
+
+
+def test_mails_quote_across_ranges_of_turns(sent):
+    turns = [0, 1, 999, 1000, 2500, 4000, 4001, 4002]
+    rows = [(c, t, "a", f"text {c} {t}") for c in (1, None) for t in turns] + [(2, 0, "a", "x"), (2, 1, "b", "y")]
+    got = {(r["conv_id"], r["turn"]): r["text"] for r in chat.as_mail(sent.createDataFrame(rows, MESSAGE)).collect()}
+    for c in (1, None):
+        for k, t in enumerate(turns):
+            quotes = [f"> > text {c} {turns[k - 2]}"] * (k > 1) + [f"> text {c} {turns[k - 1]}"] * (k > 0)
+            assert got[c, t] == "\n".join([*quotes, f"text {c} {t}"])
+    assert got[2, 1] == "> x\ny" and len(got) == len(rows)
