@@ -18,9 +18,10 @@ from aerostage.llm.quality_rules import op10_quality_rules
 from aerostage.llm.runs import op11_periodic_runs
 from aerostage.llm.sharding import op7_sharding
 from aerostage.llm.toxicity import op8_toxicity
+from aerostage.llm.variants import op12_spelling_variants
 
 OPERATORS = [op1_quality_model, op2_chat_quotes, op3_packing, op4_ngram_join, op5_language_id, op6_mixing, op7_sharding, op8_toxicity,
-             op9_fingerprints, op10_quality_rules, op11_periodic_runs]
+             op9_fingerprints, op10_quality_rules, op11_periodic_runs, op12_spelling_variants]
 
 
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
