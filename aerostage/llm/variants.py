@@ -13,7 +13,8 @@
    grams meet in one of these. Lists hold (gram, word length, place), so only words of fitting length meet.
    A word of which one edit may touch every gram is entered under all its grams; two such words
    are compared by the same rule over plain bigrams, of which one edit touches two at most.
-5. Verification: the edit distance of each candidate pair, once.
+5. Verification: words whose letters' parities differ in more than two bits are two edits apart; for the others the
+   edit distance decides.
 
 Everything is a join or a grouping of the word table; the driver holds the dictionary only. The words of the
 query come from whole texts by a pass with counts added up before the shuffle.
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 from aerostage.llm.bytetext import Texts, slices, strings
 from aerostage.llm.common import read, saved
 
-QMIN, QMAX = 2, 5
-GRAM_WORDS, DICTIONARY, LETTERS = 64, 500_000, 90
+QMIN, QMAX = 2, 4
+GRAM_WORDS, DICTIONARY, LETTERS = 1_000, 500_000, 90
 LEAST_LENGTH, LEAST_COUNT = 5, 3
 SHORTEST = 4
 #: The query's changed runs: one of so many by checksum.
@@ -248,17 +249,20 @@ def gram_dictionary(words: DataFrame) -> Dictionary:
 # ---- the join ------------------------------------------------------------------------------------
 
 def _lists(words: DataFrame, decompose) -> DataFrame:
-    """(word, size, gram, place, weak) list entries, ``decompose`` giving those of a batch of words."""
+    """(word, size, gram, place, weak, parity) list entries, ``decompose`` giving those of a batch of words."""
     def run(batches):
         for batch in batches:
             w = Words(batch.column(0).to_pylist())
             at, gram, weak = decompose(w)
             own = w.of[at]
+            letter = np.uint64(1) << (w.b[:w.off[-1]] & np.uint64(63))
+            parity = np.bitwise_xor.reduceat(letter, w.off[:-1]) if w.n else letter
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(own)), pa.array(w.size[own].astype(np.int32)), pa.array(gram.view(np.int64)),
-                 pa.array((at - w.off[own]).astype(np.int32)), pa.array(weak[own])], ["word", "size", "gram", "place", "weak"])
+                 pa.array((at - w.off[own]).astype(np.int32)), pa.array(weak[own]), pa.array(parity[own].view(np.int64))],
+                ["word", "size", "gram", "place", "weak", "parity"])
 
-    return words.select("word").mapInArrow(run, "word string, size int, gram bigint, place int, weak boolean")
+    return words.select("word").mapInArrow(run, "word string, size int, gram bigint, place int, weak boolean, parity bigint")
 
 
 def _rarest(w: Words, at: np.ndarray, number: np.ndarray, count: np.ndarray, take: np.ndarray) -> np.ndarray:
@@ -299,11 +303,13 @@ def near_words(words: DataFrame) -> DataFrame:
     def pairs(lists: DataFrame, weak_too: bool) -> DataFrame:
         # a replacement leaves the place of every other gram, an insertion moves those behind it by one
         reach = F.explode(F.array(*[F.struct((F.col("size") + a).alias("size"), (F.col("place") + b).alias("place")) for a, b in ((0, 0), (1, 0), (1, 1))]))
-        left = lists.select(F.col("word").alias("a"), F.col("gram"), F.col("weak").alias("weak_a"), F.col("size").alias("size_a"), reach.alias("r"))
-        left = left.select("a", "gram", "weak_a", "size_a", F.col("r.size").alias("size"), F.col("r.place").alias("place"))
+        left = lists.select(F.col("word").alias("a"), F.col("gram"), F.col("weak").alias("weak_a"), F.col("parity").alias("parity_a"),
+                            F.col("size").alias("size_a"), reach.alias("r"))
+        left = left.select("a", "gram", "weak_a", "parity_a", "size_a", F.col("r.size").alias("size"), F.col("r.place").alias("place"))
         right = lists.withColumnRenamed("word", "b")
         met = left.join(right, ["gram", "size", "place"]).where((F.col("size_a") < F.col("size")) | (F.col("a") < F.col("b")))
         met = met if weak_too else met.where(~(F.col("weak_a") & F.col("weak")))
+        met = met.where(F.bit_count(F.col("parity").bitwiseXOR(F.col("parity_a"))) <= 2)
         # the edit distance before the duplicates are dropped: it is cheap and leaves few pairs
         return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
 

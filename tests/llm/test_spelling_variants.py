@@ -55,11 +55,12 @@ def test_affected_grams_bound_what_an_edit_changes():
     """Every single edit of a word leaves all but the bound of its grams in the edited word's decomposition."""
     r = random.Random(7)
     words = some_words(11, 150)
-    grams = Counter(w[i:i + q] for w in words for q in (2, 3, 4, 5) for i in range(len(w) - q + 1))
-    kept = [g for g in grams if len(g) == 2 or grams[g[:-1]] > 8]
+    sizes = range(variants.QMIN, variants.QMAX + 1)
+    grams = Counter(w[i:i + q] for w in words for q in sizes for i in range(len(w) - q + 1))
+    kept = [g for g in grams if len(g) == variants.QMIN or grams[g[:-1]] > 8]
     pack = lambda g: int.from_bytes(g.encode("latin-1"), "little")
     d = Dictionary(np.array([pack(g) for g in kept], np.uint64), np.array([grams[g] for g in kept]))
-    assert max(map(len, kept)) == 5
+    assert max(map(len, kept)) == variants.QMAX
     split = lambda w: Counter(d.decompose(Words([w]))[2].tolist())
     for word in r.sample(words, 60):
         w = Words([word])
