@@ -28,17 +28,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostage.llm.bytetext import Texts, slices, strings
-from aerostage.llm.common import read
+from aerostage.llm.common import read, saved
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bounds of the training data: documents, spans of each kind, background windows.
 SAMPLE_ROWS, SPANS, BACKGROUND = 20_000, 400, 3_000
-SIZE, TRAINED, BATCH, EPOCHS = 12, 96, 64, 4
-WINDOW, OVERLAP, BLOCK = 384, 64, 512
+SIZE, TRAINED, BATCH, EPOCHS = 10, 96, 64, 4
+WINDOW, OVERLAP, BLOCK = 512, 64, 768
 CONTEXT = 40
 
 # ---- the patterns --------------------------------------------------------------------------------
@@ -409,12 +409,12 @@ def training_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     made = sample.mapInArrow(run, "kind int, key bigint, before string, span string, after string")
     limits = {k: SPANS for k in range(len(KINDS))} | {len(KINDS): BACKGROUND * 2 // 3, len(KINDS) + 1: BACKGROUND // 3}
-    picked = made.groupBy("kind", "before", "span", "after").agg(F.min("key").alias("key"))  # copies once
-    nth = F.row_number().over(Window.partitionBy("kind").orderBy("key", "before", "span", "after"))
-    most = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])[F.col("kind")]
-    got = sorted(tuple(r) for r in picked.withColumn("nth", nth).where(F.col("nth") <= most).select("kind", "nth", "before", "span", "after").collect())
-    examples = [(before, kind, span, after) for kind, _, before, span, after in got if kind < len(KINDS)]
-    return examples, [span for kind, _, _, span, _ in got if kind >= len(KINDS)]
+    picked = saved(made.groupBy("kind", "before", "span", "after").agg(F.min("key").alias("key")), "windows")  # copies once
+    got = []
+    for kind, most in limits.items():  # the smallest hashes of each kind
+        got += picked.where(F.col("kind") == kind).orderBy("key", "before", "span", "after").limit(most).collect()
+    examples = [(r["before"], r["kind"], r["span"], r["after"]) for r in got if r["kind"] < len(KINDS)]
+    return examples, [r["span"] for r in got if r["kind"] >= len(KINDS)]
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Tagger | None:
