@@ -71,7 +71,7 @@ def thresholds(sizes: DataFrame) -> DataFrame:
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     state = saved(targets(sizes).withColumn("base", copies.cast("int"))
                   .withColumn("budget", F.col("target") - F.col("base") * F.col("source_size"))
-                  .withColumn("threshold", F.lit(0).cast("bigint")).withColumn("done", F.lit(False)), "mix-sources")
+                  .withColumn("threshold", F.lit(0).cast("bigint")).withColumn("done", F.col("budget") <= 0), "mix-sources")
     small = state.count() <= BROADCAST_ROWS  # one row for each source
     shift = BITS
     for bits in LEVELS:
