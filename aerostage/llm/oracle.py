@@ -48,7 +48,7 @@ f AS (
   SELECT w.k, doc_id, len(words)::BIGINT AS n_words, len(list_aggregate(words, 'string_agg', ''))::BIGINT AS chars,
          len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
          (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-         len(regexp_extract_all(text, '[A-Z]')) > len(regexp_extract_all(text, '[a-z]')) AS shouted,
+         len(regexp_extract_all(text, '[\p{{Lu}}\p{{Lt}}]')) > len(regexp_extract_all(text, '[\p{{Ll}}\p{{Lm}}\p{{Lo}}]')) AS shouted,
          len(regexp_extract_all(text, '[!?]')) AS bangs,
          len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS lettered, coalesce(top, 0) AS top
   FROM w LEFT JOIN c USING (k) LEFT JOIN top USING (k)),

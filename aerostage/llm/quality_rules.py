@@ -6,8 +6,7 @@ sample every rule runs on every document, which gives its seconds a byte and its
 the rules then run in descending order of rejections per second, each only on what the earlier ones left.
 A verdict is a conjunction, so the order changes the work and never the result.
 
-RULES are those of the query's SQL, whose 'capitals' rule sees A-Z and a-z only. The pipeline's stage takes
-STAGE_RULES, where it counts the letters of every script.
+The 'capitals' rule counts the letters of every script, so a text without capitals of its own may hold a few Latin ones.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not kept. A null id stays a
 row of its own. Repeated rows are judged each for itself. An empty table gives no rows.
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerostage.llm.bytetext import SPACE, U64, Texts, slices, strings
+from aerostage.llm.bytetext import SPACE, Texts, slices, strings
 
 #: Documents in the sample that cost and selectivity are estimated on.
 SAMPLE_DOCS = 2_000
@@ -66,11 +65,10 @@ def lines(t: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def repeats(text: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(equal to an earlier one, found at least twice) for each item, by text and hash."""
-    key = (text.astype(np.uint64) << U64(48)) | (h >> U64(16))  # a slice holds fewer than 65,536 texts
-    order = np.argsort(key, kind="stable")
-    k = key[order]
+    order = np.lexsort((h, text)) if len(text) and text[0] != text[-1] else np.argsort(h, kind="stable")
+    k, owner = h[order], text[order]
     same = np.zeros(len(k), bool)
-    same[1:] = k[1:] == k[:-1]
+    same[1:] = (k[1:] == k[:-1]) & (owner[1:] == owner[:-1])
     twice = same.copy()
     twice[:-1] |= same[1:]
     again, double = np.empty(len(k), bool), np.empty(len(k), bool)
@@ -107,13 +105,14 @@ class Rule:
 
 
 def _top_word(t: Texts, f: dict) -> np.ndarray:
-    text = t.words()[2]
+    text, h = t.words()[2], t.word_hash()
     if not len(text):
         return np.zeros(t.n, bool)
-    key = np.sort((text.astype(np.uint64) << U64(48)) | (t.word_hash() >> U64(16)))
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    order = np.lexsort((h, text))
+    text, h = text[order], h[order]
+    first = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (text[1:] != text[:-1])])
     top = np.zeros(t.n, np.int64)
-    np.maximum.at(top, (key[first] >> U64(48)).astype(np.int64), np.diff(np.r_[first, len(key)]))
+    np.maximum.at(top, text[first], np.diff(np.r_[first, len(h)]))
     return 100 * top > 30 * f["n_words"]
 
 
@@ -124,17 +123,6 @@ def _few_letters(t: Texts, f: dict) -> np.ndarray:
     return 10 * lettered < 7 * f["n_words"]
 
 
-RULES = [
-    Rule("symbols", lambda t, f: 10 * f["n_symbols"] > 3 * f["n_words"]),
-    Rule("word_length", lambda t, f: (f["word_chars"] < 2 * f["n_words"]) | (f["word_chars"] > 15 * f["n_words"])),
-    Rule("repeated_lines", lambda t, f: 100 * f["n_dup_lines"] > 30 * f["n_lines"]),
-    Rule("capitals", lambda t, f: t.per_text(_UPPER[t.b]) > 0),
-    Rule("exclamations", lambda t, f: 10 * t.per_text(_BANG[t.b]) > 3 * f["n_words"]),
-    Rule("few_letters", _few_letters),
-    Rule("top_word", _top_word),
-]
-
-
 @cache
 def _case() -> np.ndarray:
     """By code point: 1 for a capital letter, -1 for any other letter (also of a script without case), 0 for the rest."""
@@ -154,7 +142,15 @@ def _mostly_capitals(t: Texts, f: dict) -> np.ndarray:
     return t.per_text(sign) > 0
 
 
-STAGE_RULES = [Rule("capitals", _mostly_capitals) if r.name == "capitals" else r for r in RULES]
+RULES = [
+    Rule("symbols", lambda t, f: 10 * f["n_symbols"] > 3 * f["n_words"]),
+    Rule("word_length", lambda t, f: (f["word_chars"] < 2 * f["n_words"]) | (f["word_chars"] > 15 * f["n_words"])),
+    Rule("repeated_lines", lambda t, f: 100 * f["n_dup_lines"] > 30 * f["n_lines"]),
+    Rule("capitals", _mostly_capitals),
+    Rule("exclamations", lambda t, f: 10 * t.per_text(_BANG[t.b]) > 3 * f["n_words"]),
+    Rule("few_letters", _few_letters),
+    Rule("top_word", _top_word),
+]
 
 
 def cascade(texts: pa.Array, rules: list[Rule]) -> dict[str, np.ndarray]:
@@ -228,7 +224,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {SCHEMA}")
 
 
-def keep_documents(docs: DataFrame, text: str = "text", rules: list[Rule] = STAGE_RULES) -> DataFrame:
+def keep_documents(docs: DataFrame, text: str = "text", rules: list[Rule] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns unchanged."""
     order = rule_order(docs, text, rules=rules)
 
