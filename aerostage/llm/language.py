@@ -8,8 +8,10 @@ MIN_COUNT times, and with at least RELATIVE of the highest rate in any language,
 from another language don't count.
 
 The model is fitted on a bounded sample: about SAMPLE_DOCS training documents of each language, chosen by a
-hash of the id. Grams are counted by Spark; the driver gets the filter (SLOTS_MAX slots at most, of 8 bytes for
-each 62 languages) and a row for each language. Every language of the training rows is learned.
+hash of the id. Grams are counted by Spark; the driver gets the filter and a row for each language. The filter has
+SLOTS slots (of 8 bytes for each 62 languages) for each gram of the language with the most: a language's false hits
+depend on its own grams only, so they stay below (HASHES / SLOTS) ** HASHES however many languages and grams there
+are. Every language of the training rows is learned.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0. A text without any known gram
 gets the most frequent language with score 0. Rows with null ids are predicted and not learned from. With no
@@ -27,12 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostage.llm.bytetext import U64, Texts, slices, strings
-from aerostage.llm.common import fold, read
+from aerostage.llm.common import fold, read, saved
 
 SAMPLE_DOCS = 8_000
 FOLDS, HELD_OUT = 4, 2
 MIN_COUNT, RELATIVE = 3, 0.2
-SLOTS_MAX = 1 << 22
+SLOTS = 16
 #: Languages in one mask word.
 WORD_BITS = 62
 #: Odd multipliers of the hash functions.
@@ -86,11 +88,13 @@ class LanguageModel:
         pad = len(t.b) - len(g)
         mask = np.where(ok, self.languages_of(g), 0)
         total = np.maximum(t.per_text(np.r_[ok, np.zeros(pad, bool)]), 1)
-        share = np.empty((len(self.languages), t.n))
+        best, own, all_ = np.zeros(t.n, np.int64), np.full(t.n, -1.0), np.zeros(t.n)
         for l in range(len(self.languages)):
             hits = t.per_text(np.r_[(mask[l // WORD_BITS] >> (l % WORD_BITS)) & 1, np.zeros(pad, mask.dtype)])
-            share[l] = np.clip((hits / total - self.false_hits[l]) / (1 - self.false_hits[l]), 0, 1)
-        best, own, all_ = share.argmax(0), share.max(0), share.sum(0)
+            share = np.clip((hits / total - self.false_hits[l]) / (1 - self.false_hits[l]), 0, 1)
+            best[share > own] = l
+            own = np.maximum(own, share)
+            all_ += share
         score = np.where(all_ > 0, own / np.where(all_ > 0, all_, 1), 0.0)
         best = np.where(all_ > 0, best, self.common)
         ascii_ = t.per_text((t.b >= 97) & (t.b < 123)) > 0
@@ -135,7 +139,8 @@ def fit(train: DataFrame, sample: int = SAMPLE_DOCS) -> LanguageModel:
     many = {l: sample / n for l, n in sizes.items() if n > sample}
     share = F.coalesce(F.create_map(*[F.lit(x) for l in sorted(many) for x in (l, many[l])])[F.col("lang")], F.lit(1.0)) if many else F.lit(1.0)
     chosen = train.where((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)) < share)
-    counts = _counted(chosen.select("lang", "text"), languages).persist()
+    counts = _counted(chosen.select("lang", "text"), languages)
+    counts = saved(counts, "gram-counts")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     per = F.create_map(*[F.lit(x) for l, n in sorted(totals.items()) for x in (l, float(max(n, 1)))]) if totals else F.create_map(F.lit(0), F.lit(1.0))
     rates = counts.withColumn("rate", F.col("n") / per[F.col("lang")])
@@ -143,16 +148,16 @@ def fit(train: DataFrame, sample: int = SAMPLE_DOCS) -> LanguageModel:
     kept = rates.where(f"n >= {MIN_COUNT}").join(top, "gram").where(F.col("rate") >= RELATIVE * F.col("top"))
     words = range(-(-len(languages) // WORD_BITS))
     bit = F.expr(f"shiftleft(1L, lang % {WORD_BITS})")
+    kept = saved(kept.select("lang", "gram"), "language-grams")
     bits = kept.groupBy("gram").agg(*[F.bit_or(F.when(F.floor(F.col("lang") / WORD_BITS) == w, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"mask{w}") for w in words])
-    n = bits.count()
-    size = min(SLOTS_MAX, max(1 << 16, 1 << (16 * max(n, 1) - 1).bit_length()))
+    most = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    size = max(1 << 16, 1 << (SLOTS * most - 1).bit_length())
     shift = 32 - (size.bit_length() - 1)
     slots = F.array(*[F.shiftright((F.col("gram") * c).bitwiseAND(0xFFFFFFFF), shift) for c in HASHES])
     filled = bits.select(F.explode(slots).alias("slot"), *[f"mask{w}" for w in words]).groupBy("slot").agg(*[F.bit_or(f"mask{w}").alias(f"mask{w}") for w in words])
     masks = np.zeros((len(words), size), np.int64)
     for r in filled.toLocalIterator():  # as many rows as slots at most
         masks[:, r["slot"]] = r[1:]
-    counts.unpersist()
     kind = np.uint8 if len(languages) <= 8 else np.int64
     fill = np.array([((masks[l // WORD_BITS] >> (l % WORD_BITS)) & 1).mean() for l in range(len(languages))])
     return LanguageModel(languages, masks.astype(kind), fill ** len(HASHES), max(range(len(languages)), key=lambda l: (sizes[languages[l]], -l)))
@@ -167,7 +172,7 @@ def identify(docs: DataFrame, model: LanguageModel | None = None, doc_id: str =
     """doc_id, held_out, lang_pred, score for every row; learns from the other folds unless a model is given."""
     m = model or fit(_train_rows(docs, doc_id, text, lang))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(m)  # SLOTS_MAX slots at most
+    shared = docs.sparkSession.sparkContext.broadcast(m)  # bounded by the training sample
 
     def run(batches):
         for batch in batches:

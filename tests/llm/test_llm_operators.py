@@ -338,3 +338,34 @@ def test_mix_repeats_rows(docs):
     plan = {r["doc_id"]: r["copies"] for r in mixing.mix(docs).collect()}
     rows = collections.Counter(r["doc_id"] for r in mixing.mixed_documents(docs).collect())
     assert rows == collections.Counter({i: n for i, n in plan.items() if n})
+
+
+def test_mix_takes_no_row_more_often_than_the_cap(spark):
+    """Sources at twice their size: their rows without words stay at two copies as well, as in the query's SQL."""
+    import duckdb
+
+    from aerostage.llm.oracle import MIXING
+
+    rows = [(i, "", "a") for i in range(40)] + [(100 + i, "one two three", "a") for i in range(3)]
+    rows += [(200 + i, "four five " * 30, "b") for i in range(20)] + [(300 + i, " ", "c") for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = sorted((r["doc_id"], r["size"], r["copies"], r["taken"]) for r in mixing.mix(docs).collect())
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    want = sorted(con.sql(f"SELECT doc_id, size, copies, taken FROM ({MIXING})").fetchall())
+    assert got == want and max(c for _, _, c, _ in got) == mixing.MAX_REPEAT == 2
+    assert mixing.mixed_documents(docs).groupBy("doc_id").count().agg({"count": "max"}).first()[0] == 2
+
+
+def test_false_hits_do_not_grow_with_languages(sent):
+    """A filter sized by the largest language: the chance of a false hit stays below its bound with 3 and 120 languages."""
+    from aerostage.llm import language
+
+    rng = random.Random(1)
+    for n in (3, 120):
+        rows = []
+        for k in range(n):
+            own = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(60)]
+            rows += [(len(rows) + j, " ".join(rng.choices(own, k=60)), f"l{k}") for j in range(6)]
+        m = language.fit(sent.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+        assert len(m.languages) == n and m.false_hits.max() <= (len(language.HASHES) / language.SLOTS) ** len(language.HASHES)
