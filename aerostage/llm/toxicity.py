@@ -1,20 +1,23 @@
 """Toxicity (8): votes of the nearest labelled examples by exact TF-IDF cosine over a block-max inverted index.
 
-Terms are byte 5-grams of the lower-cased text with other signs as blanks, so a word, its stem and its
-inflections share terms. The vocabulary is chosen from the labelled sample: grams that mark one class (odds
-and chi-square against the other), TERMS of them at most. Examples are the labelled sample itself (about
-EXAMPLES rows, toxic and other rows bounded each, chosen by a hash of the id), sorted by their heaviest term
-and cut into blocks of BLOCK; for each term a block knows its largest weight. A query sums these into an
-upper bound for each block and scores blocks in descending order until the bound of the next is below the
-k-th best cosine, so the neighbours are exact. Their labels vote with weight cosine squared, with a prior of
-PRIOR votes at the base rate; a text without any term gets the toxic share of the examples without terms.
-``evidence`` lists the nearest examples' ids.
-
-Spark counts grams and builds the examples' vectors; the driver gets TERMS rows and EXAMPLES sparse vectors.
+Terms are the whole words of the lower-cased text, of any length, with their digits, and beside them byte 5-grams of
+its letters, so a word and its inflections share terms too. The vocabulary is every term of the labelled sample that
+marks one class (in LEAST_DOCS documents, by odds and chi-square against the other class), however many these are.
+Examples are the labelled sample itself (about TOXIC_ROWS and OTHER_ROWS rows, chosen by a hash of the id), sorted by
+their heaviest term and cut into blocks of BLOCK; for each term and block that has it the index knows the largest
+weight. A query sums these into an upper bound for each block and scores blocks in descending order until the
+bound of the next is below the k-th best cosine, so the neighbours are exact. Their labels vote with weight cosine
+squared, with a prior of PRIOR votes at the base rate; a text without any term gets the toxic share of the
+examples without terms. ``evidence`` lists the nearest examples' ids.
+
+Spark counts terms and builds the examples' vectors; the driver gets the vocabulary and the examples' sparse
+vectors, both bounded by the sample.
 
 Defined cases: null and empty texts have no terms. Rows with null ids are scored, not learned from, and not
-held out. Without labels, or with one kind, every score is the toxic share (0 without labels). Repeated rows
-are scored each; neighbours at equal cosine are taken in index order. An empty table gives no rows.
+held out; ids may be of any type. Of contradicting labels of one id the largest counts, of several texts of one id
+the least. Without labels, or with one kind, every score is the toxic share (0 without labels). Repeated rows
+are scored each; neighbours at equal cosine are taken in index order. Other columns are not read, whatever their
+names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,13 +31,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerostage.llm.bytetext import U64, Texts, slices, strings
-from aerostage.llm.common import fold, read
+from aerostage.llm.common import fold, read, saved
 
 FOLDS, HELD_OUT = 5, 0
 CUT = 0.5
 #: Bounds of the labelled sample: toxic rows, other rows.
 TOXIC_ROWS, OTHER_ROWS = 6_000, 14_000
-TERMS = 4_096
 LEAST_DOCS, LEAST_ODDS, LEAST_CHI = 5, 4.0, 15.0
 NEIGHBOURS, BLOCK, PRIOR = 15, 64, 0.5
 EVIDENCE = 3
@@ -43,6 +45,10 @@ GRAM = 5
 _LETTERS = np.full(256, 32, np.uint8)  # other signs become blanks
 _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[128:] = np.arange(128, 256)
+_WORDS = _LETTERS.copy()
+_WORDS[48:58] = np.arange(48, 58)
+#: Set in the number of a whole word; a 5-gram fills 40 bits.
+_WORD = U64(1 << 63)
 
 
 def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
@@ -62,49 +68,66 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
     return text[inside], g[at[inside]], t.n
 
 
+def terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, int]:
+    """(text of each term, term as an integer, number of texts): 5-grams and whole words."""
+    text, g, n = grams(texts)
+    t = Texts(pc.utf8_lower(pc.fill_null(texts, "")).cast(pa.string()), _WORDS)
+    return np.concatenate([text, t.words()[2]]), np.concatenate([g, t.word_hash() | _WORD]), n
+
+
 @dataclass
 class Index:
-    """Vocabulary and block-max inverted index over the examples that have a term."""
+    """Vocabulary and block-max inverted index over the examples that have a term.
+
+    A cell is a term in a block that has it; a term's cells and a cell's postings lie between neighbouring bounds.
+    """
 
-    terms: np.ndarray  # grams, ascending
+    terms: np.ndarray  # ascending
     idf: np.ndarray
-    ids: np.ndarray
+    ids: list
     toxic: np.ndarray
-    start: np.ndarray  # (terms, blocks + 1): a term's postings of a block lie between neighbours
+    cells: np.ndarray  # (terms + 1): bounds of a term's cells
+    cell_block: np.ndarray
+    cell_max: np.ndarray
+    posts: np.ndarray  # (cells + 1): bounds of a cell's postings
     post_doc: np.ndarray
     post_weight: np.ndarray
-    block_max: np.ndarray  # (terms, blocks)
     base: float  # toxic share of all examples
     without: float  # and of those without a term
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """(example, cosine) of the k nearest, best first; ties in index order."""
-        bound = weight @ self.block_max[term]
+        many = self.cells[term + 1] - self.cells[term]
+        cell = np.repeat(self.cells[term] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        w = np.repeat(weight, many)
+        by_block = np.argsort(self.cell_block[cell], kind="stable")
+        cell, w = cell[by_block], w[by_block]
+        block = self.cell_block[cell]
+        first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]]) if len(block) else np.zeros(0, np.int64)
+        last = np.r_[first[1:], len(block)]
+        bound = np.add.reduceat(w * self.cell_max[cell], first) if len(first) else np.zeros(0)
         order = np.argsort(-bound, kind="stable")
         best_doc, best = np.zeros(0, np.int64), np.zeros(0)
         for at in range(0, len(order), 4):
-            blocks = order[at:at + 4]
+            chosen = order[at:at + 4]
             kth = best[k - 1] if len(best) >= k else 0.0
-            blocks = blocks[(bound[blocks] > 0) & (bound[blocks] >= kth - 1e-9)]
-            if not len(blocks):
+            chosen = chosen[bound[chosen] >= kth - 1e-9]
+            if not len(chosen):
                 break
-            lo, hi = self.start[np.ix_(term, blocks)], self.start[np.ix_(term, blocks + 1)]
-            size = (hi - lo).ravel()
-            place = np.repeat(lo.ravel() - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            slot = np.repeat(np.tile(np.arange(len(blocks)), len(term)), size)
-            doc = self.post_doc[place]
-            local = slot * BLOCK + doc % BLOCK
-            sums = np.bincount(local, np.repeat(np.repeat(weight, len(blocks)), size) * self.post_weight[place], len(blocks) * BLOCK)
-            hit = np.flatnonzero(sums > 0)
-            best_doc = np.concatenate([best_doc, blocks[hit // BLOCK] * BLOCK + hit % BLOCK])
-            best = np.concatenate([best, sums[hit]])
+            own = np.concatenate([np.arange(first[c], last[c]) for c in chosen])
+            lo, size = self.posts[cell[own]], self.posts[cell[own] + 1] - self.posts[cell[own]]
+            place = np.repeat(lo - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            doc, at_doc = np.unique(self.post_doc[place], return_inverse=True)
+            sums = np.bincount(at_doc, np.repeat(w[own], size) * self.post_weight[place], len(doc))
+            best_doc = np.concatenate([best_doc, doc])
+            best = np.concatenate([best, sums])
             keep = np.lexsort((best_doc, -np.round(best, 9)))[:k]
             best_doc, best = best_doc[keep], best[keep]
         return best_doc, np.minimum(best, 1.0)
 
     def vectors(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bounds of each text, term, weight): L2-normalised TF-IDF over the vocabulary, logarithmic counts."""
-        text, g, n = grams(texts)
+        text, g, n = terms(texts)
         if not len(self.terms):
             return np.zeros(n + 1, np.int64), np.zeros(0, np.int64), np.zeros(0)
         at = np.searchsorted(self.terms, g)
@@ -123,57 +146,54 @@ class Index:
             doc, cosine = self.nearest(term[own], weight[own])
             vote = cosine**2
             out[i] = (vote @ self.toxic[doc] + PRIOR * self.base) / (vote.sum() + PRIOR)
-            evidence[i] = self.ids[doc[:EVIDENCE]].tolist()
+            evidence[i] = [self.ids[d] for d in doc[:EVIDENCE].tolist()]
         return np.clip(out, 0, 1), evidence
 
 
-def build_index(terms: np.ndarray, idf: np.ndarray, ids: np.ndarray, toxic: np.ndarray, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Index:
-    """Index over examples given as sparse rows."""
+def build_index(terms: np.ndarray, idf: np.ndarray, ids: list, toxic: np.ndarray, bounds: np.ndarray, term: np.ndarray, weight: np.ndarray) -> Index:
+    """Index over examples given as sparse rows, in the order of their ids."""
     has = np.diff(bounds) > 0
     row = np.repeat(np.arange(len(ids)), np.diff(bounds))
     heavy = np.full(len(ids), -1)
     order = np.lexsort((-weight, row))
     first = np.flatnonzero(np.r_[True, row[order][1:] != row[order][:-1]]) if len(row) else np.zeros(0, np.int64)
     heavy[row[order][first]] = term[order][first]
-    ranked = np.lexsort((ids, heavy))
+    ranked = np.argsort(heavy, kind="stable")
     ranked = ranked[has[ranked]]
     new = np.full(len(ids), -1)
     new[ranked] = np.arange(len(ranked))
     doc = new[row]
     order = np.lexsort((doc, term))
     doc, term, weight = doc[order], term[order], weight[order]
-    blocks = max(1, -(-len(ranked) // BLOCK))
-    cell = term * blocks + doc // BLOCK
-    edge = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-    start = np.column_stack([edge[:-1].reshape(len(terms), blocks), edge[blocks::blocks]]) if len(terms) else np.zeros((0, blocks + 1), np.int64)
-    top = np.zeros(len(terms) * blocks)
-    np.maximum.at(top, cell, weight)
+    cell = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] // BLOCK != doc[:-1] // BLOCK)]) if len(doc) else np.zeros(0, np.int64)
+    top = np.maximum.reduceat(weight, cell) if len(cell) else np.zeros(0)
     base = float(toxic.mean()) if len(toxic) else 0.0
     without = float(toxic[~has].mean()) if (~has).any() else base
-    return Index(terms, idf, ids[ranked], toxic[ranked].astype(float), start, doc, weight, top.reshape(len(terms), blocks), base, without)
+    return Index(terms, idf, [ids[r] for r in ranked.tolist()], toxic[ranked].astype(float), np.searchsorted(term[cell], np.arange(len(terms) + 1)),
+                 doc[cell] // BLOCK, top, np.r_[cell, len(doc)], doc, weight, base, without)
 
 
 def examples(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str = "toxic") -> DataFrame:
     """(doc_id, text, y): labelled rows outside the held-out fold, about TOXIC_ROWS and OTHER_ROWS of them by a
-    hash of the id; the chosen ids are broadcast, their number being bounded by these parameters."""
+    hash of the id, one row for each id; the chosen ids are broadcast, their number being bounded by these parameters."""
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).where(
-        F.col("id").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id"), FOLDS) != HELD_OUT)).dropDuplicates(["id"])
+        F.col("id").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id"), FOLDS) != HELD_OUT)).groupBy("id").agg(F.max("y").alias("y"))
     n = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row for each label
     share = lambda y, most: int(min(1.0, most / max(n.get(y, 0), 1)) * (1 << 20))
     limit = F.when(F.col("y") == 1, F.lit(share(1, TOXIC_ROWS))).otherwise(F.lit(share(0, OTHER_ROWS)))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < limit)
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "y").dropDuplicates(["doc_id"])
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+    return rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def vocabulary(sample: DataFrame, toxic: int, other: int) -> tuple[np.ndarray, np.ndarray]:
-    """(grams, idf) that mark one class, by document counts; at most TERMS of them reach the driver."""
+    """(terms, idf) that mark one class, by document counts; those of the sample, which bounds them, reach the driver."""
     def run(batches):
         keys, n = np.zeros(0, np.uint64), np.zeros((0, 2), np.int64)
         for batch in batches:
             texts, label = strings(batch, "text"), batch.column(2).to_numpy()
             for lo, hi in slices(texts):
-                text, g, _ = grams(texts.slice(lo, hi - lo))
+                text, g, _ = terms(texts.slice(lo, hi - lo))
                 order = np.lexsort((g, text))
                 text, g = text[order], g[order]
                 first = np.r_[True, (g[1:] != g[:-1]) | (text[1:] != text[:-1])] if len(g) else np.zeros(0, bool)
@@ -196,19 +216,19 @@ def vocabulary(sample: DataFrame, toxic: int, other: int) -> tuple[np.ndarray, n
     chi = F.pow(F.col("t") - expect, 2) * (total / toxic) * (total / other) / (docs * (1 - docs / (total + 1.0)))
     top = (df.where(docs >= LEAST_DOCS).withColumn("odds", odds).withColumn("chi", chi)
            .where((F.col("chi") >= LEAST_CHI) & ((F.col("odds") >= LEAST_ODDS) | (F.col("odds") <= 1 / LEAST_ODDS)))
-           .orderBy(F.desc("chi"), "gram").limit(TERMS).select("gram", (F.col("o") + F.col("t")).alias("n")).toArrow())
+           .select("gram", (F.col("o") + F.col("t")).alias("n")).toArrow())
     g, n = top.column("gram").to_numpy().view(np.uint64), top.column("n").to_numpy()
     order = np.argsort(g)
     return g[order], np.log(1 + total / n[order])
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Index:
-    sample = examples(docs, labels, doc_id, text).persist()
+    sample = saved(examples(docs, labels, doc_id, text), "toxicity-examples")
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, other = n.get(1, 0), n.get(0, 0)
-    none = np.zeros(0, np.uint64), np.zeros(0)
-    terms, idf = vocabulary(sample, toxic, other) if toxic and other else none
-    index = Index(terms, idf, np.zeros(0), np.zeros(0), np.zeros((len(terms), 2), np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((len(terms), 1)), 0.0, 0.0)
+    words, idf = vocabulary(sample, toxic, other) if toxic and other else (np.zeros(0, np.uint64), np.zeros(0))
+    empty = np.zeros(0, np.int64)
+    index = build_index(words, idf, [], np.zeros(0), np.zeros(1, np.int64), empty, np.zeros(0))
 
     def run(batches):
         for batch in batches:
@@ -217,32 +237,34 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                 bounds, term, weight = index.vectors(texts.slice(lo, hi - lo))
                 offsets = pa.array(bounds, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo).cast(pa.int64()), batch.column(2).slice(lo, hi - lo), pa.ListArray.from_arrays(offsets, pa.array(term, pa.int32())),
+                    [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo), pa.ListArray.from_arrays(offsets, pa.array(term, pa.int32())),
                      pa.ListArray.from_arrays(offsets, pa.array(weight, pa.float64()))], ["doc_id", "y", "term", "weight"])
 
-    rows = sample.mapInArrow(run, "doc_id bigint, y int, term array<int>, weight array<double>").toArrow().sort_by([("doc_id", "ascending")])
-    sample.unpersist()
+    kind = sample.schema["doc_id"].dataType.simpleString()
+    rows = sample.mapInArrow(run, f"doc_id {kind}, y int, term array<int>, weight array<double>").toArrow().sort_by([("doc_id", "ascending")])
     if not len(rows):
         return index
     term = rows.column("term").combine_chunks()
     bounds = np.r_[0, np.cumsum(pc.list_value_length(term).to_numpy(zero_copy_only=False))]
-    return build_index(terms, idf, rows.column("doc_id").to_numpy(), rows.column("y").to_numpy(), bounds,
+    return build_index(words, idf, rows.column("doc_id").to_pylist(), rows.column("y").to_numpy(), bounds,
                        term.flatten().to_numpy().astype(np.int64), rows.column("weight").combine_chunks().flatten().to_numpy())
 
 
 def score_toxicity(docs: DataFrame, index: Index, doc_id: str = "doc_id", text: str = "text", cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (ids of the nearest examples) for every row."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by TERMS and the sample
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             texts = strings(batch, "text")
             for lo, hi in slices(texts):
                 score, evidence = shared.value.score(texts.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(score), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
+                ids = batch.column(0).slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(score), pa.array(evidence, pa.list_(ids.type))], ["doc_id", "score", "evidence"])
 
-    out = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double, evidence array<bigint>")
+    out = rows.mapInArrow(run, f"doc_id {kind}, score double, evidence array<{kind}>")
     return out.select("doc_id", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "score",
                       (F.col("score") >= cut).cast("int").alias("predicted"), "evidence")
 

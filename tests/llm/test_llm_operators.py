@@ -249,7 +249,7 @@ def test_toxicity_neighbours_are_exact(sent):
     rng = np.random.default_rng(5)
     n = int(index.post_doc.max()) + 1
     full = np.zeros((n, len(index.terms)))
-    term = np.repeat(np.arange(len(index.terms)), np.diff(index.start[:, [0, -1]], axis=1).ravel())
+    term = np.repeat(np.repeat(np.arange(len(index.terms)), np.diff(index.cells)), np.diff(index.posts))
     full[index.post_doc, term] = index.post_weight
     for _ in range(50):
         t = np.unique(rng.integers(0, len(index.terms), 6))
