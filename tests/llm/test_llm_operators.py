@@ -219,13 +219,14 @@ def test_sharding_laws(docs, texts):
 
 def test_fingerprints_of_edits(docs, texts):
     order = sorted(texts)
+    anchors = fingerprints.find_anchors(docs)
     rows = {r["doc_id"]: r for r in fingerprints.edit_report(docs).collect()}
     for k, i in enumerate(order):
         a, b = texts[i], texts[order[(k + 1) % len(order)]]
         e = a[:len(a) - len(a) // 2] + b[:len(a) // 2]
         r = rows[i]
         assert (r["n_chars"], r["edited_sha256"]) == (len(a), hashlib.sha256(e.encode()).hexdigest())
-        x, y, z = (set(s.tolist()) for s in fingerprints.spots(pa.array([a, e, b])))
+        x, y, z = (set(s.tolist()) for s in fingerprints.spots(pa.array([a, e, b]), anchors))
         like = lambda p, q: len(p & q) / len(p | q) if p | q else 1.0
         assert r["near_edited"] == pytest.approx(like(x, y)) and r["near_next"] == pytest.approx(like(x, z))
 
