@@ -127,14 +127,16 @@ def grow(x: np.ndarray, y: np.ndarray) -> Trees:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, doc_id: str, text: str) -> DataFrame:
-    """(doc_id, text, y): about ``rows`` labelled rows outside the held-out fold, whole texts. The chosen ids are
-    broadcast; their number is bounded by ``rows`` (a hash threshold), whatever the size of ``labels``."""
+    """(doc_id, text, y): about ``rows`` labelled rows outside the held-out fold, whole texts, one for each id: of
+    contradicting labels the largest, of several texts the least. The chosen ids are broadcast; their number, and so
+    that of the rows, is bounded by ``rows`` (a hash threshold), whatever the size of ``labels`` and ``docs``."""
     known = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y")).where(
-        F.col("id").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id"), FOLDS) != HELD_OUT)).dropDuplicates(["id"])
+        F.col("id").isNotNull() & F.col("y").isNotNull() & (fold(F.col("id"), FOLDS) != HELD_OUT)).groupBy("id").agg(F.max("y").alias("y"))
     share = min(1.0, rows / max(known.count(), 1))
     chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(
-        F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "text", "y")
+    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).join(
+        F.broadcast(chosen), F.col("doc_id") == F.col("id"))
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS, doc_id: str = "doc_id", text: str = "text") -> Trees:

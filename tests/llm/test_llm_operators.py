@@ -370,3 +370,11 @@ def test_false_hits_do_not_grow_with_languages(sent):
             rows += [(len(rows) + j, " ".join(rng.choices(own, k=60)), f"l{k}") for j in range(6)]
         m = language.fit(sent.createDataFrame(rows, "doc_id bigint, text string, lang string"))
         assert len(m.languages) == n and m.false_hits.max() <= (len(language.HASHES) / language.SLOTS) ** len(language.HASHES)
+
+
+def test_one_training_row_for_each_id(sent):
+    docs = sent.createDataFrame([(1, "b"), (1, "a")] * 50 + [(2, "c"), (3, None)], "doc_id bigint, text string")
+    labels = _labels(sent, [(1, 0, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0)])
+    got = sorted(map(tuple, quality_model.labelled_sample(docs, labels, "quality", 100, "doc_id", "text").collect()))
+    held = {i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 5 == 0}
+    assert got == [r for r in [(1, "a", 1), (2, "c", 1), (3, None, 0)] if r[0] not in held]
