@@ -152,7 +152,7 @@ def seen_days(spark: SparkSession, layout: Layout, days: list[dt.date], batches:
     """First-seen days of the flights of ``batches`` (only their folders are read), or else of record days ``days``."""
     raw = store.read_committed(spark, layout.raw, "flights", RAW_SCHEMAS["flights"])
     raw = raw.where(F.col("record_date").isin(days) if batches is None else F.col("batch_id").isin(batches))
-    return sorted(r[0] for r in raw.select("seen_day").distinct().collect())
+    return sorted(r[0] for r in raw.select(staging.known_day("seen_day")).distinct().collect())
 
 
 def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None,
@@ -186,7 +186,8 @@ def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv
         for name, fn in derived.items():
             put(name, fn(base))
     seen = seen_days(spark, layout, days, batches)
-    observed = staging.flights(_committed(spark, layout, "flights", "seen_day", seen))
+    raw = store.read_committed(spark, layout.raw, "flights", RAW_SCHEMAS["flights"])
+    observed = staging.flights(raw.where(staging.known_day("seen_day").isin(seen)).drop("batch_id"))
     put("stg_flights", observed.withColumn("seen_day", staging.seen_day("first_seen_ts")), seen, "seen_day")
     if airports_csv:
         stg = staging.airports(payload.read_airports_csv(spark, airports_csv), loaded_at=loaded_at)

@@ -234,13 +234,21 @@ def airports(raw: DataFrame, loaded_at: _dt.datetime | None = None) -> DataFrame
     return keep_first(renamed, ["airport_icao"], [desc("record_loaded_at")], tiebreak=[asc("airport_key")])
 
 
-# Fixed value: the first-seen day of records without a usable first-seen time.
+# The first-seen day of records without a usable first-seen time, and the usable days. The feed's flights
+# lie in this century; days outside it (junk epochs) share one folder instead of making one each.
 SEEN_UNKNOWN = _dt.date(1900, 1, 1)
+SEEN_FROM, SEEN_TO = _dt.date(2000, 1, 1), _dt.date(2099, 12, 31)
+
+
+def known_day(day) -> Column:
+    """``day``, or SEEN_UNKNOWN where it is null or outside the usable days."""
+    c = F.col(day) if isinstance(day, str) else day
+    return F.when(c.between(F.lit(SEEN_FROM), F.lit(SEEN_TO)), c).otherwise(F.lit(SEEN_UNKNOWN))
 
 
 def seen_day(first_seen_ts) -> Column:
     """Day a flight was first seen: a function of M2's key, so all records of one flight share it."""
-    return F.coalesce(F.to_date(first_seen_ts), F.lit(SEEN_UNKNOWN))
+    return known_day(F.to_date(first_seen_ts))
 
 
 def raw_seen_day(raw: DataFrame) -> Column:

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from aerostage.plans import daily
+from aerostage.plans import daily, staging
 from aerostage.plans.catalog import raw
 from aerostage.plans.catalog_nested import flights_for_landing
 from aerostage.session import local_path, scratch_path
@@ -130,6 +130,27 @@ def test_a_flight_returned_on_two_days_is_staged_once(spark):
     assert [str(r.flight_date) for r in got] == ["2024-01-06"]
 
 
+def test_junk_epochs_are_staged_with_the_rest(spark):
+    """Epochs far outside the calendar stay as rows of the staging table and do not stop this or a later run."""
+    root = scratch_path(spark, "t_junk")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    one = flights_for_landing(spark, SF_SMALL).where("icao24 is not null and firstSeen is not null").orderBy("icao24", "firstSeen").limit(1)
+    one = one.withColumn("record_date", F.lit("2024-01-05").cast("date")).cache()
+    junk = [300_000_000_000, -70_000_000_000, 86_400, 9_000_000_000_000, None]
+    rows = one
+    for j in junk:
+        rows = rows.unionByName(one.withColumn("firstSeen", F.lit(j).cast(one.schema["firstSeen"].dataType)))
+    landing.write_flight_arrays(rows, layout.flights)
+    for batch in (1, 2):
+        daily.run_days(spark, layout, batch, dt.datetime(2025, 1, 1 + batch))
+    assert daily.pending(spark, layout) == ([], [])
+    staged = daily.read_staged(spark, layout, "stg_flights")
+    got = {r[0] for r in staged.select(F.year("first_seen_ts")).collect()}
+    want = staging.flights(rows.withColumn("ingestion_timestamp", F.lit(dt.datetime(2025, 1, 2)).cast("timestamp_ntz")))
+    assert got == {r[0] for r in want.select(F.year("first_seen_ts")).collect()} and {11476, 1970, None} < got
+    assert staged.select("seen_day").distinct().count() == 2  # the good day and one folder for all others
+
+
 def test_a_malformed_record_fails_the_load(spark, tmp_path):
     import pytest
 
