@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from aerostage.functions import casts, flags, predicates as P, text
@@ -55,6 +57,57 @@ def q_checks_raw_constraints(spark, sf_dir):
     return checks.run_all({name: raw(spark, sf_dir, name) for name in checks.RAW_CHECKS})
 
 
+SCHEDULE_ROW = ["row_id", "flight_number", "flight_date", "callsign", "aircraft_mode_s", "airport_icao", "status", "codeshare_status"]
+
+
+def _offending(models: dict, columns: list[str]):
+    parts = [checks.offending_rows(df, name).select("model", "check_name", *columns) for name, df in models.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("offending_departures")
+def q_offending_departures(spark, sf_dir):
+    """Q1-Q7: every row of the four departure models that fails a check, once for each check."""
+    base = materialize(dep_base(spark, sf_dir), "stg_departures_base")
+    return _offending({
+        "stg_departures_base": base,
+        "stg_departures_not_departed": staging.departures_not_departed(base),
+        "stg_departures_operator": staging.departures_operator(base),
+        "stg_departures_unlinkable": staging.departures_unlinkable(base),
+    }, SCHEDULE_ROW)
+
+
+@query("offending_arrivals")
+def q_offending_arrivals(spark, sf_dir):
+    """Q1-Q7: every row of the four arrival models that fails a check, once for each check."""
+    base = materialize(arr_base(spark, sf_dir), "stg_arrivals_base")
+    return _offending({
+        "stg_arrivals_base": base,
+        "stg_arrivals_not_arrived": staging.arrivals_not_arrived(base),
+        "stg_arrivals_operator": staging.arrivals_operator(base),
+        "stg_arrivals_unlinkable": staging.arrivals_unlinkable(base),
+    }, SCHEDULE_ROW)
+
+
+@query("offending_airports")
+def q_offending_airports(spark, sf_dir):
+    """Q1, Q2: failing rows of the airport dimension."""
+    stg = staging.airports(raw(spark, sf_dir, "raw_airports"), AIRPORTS_LOADED_AT)
+    return _offending({"stg_airports": stg}, ["airport_key", "airport_icao"])
+
+
+@query("offending_flights")
+def q_offending_flights(spark, sf_dir):
+    """Q1, Q5: failing rows of the observed flights."""
+    return _offending({"stg_flights": staging.flights(raw(spark, sf_dir, "raw_flights"))}, ["row_id", "icao24", "first_seen_ts"])
+
+
+@query("offending_raw_rows")
+def q_offending_raw_rows(spark, sf_dir):
+    """The raw tables' rows that break a declared constraint (null keys, repeated primary keys)."""
+    return _offending({name: raw(spark, sf_dir, name).withColumn("row_id", F.col("row_id").cast("bigint")) for name in checks.RAW_CHECKS}, ["row_id"])
+
+
 @query("duplicate_groups")
 def q_duplicate_groups(spark, sf_dir):
     """A2: keys of the base departures that appear more than once under the declared unique key."""

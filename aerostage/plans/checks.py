@@ -164,24 +164,26 @@ def run_all(models: dict[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [run_checks(df, name) for name, df in models.items()])
 
 
-# ---- oracle text: one query per check, the test runner's shape --------------------------------
-def check_sql(model_cte: str, model: str, check: Check) -> str:
-    c = check.columns
-    if check.kind == "not_null":
-        body = f"SELECT * FROM {model_cte} WHERE {c[0]} IS NULL"
-    elif check.kind == "not_both_null":
-        body = f"SELECT * FROM {model_cte} WHERE {c[0]} IS NULL AND {c[1]} IS NULL"
-    elif check.kind == "only_both_null":
-        body = f"SELECT * FROM {model_cte} WHERE {c[0]} IS NOT NULL OR {c[1]} IS NOT NULL"
-    elif check.kind in ("accepted_values", "not_accepted_values"):
-        vals = ", ".join(f"'{v}'" for v in check.values)
-        op = "NOT IN" if check.kind == "accepted_values" else "IN"
-        body = (f"SELECT value_field FROM (SELECT {c[0]} AS value_field, count(*) AS n FROM {model_cte} "
-                f"GROUP BY {c[0]}) v WHERE value_field {op} ({vals})")
-    elif check.kind == "unique":
-        body = (f"SELECT {c[0]} FROM {model_cte} WHERE {c[0]} IS NOT NULL GROUP BY {c[0]} HAVING count(*) > 1")
-    else:
-        cols = ", ".join(c)
-        body = f"SELECT {cols} FROM {model_cte} GROUP BY {cols} HAVING count(*) > 1"
-    return (f"SELECT '{model}' AS model, '{check.name}' AS check_name, CAST(count(*) AS BIGINT) AS failures, "
-            f"count(*) = 0 AS passed FROM ({body}) t")
+# ---- the failing rows themselves -------------------------------------------------------------------
+def offending_rows(df: DataFrame, model: str, checks: list[Check] | None = None) -> DataFrame:
+    """Every row that fails a declared check, once for each check it fails: model, check_name and all columns of ``df``.
+
+    Row-level and value checks are flags of the row, exploded in one pass without a shuffle. A uniqueness check fails
+    for every row of a repeated key: the keys are counted with a partial aggregation, and the rows meet the
+    repeated ones (few, unless the table is broken) in a semi join, whose nulls group together as in the check.
+    """
+    checks = {**CHECKS, **RAW_CHECKS}[model] if checks is None else checks
+    single = [c for c in checks if c.kind not in GROUP_KINDS]
+    parts = []
+    if single:
+        flags = [F.when(_bad_value(c) if c.kind in VALUE_KINDS else _row_flag(c), F.lit(c.name)) for c in single]
+        parts.append(df.withColumn("check_name", F.explode(F.array_compact(F.array(*flags)))))
+    for i, c in enumerate(c for c in checks if c.kind in GROUP_KINDS):
+        keyed = df.select(*[F.col(k).alias(f"__k{i}_{k}") for k in c.columns])
+        if c.kind == "unique":
+            keyed = keyed.where(F.col(f"__k{i}_{c.columns[0]}").isNotNull())
+        again = keyed.groupBy(*keyed.columns).count().where(F.col("count") > 1)
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__k{i}_{k}")) for k in c.columns])
+        parts.append(df.join(again, same, "left_semi").withColumn("check_name", F.lit(c.name)))
+    out = reduce(lambda a, b: a.unionByName(b), parts)
+    return out.select(F.lit(model).alias("model"), "check_name", *[F.col(f"`{n}`") for n in df.columns])
