@@ -112,6 +112,52 @@ def q_load_coverage(spark, sf_dir):
     return requests.coverage(requests.request_plan(airports, lo, hi), dep, arr)
 
 
+def _cut_off(dep):
+    """Malformed responses: of every fiftieth departure a line that breaks off, of the next one a wrong type."""
+    number = F.coalesce("number", F.lit(""))
+    keyed = dep.select("airport_icao", "flight_date", requests.half_of("departure_scheduledtime_utc").alias("half"), F.pmod("row_id", F.lit(50)).alias("k"),
+                       F.concat(F.lit('{"departures": [{"number": "'), number).alias("head"))
+    tail = F.when(F.col("k") == 0, F.lit('", "status": ')).otherwise(F.lit('", "isCargo": "maybe"}]}'))
+    return keyed.where("k < 2").select("airport_icao", "flight_date", "half", F.concat("head", tail).alias("value"))
+
+
+@query("request_coverage")
+def q_request_coverage(spark, sf_dir):
+    """T4 by request: responses landed with legs, landed empty (load airports on odd days), with malformed lines only, or
+    never, from the file listing and one pass over the lines."""
+    from aerostage.plans.catalog_nested import land_schedules
+    from aerostage.sources import landing, payload
+
+    dep = raw(spark, sf_dir, "raw_departures")
+    root = land_schedules(spark, sf_dir)
+    lo, hi = _date_range(dep)
+    asked = requests.request_plan(_load_airports(spark, sf_dir), lo, hi)
+    empty = asked.where(F.dayofmonth("flight_date") % 2 == 1).withColumn("value", F.lit('{"departures": [], "arrivals": []}'))
+    landing.write_response_lines(empty.select("airport_icao", "flight_date", "half", "value").unionByName(_cut_off(dep)), root)
+    airports = dep.select(F.col("airport_icao").alias("icao")).unionByName(_load_airports(spark, sf_dir)).distinct()
+    found = requests.responses(requests.landed_files(spark, root), payload.schedule_lines(spark, root))
+    return requests.request_coverage(requests.request_plan(airports, lo, hi), found).drop("files")
+
+
+@query("quarantined_load")
+def q_quarantined_load(spark, sf_dir):
+    """S1 with malformed lines among the landed ones: the daily load's good departures by request, and each bad line."""
+    from aerostage.plans import daily
+    from aerostage.sources import landing
+
+    root = scratch_path(spark, "quarantine")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    dep = raw(spark, sf_dir, "raw_departures")
+    landing.write_schedule_payloads(dep, raw(spark, sf_dir, "raw_arrivals"), layout.schedules)
+    landing.write_response_lines(_cut_off(dep), layout.schedules)
+    daily.load(spark, layout, 1, FIRST_LOAD, max_bad_share=0.05)
+    read = lambda name: store.read_committed(spark, layout.raw, name, daily.RAW_SCHEMAS[name])
+    loaded = read("departures").groupBy("airport_icao", "flight_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    bad = read("quarantine").groupBy("feed", "line").agg(F.count(F.lit(1)).alias("n_rows"))
+    return loaded.select(F.lit("loaded").alias("kind"), "airport_icao", "flight_date", F.lit(None).cast("string").alias("line"), "n_rows").unionByName(
+        bad.select(F.lit("quarantined").alias("kind"), F.lit(None).cast("string").alias("airport_icao"), F.lit(None).cast("date").alias("flight_date"), "line", "n_rows"))
+
+
 # ---- KPIs D1-D4, D7 -------------------------------------------------------------------------------
 def _moves(spark, sf_dir):
     return kpi.movements(staging.departures_operator(dep_base(spark, sf_dir)),

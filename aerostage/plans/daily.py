@@ -4,7 +4,8 @@ One run loads the files that no earlier run has loaded, or, with days given, rel
 
 1. **Load** (E1, E2): read those landed schedule payloads and observed flights (folder partition
    pruning), flatten them and write departures, arrivals, flights and the list of files as one batch,
-   published through the manifest only after all are written (K2-K5). A malformed record fails the load.
+   published through the manifest only after all are written (K2-K5). Every line is parsed once. Malformed lines go to
+   the ``quarantine`` table of the batch; more than ``MAX_BAD_SHARE`` of a feed's lines fail the load.
 2. **Stage** (E3, D5, D6): rebuild the staging models of the touched days (of every batch that is
    published and not staged yet) from the published raw rows of those days, replaced as a set. The departures and arrivals base tables
    are written first; the class and pair-merged tables are derived from the written base tables.
@@ -12,8 +13,11 @@ One run loads the files that no earlier run has loaded, or, with days given, rel
 3. **Check** (Q1-Q7): run the declared checks on the touched days of every staging table and append
    the results, stamped with the batch id, to a results table.
 
-Layout under ``warehouse``: ``raw/{departures,arrivals,flights,files,_batches,_staged}``, ``staging/<model>``,
-``checks``. Every step is a distributed job; the driver only holds the list of touched days.
+4. **Cover** (T4): with an airport file, each planned request of the touched days is reported as ok, one-sided,
+   landed empty or never landed.
+
+Layout under ``warehouse``: ``raw/{departures,arrivals,flights,files,responses,quarantine,_batches,_staged}``,
+``staging/<model>``, ``checks``, ``coverage``. Every step is a distributed job; the driver only holds the list of touched days.
 """
 
 from __future__ import annotations
@@ -26,9 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aerostage import schemas
+from aerostage.functions import predicates
 from aerostage.plans import checks, staging, store
 from aerostage.session import materialize
-from aerostage.sources import payload
+from aerostage.sources import payload, requests
 
 
 @dataclass(frozen=True)
@@ -51,6 +56,10 @@ class Layout:
     def staging(self, model: str) -> str:
         return f"{self.warehouse}/staging/{model}"
 
+    @property
+    def coverage(self) -> str:
+        return f"{self.warehouse}/coverage"
+
     @property
     def checks(self) -> str:
         return f"{self.warehouse}/checks"
@@ -68,16 +77,22 @@ ARRIVAL_MODELS = {
 }
 
 
-FILE = "file_path string, file_modification_time timestamp, day date"
+FILE = "file_path string, file_modification_time timestamp, day date, airport_icao string, half string"
 
 
 def landed_files(spark: SparkSession, root: str, col: str) -> DataFrame:
-    """Landed files of a feed with their change time and day, from the listing (no content is read)."""
+    """Landed files of a feed with their change time, day and request, from the listing (no content is read)."""
     if not store.path_exists(spark, root):
         return spark.createDataFrame([], FILE)
+    if col == "flight_date":
+        return requests.landed_files(spark, root).withColumnRenamed(col, "day").select(*FILE_COLUMNS)
     listed = spark.read.format("binaryFile").load(root)
     day = F.col(col).cast("date") if col in listed.columns else F.lit(None).cast("date")
-    return listed.select("_metadata.file_path", "_metadata.file_modification_time", day.alias("day"))
+    none = F.lit(None).cast("string")
+    return listed.select("_metadata.file_path", "_metadata.file_modification_time", day.alias("day"), none.alias("airport_icao"), none.alias("half"))
+
+
+FILE_COLUMNS = [f.split(" ")[0] for f in FILE.split(", ")]
 
 
 def _on_days(df: DataFrame, col: str, days: list[dt.date] | None) -> DataFrame:
@@ -85,7 +100,7 @@ def _on_days(df: DataFrame, col: str, days: list[dt.date] | None) -> DataFrame:
 
 
 def load(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
-         days: list[dt.date] | None = None) -> list[dt.date]:
+         days: list[dt.date] | None = None, max_bad_share: float = payload.MAX_BAD_SHARE) -> list[dt.date]:
     """Step 1. Returns the touched days (bounded by the calendar). Without ``days``, files that no published
     batch holds (by name and change time) are loaded; ``days`` reloads all files of those days. The files of a
     batch are published with its rows. A feed with nothing landed loads as empty; the other still loads."""
@@ -102,23 +117,30 @@ def load(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.dateti
     if not any(found.values()):
         return []
 
-    def rows(name: str, read, empty: T.StructType) -> DataFrame:
+    def lines(name: str, read, empty: T.StructType) -> DataFrame:
+        """The feed's new lines, parsed once and written; too many malformed ones fail here."""
         root, col = feeds[name]
+        full = payload.with_fields(empty, [(payload.BAD_LINE, schemas.S), ("file_path", schemas.S)])
         if not found[name]:
-            return spark.createDataFrame([], empty)
+            return spark.createDataFrame([], full)
         known = [d for d in found[name] if d is not None]
         on_days = F.col(col).isin(known) | (F.col(col).isNull() if None in found[name] else F.lit(False))
-        files = store.bounded(new.where(F.col("feed") == name).select(F.col("file_path").alias("__file")))
-        return read(spark, root).withColumn("__file", F.col("_metadata.file_path")).where(on_days).join(
-            files, "__file", "left_semi").drop("__file")
-
-    payloads = rows("schedules", payload.read_schedule_payloads, payload.with_fields(schemas.SCHEDULE_PAYLOAD, payload.REQUEST_COLUMNS))
-    fl = rows("flights", payload.read_observed_flights, payload.with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)]))
-    tables = {"departures": payload.departures_from_payloads(payloads).drop("half"),
-              "arrivals": payload.arrivals_from_payloads(payloads).drop("half"),
-              "flights": fl.withColumn("seen_day", staging.raw_seen_day(fl)), "files": new}
-    if not store.write_batch(tables, layout.raw, batch_id, batch_ts, sources={"flights": None, "files": None},
-                             partition_cols={"flights": "seen_day", "files": None}, schemas=RAW_SCHEMAS):
+        files = store.bounded(new.where(F.col("feed") == name).select("file_path"))
+        some, seen = payload.counted_lines(read(spark, root).where(on_days).join(files, "file_path", "left_semi").select(*full.fieldNames()), name)
+        some = materialize(some, f"lines-{name}")
+        payload.fail_above(name, seen.get["n"], seen.get["bad"], max_bad_share)
+        return some
+
+    schedule = lines("schedules", payload.schedule_lines, payload.with_fields(schemas.SCHEDULE_PAYLOAD, payload.REQUEST_COLUMNS))
+    observed = lines("flights", payload.flight_lines, payload.with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)]))
+    fl = payload.good(observed)
+    tables = {"departures": payload.departures_from_payloads(payload.good(schedule)).drop("half"),
+              "arrivals": payload.arrivals_from_payloads(payload.good(schedule)).drop("half"),
+              "flights": fl.withColumn("seen_day", staging.raw_seen_day(fl)), "files": new,
+              "responses": requests.responses(new.where("feed = 'schedules'").withColumnRenamed("day", "flight_date"), schedule),
+              "quarantine": payload.quarantine(schedule, "schedules").unionByName(payload.quarantine(observed, "flights"))}
+    if not store.write_batch(tables, layout.raw, batch_id, batch_ts, sources=dict.fromkeys(("flights", *PLAIN)),
+                             partition_cols={"flights": "seen_day"} | dict.fromkeys(PLAIN), schemas=RAW_SCHEMAS):
         raise ValueError(f"batch {batch_id} is published already; load new files under a new id")
     return sorted({d for ds in found.values() for d in ds if d is not None})
 
@@ -128,8 +150,12 @@ RAW_SCHEMAS = {
     "flights": payload.with_fields(schemas.RAW_FLIGHTS, [("seen_day", schemas.D)]),
     "files": T.StructType([T.StructField("file_path", T.StringType(), True),
                            T.StructField("file_modification_time", T.TimestampType(), True),
-                           T.StructField("day", T.DateType(), True), T.StructField("feed", T.StringType(), True)]),
+                           T.StructField("day", T.DateType(), True), T.StructField("airport_icao", T.StringType(), True),
+                           T.StructField("half", T.StringType(), True), T.StructField("feed", T.StringType(), True)]),
+    "responses": requests.RESPONSES, "quarantine": payload.QUARANTINE,
 }
+#: Tables of a batch without a feed name and day folders.
+PLAIN = ("files", "responses", "quarantine")
 #: Manifest of the batches whose days are staged and checked.
 STAGED = "_staged"
 
@@ -209,6 +235,24 @@ def check(spark: SparkSession, layout: Layout, models: dict[str, T.StructType],
     return spark.read.schema(results.schema).parquet(layout.checks).where(F.col("batch_id") == batch_id)
 
 
+def cover(spark: SparkSession, layout: Layout, airports: DataFrame, days: list[dt.date], batch_id: int) -> DataFrame:
+    """Step 4. Coverage of the requests of ``days`` (all halves of all ``airports``, column ``icao``) by the published
+    responses, written for this run; of a file loaded again the last load counts."""
+    loaded = store.read_committed(spark, layout.raw, "responses", RAW_SCHEMAS["responses"]).where(F.col("flight_date").isin(days))
+    last = loaded.groupBy("file_path").agg(F.max_by(F.struct(*[c for c in RAW_SCHEMAS["responses"].fieldNames()]), "batch_id").alias("r"))
+    plan = requests.request_plan(airports, min(days), max(days)).where(F.col("flight_date").isin(days))
+    out = requests.request_coverage(plan, last.select("r.*"))
+    path = f"{layout.coverage}/batch_id={batch_id}"
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+def load_airports(spark: SparkSession, airports_csv: str) -> DataFrame:
+    """Airports of the load countries, whose requests the daily load makes."""
+    listed = payload.read_airports_csv(spark, airports_csv).where(predicates.country_in())
+    return listed.select(F.upper("icao").alias("icao")).where("icao is not null").distinct()
+
+
 def run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
              days: list[dt.date] | None = None, airports_csv: str | None = None) -> DataFrame:
     """Load, stage and check; returns the check results of this run (empty when nothing landed)."""
@@ -219,6 +263,8 @@ def run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.da
                                          "batch_id bigint")
     models = stage(spark, layout, touched, airports_csv, loaded_at=batch_ts, batches=batches)
     results = check(spark, layout, models, touched, batch_id)
+    if airports_csv and touched:
+        cover(spark, layout, load_airports(spark, airports_csv), touched, batch_id)
     for b in batches:
         store.publish(spark, layout.raw, b, batch_ts, STAGED)
     return results

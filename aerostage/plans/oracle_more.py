@@ -322,6 +322,30 @@ SELECT p.airport_icao, p.flight_date, p.half, p.time_from, p.time_to,
 FROM plan p
 LEFT JOIN dep_n d ON p.airport_icao = d.airport_icao AND p.flight_date = d.flight_date AND p.half = d.half
 LEFT JOIN arr_n a ON p.airport_icao = a.airport_icao AND p.flight_date = a.flight_date AND p.half = a.half"""),
+        "request_coverage": with_ctes(dep + arr + ap, [
+            f"load_airports AS ({_LOAD_COUNTRY_AIRPORTS})",
+            "plan_airports AS (SELECT airport_icao AS icao FROM raw_departures UNION SELECT icao FROM load_airports)",
+            _DAYS, _HALVES, f"plan AS ({_PLAN_SELECT})",
+            f"""landed AS (
+  SELECT airport_icao, flight_date, {_half('departure_scheduledtime_utc')}, 1 AS d, 0 AS a, 0 AS bad FROM raw_departures
+  UNION ALL SELECT airport_icao, flight_date, {_half('departure_scheduledtime_utc')}, 0, 0, 1 FROM raw_departures WHERE row_id % 50 < 2
+  UNION ALL SELECT airport_icao, flight_date, {_half('arrival_scheduledtime_utc')}, 0, 1, 0 FROM raw_arrivals
+  UNION ALL SELECT l.icao, days.flight_date, h.half, 0, 0, 0 FROM load_airports l CROSS JOIN days CROSS JOIN halves h WHERE day(days.flight_date) % 2 = 1)""",
+            """by_request AS (
+  SELECT airport_icao, flight_date, half, CAST(sum(d) AS BIGINT) AS d, CAST(sum(a) AS BIGINT) AS a, CAST(sum(bad) AS BIGINT) AS bad
+  FROM landed GROUP BY ALL)"""], """
+SELECT p.airport_icao, p.flight_date, p.half, p.time_from, p.time_to, r.d AS departures, r.a AS arrivals, r.bad AS bad_lines,
+       CASE WHEN r.d IS NULL THEN 'never_landed' WHEN r.d + r.a = 0 THEN 'no_content'
+            WHEN r.d = 0 THEN 'no_departures' WHEN r.a = 0 THEN 'no_arrivals' ELSE 'ok' END AS status
+FROM plan p LEFT JOIN by_request r ON p.airport_icao = r.airport_icao AND p.flight_date = r.flight_date AND p.half = r.half"""),
+        "quarantined_load": with_ctes(dep, [], """
+SELECT 'loaded' AS kind, airport_icao, flight_date, CAST(NULL AS VARCHAR) AS line, count(*) AS n_rows
+FROM raw_departures GROUP BY airport_icao, flight_date
+UNION ALL
+SELECT 'quarantined', NULL, NULL, line, count(*) FROM (
+  SELECT '{"departures": [{"number": "' || coalesce(number, '')
+         || CASE WHEN row_id % 50 = 0 THEN '", "status": ' ELSE '", "isCargo": "maybe"}]}' END AS line
+  FROM raw_departures WHERE row_id % 50 < 2) GROUP BY line"""),
         "movement_delays": with_ctes(dep + arr, kpi_ctes, "SELECT * FROM moves"),
         "delay_daily": with_ctes(dep + arr, kpi_ctes, f"""
 SELECT airport_icao, flight_date, direction, count(*) AS flights, {delay_aggs}

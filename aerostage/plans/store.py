@@ -88,6 +88,7 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int, batch_ts
     """K5: write every table of one load to its ``batch_id=`` folder; publish the id last. Returns False, and
     writes nothing, if the id is published already.
 
+    A table without rows is skipped (K4); it may not exist after its first batch, so read it with its schema.
     ``sources`` gives a table's feed name (``None``: the table has no ``data_source`` column);
     ``partition_cols`` its day column (default ``flight_date``; ``None``: not partitioned); ``schemas`` its
     typed layout. Writers that share a root must use different ids.
@@ -97,6 +98,9 @@ def write_batch(tables: dict[str, DataFrame], root: str, batch_id: int, batch_ts
         return False
     sources, partition_cols, schemas = sources or {}, partition_cols or {}, schemas or {}
     for name, df in tables.items():
+        if df.isEmpty():  # K4: an empty feed makes no table; a crashed attempt under this id may have left files
+            delete(spark, f"{root}/{name}/batch_id={batch_id}")
+            continue
         rows = with_load_defaults(df, batch_ts, sources.get(name, SCHEDULE_SOURCE_NAME))
         rows = conform(rows, schemas[name]) if name in schemas else rows
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -128,6 +132,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def replace_days(df: DataFrame, path: str, days: list, partition_col: str = "flight_date") -> None:
     """Replace ``days`` of a day-partitioned table by the rows of ``df`` as a set: a day without rows is emptied.
 
@@ -138,11 +147,9 @@ def replace_days(df: DataFrame, path: str, days: list, partition_col: str = "fli
     new = materialize(df, "replace-days")
     present = {r[0] for r in new.select(partition_col).distinct().collect()}
     new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for day in days:
         if day is not None and day not in present:
-            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_col}={day}")
-            folder.getFileSystem(conf).delete(folder, True)
+            delete(spark, f"{path}/{partition_col}={day}")
 
 
 def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,

@@ -87,6 +87,13 @@ def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: st
     return path
 
 
+def write_response_lines(lines: DataFrame, path: str) -> str:
+    """Land more response lines (column ``value``) into their requests' folders."""
+    out = lines.select("airport_icao", "flight_date", "half", "value").hint("rebalance", "airport_icao", "flight_date", "half")
+    out.write.mode("append").partitionBy("airport_icao", "flight_date", "half").text(path)
+    return path
+
+
 def write_flight_arrays(flights: DataFrame, path: str, date_col: str = "record_date",
                         extra_partitions: list[str] | None = None) -> str:
     """Write observed flights as JSON arrays of one record, one to a line, partitioned by ``date_col`` (and extras)."""

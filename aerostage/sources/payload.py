@@ -4,8 +4,9 @@ Every reader declares its schema (nothing is inferred: an airport code like ``01
 takes request attributes (airport, date, half, direction) from the landing folder names, which Spark
 turns into partition columns - a date filter on a read becomes partition pruning.
 
-A malformed record (cut off, or a document over several lines read line by line) fails the read, as a bad
-response fails the load; ``multi_line`` reads pretty-printed documents, one to a file.
+The plain readers fail on a malformed record (cut off, of a wrong type, or a document over several lines read line by
+line); ``multi_line`` reads pretty-printed documents, one to a file. Loads use the ``lines`` readers instead: they
+return every line with its file, a malformed one with its text, and ``good`` and ``quarantine`` part them.
 """
 
 from __future__ import annotations
@@ -38,6 +39,53 @@ def read_schedule_payloads(spark: SparkSession, root: str, multi_line: bool = Fa
     return _json(spark, root, with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS), multi_line)
 
 
+#: Column with the text of a malformed line, null on a good one.
+BAD_LINE = "_bad_line"
+#: Share of a load's lines that may be malformed; beyond it the load fails.
+MAX_BAD_SHARE = 0.01
+QUARANTINE = T.StructType([T.StructField(n, t, True) for n, t in (("feed", schemas.S), ("file_path", schemas.S), ("line", schemas.S))])
+
+
+def _lines(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    full = with_fields(schema, [(BAD_LINE, schemas.S)])
+    reader = spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+    return reader.json(root).withColumn("file_path", F.col("_metadata.file_path"))
+
+
+def schedule_lines(spark: SparkSession, root: str) -> DataFrame:
+    """S1 for loads: every line of the landed payloads with its file and, if malformed, its text."""
+    return _lines(spark, root, with_fields(schemas.SCHEDULE_PAYLOAD, REQUEST_COLUMNS))
+
+
+def flight_lines(spark: SparkSession, root: str) -> DataFrame:
+    """S2 for loads."""
+    return _lines(spark, root, with_fields(schemas.OBSERVED_FLIGHT, [("record_date", schemas.D)]))
+
+
+def good(lines: DataFrame) -> DataFrame:
+    """The well-formed lines, as the plain reader returns them."""
+    return lines.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE, "file_path")
+
+
+def quarantine(lines: DataFrame, feed: str) -> DataFrame:
+    """The malformed lines as (feed, file_path, line). A line with one value of a wrong type is malformed as a whole: none
+    of its legs is loaded."""
+    return lines.where(F.col(BAD_LINE).isNotNull()).select(F.lit(feed).alias("feed"), "file_path", F.col(BAD_LINE).alias("line"))
+
+
+def counted_lines(lines: DataFrame, feed: str):
+    """(lines, observation): the number of all and of malformed lines, taken in the pass that reads them."""
+    from pyspark.sql import Observation
+
+    seen = Observation(f"lines-{feed}")
+    return lines.observe(seen, F.count(F.lit(1)).alias("n"), F.count(BAD_LINE).alias("bad")), seen
+
+
+def fail_above(feed: str, n: int, bad: int, most: float = MAX_BAD_SHARE) -> None:
+    if bad > most * n:
+        raise ValueError(f"Malformed records: {bad} of {n} lines of {feed}, more than a share of {most}")
+
+
 def _field(name: str, p: str | None, t: T.DataType) -> Column:
     if p is None:
         return F.col(name).cast(t)

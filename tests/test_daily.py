@@ -159,7 +159,51 @@ def test_a_malformed_record_fails_the_load(spark, tmp_path):
     layout = daily.Layout(landing=str(tmp_path / "landing"), warehouse=str(tmp_path / "warehouse"))
     for text in ('{"departures": [{"number": "A 1"}]}\n{"departures": [{"num', '{\n "departures": [\n {"number": "A 1"}\n ]\n}'):
         (folder / "response.json").write_text(text)
-        with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST|Malformed"):
+        with pytest.raises(Exception, match="Malformed records: [1-9]"):
             daily.load(spark, layout, 1, dt.datetime(2025, 1, 2))
     from aerostage.sources import payload
     assert payload.read_schedule_payloads(spark, layout.schedules, multi_line=True).first().departures[0].number == "A 1"
+
+
+def test_malformed_lines_are_quarantined_and_counted(spark, tmp_path):
+    """Three bad lines among four hundred good ones, two of one file, and a bad record of the other feed."""
+    root = scratch_path(spark, "t_quarantine")
+    layout = _land(spark, root, where="flight_date < '2024-01-12'")
+    bad = ['{"departures": [{"num', '{"departures": "none"}', '{"departures": [{"number": "A", "isCargo": "maybe"}]}']
+    lines = spark.createDataFrame([("EDDF", dt.date(2024, 1, 5), "first_half", b) for b in bad], "airport_icao string, flight_date date, half string, value string")
+    landing.write_response_lines(lines, layout.schedules)
+    spark.createDataFrame([("2024-01-05", '[{"icao24": "x", "firstSeen": ')], "record_date string, value string").write.mode(
+        "append").partitionBy("record_date").text(layout.flights)
+    want = raw(spark, SF_SMALL, "raw_departures").where("flight_date < '2024-01-12'").count()
+    daily.run_days(spark, layout, 1, dt.datetime(2025, 1, 2))
+    read = lambda name: daily.store.read_committed(spark, layout.raw, name, daily.RAW_SCHEMAS[name])
+    assert read("departures").count() == want
+    got = {(r.feed, r.line) for r in read("quarantine").collect()}
+    assert got == {("schedules", b) for b in bad} | {("flights", '[{"icao24": "x", "firstSeen": ')}
+    assert all(r.file_path.startswith("file:") for r in read("quarantine").collect())
+    assert read("responses").agg({"bad_lines": "sum"}).first()[0] == 3
+    assert daily.run_days(spark, layout, 2, dt.datetime(2025, 1, 3)).count() == 0, "later loads are not held up"
+
+
+def test_coverage_of_requests(spark):
+    """Landed with legs, landed empty, one-sided, with a malformed line only, never landed; a file loaded again counts once."""
+    root = scratch_path(spark, "t_cover")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    day = dt.date(2024, 1, 5)
+    leg = '{"number": "A 1"}'
+    responses = [
+        ("0123", "first_half", '{"departures": [%s, %s], "arrivals": [%s]}' % (leg, leg, leg)), ("0123", "second_half", "{}"),
+        ("EDDF", "first_half", '{"departures": [%s]}' % leg), ("EDDF", "second_half", '{"arrivals": [%s], "departures": []}' % leg),
+        ("LFPG", "first_half", '{"departures": [{"num'),
+    ]
+    df = spark.createDataFrame([(a, day, h, v) for a, h, v in responses], "airport_icao string, flight_date date, half string, value string")
+    landing.write_response_lines(df, layout.schedules)
+    for batch in (1, 2):
+        daily.load(spark, layout, batch, dt.datetime(2025, 1, 2), days=[day], max_bad_share=0.5)
+    airports = spark.createDataFrame([("0123",), ("EDDF",), ("LFPG",), ("LSZH",)], "icao string")
+    got = {(r.airport_icao, r.half): (r.departures, r.arrivals, r.bad_lines, r.status) for r in daily.cover(spark, layout, airports, [day], 2).collect()}
+    assert got == {
+        ("0123", "first_half"): (2, 1, 0, "ok"), ("0123", "second_half"): (0, 0, 0, "no_content"),
+        ("EDDF", "first_half"): (1, 0, 0, "no_arrivals"), ("EDDF", "second_half"): (0, 1, 0, "no_departures"),
+        ("LFPG", "first_half"): (0, 0, 1, "no_content"), ("LFPG", "second_half"): (None, None, None, "never_landed"),
+        ("LSZH", "first_half"): (None, None, None, "never_landed"), ("LSZH", "second_half"): (None, None, None, "never_landed")}
