@@ -7,9 +7,10 @@ One run loads the files that no earlier run has loaded, or, with days given, rel
    published through the manifest only after all are written (K2-K5). Every line is parsed once. Malformed lines go to
    the ``quarantine`` table of the batch; more than ``MAX_BAD_SHARE`` of a feed's lines fail the load.
 2. **Stage** (E3, D5, D6): rebuild the staging models of the touched days (of every batch that is
-   published and not staged yet) from the published raw rows of those days, replaced as a set. The departures and arrivals base tables
+   published and not staged yet) from the published raw rows of those days. The departures and arrivals base tables
    are written first; the class and pair-merged tables are derived from the written base tables.
-   The airport dimension is rebuilt whole when an airport file is given.
+   The airport dimension is rebuilt whole when an airport file is given. All tables are written as a new version
+   beside the current one, and one manifest switches them together (``store.publish_snapshot``).
 3. **Check** (Q1-Q7): run the declared checks on the touched days of every staging table and append
    the results, stamped with the batch id, to a results table.
 
@@ -53,8 +54,12 @@ class Layout:
     def raw(self) -> str:
         return f"{self.warehouse}/raw"
 
+    @property
+    def staging_root(self) -> str:
+        return f"{self.warehouse}/staging"
+
     def staging(self, model: str) -> str:
-        return f"{self.warehouse}/staging/{model}"
+        return f"{self.staging_root}/{model}"
 
     @property
     def coverage(self) -> str:
@@ -181,60 +186,65 @@ def seen_days(spark: SparkSession, layout: Layout, days: list[dt.date], batches:
     return sorted(r[0] for r in raw.select(staging.known_day("seen_day")).distinct().collect())
 
 
-def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None,
-                schema: T.StructType | None = None) -> DataFrame:
-    """A staging table (its days). Pass the model's schema when the table may hold no file yet."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return _on_days(reader.parquet(layout.staging(model)), "flight_date", days)
+#: Day column of the staging tables; the airport dimension has none.
+DAY_COLUMN = {"stg_flights": "seen_day", "stg_airports": None}
+
+
+def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None) -> DataFrame:
+    """A staging table (its days) in the current snapshot."""
+    return _on_days(store.read_snapshot(spark, layout.staging_root, model, DAY_COLUMN.get(model, "flight_date")), "flight_date", days)
 
 
 def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv: str | None = None,
-          loaded_at: dt.datetime | None = None, batches: list[int] | None = None) -> dict[str, T.StructType]:
-    """Step 2. Rebuild the staging tables of ``days``; returns each written model's schema.
+          loaded_at: dt.datetime | None = None, batches: list[int] | None = None) -> dict[str, DataFrame]:
+    """Step 2. Rebuild the staging tables of ``days`` and switch to them; returns the rebuilt rows of each table.
 
     A flight can be returned on several record days, so ``stg_flights`` is kept by first-seen day
     (``seen_day``): all records of one flight share it, and the touched first-seen days are rebuilt whole.
-
-    A model can have no row on the touched days; its folder then holds no data file, so staged tables
-    are read back with the schema of the plan that wrote them, never by inference.
     """
-    written: dict[str, T.StructType] = {}
+    root = layout.staging_root
+    version = store.next_version(spark, root)
+    written: dict[str, tuple[DataFrame, str | None, list]] = {}
 
-    def put(name: str, df: DataFrame, on: list[dt.date] = days, col: str = "flight_date") -> None:
-        store.replace_days(df, layout.staging(name), on, col)
-        written[name] = df.schema
+    def put(name: str, df: DataFrame, on: list[dt.date] = days) -> DataFrame:
+        col = DAY_COLUMN.get(name, "flight_date")
+        written[name] = store.write_version(df, root, name, version, col), col, on
+        return written[name][0]
 
     for base_name, base_fn, raw_name, derived in (
             ("stg_departures_base", staging.departures_base, "departures", DEPARTURE_MODELS),
             ("stg_arrivals_base", staging.arrivals_base, "arrivals", ARRIVAL_MODELS)):
-        put(base_name, base_fn(_committed(spark, layout, raw_name, "flight_date", days)))
-        base = read_staged(spark, layout, base_name, days, written[base_name])
+        base = put(base_name, base_fn(_committed(spark, layout, raw_name, "flight_date", days)))
         for name, fn in derived.items():
             put(name, fn(base))
     seen = seen_days(spark, layout, days, batches)
     raw = store.read_committed(spark, layout.raw, "flights", RAW_SCHEMAS["flights"])
     observed = staging.flights(raw.where(staging.known_day("seen_day").isin(seen)).drop("batch_id"))
-    put("stg_flights", observed.withColumn("seen_day", staging.seen_day("first_seen_ts")), seen, "seen_day")
+    put("stg_flights", observed.withColumn("seen_day", staging.seen_day("first_seen_ts")), seen)
     if airports_csv:
-        stg = staging.airports(payload.read_airports_csv(spark, airports_csv), loaded_at=loaded_at)
-        stg.write.mode("overwrite").parquet(layout.staging("stg_airports"))
-        written["stg_airports"] = stg.schema
-    return written
-
-
-def check(spark: SparkSession, layout: Layout, models: dict[str, T.StructType], days: list[dt.date],
-          batch_id: int) -> DataFrame:
-    """Step 3. Checks of the touched days, appended to the results table; returns the results."""
-    parts = {}
-    for m, schema in models.items():
-        df = spark.read.schema(schema).parquet(layout.staging(m))
-        parts[m] = df if m == "stg_airports" else _on_days(df, "flight_date", days)
-    results = checks.run_all(parts).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        put("stg_airports", staging.airports(payload.read_airports_csv(spark, airports_csv), loaded_at=loaded_at))
+    store.publish_snapshot(spark, root, version, written)
+    return {name: rows for name, (rows, _, _) in written.items()}
+
+
+def check(spark: SparkSession, layout: Layout, models: dict[str, DataFrame], batch_id: int) -> DataFrame:
+    """Step 3. Checks of the rebuilt rows, appended to the results table; returns the results. Every declared key holds the
+    day its table is kept by (a flight's first-seen day follows from its key), so the rebuilt days are all the rows that
+    could repeat one of their keys: nothing is missed in days that are not read."""
+    results = checks.run_all(models).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     path = f"{layout.checks}/batch_id={batch_id}"
     results.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(results.schema).parquet(layout.checks).where(F.col("batch_id") == batch_id)
 
 
+def compact_raw(spark: SparkSession, layout: Layout, new_id: int, batch_ts: dt.datetime, target: int = store.COMPACT_BYTES) -> dict[int, list[int]]:
+    """Merge small staged batches of the raw tables (``store.compact``); the merged ones count as staged. Ids from ``new_id`` on
+    must be unused. The replaced folders can go with ``store.drop_replaced`` when no reader holds them."""
+    staged = [r[0] for r in store.manifest(spark, layout.raw, STAGED).select("batch_id").collect()]  # a row for each batch
+    day_cols = {"flights": "seen_day"} | dict.fromkeys(PLAIN)
+    return store.compact(spark, layout.raw, RAW_SCHEMAS, day_cols, new_id, batch_ts, target, only=staged, also=(STAGED,))
+
+
 def cover(spark: SparkSession, layout: Layout, airports: DataFrame, days: list[dt.date], batch_id: int) -> DataFrame:
     """Step 4. Coverage of the requests of ``days`` (all halves of all ``airports``, column ``icao``) by the published
     responses, written for this run; of a file loaded again the last load counts."""
@@ -262,7 +272,7 @@ def run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.da
         return spark.createDataFrame([], "model string, check_name string, failures bigint, passed boolean, "
                                          "batch_id bigint")
     models = stage(spark, layout, touched, airports_csv, loaded_at=batch_ts, batches=batches)
-    results = check(spark, layout, models, touched, batch_id)
+    results = check(spark, layout, models, batch_id)
     if airports_csv and touched:
         cover(spark, layout, load_airports(spark, airports_csv), touched, batch_id)
     for b in batches:

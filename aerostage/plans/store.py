@@ -9,6 +9,10 @@
 * ``refresh_partitions``: recompute only the ``flight_date`` partitions a new load touched, with
   dynamic partition overwrite (D5). Every staging window's keys contain ``flight_date``, so a per-day
   recompute is exact; the touched-day semi-join lets dynamic partition pruning skip the rest.
+* ``write_version`` / ``publish_snapshot`` / ``read_snapshot``: the staging tables as one snapshot. A run writes the days it
+  rebuilt to folders of its own version; one manifest file then names, for every table and day, the version that
+  holds it. Readers see the old set of all tables or the new one, whatever write a run crashed at.
+* ``compact``: merges small published batches into one, which replaces them with a single manifest entry.
 * ``publish_views`` / ``write_models`` / ``from_legacy``: models as session views or target tables, and
   legacy-named raw tables in the current layout (K6-K8, D6).
 """
@@ -16,6 +20,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,16 +73,21 @@ def bounded(keys: DataFrame) -> DataFrame:
 
 
 def manifest(spark: SparkSession, root: str, name: str = MANIFEST) -> DataFrame:
-    """Published batch ids and their times; none where nothing was published yet."""
+    """Published batch ids and their times, without those that a published merge has replaced; none where nothing
+    was published yet."""
     path = f"{root}/{name}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).parquet(path)
+    full = T.StructType([*MANIFEST_SCHEMA.fields, T.StructField("replaces", T.ArrayType(T.LongType()), True)])
+    found = spark.read.schema(full).parquet(path)
+    gone = bounded(found.select(F.explode("replaces").alias("batch_id")))
+    return found.select(*MANIFEST_SCHEMA.fieldNames()).join(gone, "batch_id", "left_anti").select(*MANIFEST_SCHEMA.fieldNames())
 
 
-def publish(spark: SparkSession, root: str, batch_id: int, batch_ts: dt.datetime, name: str = MANIFEST) -> None:
-    """Enter a batch in a manifest; entering it again replaces the entry."""
-    entry = spark.range(1).select(F.lit(batch_ts).cast("timestamp_ntz").alias("committed_at"))
+def publish(spark: SparkSession, root: str, batch_id: int, batch_ts: dt.datetime, name: str = MANIFEST, replaces: list[int] | None = None) -> None:
+    """Enter a batch in a manifest; entering it again replaces the entry. ``replaces``: batches whose rows it holds."""
+    old = F.array(*[F.lit(b).cast("bigint") for b in replaces]) if replaces else F.lit(None).cast("array<bigint>")
+    entry = spark.range(1, numPartitions=1).select(F.lit(batch_ts).cast("timestamp_ntz").alias("committed_at"), old.alias("replaces"))
     entry.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{name}/batch_id={batch_id}")
 
 
@@ -164,6 +174,160 @@ def refresh_partitions(spark: SparkSession, raw_path: str, curated_path: str,
     replace_days(model(raw), curated_path, listed, partition_col)
 
 
+# ---- snapshots of the staging tables ---------------------------------------------------------------
+SNAPSHOTS = "_snapshots"
+SNAPSHOT = T.StructType([T.StructField("model", T.StringType(), True), T.StructField("day", T.DateType(), True),
+                         T.StructField("version", T.LongType(), True), T.StructField("schema", T.StringType(), True)])
+
+
+def write_version(df: DataFrame, root: str, model: str, version: int, day_col: str | None) -> DataFrame:
+    """Write the rows of a run to the version's own folder of ``model`` (a retried run replaces it); returns them, read back.
+    Nothing that a reader sees changes."""
+    path = f"{root}/{model}/version={version}"
+    rows = df.hint("rebalance", day_col) if day_col else df
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(day_col) if day_col else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """The current snapshot: for each table a row without a day, with its schema, and one for each day that it holds."""
+    path = f"{root}/{SNAPSHOTS}"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], SNAPSHOT)
+    every = spark.read.schema(T.StructType([*SNAPSHOT.fields, T.StructField("id", T.LongType(), True)])).parquet(path)
+    last = every.agg(F.max("id")).first()[0]
+    return every.where(F.col("id") == F.lit(last)).drop("id")
+
+
+def publish_snapshot(spark: SparkSession, root: str, version: int, written: dict[str, tuple[DataFrame, str | None, list]]) -> None:
+    """Switch to ``version``. ``written``: for each rebuilt table its rows, its day column and the days they stand for; a day
+    without rows is then held by no version, a table without a day column is replaced whole. Tables and days
+    that were not rebuilt keep their versions. The manifest is one file: it is there or it is not."""
+    new = snapshot(spark, root)
+    at = F.lit(version).cast("bigint").alias("version")
+    for model, (rows, day_col, days) in written.items():
+        untouched = F.col("day").isNotNull() & ~F.col("day").isin(list(days)) if day_col else F.lit(False)
+        new = new.where((F.col("model") != model) | untouched)
+        head = spark.range(1, numPartitions=1).select(F.lit(model).alias("model"), F.lit(None).cast("date").alias("day"), at, F.lit(rows.schema.json()).alias("schema"))
+        new = new.unionByName(head)
+        if day_col:
+            held = rows.select(F.col(day_col).cast("date").alias("day")).distinct()
+            new = new.unionByName(held.select(F.lit(model).alias("model"), "day", at, F.lit(None).cast("string").alias("schema")))
+    path = f"{root}/{SNAPSHOTS}/id={version}"
+    new.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def next_version(spark: SparkSession, root: str) -> int:
+    """The version after the current snapshot; a run that crashed before its switch gets the same one again."""
+    path = f"{root}/{SNAPSHOTS}"
+    if not path_exists(spark, path):
+        return 1
+    every = spark.read.schema(T.StructType([*SNAPSHOT.fields, T.StructField("id", T.LongType(), True)])).parquet(path)
+    return (every.agg(F.max("id")).first()[0] or 0) + 1
+
+
+def read_snapshot(spark: SparkSession, root: str, model: str, day_col: str | None) -> DataFrame:
+    """The current rows of a table. The version and day of every row are folder names, so the join with the snapshot's few
+    rows only chooses folders; the schema is the one the snapshot names, so a table may hold no file."""
+    held = snapshot(spark, root).where(F.col("model") == model)
+    head = held.where("schema is not null").first()
+    if head is None:
+        raise ValueError(f"{model} is in no snapshot under {root}")
+    schema = T.StructType.fromJson(json.loads(head["schema"]))
+    if not path_exists(spark, f"{root}/{model}"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.LongType(), True)])).parquet(f"{root}/{model}")
+    keys = held.where("day is not null").select("version", F.col("day").alias(day_col)) if day_col else held.select("version")
+    keys = bounded(keys)
+    return rows.join(keys, keys.columns, "left_semi").select(*schema.fieldNames())
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> list[tuple[str, int]]:
+    """Delete the version folders that none of the last ``keep`` snapshots names (readers of older ones are gone), and the older
+    manifests; returns them. The names come from the manifests, a row for each table and version."""
+    path = f"{root}/{SNAPSHOTS}"
+    every = spark.read.schema(T.StructType([*SNAPSHOT.fields, T.StructField("id", T.LongType(), True)])).parquet(path)
+    pairs = every.select("id", "model", "version").distinct().collect()
+    ids = sorted({r["id"] for r in pairs})[-keep:]
+    live = {(r["model"], r["version"]) for r in pairs if r["id"] in ids}
+    gone = sorted({(r["model"], r["version"]) for r in pairs} - live)
+    for model, version in gone:
+        delete(spark, f"{root}/{model}/version={version}")
+    for old in sorted({r["id"] for r in pairs} - set(ids)):
+        delete(spark, f"{path}/id={old}")
+    return gone
+
+
+# ---- compaction of raw batches ---------------------------------------------------------------------
+#: Batches below so many bytes are merged, into ones of about this size.
+COMPACT_BYTES = 128 << 20
+
+
+def batch_bytes(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
+    """(batch_id, bytes, files) of the published batches, from the file listing."""
+    ids = manifest(spark, root).select("batch_id")
+    found = [t for t in tables if path_exists(spark, f"{root}/{t}")]
+    if not found:
+        return spark.createDataFrame([], "batch_id bigint, bytes bigint, files bigint")
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load([f"{root}/{t}" for t in found])
+    batch = F.regexp_extract("path", "/batch_id=([0-9]+)/", 1).try_cast("bigint")
+    return listed.select(batch.alias("batch_id"), "length").join(bounded(ids), "batch_id", "left_semi").groupBy("batch_id").agg(
+        F.sum("length").alias("bytes"), F.count(F.lit(1)).alias("files"))
+
+
+def plan_merges(sizes: list[tuple[int, int]], target: int = COMPACT_BYTES) -> list[list[int]]:
+    """Neighbouring small batches (id, bytes) in groups of about ``target`` bytes, two to a group at least."""
+    groups, own, total = [], [], 0
+    for batch, size in sorted(sizes):
+        if size >= target or (own and total + size > target):
+            groups.append(own)
+            own, total = [], 0
+        if size < target:
+            own.append(batch)
+            total += size
+    return [g for g in [*groups, own] if len(g) > 1]
+
+
+def compact(spark: SparkSession, root: str, schemas: dict[str, T.StructType], day_cols: dict[str, str | None], new_id: int, batch_ts: dt.datetime,
+            target: int = COMPACT_BYTES, only: list[int] | None = None, also: tuple[str, ...] = ()) -> dict[int, list[int]]:
+    """K2: merge small published batches (of ``only``, if given), each group into one batch with the ids ``new_id``, ``new_id`` + 1, ...
+
+    Rows, their load times and days stay as they are; each day of a merged batch is a few files instead of
+    one and more for every batch. A group is switched by one manifest entry that names what it replaces, so a reader
+    takes the old batches or the merged one. ``also``: further manifests that list the new ids first (a merge
+    of staged batches is staged). Returns new id -> replaced ids; ``drop_replaced`` deletes their files later.
+    """
+    sizes = batch_bytes(spark, root, list(schemas))
+    sizes = sizes.where(F.col("batch_id").isin(only)) if only is not None else sizes
+    small = [(r["batch_id"], r["bytes"]) for r in sizes.where(F.col("bytes") < target).collect()]  # a row for each batch
+    done: dict[int, list[int]] = {}
+    for k, group in enumerate(plan_merges(small, target)):
+        batch = new_id + k
+        for name, schema in schemas.items():
+            rows = read_committed(spark, root, name, schema).where(F.col("batch_id").isin(group)).drop("batch_id")
+            path, day = f"{root}/{name}/batch_id={batch}", day_cols.get(name, "flight_date")
+            if rows.isEmpty():
+                delete(spark, path)
+                continue
+            rows = rows.hint("rebalance", day) if day else rows.hint("rebalance")
+            writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            (writer.partitionBy(day) if day else writer).parquet(path)
+        for other in also:
+            publish(spark, root, batch, batch_ts, other)
+        publish(spark, root, batch, batch_ts, replaces=group)
+        done[batch] = group
+    return done
+
+
+def drop_replaced(spark: SparkSession, root: str, tables: list[str], merged: dict[int, list[int]]) -> None:
+    """Delete the folders of merged batches, once no reader holds them; their manifest entries stay replaced."""
+    for group in merged.values():
+        for batch in group:
+            for name in tables:
+                delete(spark, f"{root}/{name}/batch_id={batch}")
+
+
 # ---- model publication (K6, K7, D6) and legacy tables (K8) ---------------------------------------
 # Target schemas of the two deployment targets.
 TARGET_SCHEMAS = {"dev": "staging", "prod": "staging_prod"}

@@ -61,13 +61,15 @@ def test_a_later_day_rewrites_only_its_partitions(spark):
     layout = _land(spark, root, where="flight_date < '2024-01-20'")
     daily.run_days(spark, layout, 1, dt.datetime(2025, 1, 2))
     staged = local_path(layout.staging("stg_departures_base"))
-    old_day = os.path.join(staged, "flight_date=2024-01-05")
+    old_day = os.path.join(staged, "version=1", "flight_date=2024-01-05")
     before = sorted(os.listdir(old_day))
     _land(spark, root, where="flight_date = '2024-01-25'", mode="append")
     touched = daily.load(spark, layout, 2, dt.datetime(2025, 1, 3), days=[dt.date(2024, 1, 25)])
     assert touched == [dt.date(2024, 1, 25)]
     daily.stage(spark, layout, touched)
     assert sorted(os.listdir(old_day)) == before
+    held = {str(r.day): r.version for r in daily.store.snapshot(spark, layout.staging_root).where("model = 'stg_departures_base'").collect()}
+    assert held["2024-01-05"] == 1 and held["2024-01-25"] == 2 and os.listdir(os.path.join(staged, "version=2")) != []
     got = daily.read_staged(spark, layout, "stg_departures_base").where(F.col("flight_date") == "2024-01-25")
     assert got.count() > 0
 
@@ -207,3 +209,89 @@ def test_coverage_of_requests(spark):
         ("EDDF", "first_half"): (1, 0, 0, "no_arrivals"), ("EDDF", "second_half"): (0, 1, 0, "no_departures"),
         ("LFPG", "first_half"): (0, 0, 1, "no_content"), ("LFPG", "second_half"): (None, None, None, "never_landed"),
         ("LSZH", "first_half"): (None, None, None, "never_landed"), ("LSZH", "second_half"): (None, None, None, "never_landed")}
+
+
+def _all_tables(spark, layout):
+    names = [m for m in ("stg_departures_base", *daily.DEPARTURE_MODELS, "stg_arrivals_base", *daily.ARRIVAL_MODELS, "stg_flights")]
+    return {m: sorted(map(str, daily.read_staged(spark, layout, m).select("flight_date", "ingestion_timestamp").collect())) for m in names}
+
+
+def test_a_crash_at_any_write_leaves_the_old_tables(spark, monkeypatch):
+    """The second run dies at the first, a middle and the last table and at the switch itself: readers see the first
+    run's tables; the run after that finishes the work."""
+    root = scratch_path(spark, "t_crash")
+    layout = _land(spark, root, where="flight_date = '2024-01-05'")
+    daily.run_days(spark, layout, 1, dt.datetime(2025, 1, 2))
+    old = _all_tables(spark, layout)
+    assert sum(map(len, old.values())) > 0
+    days = [dt.date(2024, 1, 5)]
+    daily.load(spark, layout, 2, dt.datetime(2025, 1, 3), days=days)
+    write, switch = daily.store.write_version, daily.store.publish_snapshot
+    for at in (1, 5, 9, None):
+        calls = []
+
+        def dies(*args, at=at, calls=calls):
+            calls.append(args)
+            if at is None or len(calls) == at:
+                raise OSError("lost")
+            return write(*args)
+
+        monkeypatch.setattr(daily.store, "write_version" if at else "publish_snapshot", dies)
+        try:
+            daily.stage(spark, layout, days, batches=[2])
+            raise AssertionError("the run must have died")
+        except OSError:
+            pass
+        monkeypatch.setattr(daily.store, "write_version", write)
+        monkeypatch.setattr(daily.store, "publish_snapshot", switch)
+        assert daily.store.next_version(spark, layout.staging_root) == 2
+    assert _all_tables(spark, layout) == old
+    daily.run_days(spark, layout, 3, dt.datetime(2025, 1, 4))
+    new = _all_tables(spark, layout)
+    assert new != old and {k: len(v) for k, v in new.items()} == {k: len(v) for k, v in old.items()}
+    assert daily.store.drop_versions(spark, layout.staging_root, keep=1) and _all_tables(spark, layout) == new
+
+
+def test_small_batches_are_merged_and_switched_together(spark, monkeypatch):
+    root = scratch_path(spark, "t_compact")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    for batch, day in ((1, "2024-01-05"), (2, "2024-01-06"), (3, "2024-01-05")):
+        _land(spark, root, where=f"flight_date = '{day}'", mode="append")
+        daily.load(spark, layout, batch, dt.datetime(2025, 1, 1 + batch))
+        if batch < 3:
+            daily.store.publish(spark, layout.raw, batch, dt.datetime(2025, 1, 9), daily.STAGED)
+
+    def rows():
+        out = {}
+        for name, schema in daily.RAW_SCHEMAS.items():
+            read = daily.store.read_committed(spark, layout.raw, name, schema).drop("batch_id")
+            out[name] = sorted(map(str, read.collect()))
+        return out
+
+    before = rows()
+    publish = daily.store.publish
+
+    def dies(spark_, root_, batch, ts, name=daily.store.MANIFEST, replaces=None):
+        if replaces:
+            raise OSError("lost")
+        publish(spark_, root_, batch, ts, name)
+
+    monkeypatch.setattr(daily.store, "publish", dies)
+    try:
+        daily.compact_raw(spark, layout, 100, dt.datetime(2025, 1, 9))
+        raise AssertionError("the merge must have died")
+    except OSError:
+        pass
+    monkeypatch.setattr(daily.store, "publish", publish)
+    assert rows() == before and daily.pending(spark, layout)[0] == [3]
+    merged = daily.compact_raw(spark, layout, 100, dt.datetime(2025, 1, 9))
+    assert merged == {100: [1, 2]} and rows() == before and daily.pending(spark, layout)[0] == [3]
+    daily.store.drop_replaced(spark, layout.raw, list(daily.RAW_SCHEMAS), merged)
+    assert rows() == before
+    assert {r[0] for r in daily.store.manifest(spark, layout.raw).select("batch_id").collect()} == {3, 100}
+
+
+def test_merges_are_planned_by_size():
+    plan = daily.store.plan_merges
+    assert plan([(1, 40), (2, 40), (3, 40), (4, 200), (5, 10), (6, 10)], 100) == [[1, 2], [5, 6]]
+    assert plan([(1, 100), (2, 99), (3, 100)], 100) == [] and plan([], 100) == []
