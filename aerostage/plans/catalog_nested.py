@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aerostage.functions import casts
+from aerostage.operators import variant
 from aerostage.operators.nested import align, flatten, path
 from aerostage.plans.catalog import query, raw
 from aerostage.plans import staging
@@ -53,6 +54,37 @@ def q_nested_default(spark, sf_dir):
                          path("aircraft.model", default="unknown").alias("aircraft_model"))
 
 
+@query("present_null_default")
+def q_present_null_default(spark, sf_dir):
+    """N1 on undeclared JSON: a null that is present stays null, a missing key or an object that is none gives the default."""
+    r = raw(spark, sf_dir, "raw_departures")
+    craft = F.struct(F.col("aircraft_reg").alias("reg"), F.col("aircraft_model").alias("model"))
+    kind = F.pmod("row_id", F.lit(4))
+    text = (F.when(kind == 0, F.to_json(F.struct(craft.alias("aircraft")), {"ignoreNullFields": "false"}))
+            .when(kind == 1, F.to_json(F.struct(craft.alias("aircraft"))))
+            .when(kind == 2, F.lit('{"aircraft": "n/a"}')).otherwise(F.lit('{"aircraft": null}')))
+    v = r.select("row_id", variant.parse(text).alias("v"))
+    return v.select("row_id", variant.get_path("v", "aircraft.model", default="unknown").alias("aircraft_model"),
+                    variant.get_path("v", "aircraft.reg").alias("aircraft_reg"))
+
+
+@query("flatten_unknown_keys")
+def q_flatten_unknown_keys(spark, sf_dir):
+    """N7 + N8 without a schema: the keys of nested records found in the data, flattened, aligned to their union; shown as
+    one row for each key that is there."""
+    r = raw(spark, sf_dir, "raw_departures")
+    clock = F.struct(F.date_format("departure_scheduledtime_utc", "yyyy-MM-dd HH:mm").alias("utc"))
+    leg = F.struct(
+        "number", "status", "isCargo",
+        F.struct(F.col("aircraft_reg").alias("reg"), F.col("aircraft_modeS").alias("modeS")).alias("aircraft"),
+        F.struct(F.struct(F.col("departure_terminal").alias("terminal"), clock.alias("scheduledTime")).alias("departure")).alias("movement"),
+        F.when(F.pmod("row_id", F.lit(3)) == 0, F.array(F.lit("Basic"), F.col("status"))).alias("quality"))
+    flat = variant.flatten_unknown(r.select("row_id", variant.parse(F.to_json(leg)).alias("v")), "v", ["row_id"])
+    keys = [c for c in flat.columns if c != "row_id"]
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(f"`{k}`").alias("value")) for k in keys]))
+    return flat.select("row_id", pairs.alias("p")).select("row_id", "p.key", "p.value").where("value is not null")
+
+
 @query("flatten_struct")
 def q_flatten_struct(spark, sf_dir):
     """Nested legs flattened, keys joined by ``_``; depth three (``departure_scheduledTime_utc``)."""

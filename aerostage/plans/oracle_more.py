@@ -200,6 +200,21 @@ SELECT {q_cols}, 1, 'Live' FROM raw_departures WHERE departure_revisedtime_utc I
 UNION ALL
 SELECT {q_cols}, CASE WHEN departure_revisedtime_utc IS NOT NULL THEN 2 ELSE 1 END, 'Runway'
 FROM raw_departures WHERE departure_runwaytime_utc IS NOT NULL"""),
+        "present_null_default": with_ctes(dep, [], """
+SELECT row_id,
+       CASE row_id % 4 WHEN 0 THEN aircraft_model WHEN 1 THEN coalesce(aircraft_model, 'unknown') ELSE 'unknown' END AS aircraft_model,
+       CASE WHEN row_id % 4 < 2 THEN aircraft_reg END AS aircraft_reg
+FROM raw_departures"""),
+        "flatten_unknown_keys": with_ctes(dep, ["""pairs AS (
+  SELECT row_id, 'number' AS key, number AS value FROM raw_departures
+  UNION ALL SELECT row_id, 'status', status FROM raw_departures
+  UNION ALL SELECT row_id, 'isCargo', CAST(isCargo AS VARCHAR) FROM raw_departures
+  UNION ALL SELECT row_id, 'aircraft_reg', aircraft_reg FROM raw_departures
+  UNION ALL SELECT row_id, 'aircraft_modeS', aircraft_modeS FROM raw_departures
+  UNION ALL SELECT row_id, 'movement_departure_terminal', departure_terminal FROM raw_departures
+  UNION ALL SELECT row_id, 'movement_departure_scheduledTime_utc', strftime(departure_scheduledtime_utc, '%Y-%m-%d %H:%M') FROM raw_departures
+  UNION ALL SELECT row_id, 'quality', '["Basic",' || coalesce('"' || status || '"', 'null') || ']' FROM raw_departures WHERE row_id % 3 = 0)"""],
+            "SELECT row_id, key, value FROM pairs WHERE value IS NOT NULL"),
         "nested_default": with_ctes(dep, [], """
 SELECT row_id,
        CASE WHEN aircraft_modeS IS NULL THEN NULL ELSE aircraft_reg END AS aircraft_reg,
