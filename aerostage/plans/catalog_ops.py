@@ -189,6 +189,30 @@ def q_hourly_efficiency(spark, sf_dir):
     return kpi.hourly_efficiency(staging.departures_operator(base), staging.departures_not_departed(base))
 
 
+@query("efficiency_rollup")
+def q_efficiency_rollup(spark, sf_dir):
+    """D4 + D6: hourly partials of both directions stored by day, refreshed for the days of a late load only, rolled up to
+    hours, days and airports by grouping sets."""
+    root = scratch_path(spark, "efficiency")
+    dep, arr = raw(spark, sf_dir, "raw_departures"), staging.arrivals_base(raw(spark, sf_dir, "raw_arrivals"))
+    arr = materialize(arr, "stg_arrivals_base")
+
+    def store_days(departures, version, days):
+        on = lambda df: df if days is None else df.where(F.col("flight_date").isin(days))
+        base = materialize(staging.departures_base(on(departures)), "stg_departures_base")
+        flights = kpi.scheduled_flights(staging.departures_operator(base), staging.departures_not_departed(base),
+                                        staging.arrivals_operator(on(arr)), staging.arrivals_not_arrived(on(arr)))
+        rows = store.write_version(kpi.efficiency_partials(flights), root, "kpi_efficiency", version, "flight_date")
+        store.publish_snapshot(spark, root, version, {"kpi_efficiency": (rows, "flight_date", days or [])})
+
+    store_days(dep, 1, None)
+    late = store.with_load_defaults(_without_defaults(late_batch(dep)), LATE_LOAD).select(*dep.columns)
+    touched = [r[0] for r in late.select("flight_date").distinct().collect()]  # bounded by the calendar
+    if touched:
+        store_days(dep.unionByName(late), 2, touched)
+    return kpi.efficiency_levels(store.read_snapshot(spark, root, "kpi_efficiency", "flight_date"))
+
+
 LINK_ID = ["row_id", "flight_number", "flight_date", "callsign", "aircraft_mode_s", "airport_icao",
            "departure_scheduled_utc"]
 

@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from aerostage import schemas
 from aerostage.functions import predicates
-from aerostage.plans import checks, staging, store
+from aerostage.plans import checks, kpi, staging, store
 from aerostage.session import materialize
 from aerostage.sources import payload, requests
 
@@ -190,6 +190,10 @@ def seen_days(spark: SparkSession, layout: Layout, days: list[dt.date], batches:
 DAY_COLUMN = {"stg_flights": "seen_day", "stg_airports": None}
 
 
+#: Curated table (D4, D6): hourly sums of both directions, kept by day; ``kpi.efficiency_levels`` rolls them up.
+EFFICIENCY = "kpi_efficiency_hourly"
+
+
 def read_staged(spark: SparkSession, layout: Layout, model: str, days: list[dt.date] | None = None) -> DataFrame:
     """A staging table (its days) in the current snapshot."""
     return _on_days(store.read_snapshot(spark, layout.staging_root, model, DAY_COLUMN.get(model, "flight_date")), "flight_date", days)
@@ -223,6 +227,9 @@ def stage(spark: SparkSession, layout: Layout, days: list[dt.date], airports_csv
     put("stg_flights", observed.withColumn("seen_day", staging.seen_day("first_seen_ts")), seen)
     if airports_csv:
         put("stg_airports", staging.airports(payload.read_airports_csv(spark, airports_csv), loaded_at=loaded_at))
+    rows = {name: df for name, (df, _, _) in written.items()}
+    put(EFFICIENCY, kpi.efficiency_partials(kpi.scheduled_flights(
+        rows["stg_departures_operator"], rows["stg_departures_not_departed"], rows["stg_arrivals_operator"], rows["stg_arrivals_not_arrived"])))
     store.publish_snapshot(spark, root, version, written)
     return {name: rows for name, (rows, _, _) in written.items()}
 
@@ -231,7 +238,7 @@ def check(spark: SparkSession, layout: Layout, models: dict[str, DataFrame], bat
     """Step 3. Checks of the rebuilt rows, appended to the results table; returns the results. Every declared key holds the
     day its table is kept by (a flight's first-seen day follows from its key), so the rebuilt days are all the rows that
     could repeat one of their keys: nothing is missed in days that are not read."""
-    results = checks.run_all(models).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    results = checks.run_all({m: df for m, df in models.items() if m in checks.CHECKS}).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     path = f"{layout.checks}/batch_id={batch_id}"
     results.drop("batch_id").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     return spark.read.schema(results.schema).parquet(layout.checks).where(F.col("batch_id") == batch_id)

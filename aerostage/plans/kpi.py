@@ -9,6 +9,7 @@ passes over one partitioning, then one aggregation; it has no join.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,6 +65,45 @@ def adherence(moves: DataFrame, threshold_s: int = ON_TIME_SECONDS) -> DataFrame
     return _finish(agg).select("airport_icao", "flight_date", "direction", "with_actual", "on_time", "adherence_pct")
 
 
+def scheduled_flights(dep_operator: DataFrame, dep_not_departed: DataFrame, arr_operator: DataFrame, arr_not_arrived: DataFrame) -> DataFrame:
+    """One row per scheduled movement of either direction: airport, day, scheduled hour, whether it was operated, delay."""
+    def side(df: DataFrame, s: str, operated: bool) -> DataFrame:
+        sched = F.col(f"{s}_scheduled_utc")
+        delay = F.timestamp_diff("SECOND", sched, actual_time(s)) if operated else F.lit(None).cast("bigint")
+        return df.select(F.lit(s).alias("direction"), "airport_icao", "flight_date", F.hour(sched).alias("hour"),
+                         F.lit(operated).alias("operated"), delay.alias("delay_seconds"))
+    parts = [side(dep_operator, "departure", True), side(dep_not_departed, "departure", False),
+             side(arr_operator, "arrival", True), side(arr_not_arrived, "arrival", False)]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+#: Sums that every level of the efficiency report is rolled up from.
+PARTIALS = ["scheduled", "operated", "not_operated", "with_actual", "total_delay_seconds", "on_time"]
+# The report's levels: label, and what it is grouped by.
+LEVELS = {"hour": ["airport_icao", "flight_date", "direction", "hour"], "day": ["airport_icao", "flight_date", "direction"],
+          "airport_day": ["airport_icao", "flight_date"], "airport": ["airport_icao", "direction"]}
+
+
+def efficiency_partials(flights: DataFrame, threshold_s: int = ON_TIME_SECONDS) -> DataFrame:
+    """D4, stored form: counts and sums per airport, day, direction and hour. They can be added up, so coarser levels
+    never need the flights again and a refreshed day replaces its own rows only."""
+    d = F.col("delay_seconds")
+    return flights.groupBy(*LEVELS["hour"]).agg(
+        F.count(F.lit(1)).alias("scheduled"), F.count_if(F.col("operated")).alias("operated"), F.count_if(~F.col("operated")).alias("not_operated"),
+        F.count(d).alias("with_actual"), F.sum(d).cast("bigint").alias("total_delay_seconds"), F.count_if(d <= threshold_s).alias("on_time"))
+
+
+def efficiency_levels(partials: DataFrame) -> DataFrame:
+    """D4 by hour, day (both directions apart and together) and airport: the partials rolled up by grouping sets."""
+    keys = [F.col(c) for c in LEVELS["hour"]]
+    sets = [[F.col(c) for c in level] for level in LEVELS.values()]
+    bits = {sum(1 << (len(keys) - 1 - i) for i, c in enumerate(LEVELS["hour"]) if c not in level): name for name, level in LEVELS.items()}
+    which = F.create_map(*[F.lit(x) for kv in bits.items() for x in kv])
+    out = partials.groupingSets(sets, *keys).agg(F.grouping_id().cast("int").alias("__set"), *[F.sum(c).cast("bigint").alias(c) for c in PARTIALS])
+    out = _finish(out).withColumn("operated_share", F.col("operated") / F.col("scheduled"))
+    return out.select(which[F.col("__set")].alias("level"), *LEVELS["hour"], *PARTIALS, "avg_delay_minutes", "adherence_pct", "operated_share")
+
+
 def hourly_efficiency(dep_operator: DataFrame, dep_not_departed: DataFrame,
                       threshold_s: int = ON_TIME_SECONDS) -> DataFrame:
     """Per airport, day and scheduled hour: scheduled, operated and not-departed flights, delay, adherence."""

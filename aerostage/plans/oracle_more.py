@@ -5,6 +5,7 @@ from __future__ import annotations
 from aerostage.plans.oracle import (
     AIRPORTS,
     ARR_BASE_CTES,
+    ARR_NOT_ARRIVED,
     ARR_OPERATOR,
     COMPLETE,
     DEP_BASE_CTES,
@@ -382,6 +383,24 @@ FROM (
   FROM dep_not_departed
 ) t
 GROUP BY airport_icao, flight_date, hour"""),
+        "efficiency_rollup": with_ctes(dep + arr, [late, *departures("raw_all"), DEP_OPERATOR, DEP_NOT_DEPARTED] + ARR_BASE_CTES + [ARR_OPERATOR, ARR_NOT_ARRIVED, """flights AS (
+  SELECT 'departure' AS direction, airport_icao, flight_date, CAST(hour(departure_scheduled_utc) AS INTEGER) AS hour, TRUE AS operated,
+         date_diff('second', departure_scheduled_utc, COALESCE(departure_runway_utc, departure_revised_utc)) AS delay_seconds FROM dep_operator
+  UNION ALL
+  SELECT 'departure', airport_icao, flight_date, CAST(hour(departure_scheduled_utc) AS INTEGER), FALSE, NULL FROM dep_not_departed
+  UNION ALL
+  SELECT 'arrival', airport_icao, flight_date, CAST(hour(arrival_scheduled_utc) AS INTEGER), TRUE,
+         date_diff('second', arrival_scheduled_utc, COALESCE(arrival_runway_utc, arrival_revised_utc)) FROM arr_operator
+  UNION ALL
+  SELECT 'arrival', airport_icao, flight_date, CAST(hour(arrival_scheduled_utc) AS INTEGER), FALSE, NULL FROM arr_not_arrived
+)"""], "\nUNION ALL\n".join(f"""
+SELECT '{label}' AS level, {keys}, count(*) AS scheduled, count(*) FILTER (WHERE operated) AS operated, count(*) FILTER (WHERE NOT operated) AS not_operated,
+       {delay_aggs}, {adherence}, count(*) FILTER (WHERE operated) / count(*) AS operated_share
+FROM flights GROUP BY {by}""" for label, keys, by in (
+            ("hour", "airport_icao, flight_date, direction, hour", "airport_icao, flight_date, direction, hour"),
+            ("day", "airport_icao, flight_date, direction, CAST(NULL AS INTEGER) AS hour", "airport_icao, flight_date, direction"),
+            ("airport_day", "airport_icao, flight_date, CAST(NULL AS VARCHAR) AS direction, CAST(NULL AS INTEGER) AS hour", "airport_icao, flight_date"),
+            ("airport", "airport_icao, CAST(NULL AS DATE) AS flight_date, direction, CAST(NULL AS INTEGER) AS hour", "airport_icao, direction")))),
         "link_schedule_observed": with_ctes(dep + fl, DEP_BASE_CTES + [DEP_OPERATOR, FLIGHTS, """timed AS (
   SELECT row_id, callsign, aircraft_mode_s,
          COALESCE(departure_runway_utc, departure_revised_utc, departure_scheduled_utc) AS t

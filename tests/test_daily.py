@@ -227,7 +227,7 @@ def test_a_crash_at_any_write_leaves_the_old_tables(spark, monkeypatch):
     days = [dt.date(2024, 1, 5)]
     daily.load(spark, layout, 2, dt.datetime(2025, 1, 3), days=days)
     write, switch = daily.store.write_version, daily.store.publish_snapshot
-    for at in (1, 5, 9, None):
+    for at in (1, 5, 10, None):
         calls = []
 
         def dies(*args, at=at, calls=calls):
@@ -249,6 +249,9 @@ def test_a_crash_at_any_write_leaves_the_old_tables(spark, monkeypatch):
     daily.run_days(spark, layout, 3, dt.datetime(2025, 1, 4))
     new = _all_tables(spark, layout)
     assert new != old and {k: len(v) for k, v in new.items()} == {k: len(v) for k, v in old.items()}
+    flights = sum(daily.read_staged(spark, layout, m).count() for m in (
+        "stg_departures_operator", "stg_departures_not_departed", "stg_arrivals_operator", "stg_arrivals_not_arrived"))
+    assert daily.read_staged(spark, layout, daily.EFFICIENCY).agg({"scheduled": "sum"}).first()[0] == flights > 0
     assert daily.store.drop_versions(spark, layout.staging_root, keep=1) and _all_tables(spark, layout) == new
 
 
