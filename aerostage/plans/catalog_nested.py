@@ -15,29 +15,30 @@ from aerostage.sources import landing, payload
 _RAW_OUT_DROP = ["row_id", "ingestion_timestamp", "data_source"]
 
 
-def land_schedules(spark, sf_dir) -> str:
-    """Land the schedule adapters as nested payload files; return the landing root."""
+def land_schedules(spark, sf_dir, *sides: str) -> str:
+    """Land the schedule adapters (or only the ``sides`` asked for) as nested payload files; return the landing root."""
     root = scratch_path(spark, "schedules")
-    landing.write_schedule_payloads(raw(spark, sf_dir, "raw_departures"), raw(spark, sf_dir, "raw_arrivals"), root)
+    side = lambda name: raw(spark, sf_dir, f"raw_{name}") if not sides or name in sides else None
+    landing.write_schedule_payloads(side("departures"), side("arrivals"), root)
     return root
 
 
 @query("payload_flatten_departures")
 def q_payload_flatten_departures(spark, sf_dir):
     """S1 + N2/N3 + N5: land nested payloads, read them back with a fixed schema, departures to flat rows."""
-    return payload.departures_from_payloads(payload.read_schedule_payloads(spark, land_schedules(spark, sf_dir)))
+    return payload.departures_from_payloads(payload.read_schedule_payloads(spark, land_schedules(spark, sf_dir, "departures")))
 
 
 @query("payload_flatten_arrivals")
 def q_payload_flatten_arrivals(spark, sf_dir):
     """The arrivals side of the same payloads."""
-    return payload.arrivals_from_payloads(payload.read_schedule_payloads(spark, land_schedules(spark, sf_dir)))
+    return payload.arrivals_from_payloads(payload.read_schedule_payloads(spark, land_schedules(spark, sf_dir, "arrivals")))
 
 
 @query("array_column")
 def q_array_column(spark, sf_dir):
     """The payload's ``quality`` array kept as a value, shown one element per row with its position."""
-    legs = payload.departures_from_payloads(payload.read_schedule_payloads(spark, land_schedules(spark, sf_dir)),
+    legs = payload.departures_from_payloads(payload.read_schedule_payloads(spark, land_schedules(spark, sf_dir, "departures")),
                                             keep_quality=True)
     return legs.select("airport_icao", "flight_date", "number", "callSign",
                        F.posexplode("departure_quality").alias("pos", "quality"))

@@ -87,21 +87,26 @@ def materialize(df, label: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Tasks of one stage at most: the blocks of a shuffle are map tasks times reduce tasks.
+MAX_TASKS = 50_000
+
+
 def scale_settings(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings that size shuffles and scans for an input of ``input_bytes`` on ``total_cores`` cores.
 
-    Shuffle partitions are set so one partition holds about ``target_partition_bytes`` of input (the
-    staging plans shuffle roughly their input size once per window), never fewer than twice the cores;
-    AQE then coalesces small partitions and splits skewed ones at run time. For 100 TB on 1,000
-    executors x 8 cores: ~400k partitions of 256 MB, scan splits of 256 MB.
+    Tasks get about ``target_partition_bytes`` of input (the staging plans shuffle roughly their input size once per
+    window), never fewer tasks than twice the cores and never more than MAX_TASKS: beyond that tasks grow, as a shuffle's
+    blocks grow with the square of their number. AQE then coalesces small partitions and splits skewed ones at
+    run time. For 100 TB on 1,000 executors x 8 cores: 50,000 partitions and scan splits of 2 GB.
     """
+    target_partition_bytes = max(target_partition_bytes, -(-input_bytes // MAX_TASKS))
     partitions = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(target_partition_bytes, 256 << 20)),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",

@@ -13,6 +13,8 @@ airport-day spread over tasks like any rows, and legs with a null folder key are
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,18 +73,20 @@ def leg_struct(df: DataFrame, text_times: bool = True, with_quality: bool = True
     )
 
 
-def write_schedule_payloads(departures: DataFrame, arrivals: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write raw departures and arrivals as nested payload JSON under ``path`` (``mode="append"`` lands more),
-    one leg to a line: nothing is grouped, so equal legs and null keys cost nothing and are kept."""
+def write_schedule_payloads(departures: DataFrame | None, arrivals: DataFrame | None, path: str, mode: str = "overwrite") -> str:
+    """Write raw departures and arrivals (or one of them) as nested payload JSON under ``path`` (``mode="append"`` lands
+    more), one leg to a line: nothing is grouped, so equal legs and null keys cost nothing and are kept."""
     parts = []
     for name, df, sched in (("departures", departures, "departure_scheduledtime_utc"),
                             ("arrivals", arrivals, "arrival_scheduledtime_utc")):
+        if df is None:
+            continue
         half = F.when(F.coalesce(F.hour(F.col(sched)), F.lit(0)) < 12, F.lit(HALF_FIRST)).otherwise(F.lit(HALF_SECOND))
         keyed = df.withColumn("half", half)
         parts.append(keyed.select("airport_icao", "flight_date", "half",
                                   F.to_json(F.struct(F.array(leg_struct(keyed)).alias(name))).alias("value")))
     # Rebalance on the folder keys: few files per folder, and AQE splits a hot folder across tasks.
-    out = parts[0].unionByName(parts[1]).hint("rebalance", "airport_icao", "flight_date", "half")
+    out = reduce(lambda a, b: a.unionByName(b), parts).hint("rebalance", "airport_icao", "flight_date", "half")
     out.write.mode(mode).partitionBy("airport_icao", "flight_date", "half").text(path)
     return path
 
