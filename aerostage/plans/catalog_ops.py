@@ -287,6 +287,42 @@ def q_legacy_load(spark, sf_dir):
     return store.from_legacy(legacy, schemas.RAW_DEPARTURES)
 
 
+@query("legacy_load_arrivals")
+def q_legacy_load_arrivals(spark, sf_dir):
+    """K8: the legacy-named arrivals table mapped onto the current raw layout."""
+    legacy = raw(spark, sf_dir, "raw_arrivals").drop("codeshareStatus")
+    for old, new in store.LEGACY_RENAMES.items():
+        legacy = legacy.withColumnRenamed(new, old)
+    return store.from_legacy(legacy, schemas.RAW_ARRIVALS)
+
+
+@query("legacy_flight_tables")
+def q_legacy_flight_tables(spark, sf_dir):
+    """K8: flights landed by airport and direction, loaded into the two legacy tables and read back."""
+    from aerostage.plans.catalog_nested import q_directional_flights
+
+    root = scratch_path(spark, "legacy_flights")
+    store.write_legacy_flights(q_directional_flights(spark, sf_dir), root, 1, FIRST_LOAD)
+    parts = [store.read_committed(spark, root, name, schemas.LEGACY_FLIGHTS).drop("batch_id").withColumn("table_name", F.lit(name))
+             for name in store.LEGACY_FLIGHT_TABLES.values()]
+    return parts[0].unionByName(parts[1])
+
+
+@query("skip_empty_feed")
+def q_skip_empty_feed(spark, sf_dir):
+    """K4: a load whose cargo-only arrivals feed is empty publishes its departures and makes no arrivals table."""
+    root = scratch_path(spark, "one_feed")
+    dep = _without_defaults(raw(spark, sf_dir, "raw_departures"))
+    arr = _without_defaults(raw(spark, sf_dir, "raw_arrivals")).where("isCargo AND NOT isCargo")
+    store.write_batch({"departures": dep, "arrivals": arr}, root, 1, FIRST_LOAD, schemas={"departures": schemas.RAW_DEPARTURES, "arrivals": schemas.RAW_ARRIVALS})
+    out = []
+    for name, schema in (("departures", schemas.RAW_DEPARTURES), ("arrivals", schemas.RAW_ARRIVALS)):
+        there = store.path_exists(spark, f"{root}/{name}")
+        out.append(store.read_committed(spark, root, name, schema).agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("table_name"), F.lit(there).alias("made"), "n_rows"))
+    return out[0].unionByName(out[1])
+
+
 @query("filter_destination")
 def q_filter_destination(spark, sf_dir):
     """observed flights to one destination airport."""

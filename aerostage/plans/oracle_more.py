@@ -426,7 +426,7 @@ FROM dep_operator d LEFT JOIN best b ON d.row_id = b.row_id"""),
 
 def publication_sql() -> dict[str, str]:
     from aerostage.plans.oracle import ARR_BASE_CTES, ARR_NOT_ARRIVED, ARR_UNLINKABLE, DEP_UNLINKABLE
-    from aerostage.schemas import DEPARTURE_FIELDS, LOAD_DEFAULTS
+    from aerostage.schemas import ARRIVAL_FIELDS, DEPARTURE_FIELDS, LOAD_DEFAULTS
 
     models = {"stg_airports": "stg_airports", "stg_flights": "stg_flights", "stg_departures_base": "dep_base",
               "stg_departures_not_departed": "dep_not_departed", "stg_departures_operator": "dep_operator",
@@ -439,11 +439,25 @@ def publication_sql() -> dict[str, str]:
     legacy_cols = ", ".join(
         ("CAST(NULL AS VARCHAR) AS \"codeshareStatus\"" if n == "codeshareStatus" else f'"{n}"')
         for n in [f for f, _, _ in DEPARTURE_FIELDS] + [d for d, _ in LOAD_DEFAULTS])
+    legacy_arr = ", ".join(
+        ("CAST(NULL AS VARCHAR) AS \"codeshareStatus\"" if n == "codeshareStatus" else f'"{n}"')
+        for n in [f for f, _, _ in ARRIVAL_FIELDS] + [d for d, _ in LOAD_DEFAULTS])
     ops = ops_sql()
     return {
         "staging_views": with_ctes(["raw_airports", "raw_flights", "raw_departures", "raw_arrivals"], all_ctes, counts),
         "curated_layer": ops["hourly_efficiency"],
         "legacy_load": with_ctes(["raw_departures"], [], f"SELECT row_id, {legacy_cols} FROM raw_departures"),
+        "legacy_load_arrivals": with_ctes(["raw_arrivals"], [], f"SELECT row_id, {legacy_arr} FROM raw_arrivals"),
+        "legacy_flight_tables": with_ctes(["raw_flights"], [], f"""
+SELECT {_OBSERVED}, UPPER(estDepartureAirport) AS airport_icao, TIMESTAMP '2025-01-02 00:00:00' AS ingestion_timestamp,
+       'flight_departures' AS table_name
+FROM raw_flights WHERE estDepartureAirport IS NOT NULL
+UNION ALL
+SELECT {_OBSERVED}, UPPER(estArrivalAirport), TIMESTAMP '2025-01-02 00:00:00', 'flight_arrivals'
+FROM raw_flights WHERE estArrivalAirport IS NOT NULL"""),
+        "skip_empty_feed": with_ctes(["raw_departures"], [], """
+SELECT 'departures' AS table_name, TRUE AS made, count(*) AS n_rows FROM raw_departures
+UNION ALL SELECT 'arrivals', FALSE, 0"""),
         "filter_destination": with_ctes(["raw_flights"], [FLIGHTS],
                                         "SELECT * FROM stg_flights WHERE est_arrival_airport = 'LFPG'"),
     }

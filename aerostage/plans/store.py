@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aerostage.schemas import SCHEDULE_SOURCE_NAME
+from aerostage.schemas import LEGACY_FLIGHTS, SCHEDULE_SOURCE_NAME
 from aerostage.session import materialize
 
 MANIFEST = "_batches"
@@ -354,6 +354,18 @@ def write_models(models: dict[str, DataFrame], root: str, target: str = "dev",
     return out
 
 
+# The legacy tables of observed flights by the direction they were requested for.
+LEGACY_FLIGHT_TABLES = {"departure": "flight_departures", "arrival": "flight_arrivals"}
+
+
+def write_legacy_flights(flights: DataFrame, root: str, batch_id: int, batch_ts: dt.datetime) -> bool:
+    """K8: observed flights requested by airport and direction (S6) into the two legacy tables, one batch; a direction without
+    flights makes no table. The request's airport stays, its day is not a column of these tables."""
+    tables = {name: flights.where(F.col("direction") == d).drop("direction", "record_date") for d, name in LEGACY_FLIGHT_TABLES.items()}
+    return write_batch(tables, root, batch_id, batch_ts, sources=dict.fromkeys(tables), partition_cols=dict.fromkeys(tables),
+                       schemas=dict.fromkeys(tables, LEGACY_FLIGHTS))
+
+
 # Column names of the legacy schedule tables and their current names.
 LEGACY_RENAMES = {"flight_number": "number", "callsign": "callSign", "iscargo": "isCargo"}
 

@@ -134,3 +134,5 @@ RAW_DEPARTURES = raw_schema(DEPARTURE_FIELDS)
 RAW_ARRIVALS = raw_schema(ARRIVAL_FIELDS)
 RAW_FLIGHTS = struct(*[(f.name, f.dataType) for f in OBSERVED_FLIGHT.fields], ("record_date", D), ("ingestion_timestamp", TS))
 RAW_AIRPORTS = AIRPORTS_CSV
+# The legacy loader's two per-airport tables of observed flights.
+LEGACY_FLIGHTS = struct(*[(f.name, f.dataType) for f in OBSERVED_FLIGHT.fields], ("airport_icao", S), ("ingestion_timestamp", TS))
