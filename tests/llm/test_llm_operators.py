@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from aerostage.llm import chat, fingerprints, language, mixing, near_duplicates, ngram_join, packing, quality_model, quality_rules, sharding, toxicity
+from aerostage.llm import chat, fingerprints, language, mixing, near_duplicates, ngram_join, packing, pii, quality_model, quality_rules, runs, sharding, toxicity, variants
 from aerostage.llm.common import read, ship
 
 SF = "/root/testdata/sf0.001"
@@ -68,17 +68,23 @@ def _operators(spark):
         "keep_language": lambda d: language.keep_identified(d, 0.3),
         "keep_near": near_duplicates.keep_one_of_each,
         "keep_mix": mixing.mixed_documents,
+        "runs": lambda d: runs.periodic_runs(runs.with_periodic_tails(d)),
+        "personal_data": lambda d: pii.personal_data(d, pii.fit(d)),
+        "words": lambda d: variants.spelling_variants(variants.count_words(d, changed=variants.CHANGED)),
     }
 
 
 @pytest.mark.parametrize("name", [
-    "quality", "packing", "join", "language", "mixing", "sharding", "toxicity", "fingerprints", "rules", "keep_rules", "keep_language", "keep_near", "keep_mix"])
+    "quality", "packing", "join", "language", "mixing", "sharding", "toxicity", "fingerprints", "rules", "keep_rules", "keep_language", "keep_near", "keep_mix",
+    "runs", "personal_data", "words"])
 def test_awkward_and_empty_tables(sent, name):
     op = _operators(sent)[name]
     table = sent.createDataFrame(AWKWARD, CLASHING)
     rows = op(table).collect()
     if name == "packing":
         assert sum(r["length"] for r in rows if r["doc_id"] in (1, 2)) == 2  # the end id alone
+    elif name == "words":
+        assert {"words", "brown", "quick", "jumps", "again"} == {r["word"] for r in rows}
     elif not name.startswith("keep"):
         assert len(rows) == len(AWKWARD)
     else:
