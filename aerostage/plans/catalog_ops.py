@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -330,10 +331,9 @@ def q_filter_destination(spark, sf_dir):
 
 
 # ---- the daily run -------------------------------------------------------------------------------------
-@query("daily_run")
-def q_daily_run(spark, sf_dir):
-    """Land every feed, run the daily job twice (the second run finds nothing new), read the staged
-    operator departures."""
+def _daily(spark, sf_dir):
+    """Every feed landed and the daily job run twice (the second run finds nothing new): its layout and the check
+    results of the first run."""
     from aerostage.plans import daily
     from aerostage.plans.catalog_nested import flights_for_landing
     from aerostage.sources import landing
@@ -345,6 +345,37 @@ def q_daily_run(spark, sf_dir):
     landing.write_flight_arrays(flights_for_landing(spark, sf_dir), layout.flights)
     airports_csv = f"{root}/landing/airports"
     landing.write_airports_csv(raw(spark, sf_dir, "raw_airports"), airports_csv)
-    daily.run_days(spark, layout, batch_id=1, batch_ts=FIRST_LOAD, airports_csv=airports_csv)
+    checked = daily.run_days(spark, layout, batch_id=1, batch_ts=FIRST_LOAD, airports_csv=airports_csv)
     daily.run_days(spark, layout, batch_id=2, batch_ts=LATE_LOAD, airports_csv=airports_csv)
-    return daily.read_staged(spark, layout, "stg_departures_operator")
+    return layout, checked
+
+
+@query("daily_run")
+def q_daily_run(spark, sf_dir):
+    """The staged operator departures of the daily job."""
+    from aerostage.plans import daily
+
+    return daily.read_staged(spark, _daily(spark, sf_dir)[0], "stg_departures_operator")
+
+
+def row_digests(df):
+    """Each distinct row as one digest of its values by column name (null values left out), with the number of its copies."""
+    texts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in sorted(df.columns)]
+    return df.groupBy(F.md5(F.concat_ws("|", *texts)).alias("row_md5")).agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query("daily_tables")
+def q_daily_tables(spark, sf_dir):
+    """Every table the daily job keeps, as digests of its whole rows."""
+    from aerostage.plans import checks, daily
+
+    layout = _daily(spark, sf_dir)[0]
+    names = [*checks.CHECKS, daily.EFFICIENCY]
+    return reduce(lambda a, b: a.unionByName(b), [
+        row_digests(daily.read_staged(spark, layout, name)).select(F.lit(name).alias("table_name"), "row_md5", "copies") for name in names])
+
+
+@query("daily_checks")
+def q_daily_checks(spark, sf_dir):
+    """The check results that the daily job appends."""
+    return _daily(spark, sf_dir)[1].select("model", "check_name", "failures", "passed")

@@ -5,20 +5,29 @@ from __future__ import annotations
 from aerostage.plans.oracle import (
     AIRPORTS,
     ARR_BASE_CTES,
+    ARR_IDENTITY,
     ARR_NOT_ARRIVED,
     ARR_OPERATOR,
+    ARR_UNLINKABLE,
+    ARRIVED,
     COMPLETE,
     DEP_BASE_CTES,
     DEP_FILTERED,
     DEP_NOT_DEPARTED,
     DEP_OPERATOR,
+    DEP_UNLINKABLE,
     FLIGHTS,
     PAIR,
     RELIABILITY,
     departures,
     departures_merged,
+    filtered,
+    flight_columns,
+    merged,
+    newest,
     with_ctes,
 )
+from aerostage.plans.oracle_checks import counts_sql
 
 _EPOCH = "TIMESTAMP '1970-01-01 00:00:00' + TRY_CAST(CAST({c} AS VARCHAR) AS BIGINT) * INTERVAL 1 SECOND"
 
@@ -463,17 +472,81 @@ UNION ALL SELECT 'arrivals', FALSE, 0"""),
     }
 
 
+#: Columns of the observed flights by name (fixed values), without their key.
+_FLIGHT_OTHERS = sorted(
+    "callsign est_departure_airport est_arrival_airport first_seen last_seen last_seen_ts dep_airport_horiz_distance "
+    "dep_airport_vert_distance arr_airport_horiz_distance arr_airport_vert_distance departure_airport_candidates_count "
+    "arrival_airport_candidates_count flight_date ingestion_timestamp".split(" "))
+
+
+def _hourly(direction: str, cte: str, operated: bool) -> str:
+    sched = f"{direction}_scheduled_utc"
+    delay = f"date_diff('second', {sched}, COALESCE({direction}_runway_utc, {direction}_revised_utc))" if operated else "CAST(NULL AS BIGINT)"
+    return (f"SELECT '{direction}' AS direction, airport_icao, flight_date, hour({sched}) AS hour, {operated} AS operated, "
+            f"{delay} AS delay_seconds FROM {cte}")
+
+
+def daily_ctes() -> tuple[list[str], dict[str, str]]:
+    """CTEs of the daily job's tables, and the CTE of each table. The job loads the feeds without a row id, stamped with
+    one batch time: every ranking's ties fall back to all other columns in name order."""
+    from aerostage.plans.staging import ARR_BASE_COLUMNS, DEP_BASE_COLUMNS
+    from aerostage.schemas import ARRIVAL_FIELDS, DEPARTURE_FIELDS
+
+    def tie(columns):
+        return lambda keys: ", ".join(f"{c} ASC NULLS LAST" for c in sorted(set(columns) - set(keys.split(", "))))
+
+    def loaded(name: str, source: str, fields) -> str:
+        cols = ", ".join(f'"{n}"' for n, _, _ in fields)
+        return f"{name} AS (SELECT {cols}, {_BATCH} AS ingestion_timestamp, 'AeroDataBox' AS data_source FROM {source})"
+
+    dep_tie, arr_tie = tie(DEP_BASE_COLUMNS), tie(ARR_BASE_COLUMNS)
+    newest_first = "ingestion_timestamp DESC NULLS FIRST"
+    day = "CAST(first_seen_ts AS DATE)"
+    airport_order = ", ".join(f"{c} NULLS LAST" for c in "icao airport country state city iata elevation_ft latitude longitude".split(" "))
+    ctes = [
+        loaded("dep_loaded", "raw_departures", DEPARTURE_FIELDS), *departures("dep_loaded", dep_tie, row_id=False),
+        departures_merged(dep_tie, row_id=False), DEP_NOT_DEPARTED, DEP_UNLINKABLE,
+        loaded("arr_loaded", "raw_arrivals", ARRIVAL_FIELDS), filtered("arrival", "arr_loaded", row_id=False),
+        newest("arr_base", "arr_filtered", ARR_IDENTITY, f"{newest_first}, {arr_tie(ARR_IDENTITY)}"),
+        merged("arr_operator", "arr_base", ARRIVED, f"{RELIABILITY} DESC, {arr_tie(PAIR)}", "departure", True, row_id=False),
+        ARR_NOT_ARRIVED, ARR_UNLINKABLE,
+        f"""fl_loaded AS (SELECT * REPLACE ({_EPOCH.format(c="firstSeen")} AS record_date, {_BATCH} AS ingestion_timestamp)
+  FROM raw_flights)""",
+        f"fl_renamed AS (SELECT * EXCLUDE (row_id) FROM (SELECT {flight_columns()} FROM fl_loaded one) t)",
+        newest("fl_newest", "fl_renamed", "icao24, first_seen_ts",
+               f"{newest_first}, {', '.join(f'{c} ASC NULLS LAST' for c in _FLIGHT_OTHERS)}"),
+        f"""daily_flights AS (SELECT *, CASE WHEN {day} BETWEEN DATE '2000-01-01' AND DATE '2099-12-31' THEN {day}
+  ELSE DATE '1900-01-01' END AS seen_day FROM fl_newest)""",
+        AIRPORTS.replace("ORDER BY icao NULLS LAST, row_id", f"ORDER BY {airport_order}").replace(
+            "TIMESTAMP '2025-01-01 00:00:00'", _BATCH).replace("SELECT row_id, airport_key", "SELECT airport_key"),
+        "hourly AS (" + "\n  UNION ALL ".join([
+            _hourly("departure", "dep_operator", True), _hourly("departure", "dep_not_departed", False),
+            _hourly("arrival", "arr_operator", True), _hourly("arrival", "arr_not_arrived", False)]) + ")",
+        """daily_efficiency AS (
+  SELECT airport_icao, flight_date, direction, hour, count(*) AS scheduled, count(*) FILTER (WHERE operated) AS operated,
+         count(*) FILTER (WHERE NOT operated) AS not_operated, count(delay_seconds) AS with_actual,
+         CAST(sum(delay_seconds) AS BIGINT) AS total_delay_seconds, count(*) FILTER (WHERE delay_seconds <= 900) AS on_time
+  FROM hourly GROUP BY airport_icao, flight_date, direction, hour)""",
+    ]
+    tables = {"stg_airports": "stg_airports", "stg_flights": "daily_flights", "kpi_efficiency_hourly": "daily_efficiency"}
+    tables |= {f"stg_departures_{k}": f"dep_{k}" for k in ("base", "not_departed", "operator", "unlinkable")}
+    tables |= {f"stg_arrivals_{k}": f"arr_{k}" for k in ("base", "not_arrived", "operator", "unlinkable")}
+    return ctes, tables
+
+
+#: Load time of the daily job's first batch.
+_BATCH = "TIMESTAMP '2025-01-02 00:00:00'"
+
+
 def daily_sql() -> dict[str, str]:
-    """The daily run loads schedules without a row id, stamped with one batch time: every ranking's
-    ties fall back to all other columns in name order."""
-    from aerostage.plans.staging import DEP_BASE_COLUMNS
-    from aerostage.schemas import DEPARTURE_FIELDS
-
-    def tiebreak(keys: str) -> str:
-        return ", ".join(f"{c} ASC NULLS LAST" for c in sorted(set(DEP_BASE_COLUMNS) - set(keys.split(", "))))
-
-    cols = ", ".join(f'"{n}"' for n, _, _ in DEPARTURE_FIELDS)
-    loaded = (f"raw_loaded AS (SELECT {cols}, TIMESTAMP '2025-01-02 00:00:00' AS ingestion_timestamp, "
-              "'AeroDataBox' AS data_source FROM raw_departures)")
-    ctes = [loaded, *departures("raw_loaded", tiebreak, row_id=False), departures_merged(tiebreak, row_id=False)]
-    return {"daily_run": with_ctes(["raw_departures"], ctes, "SELECT * FROM dep_operator")}
+    ctes, tables = daily_ctes()
+    feeds = ["raw_departures", "raw_arrivals", "raw_flights", "raw_airports"]
+    rows = "\nUNION ALL\n".join(f"""SELECT '{name}' AS table_name, md5(string_agg(c || '=' || v, '|' ORDER BY c)) AS row_md5
+FROM (UNPIVOT (SELECT row_number() OVER () AS rn, COLUMNS(*)::VARCHAR FROM {cte}) ON COLUMNS(* EXCLUDE (rn)) INTO NAME c VALUE v) u GROUP BY rn"""
+                                for name, cte in tables.items())
+    models = {name: cte for name, cte in tables.items() if name.startswith("stg_")}
+    return {
+        "daily_run": with_ctes(feeds, ctes, "SELECT * FROM dep_operator"),
+        "daily_tables": with_ctes(feeds, ctes, f"SELECT table_name, row_md5, count(*) AS copies FROM ({rows}) d GROUP BY table_name, row_md5"),
+        "daily_checks": with_ctes(feeds, ctes, counts_sql(models)),
+    }
