@@ -226,6 +226,14 @@ def q_link_schedule_observed(spark, sf_dir):
     return kpi.link_observed(dep, obs, LINK_ID)
 
 
+@query("link_schedule_observed_ranges")
+def q_link_schedule_observed_ranges(spark, sf_dir):
+    """D7 with every identifier's rows spread over time ranges."""
+    dep = staging.departures_operator(dep_base(spark, sf_dir))
+    obs = staging.flights(raw(spark, sf_dir, "raw_flights"))
+    return kpi.link_observed_ranges(dep, obs, LINK_ID)
+
+
 # ---- streaming ---------------------------------------------------------------------------------------
 @query("streaming_landing")
 def q_streaming_landing(spark, sf_dir):

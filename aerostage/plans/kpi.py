@@ -2,8 +2,8 @@
 
 The KPIs (D2-D4) are single-shuffle aggregates over the merged records with map-side partial
 aggregation (a hot airport-day is reduced in every map task before the exchange); averages are sums
-and counts divided at the end. The link to observed flights (D7) is a union of both sides in time ranges and two ordered
-passes over them, then one aggregation; it has no join.
+and counts divided at the end. The link to observed flights (D7) is a union of both sides and two ordered
+passes over one partitioning, then one aggregation; it has no join.
 """
 
 from __future__ import annotations
@@ -124,38 +124,78 @@ def hourly_efficiency(dep_operator: DataFrame, dep_not_departed: DataFrame,
     return _finish(agg).withColumn("not_departed_share", F.col("not_departed") / F.col("scheduled")).drop("flights")
 
 
+def _seconds(c) -> Column:
+    return F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c)
+
+
+def _nearer() -> Column:
+    """The nearer of ``before`` and ``after`` within LINK_HOURS, else null; equal gaps take the earlier, then the lower icao24."""
+    def gap(c: str) -> Column:
+        away = F.abs(_seconds(F.col(f"{c}.first_seen_ts")) - F.col("s"))
+        return F.when(away <= LINK_HOURS * 3600, F.struct(away.alias("gap"), F.col(f"{c}.first_seen_ts").alias("first_seen_ts"), F.col(f"{c}.icao24").alias("icao24")))
+    return F.least(gap("before"), gap("after"))
+
+
+def _linked(tried: DataFrame, kind: str) -> DataFrame:
+    """One row of each departure: what its mode-S found, else its callsign."""
+    found = F.struct(F.when(F.col("one").isNull(), 2).when(F.col(kind) == "mode_s", 0).otherwise(1).alias("pref"),
+                     F.when(F.col("one").isNotNull(), F.col(kind)).alias("kind"), "one")
+    return tried.groupBy("id").agg(F.min(found).alias("f")).select(
+        "id.*", F.col("f.kind").alias("link_key"), F.col("f.one.icao24").alias("icao24"),
+        F.col("f.one.first_seen_ts").alias("first_seen_ts"), F.col("f.one.gap").alias("gap_seconds"))
+
+
 def link_observed(dep_operator: DataFrame, observed: DataFrame, id_cols: list[str]) -> DataFrame:
     """Each operated departure with its nearest observed flight of the same aircraft, LINK_HOURS away at
     most (midnight does not matter).
 
     The aircraft is matched on mode-S = icao24; a departure that finds none so is tried by callsign. Both sides are
-    put together by key and time and each departure gets the last and the next observation (``with_neighbours``): rows grow with
-    the input, not with the pairs of an identifier, and the rows of a junk identifier spread over many tasks. Observations of one
-    key and second are one offer. ``link_key`` is null where nothing was found; equal gaps take the earlier, then the lower icao24.
+    put together by key and time bucket (an observation also goes into the two buckets beside its own), and
+    one ordered pass forward and one back give each departure the last and the next observation: rows grow with
+    the input, not with the pairs of an identifier. Departures without a key are spread by their identity.
+    ``link_key`` is null where nothing was found; equal gaps take the earlier, then the lower icao24.
+    """
+    offers = lambda a, b: F.explode(F.array(
+        F.struct(F.lit("mode_s").alias("kind"), F.col(a).alias("key")),
+        F.struct(F.lit("callsign").alias("kind"), F.col(b).alias("key")))).alias("by")
+    span = LINK_HOURS * 3600
+    dep = dep_operator.select(F.struct(*id_cols).alias("id"), _seconds(F.coalesce(actual_time("departure"), "departure_scheduled_utc")).alias("s"),
+                              offers("aircraft_mode_s", "callsign"))
+    alone = F.col("by.key").isNull() | F.col("s").isNull()
+    dep = dep.select("id", "s", "by", F.floor(F.col("s") / span).alias("bucket"), F.when(alone, F.xxhash64("id")).otherwise(F.lit(0)).alias("spread"))
+    obs = observed.where(F.col("first_seen_ts").isNotNull()).select(
+        F.struct("first_seen_ts", "icao24").alias("seen"), _seconds(F.col("first_seen_ts")).alias("s"), offers("icao24", "callsign"))
+    own = F.floor(F.col("s") / span)
+    obs = obs.where(F.col("by.key").isNotNull()).select(
+        "seen", "s", "by", F.explode(F.array(own - 1, own, own + 1)).alias("bucket"), F.lit(0).cast("bigint").alias("spread"))
+    rows = dep.unionByName(obs, allowMissingColumns=True)
+    group = Window.partitionBy("by", "bucket", "spread")
+    ties = [F.col("id").isNotNull(), F.col("seen.icao24").desc_nulls_first()]
+    near = {name: F.last("seen", ignorenulls=True).over(group.orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0))
+            for name, order in (("before", F.col("s").asc()), ("after", F.col("s").desc()))}
+    rows = rows.withColumns(near).where(F.col("id").isNotNull())
+    return _linked(rows.withColumn("one", _nearer()), "by.kind")
+
+
+def link_observed_ranges(dep_operator: DataFrame, observed: DataFrame, id_cols: list[str]) -> DataFrame:
+    """D7 for feeds with a junk identifier: the rows of ``link_observed``, with no limit on the rows of one identifier in a task.
+
+    ``link_observed`` sorts one identifier's rows of a time bucket in one task and writes nothing; here both sides are
+    put in ranges of key and time and neighbours are carried across them (``with_neighbours``), so even an identifier, or one second of it, that
+    holds a third of all rows spreads over many tasks. Observations of one key and second are one offer, taken from the lowest
+    icao24. Departures without a key or time skip the search.
     """
-    seconds = lambda c: F.timestamp_diff("SECOND", F.lit(_EPOCH).cast("timestamp_ntz"), c)
     offers = lambda a, b: F.inline(F.array(
         F.struct(F.lit("mode_s").alias("kind"), F.col(a).alias("key")),
         F.struct(F.lit("callsign").alias("kind"), F.col(b).alias("key"))))
-    span = LINK_HOURS * 3600
-    dep = dep_operator.select(F.struct(*id_cols).alias("id"), seconds(F.coalesce(actual_time("departure"), "departure_scheduled_utc")).alias("s"),
+    dep = dep_operator.select(F.struct(*id_cols).alias("id"), _seconds(F.coalesce(actual_time("departure"), "departure_scheduled_utc")).alias("s"),
                               offers("aircraft_mode_s", "callsign"))
     dep = materialize(dep, "link-departures")
     alone = F.col("key").isNull() | F.col("s").isNull()
-    seen = F.struct("first_seen_ts", "icao24")
-    obs = observed.where(F.col("first_seen_ts").isNotNull()).select(seen.alias("seen"), seconds(F.col("first_seen_ts")).alias("s"), offers("icao24", "callsign"))
+    obs = observed.where(F.col("first_seen_ts").isNotNull()).select(
+        F.struct("first_seen_ts", "icao24").alias("seen"), _seconds(F.col("first_seen_ts")).alias("s"), offers("icao24", "callsign"))
     obs = obs.where(F.col("key").isNotNull()).groupBy("kind", "key", "s").agg(
         F.min_by("seen", F.struct(F.col("seen.icao24").isNull(), F.col("seen.icao24"), F.col("seen.first_seen_ts"))).alias("seen"))
-    rows = dep.where(~alone).unionByName(obs, allowMissingColumns=True)
-    rows = with_neighbours(rows, ["kind", "key"], "s", "seen", F.xxhash64("id"))
-
-    def gap(c: str) -> Column:
-        away = F.abs(seconds(F.col(f"{c}.first_seen_ts")) - F.col("s"))
-        return F.when(away <= span, F.struct(away.alias("gap"), F.col(f"{c}.first_seen_ts").alias("first_seen_ts"), F.col(f"{c}.icao24").alias("icao24")))
-
-    tried = rows.select("id", "kind", F.least(gap("before"), gap("after")).alias("one")).unionByName(dep.where(alone).select("id", "kind"), allowMissingColumns=True)
-    found = F.struct(F.when(F.col("one").isNull(), 2).when(F.col("kind") == "mode_s", 0).otherwise(1).alias("pref"),
-                     F.when(F.col("one").isNotNull(), F.col("kind")).alias("kind"), "one")
-    return tried.groupBy("id").agg(F.min(found).alias("f")).select(
-        "id.*", F.col("f.kind").alias("link_key"), F.col("f.one.icao24").alias("icao24"),
-        F.col("f.one.first_seen_ts").alias("first_seen_ts"), F.col("f.one.gap").alias("gap_seconds"))
+    rows = with_neighbours(dep.where(~alone).unionByName(obs, allowMissingColumns=True), ["kind", "key"], "s", "seen", F.xxhash64("id"))
+    tried = rows.select("id", "kind", _nearer().alias("one"))
+    return _linked(tried.unionByName(dep.where(alone).select("id", "kind"), allowMissingColumns=True), "kind")

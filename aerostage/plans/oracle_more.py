@@ -151,6 +151,7 @@ def more_sql() -> dict[str, str]:
     out.update(ops_sql())
     out.update(publication_sql())
     out.update(daily_sql())
+    out["link_schedule_observed_ranges"] = out["link_schedule_observed"]  # two forms of one rule
     return out
 
 

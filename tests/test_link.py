@@ -54,7 +54,7 @@ def test_rows_of_one_identifier_spread_over_ranges(spark):
     the offers carried across the ranges give every departure its neighbour."""
     n = 300_000
     dep, obs = _hot(spark, "cast(2 * id as bigint)", "cast(2 * id + 1 as bigint)", n)
-    out = kpi.link_observed(dep, obs, ["row_id"])
+    out = kpi.link_observed_ranges(dep, obs, ["row_id"])
     got = out.agg(F.count("*"), F.count_if(F.expr("gap_seconds = 1 and icao24 = '000000' and link_key = 'mode_s'"))).first()
     assert tuple(got) == (n, n)
     rows = spark.range(n).select(F.lit("x").alias("k"), "id", F.lit(0).alias("s"), F.lit(None).cast("int").alias("seen"))
@@ -67,7 +67,7 @@ def test_one_observation_reaches_every_range(spark):
     n = 20_000
     dep, _ = _hot(spark, "cast(10 * id as bigint)", "cast(id as bigint)", n)
     _, obs = _hot(spark, "cast(id as bigint)", "cast(100000 + id * 0 as bigint)", 3)
-    out = kpi.link_observed(dep, obs, ["row_id"])
+    out = kpi.link_observed_ranges(dep, obs, ["row_id"])
     want = F.when(F.abs(F.col("row_id") * 10 - 100000) <= kpi.LINK_HOURS * 3600, F.abs(F.col("row_id") * 10 - 100000))
     assert out.count() == n and out.where(~F.col("gap_seconds").eqNullSafe(want)).count() == 0
 
@@ -91,3 +91,20 @@ def test_neighbours_equal_a_plain_search(spark, seed):
 def test_neighbours_of_nothing(spark):
     df = spark.createDataFrame([], "id int, k string, s int, v int")
     assert neighbours.with_neighbours(df, ["k"], "s", "v", F.xxhash64("id"), 4).collect() == []
+
+
+def test_both_forms_link_alike(spark):
+    rng = random.Random(4)
+    minute = dt.timedelta(minutes=1)
+    some = lambda: rng.choice([None, "A1", "A2", "000000"])
+    dep = spark.createDataFrame([(i, T0.date(), some(), some(), rng.choice([None, T0 + rng.randrange(-900, 900) * minute]), None, None)
+                                 for i in range(300)], DEP)
+    obs = spark.createDataFrame([(some(), some(), T0 + rng.randrange(-1800, 1800) * minute) for _ in range(200)], OBS)
+    plain, ranged = (sorted(map(str, f(dep, obs, ["row_id"]).collect())) for f in (kpi.link_observed, kpi.link_observed_ranges))
+    assert plain == ranged and len(plain) == 300
+
+
+def test_range_form_on_the_cases(spark, monkeypatch):
+    monkeypatch.setattr(kpi, "link_observed", kpi.link_observed_ranges)
+    test_link_cases(spark)
+    test_link_junk_identifier(spark)
