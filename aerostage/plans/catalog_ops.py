@@ -387,3 +387,19 @@ def q_daily_tables(spark, sf_dir):
 def q_daily_checks(spark, sf_dir):
     """The check results that the daily job appends."""
     return _daily(spark, sf_dir)[1].select("model", "check_name", "failures", "passed")
+
+
+@query("repeated_keys")
+def q_repeated_keys(spark, sf_dir):
+    """Q2, Q5 over the history: observed flights loaded, then those to one airport delivered again; the keys repeated."""
+    from aerostage.plans import daily
+    from aerostage.plans.catalog_nested import flights_for_landing
+
+    root = scratch_path(spark, "repeated")
+    layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
+    first = flights_for_landing(spark, sf_dir)
+    for batch, rows, at in ((1, first, FIRST_LOAD), (2, first.where("estArrivalAirport = 'LFPG'"), LATE_LOAD)):
+        rows = rows.select(*[F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in schemas.OBSERVED_FLIGHT.fields], "record_date")
+        store.write_batch({"flights": rows.withColumn("seen_day", staging.raw_seen_day(rows))}, layout.raw, batch, at,
+                          sources={"flights": None}, partition_cols={"flights": "seen_day"}, schemas=daily.RAW_SCHEMAS)
+    return daily.repeated_keys(spark, layout, [2])

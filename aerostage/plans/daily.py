@@ -12,13 +12,14 @@ One run loads the files that no earlier run has loaded, or, with days given, rel
    The airport dimension is rebuilt whole when an airport file is given. All tables are written as a new version
    beside the current one, and one manifest switches them together (``store.publish_snapshot``).
 3. **Check** (Q1-Q7): run the declared checks on the touched days of every staging table and append
-   the results, stamped with the batch id, to a results table.
+   the results, stamped with the batch id, to a results table. Keys of raw flights that an earlier load (or the same) holds
+   already are listed in ``repeated_keys``.
 
 4. **Cover** (T4): with an airport file, each planned request of the touched days is reported as ok, one-sided,
    landed empty or never landed.
 
 Layout under ``warehouse``: ``raw/{departures,arrivals,flights,files,responses,quarantine,_batches,_staged}``,
-``staging/<model>``, ``checks``, ``coverage``. Every step is a distributed job; the driver only holds the list of touched days.
+``staging/<model>``, ``checks``, ``repeated_keys``, ``coverage``. Every step is a distributed job; the driver only holds the list of touched days.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import types as T
 from aerostage import schemas
 from aerostage.functions import predicates
 from aerostage.plans import checks, kpi, staging, store
-from aerostage.session import materialize
+from aerostage.session import materialize, scratch_scope
 from aerostage.sources import payload, requests
 
 
@@ -65,6 +66,10 @@ class Layout:
     def coverage(self) -> str:
         return f"{self.warehouse}/coverage"
 
+    @property
+    def repeated(self) -> str:
+        return f"{self.warehouse}/repeated_keys"
+
     @property
     def checks(self) -> str:
         return f"{self.warehouse}/checks"
@@ -270,9 +275,34 @@ def load_airports(spark: SparkSession, airports_csv: str) -> DataFrame:
     return listed.select(F.upper("icao").alias("icao")).where("icao is not null").distinct()
 
 
+#: Key of the observed flights (fixed value: the declared primary key); its rows' day, ``seen_day``, follows from it.
+FLIGHT_KEY = ["icao24", "firstSeen"]
+
+
+def repeated_keys(spark: SparkSession, layout: Layout, batches: list[int]) -> DataFrame:
+    """Q2, Q5 over the history: keys of raw flights in ``batches`` that are in more than one raw row, in whichever published
+    batch: ``n_rows``, the first and the last batch, and how many of the rows are new.
+
+    A key's day folder follows from the key, so only the folders of the days in ``batches`` are read, in every batch; the count
+    is one aggregation with partial sums, so a key repeated by every load sends a row from each map task.
+    """
+    raw = store.read_committed(spark, layout.raw, "flights", RAW_SCHEMAS["flights"])
+    rows = raw.where(F.col("seen_day").isin(seen_days(spark, layout, [], batches)))
+    counted = rows.groupBy(*FLIGHT_KEY).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("batch_id").isin(batches)).alias("n_new"),
+        F.min("batch_id").alias("first_batch"), F.max("batch_id").alias("last_batch"))
+    return counted.where("n_rows > 1 AND n_new > 0")
+
+
 def run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
              days: list[dt.date] | None = None, airports_csv: str | None = None) -> DataFrame:
-    """Load, stage and check; returns the check results of this run (empty when nothing landed)."""
+    """Load, stage and check; returns the check results of this run (empty when nothing landed). Its scratch tables go at the end."""
+    with scratch_scope(spark):
+        return _run_days(spark, layout, batch_id, batch_ts, days, airports_csv)
+
+
+def _run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.datetime,
+              days: list[dt.date] | None, airports_csv: str | None) -> DataFrame:
     load(spark, layout, batch_id, batch_ts, days)
     batches, touched = pending(spark, layout)
     if not batches:
@@ -280,6 +310,8 @@ def run_days(spark: SparkSession, layout: Layout, batch_id: int, batch_ts: dt.da
                                          "batch_id bigint")
     models = stage(spark, layout, touched, airports_csv, loaded_at=batch_ts, batches=batches)
     results = check(spark, layout, models, batch_id)
+    path = f"{layout.repeated}/batch_id={batch_id}"
+    repeated_keys(spark, layout, batches).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     if airports_csv and touched:
         cover(spark, layout, load_airports(spark, airports_csv), touched, batch_id)
     for b in batches:

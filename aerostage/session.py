@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -62,9 +63,28 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path under the shared folder for one materialised table."""
-    return f"{shared_dir(spark)}/aerostage/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/aerostage/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables made inside are deleted at the end, also after an error. What leaves the scope must not read them:
+    a job that publishes its results elsewhere runs in one; a query that returns a lazy DataFrame does not. For one driver thread."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
 def local_path(path: str) -> str:
@@ -72,7 +92,7 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "prepare", "shared_dir", "scratch_path", "local_path"]
+__all__ = ["build_session", "prepare", "shared_dir", "scratch_path", "scratch_scope", "local_path"]
 
 
 def materialize(df, label: str):

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from aerostage.plans import daily, staging
+from aerostage.plans import daily, staging, store
 from aerostage.plans.catalog import raw
 from aerostage.plans.catalog_nested import flights_for_landing
 from aerostage.session import local_path, scratch_path
@@ -298,3 +298,36 @@ def test_merges_are_planned_by_size():
     plan = daily.store.plan_merges
     assert plan([(1, 40), (2, 40), (3, 40), (4, 200), (5, 10), (6, 10)], 100) == [[1, 2], [5, 6]]
     assert plan([(1, 100), (2, 99), (3, 100)], 100) == [] and plan([], 100) == []
+
+
+def test_a_key_of_two_loads_is_found_in_its_day_only(spark):
+    """A flight loaded again: found over the whole history, by reading the folders of its own day."""
+    root = scratch_path(spark, "t_repeated")
+    layout = _land(spark, root)
+    daily.run_days(spark, layout, 1, dt.datetime(2025, 3, 1))
+    raw_flights = spark.read.parquet(f"{layout.raw}/flights")
+    one = raw_flights.where("seen_day > DATE '2000-01-01'").orderBy("seen_day", "icao24", "firstSeen").first()
+    same = raw_flights.where((F.col("icao24") == one.icao24) & (F.col("firstSeen") == one.firstSeen))
+    n = same.count()
+    again = spark.createDataFrame(same.limit(1).drop("batch_id", "ingestion_timestamp").collect(), same.drop("batch_id", "ingestion_timestamp").schema)
+    store.write_batch({"flights": again}, layout.raw, 2, dt.datetime(2025, 3, 2), sources={"flights": None},
+                      partition_cols={"flights": "seen_day"}, schemas=daily.RAW_SCHEMAS)
+    found = daily.repeated_keys(spark, layout, [2])
+    assert [tuple(r) for r in found.collect()] == [(one.icao24, one.firstSeen, n + 1, 1, 1, 2)]
+    scans = [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line and "firstSeen" in line]
+    assert scans and all(str(one.seen_day) in s.split("PartitionFilters: [")[1] for s in scans)
+    now = spark.read.parquet(f"{layout.raw}/flights")
+    files = now.where(F.col("seen_day") == one.seen_day).select("_metadata.file_path").distinct().count()
+    total = now.select("_metadata.file_path").distinct().count()
+    assert files < total / 2, (files, total)
+    assert daily.repeated_keys(spark, layout, [99]).count() == 0
+
+
+def test_a_run_leaves_no_scratch_tables(spark):
+    root = scratch_path(spark, "t_scratch")
+    layout = _land(spark, root)
+    base = os.path.dirname(local_path(root))
+    before = set(os.listdir(base))
+    results = daily.run_days(spark, layout, 1, dt.datetime(2025, 3, 1))
+    assert results.count() == 53 and set(os.listdir(base)) == before
+    assert spark.read.parquet(layout.repeated).count() >= 0
