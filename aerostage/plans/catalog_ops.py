@@ -398,7 +398,7 @@ def q_repeated_keys(spark, sf_dir):
     root = scratch_path(spark, "repeated")
     layout = daily.Layout(landing=f"{root}/landing", warehouse=f"{root}/warehouse")
     first = flights_for_landing(spark, sf_dir)
-    for batch, rows, at in ((1, first, FIRST_LOAD), (2, first.where("estArrivalAirport = 'LFPG'"), LATE_LOAD)):
+    for batch, rows, at in ((1, first, FIRST_LOAD), (2, first.where("upper(estArrivalAirport) = 'LFPG'"), LATE_LOAD)):
         rows = rows.select(*[F.col(f.name).cast("string").try_cast(f.dataType).alias(f.name) for f in schemas.OBSERVED_FLIGHT.fields], "record_date")
         store.write_batch({"flights": rows.withColumn("seen_day", staging.raw_seen_day(rows))}, layout.raw, batch, at,
                           sources={"flights": None}, partition_cols={"flights": "seen_day"}, schemas=daily.RAW_SCHEMAS)

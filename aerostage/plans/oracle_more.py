@@ -553,7 +553,7 @@ FROM (UNPIVOT (SELECT row_number() OVER () AS rn, COLUMNS(*)::VARCHAR FROM {cte}
 SELECT icao24, firstSeen, count(*) AS n_rows, count(*) FILTER (WHERE batch = 2) AS n_new,
        CAST(min(batch) AS BIGINT) AS first_batch, CAST(max(batch) AS BIGINT) AS last_batch
 FROM (SELECT icao24, firstSeen, 1 AS batch FROM raw_flights
-      UNION ALL SELECT icao24, firstSeen, 2 FROM raw_flights WHERE estArrivalAirport = 'LFPG') b
+      UNION ALL SELECT icao24, firstSeen, 2 FROM raw_flights WHERE upper(estArrivalAirport) = 'LFPG') b
 GROUP BY icao24, firstSeen HAVING count(*) > 1 AND max(batch) = 2"""),
         "daily_checks": with_ctes(feeds, ctes, counts_sql(models)),
     }
