@@ -153,3 +153,18 @@ def test_coverage_statuses(spark):
     assert len(got) == 8
     with pytest.raises(ValueError):
         request_plan(airports, dt.date(2025, 1, 3), dt.date(2025, 1, 2))
+
+
+def test_a_time_text_is_matched_once_whatever_its_parts(spark):
+    from aerostage.functions import casts
+
+    odd = {"2024-01-05T10:00Z": ("2024-01-05 10:00:00", "2024-01-05 10:00:00"), "2024-01-05 10:00:01.5-05:30": ("2024-01-05 15:30:01.5", "2024-01-05 10:00:01.5"),
+           "2024-01-05 10:00+0100": ("2024-01-05 09:00:00", "2024-01-05 10:00:00"), "2024-01-05 10:00+01:60": (None, "2024-01-05 10:00:00"),
+           "2024-01-05 10:00-18:01": (None, "2024-01-05 10:00:00"), "2024-01-05 10:00 ": ("2024-01-05 10:00:00", "2024-01-05 10:00:00"),
+           " 2024-01-05 10:00Z\n": ("2024-01-05 10:00:00", "2024-01-05 10:00:00"), "2024-02-30 10:00Z": (None, None), "2024-01-05": (None, "2024-01-05 00:00:00"), "x": (None, None)}
+    df = spark.createDataFrame([(t,) for t in [*odd, None]], "t string")
+    out = df.select("t", casts.parse_utc_time("t").alias("u"), casts.parse_local_time("t").alias("l"))
+    got = {r["t"]: (r["u"], r["l"]) for r in out.select("t", out.u.cast("string").alias("u"), out.l.cast("string").alias("l")).collect()}
+    assert got == odd | {None: (None, None)}
+    plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("rlike") == 2 and "regexp" not in plan  # once for each of the two columns
