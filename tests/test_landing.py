@@ -47,3 +47,34 @@ def test_strict_completeness_variant_runs_and_keeps_one_row_per_flight(spark):
     assert strict.count() == default.count()  # same groups, possibly other winners
     keys = staging.DEPARTURE_FLIGHT
     assert strict.groupBy(*keys).count().where("count > 1").count() == 0
+
+
+def test_responses_of_many_requests_land_in_few_files_and_keep_their_requests(spark, tmp_path):
+    import datetime as dt
+    import glob
+
+    import __spark_entry__ as E
+    from aerostage.session import local_path, shared_dir
+    from aerostage.sources import requests
+
+    day, leg = dt.date(2024, 1, 5), '{"number": "A 1"}'
+    some = [("EDDF", "first_half", '{"departures": [%s]}' % leg), ("EDDF", "first_half", '{"departures": [{"num'), ("EDDF", "first_half", "5"),
+            ("a\tb/c", "second_half", "{}"), (None, "first_half", "{}"), ("0123", "first_half", '{"departures": [{"isCargo": "maybe"}]}')]
+    rows = [(a, day, h, v) for a, h, v in some + [(f"N{i}", "first_half", "{}") for i in range(500)]]
+    root = str(tmp_path / "bundles")
+    landing.write_response_bundles(spark.createDataFrame(rows, "airport_icao string, flight_date date, half string, value string"), root)
+    found = requests.bundled_responses(payload.bundled_lines(spark, root))
+    got = {(r.airport_icao, r.half): (r.departures, r.arrivals, r.bad_lines) for r in found.collect()}
+    assert len(got) == 504 and got[("N7", "first_half")] == got[("a\tb/c", "second_half")] == got[(None, "first_half")] == (0, 0, 0)
+    assert got[("EDDF", "first_half")] == (1, 0, 2) and got[("0123", "first_half")] == (0, 0, 1)
+
+    tables = tmp_path / "tables"
+    tables.mkdir()
+    spark.range(8, numPartitions=1).selectExpr("id AS event_id", "timestamp_ntz '2024-01-01 10:00:00' + make_dt_interval(id % 4) AS ts", "id * 4 AS user_id",
+                                               "'view' AS event_type").write.parquet(str(tables / "events.parquet"))
+    spark.range(60, numPartitions=1).selectExpr("id AS s_suppkey", "'s' AS s_name", "id * 0 AS s_nationkey").write.parquet(str(tables / "supplier.parquet"))
+    before = set(glob.glob(f"{local_path(shared_dir(spark))}/aerostage/**/part-*", recursive=True))
+    out = E.queries()["request_coverage"](spark, str(tables))
+    assert {(r.status, r["count"]) for r in out.groupBy("status").count().collect()} >= {("never_landed", 60 * 2 * 2 + 4)}
+    landed = set(glob.glob(f"{local_path(shared_dir(spark))}/aerostage/**/part-*", recursive=True)) - before
+    assert len(landed) < 60  # 240 empty responses
