@@ -45,23 +45,29 @@ def get_path(v, path: str | Sequence[str], default: str | None = None) -> Column
             .otherwise(F.coalesce(F.try_variant_get(v, _json_path(keys), "string"), F.to_json(found))))
 
 
+#: Levels of nested objects that one pass over the records opens.
+LEVELS = 4
+
+
 def leaf_paths(df: DataFrame, col: str) -> list[tuple[str, ...]]:
     """Paths of all values of a variant column that are no objects, in any record; sorted by joined name, then path.
 
-    Each round explodes the objects of one level; equal paths are combined in each task before the shuffle.
+    A pass opens the objects of ``LEVELS`` levels; what is no object goes through as it is. Only where objects are left below
+    that is there another pass. Equal paths are combined in each task before the shuffle.
     """
     spark = df.sparkSession
     level = df.select(F.array().cast("array<string>").alias("path"), F.col(col).alias("v"))
-    out: set[tuple[str, ...]] = set()
+    level = level.select("path", "v", _is_object(F.col("v")).alias("object")).where("object")
+    key, value, inside = F.col("key"), F.col("value"), F.col("key").isNotNull()
     while True:
-        objects = level.where(F.col("v").isNotNull() & _is_object(F.col("v")))
-        keys = F.concat(F.col("path"), F.array(F.col("key"))).alias("path")
-        children = objects.lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(keys, F.col("value").alias("v"))
-        found = children.select("path", _is_object(F.col("v")).alias("object")).distinct().collect()
-        out |= {tuple(r["path"]) for r in found if not r["object"]}
+        for _ in range(LEVELS):
+            opened = level.lateralJoin(spark.tvf.variant_explode_outer(F.when(F.col("object"), F.col("v")).outer()))
+            opened = opened.where(inside | ~F.col("object"))  # an object without keys ends here
+            level = opened.select(F.when(inside, F.concat(F.col("path"), F.array(key))).otherwise(F.col("path")).alias("path"),
+                                  value.alias("v"), F.when(inside, _is_object(value)).otherwise(F.lit(False)).alias("object"))
+        found = level.select("path", "object").distinct().collect()
         if not any(r["object"] for r in found):
-            return sorted(out, key=lambda p: ("_".join(p), p))
-        level = children
+            return sorted({tuple(r["path"]) for r in found}, key=lambda p: ("_".join(p), p))
 
 
 def flatten_unknown(df: DataFrame, col: str, keep: Sequence[str] = (), sep: str = "_") -> DataFrame:

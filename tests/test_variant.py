@@ -76,3 +76,15 @@ def test_flattened_to_the_union_of_keys(records):
 def test_no_records(spark):
     df = spark.createDataFrame([], "id int, text string").select("id", variant.parse("text").alias("v"))
     assert variant.flatten_unknown(df, "v", ["id"]).columns == ["id"]
+
+
+def test_one_pass_finds_the_keys_of_four_levels(spark, monkeypatch):
+    texts = ['{"a": {"b": {"c": {"d": 1}, "e": {}}, "f": [{"g": 1}]}, "h": null}', '{"a": 5}', '{"a": {"b": "x"}}', '[{"k": 1}]', "{}", "broken {", None]
+    deep = '{"p": {"q": {"r": {"s": {"t": {"u": true}}, "w": 2}}}}'
+    passes = []
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda df: passes.append(df) or collect(df))
+    of = lambda rows: variant.leaf_paths(spark.createDataFrame([(t,) for t in rows], "text string").select(variant.parse("text").alias("v")), "v")
+    four = [("a",), ("a", "b"), ("a", "b", "c", "d"), ("a", "f"), ("h",)]
+    assert of(texts) == four and len(passes) == 1
+    assert of([*texts, deep]) == [*four, ("p", "q", "r", "s", "t", "u"), ("p", "q", "r", "w")] and len(passes) == 3
