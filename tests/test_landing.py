@@ -78,3 +78,27 @@ def test_responses_of_many_requests_land_in_few_files_and_keep_their_requests(sp
     assert {(r.status, r["count"]) for r in out.groupBy("status").count().collect()} >= {("never_landed", 60 * 2 * 2 + 4)}
     landed = set(glob.glob(f"{local_path(shared_dir(spark))}/aerostage/**/part-*", recursive=True)) - before
     assert len(landed) < 60  # 240 empty responses
+
+
+def test_rows_of_one_row_group_are_dealt_before_they_are_landed(spark, tmp_path, monkeypatch):
+    """A table of one file and row group is one scan task; its legs and records are built in many, none lost, copies and nulls kept."""
+    from aerostage.plans import catalog_nested
+    from aerostage.sources import adapters
+
+    rows = spark.range(0, 3000, numPartitions=1).selectExpr(
+        "nullif(id % 1000, 7) AS event_id", "timestamp_ntz'2024-01-01 00:00:11' + make_dt_interval(0, id % 700) AS ts",
+        "nullif(id % 90, 11) AS user_id", "element_at(array('view', 'purchase', 'error'), int(id % 3) + 1) AS event_type")
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    landed = {}
+    write = landing.write_schedule_payloads
+    monkeypatch.setattr(landing, "write_schedule_payloads", lambda dep, arr, path: landed.update(departures=dep, arrivals=arr) or write(dep, arr, path))
+    root = catalog_nested.land_schedules(spark, str(tmp_path))
+    landed["flights"] = catalog_nested.flights_for_landing(spark, str(tmp_path))
+    for name, df in landed.items():
+        sizes = [r[1] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes), (name, sizes)
+        plain = adapters.raw(spark, str(tmp_path), f"raw_{name}")
+        assert plain.rdd.getNumPartitions() == 1 and plain.count() == 3000
+        same = [c for c in plain.columns if c != "record_date"]  # the landed flights have it as their folder's day
+        assert df.select(same).exceptAll(plain.select(same)).isEmpty() and plain.select(same).exceptAll(df.select(same)).isEmpty()
+    assert spark.read.text(root).count() == 6000
