@@ -15,6 +15,10 @@ of all windows of a text are reconciled together: overlapping ones of one kind a
 kinds the surer one stays. An added span must be surer than anything in the held-out background windows, hold
 data of its kind when its separators are read as such (``holds``), and touch no base span.
 
+``holds`` is asked first where it is cheap: ``places`` finds the stretches that every span it accepts must touch, and
+windows whose spans could neither be added nor meet one that could are not scored. The added spans are those of
+scoring every window; a text full of numbers is scored whole.
+
 Defined cases: null and empty texts have no spans. A row without an id is treated like any other. Repeated rows are
 reported each. Other columns are not read. Without labelled spans of a kind nothing of that kind is added. An empty
 table gives no rows.
@@ -100,6 +104,20 @@ def holds(kind: int, span: str) -> bool:
     return 16 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 8 <= len(digits) <= 15
 
 
+# what any span that ``holds`` accepts has in it: each pattern allows at least what its kind needs
+_DOTS = r"[\s\[({<]*(?:\.|\b[Dd][Oo][Tt]\b)[\s\])}>]*"
+_PLACES = (
+    re.compile(rf"(?:@|\b[Aa][Tt]\b)[\s\])}}>]*(?:[A-Za-z0-9-]{{65}}|[A-Za-z0-9-]{{1,64}}{_DOTS}[A-Za-z0-9-])"),
+    re.compile(rf"[0-9](?:{_DOTS}[0-9]{{1,3}}){{3}}"),
+    re.compile(r"[0-9](?:[^0-9A-Za-z]{0,3}[0-9]){7,}"),  # cards and phone numbers: eight digits without a letter between
+)
+
+
+def places(text: str) -> list[tuple[int, int]]:
+    """(start, end) stretches of a text such that every span that ``holds`` data of any kind shares a character with one."""
+    return [m.span() for pattern in _PLACES for m in pattern.finditer(text)]
+
+
 def respell(kind: int, span: str, rng: np.random.Generator) -> str:
     """Another spelling of a base span, with other digits."""
     pick = lambda *options: options[rng.integers(len(options))]
@@ -146,6 +164,13 @@ def classes(text: str) -> np.ndarray:
 TAGS = 1 + 2 * len(KINDS)
 
 
+def _logistic(z: np.ndarray) -> None:
+    """1 / (1 + exp(z)) in place."""
+    np.exp(z, out=z)
+    z += 1
+    np.reciprocal(z, out=z)
+
+
 @dataclass
 class Tagger:
     """``table`` (2, CLASSES, 4 SIZE): what a class adds to the gates of each direction; ``back`` (2, SIZE, 4 SIZE):
@@ -168,26 +193,29 @@ class Tagger:
         steps, rows = x.shape
         e = np.empty((steps, TAGS, rows), np.float32)
         e[:] = self.bias[:, None]
-        # three gates of tanh become shares, (tanh + 1) / 2; the last one stays as it is
-        half = np.repeat(np.float32([0.5, 1.0]), [3 * SIZE, SIZE])
-        lift = np.repeat(np.float32([0.5, 0.0]), [3 * SIZE, SIZE])
+        # rows lie side by side, so each gate is one block; a gate (tanh(z) + 1) / 2 is 1 / (1 + exp(-2 z))
+        z, y, c = np.empty((4 * SIZE, rows), np.float32), np.empty((4 * SIZE, rows), np.float32), np.empty((SIZE, rows), np.float32)
+        into, forget, show, new = (z[k * SIZE:(k + 1) * SIZE] for k in range(4))
+        h, add = np.empty((SIZE, rows), np.float32), np.empty((TAGS, rows), np.float32)
         for way, order in ((0, range(steps)), (1, range(steps - 1, -1, -1))):
-            table, back, out = self.table[way], self.back[way], np.ascontiguousarray(self.out[way].T)
-            h, c = np.zeros((rows, SIZE), np.float32), np.zeros((rows, SIZE), np.float32)
-            z, y, t = np.empty((rows, 4 * SIZE), np.float32), np.empty((rows, 4 * SIZE), np.float32), np.empty((rows, SIZE), np.float32)
-            for k in order:
-                np.take(table, x[k], 0, out=z, mode="clip")
-                np.matmul(h, back, out=y)
-                z += y
-                np.tanh(z, out=z)
-                z *= half
-                z += lift
-                c *= z[:, SIZE:2 * SIZE]
-                np.multiply(z[:, :SIZE], z[:, 3 * SIZE:], out=t)
-                c += t
-                np.tanh(c, out=t)
-                np.multiply(z[:, 2 * SIZE:3 * SIZE], t, out=h)
-                e[k] += out @ h.T
+            table, back = (np.ascontiguousarray(p[way].T * -2, np.float32) for p in (self.table, self.back))
+            out = np.ascontiguousarray(self.out[way].T, np.float32)
+            h[:] = c[:] = 0
+            with np.errstate(over="ignore"):  # an infinite power is a closed gate
+                for k in order:
+                    np.take(table, x[k], 1, out=z, mode="clip")
+                    z += np.matmul(back, h, out=y)
+                    _logistic(z)
+                    c *= forget
+                    new += new  # back to a tanh: 2 / (1 + exp(-2 z)) - 1
+                    new -= 1
+                    new *= into
+                    c += new
+                    _logistic(np.multiply(c, -2, out=h))
+                    h += h
+                    h -= 1
+                    h *= show
+                    e[k] += np.matmul(out, h, out=add)
         return e
 
     def may_leave(self, e: np.ndarray) -> np.ndarray:
@@ -442,8 +470,10 @@ def reconcile(found: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
     return kept
 
 
-def model_spans(tagger: Tagger, texts: pa.Array) -> list[list[tuple[int, int, int, float]]]:
-    """Reconciled (kind, start, end, sureness) of each text, in code points."""
+def model_spans(tagger: Tagger, texts: pa.Array, touching: list[list[tuple[int, int]]] | None = None) -> list[list[tuple[int, int, int, float]]]:
+    """Reconciled (kind, start, end, sureness) of each text, in code points. With ``touching``, stretches of each text, at least
+    those spans that touch one: windows on a stretch are scored, and any next to a scored one that has a span in their
+    overlap. No span of the windows left meets one of those scored, so reconciling these alone gives the same."""
     t = Texts(texts)
     point = (t.b & 0xC0) != 0x80
     x = _CLASS[t.b[point]]
@@ -451,27 +481,43 @@ def model_spans(tagger: Tagger, texts: pa.Array) -> list[list[tuple[int, int, in
     size = np.diff(off)
     step = WINDOW - OVERLAP
     many = np.where(size > 0, np.maximum(1, -(-(size - OVERLAP) // step)), 0)
+    first = np.cumsum(many) - many
     owner = np.repeat(np.arange(t.n), many)
-    start = (np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)) * step
+    start = (np.arange(len(owner)) - np.repeat(first, many)) * step
     out: list[list] = [[] for _ in range(t.n)]
     reach = np.arange(WINDOW)[:, None]
-    for lo in range(0, len(owner), BLOCK):
-        own, at = owner[lo:lo + BLOCK], start[lo:lo + BLOCK]
-        place = at + reach
-        inside = place < size[own]
-        w = np.where(inside, x[np.where(inside, off[own] + place, 0)], PAD)
-        for row, kind, s, e, sure in tagger.spans(w):
-            end = min(int(at[row]) + e, int(size[own[row]]))  # a path may run on behind the text's end
-            if int(at[row]) + s < end:
-                out[own[row]].append((kind, int(at[row]) + s, end, sure))
+    due = np.full(len(owner), touching is None)
+    for i, own in enumerate(touching or ()):
+        for s, e in own:
+            due[first[i] + max(0, (s - WINDOW) // step + 1):first[i] + min(int(many[i]), (e - 1) // step + 1)] = True
+    seen = due.copy()
+    while due.any():
+        now, due = np.flatnonzero(due), np.zeros(len(owner), bool)
+        for lo in range(0, len(now), BLOCK):
+            nth = now[lo:lo + BLOCK]
+            own, at = owner[nth], start[nth]
+            place = at + reach
+            inside = place < size[own]
+            w = np.where(inside, x[np.where(inside, off[own] + place, 0)], PAD)
+            for row, kind, s, e, sure in tagger.spans(w):
+                end = min(int(at[row]) + e, int(size[own[row]]))  # a path may run on behind the text's end
+                if int(at[row]) + s < end:
+                    out[own[row]].append((kind, int(at[row]) + s, end, sure))
+                    if s < OVERLAP and at[row] > 0:
+                        due[nth[row] - 1] = True
+                    if end > at[row] + step and nth[row] + 1 < len(owner) and owner[nth[row] + 1] == own[row]:
+                        due[nth[row] + 1] = True
+        due &= ~seen
+        seen |= due
     return [reconcile(found) for found in out]
 
 
 def all_spans(tagger: Tagger | None, texts: pa.Array) -> list[tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]]:
     """(base spans, added spans) of each text, each by kind and start."""
     out = []
-    model = model_spans(tagger, texts) if tagger is not None else [[]] * len(texts)
-    for text, found in zip(texts.to_pylist(), model):
+    rows = texts.to_pylist()
+    model = model_spans(tagger, texts, [places(text) for text in rows]) if tagger is not None else [[]] * len(rows)
+    for text, found in zip(rows, model):
         base = base_spans(text)
         added = []
         for kind, s, e, sure in found:

@@ -138,6 +138,91 @@ def test_model_adds_other_spellings_and_nothing_else(trained):
     assert sum(len(a) for _, a in pii.all_spans(trained, clean)) == 0
 
 
+PIECES = ["a", "x", "weber", "dot", "Dot", "at", "AT", "@", ".", ".", "-", " ", " ", "(", ")", "[", "]", "/", "1", "25", "300", "4111", "é", "\n", "_", "+", "中"]
+
+
+def test_places_touch_every_span_that_holds_data():
+    r = random.Random(21)
+    held = [0] * 4
+    for n in range(1200):
+        text = "".join(r.choices(PIECES, k=r.randrange(1, 22)))
+        if n % 2:  # other spellings, in the middle of other characters
+            k = n // 2 % 4
+            span = planted(r, k)
+            dot = r.choice([" dot ", "[.]", " (DOT) ", ".", "{.", " . "])
+            other = {0: span.replace("@", r.choice(["@", " [at] ", "(AT)", " at "])).replace(".", dot), 1: span.replace(".", dot),
+                     2: r.choice([" ", "/", "._-"]).join(span[i:i + 4] for i in range(0, 16, 4)), 3: r.choice([span[1:], "(" + span])}[k]
+            text = text[:6] + r.choice([" ", ""]) + other + text[6:12]
+        found = pii.places(text)
+        holding = [0] * 4
+        for s in range(len(text)):
+            for e in range(s + 1, len(text) + 1):
+                own = [pii.holds(k, text[s:e]) for k in range(4)]
+                assert not any(own) or any(s < e0 and e > s0 for s0, e0 in found), (text, text[s:e])
+                holding = [x or y for x, y in zip(holding, own)]
+        held = [x + y for x, y in zip(held, holding)]
+    assert min(held) > 100, held
+
+
+def test_places_are_linear_in_long_texts():
+    for unit in ("a", "1", "1.", "a@", "at ", "at-", "at x ", "@ ", "@)", " ", "1 ", "1    ", "1 dot ", "dot ", "at" + " " * 300):
+        assert pii.places(unit * (300_000 // len(unit))) is not None
+
+
+def test_emissions_are_those_of_the_plain_network(trained):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, pii.CLASSES, (70, 9)).astype(np.uint8)
+    want = np.zeros((70, pii.TAGS, 9)) + trained.bias[:, None]
+    for way, order in ((0, range(70)), (1, range(69, -1, -1))):
+        h = c = np.zeros((9, pii.SIZE))
+        for k in order:
+            into, forget, show, new = np.split(np.tanh(trained.table[way][x[k]] + h @ trained.back[way].astype(float)), 4, 1)
+            c = (forget + 1) / 2 * c + (into + 1) / 2 * new
+            h = (show + 1) / 2 * np.tanh(c)
+            want[k] += (h @ trained.out[way]).T
+    assert np.abs(trained.emissions(x) - want).max() < 1e-4
+
+
+@pytest.mark.parametrize("eager", [0.0, 4.0])
+def test_windows_left_out_change_no_added_span(trained, eager):
+    """Also with a tagger that marks much more, so that spans of neighbouring windows meet."""
+    tagger = pii.Tagger(*(p.copy() for p in trained.parts()), least=trained.least, kinds=trained.kinds)
+    tagger.bias[0] -= eager
+    r = random.Random(9)
+    texts = []
+    for _ in range(40):
+        parts = [words(r, r.randrange(20, 160)) for _ in range(r.randrange(1, 9))]
+        for n in range(len(parts) - 1):
+            k = r.randrange(4)
+            parts[n] += " " + (pii.respell(k, planted(r, k), np.random.default_rng(r.randrange(10**6))) if r.random() < 0.5 else r.choice(["12", "at", "4 5"]))
+        texts.append(" ".join(parts))
+    texts = pa.array(["", *texts])
+    whole = pii.model_spans(tagger, texts)
+    part = pii.model_spans(tagger, texts, [pii.places(t) for t in texts.to_pylist()])
+    # sureness differs in its last digits with the number of rows worked out together
+    whole, part = ([{span[:3]: span[3] for span in found} for found in spans] for spans in (whole, part))
+    assert all(w.get(span) == pytest.approx(sure, abs=1e-3) for w, p in zip(whole, part) for span, sure in p.items())
+    own, kept = ([[s for s in found if pii.holds(s[0], text[s[1]:s[2]].strip())] for text, found in zip(texts.to_pylist(), spans)] for spans in (whole, part))
+    assert own == kept
+    assert sum(map(len, own)) > 20
+
+
+def test_only_windows_that_could_add_a_span_are_scored(trained, monkeypatch):
+    r = random.Random(10)
+    scored = []
+    monkeypatch.setattr(pii.Tagger, "spans", lambda self, x, plain=pii.Tagger.spans: scored.append(x.shape[1]) or plain(self, x))
+    text = words(r, 4000)
+    middle = text[:9000] + " weber [at] mail3 dot example dot com " + text[9000:]
+    pii.all_spans(trained, pa.array([text, ""]))
+    assert sum(scored) == 0
+    pii.all_spans(trained, pa.array([text, middle]))
+    assert 1 <= sum(scored) <= 6
+    numbers = " ".join(str(r.randrange(10**6)) for _ in range(3000))
+    scored.clear()
+    pii.all_spans(trained, pa.array([numbers]))
+    assert sum(scored) == -(-(len(numbers) - pii.OVERLAP) // (pii.WINDOW - pii.OVERLAP))
+
+
 def test_spans_across_windows_are_found_at_every_place(trained):
     """One address at every offset around a window's end gives the same single span."""
     r = random.Random(6)
