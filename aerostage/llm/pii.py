@@ -473,7 +473,8 @@ def reconcile(found: list[tuple[int, int, int, float]]) -> list[tuple[int, int,
 def model_spans(tagger: Tagger, texts: pa.Array, touching: list[list[tuple[int, int]]] | None = None) -> list[list[tuple[int, int, int, float]]]:
     """Reconciled (kind, start, end, sureness) of each text, in code points. With ``touching``, stretches of each text, at least
     those spans that touch one: windows on a stretch are scored, and any next to a scored one that has a span in their
-    overlap. No span of the windows left meets one of those scored, so reconciling these alone gives the same."""
+    overlap (and ever more behind these, so that the rounds stay few). No span of the windows left meets one of those
+    scored, so reconciling these alone gives the same."""
     t = Texts(texts)
     point = (t.b & 0xC0) != 0x80
     x = _CLASS[t.b[point]]
@@ -490,7 +491,7 @@ def model_spans(tagger: Tagger, texts: pa.Array, touching: list[list[tuple[int,
     for i, own in enumerate(touching or ()):
         for s, e in own:
             due[first[i] + max(0, (s - WINDOW) // step + 1):first[i] + min(int(many[i]), (e - 1) // step + 1)] = True
-    seen = due.copy()
+    seen, more = due.copy(), 1
     while due.any():
         now, due = np.flatnonzero(due), np.zeros(len(owner), bool)
         for lo in range(0, len(now), BLOCK):
@@ -503,12 +504,14 @@ def model_spans(tagger: Tagger, texts: pa.Array, touching: list[list[tuple[int,
                 end = min(int(at[row]) + e, int(size[own[row]]))  # a path may run on behind the text's end
                 if int(at[row]) + s < end:
                     out[own[row]].append((kind, int(at[row]) + s, end, sure))
-                    if s < OVERLAP and at[row] > 0:
-                        due[nth[row] - 1] = True
-                    if end > at[row] + step and nth[row] + 1 < len(owner) and owner[nth[row] + 1] == own[row]:
-                        due[nth[row] + 1] = True
+                    head, tail = first[own[row]], first[own[row]] + many[own[row]]
+                    if s < OVERLAP and not seen[max(head, nth[row] - 1)]:
+                        due[max(head, nth[row] - more):nth[row]] = True
+                    if end > at[row] + step and not seen[min(tail - 1, nth[row] + 1)]:
+                        due[nth[row] + 1:min(tail, nth[row] + 1 + more)] = True
         due &= ~seen
         seen |= due
+        more *= 2
     return [reconcile(found) for found in out]
 
 

@@ -223,6 +223,22 @@ def test_only_windows_that_could_add_a_span_are_scored(trained, monkeypatch):
     assert sum(scored) == -(-(len(numbers) - pii.OVERLAP) // (pii.WINDOW - pii.OVERLAP))
 
 
+def test_spans_that_meet_everywhere_take_few_rounds(trained, monkeypatch):
+    step, calls = pii.WINDOW - pii.OVERLAP, []
+
+    def everywhere(self, x):
+        calls.append(x.shape[1])
+        return [(row, 0, 0, pii.WINDOW, 1.0) for row in range(x.shape[1])]
+
+    monkeypatch.setattr(pii.Tagger, "spans", everywhere)
+    texts = ["b" * 100, "a" * (step * 300), "b" * 100]
+    for place in (5, step * 100 + 90, step * 300 - 5):
+        calls.clear()
+        found = pii.model_spans(trained, pa.array(texts), [[], [(place, place + 3)], []])
+        assert found == [[], [(0, 0, step * 300, 1.0)], []]
+        assert sum(calls) == 300 and len(calls) <= 10
+
+
 def test_spans_across_windows_are_found_at_every_place(trained):
     """One address at every offset around a window's end gives the same single span."""
     r = random.Random(6)
