@@ -1,9 +1,12 @@
 """Landed payload objects stay bounded even when one airport-day holds every row."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from aerostage.plans.catalog import raw
-from aerostage.session import scratch_path
+from aerostage.session import local_path, scratch_path
 from aerostage.sources import landing, payload
 
 from conftest import SF_CHECK
@@ -102,3 +105,60 @@ def test_rows_of_one_row_group_are_dealt_before_they_are_landed(spark, tmp_path,
         same = [c for c in plain.columns if c != "record_date"]  # the landed flights have it as their folder's day
         assert df.select(same).exceptAll(plain.select(same)).isEmpty() and plain.select(same).exceptAll(df.select(same)).isEmpty()
     assert spark.read.text(root).count() == 6000
+
+
+def landed_bytes(root):
+    """(bytes on disk, bytes of text) of the landed files."""
+    import gzip
+    import glob
+
+    files = [f for f in glob.glob(f"{root}/**/part-*", recursive=True)]
+    texts = [(gzip.open(f) if f.endswith(".gz") else open(f, "rb")).read() for f in files]
+    return sum(os.path.getsize(f) for f in files), sum(map(len, texts))
+
+
+@pytest.mark.parametrize("name", ["daily_checks", "daily_run", "daily_tables"])
+def test_feeds_of_the_daily_job_land_compressed(spark, tmp_path, monkeypatch, name):
+    """The text of the landed legs, many times all tables made from it, is not on the disk as it is."""
+    import __spark_entry__ as E
+    from aerostage.plans import daily
+
+    spark.range(0, 4000, numPartitions=1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:11' + make_dt_interval(0, id % 40) AS ts", "id % 90 AS user_id",
+        "element_at(array('view', 'purchase', 'error'), int(id % 3) + 1) AS event_type").write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(3, numPartitions=1).selectExpr("id AS s_suppkey", "'s' AS s_name", "id AS s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    held = {}
+
+    class Landed(Exception):
+        pass
+
+    def stop(spark, layout, **_):
+        held.update(layout=layout)
+        raise Landed
+
+    monkeypatch.setattr(daily, "run_days", stop)
+    with pytest.raises(Landed):
+        E.queries()[name](spark, str(tmp_path))
+    for root, lines in ((held["layout"].schedules, 8000), (held["layout"].flights, 4000)):
+        on_disk, text = landed_bytes(local_path(root))
+        assert spark.read.text(root).count() == lines
+        assert on_disk < text / 4
+
+
+def test_a_compressed_file_holds_few_lines_and_plain_files_are_read_beside_it(spark, tmp_path, monkeypatch):
+    import gzip
+    import glob
+
+    r = raw(spark, SF_CHECK, "raw_departures").where("airport_icao = 'EDDF' AND flight_date = '2024-01-05'")
+    monkeypatch.setattr(landing, "FILE_LINES", 10)
+    root = str(tmp_path / "schedules")
+    landing.write_schedule_payloads(r, None, root)
+    files = glob.glob(f"{root}/**/part-*", recursive=True)
+    sizes = [sum(1 for _ in gzip.open(f)) for f in files]
+    assert sum(sizes) == r.count() > 10 >= max(sizes)
+    with open(os.path.join(os.path.dirname(files[0]), "response.json"), "w") as f:
+        f.write('{"departures": [{"number": "LH 9"}]}\n')
+    got = payload.departures_from_payloads(payload.read_schedule_payloads(spark, root))
+    assert got.count() == r.count() + 1 and got.where("number = 'LH 9'").count() == 1
+    cols = ["number", "airport_icao", "flight_date", "departure_scheduledtime_utc", "arrival_gate"]
+    assert got.where("number <> 'LH 9'").select(cols).exceptAll(r.select(cols)).isEmpty()
