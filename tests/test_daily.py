@@ -331,3 +331,32 @@ def test_a_run_leaves_no_scratch_tables(spark):
     results = daily.run_days(spark, layout, 1, dt.datetime(2025, 3, 1))
     assert results.count() == 53 and set(os.listdir(base)) == before
     assert spark.read.parquet(layout.repeated).count() >= 0
+
+
+def _shuffle_files(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().toList()
+    names = {held.apply(i).getName() for i in range(held.size())}
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def _left(spark, before):
+    """Shuffle files made since; they are deleted in the background, so some seconds are given."""
+    import time
+
+    for _ in range(50):
+        left = _shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    return left
+
+
+def test_landing_and_daily_run_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    layout = _land(spark, scratch_path(spark, "t_freed"), "flight_date < '2024-01-03'")
+    assert not _left(spark, before)
+    daily.run_days(spark, layout, 1, dt.datetime(2025, 1, 2))
+    assert not _left(spark, before)
+    assert daily.read_staged(spark, layout, "stg_departures_base").count() > 0
+    spark.range(50).repartition(3).write.format("noop").mode("overwrite").save()
+    assert _left(spark, before)  # other jobs are as before
