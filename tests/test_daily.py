@@ -360,3 +360,14 @@ def test_landing_and_daily_run_leave_no_shuffle_files(spark):
     assert daily.read_staged(spark, layout, "stg_departures_base").count() > 0
     spark.range(50).repartition(3).write.format("noop").mode("overwrite").save()
     assert _left(spark, before)  # other jobs are as before
+
+
+def test_a_load_leaves_no_parsed_lines(spark):
+    from aerostage.session import shared_dir
+
+    folder = f"{local_path(shared_dir(spark))}/aerostage"
+    layout = _land(spark, scratch_path(spark, "t_lines"), "flight_date < '2024-01-03'")
+    before = set(os.listdir(folder))
+    days = daily.load(spark, layout, 1, dt.datetime(2025, 1, 2))
+    assert len(days) > 0 and set(os.listdir(folder)) == before
+    assert store.read_committed(spark, layout.raw, "departures", daily.RAW_SCHEMAS["departures"]).count() > 0
