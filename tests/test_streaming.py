@@ -43,3 +43,21 @@ def test_flights_stream_loads_arrays_once(spark):
     got = read_raw_flights(spark, raw_root)
     assert got.count() == fl.count()
     assert got.select("ingestion_timestamp").distinct().count() == 1
+
+
+def test_stream_loads_compressed_files(spark, tmp_path):
+    import glob
+
+    import __spark_entry__ as E
+    from aerostage.session import local_path, shared_dir
+    from test_landing import landed_bytes
+
+    spark.range(0, 2000, numPartitions=1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:11' + make_dt_interval(0, id % 40) AS ts", "id % 90 AS user_id",
+        "element_at(array('view', 'purchase', 'error'), int(id % 3) + 1) AS event_type").write.parquet(str(tmp_path / "events.parquet"))
+    before = set(glob.glob(f"{local_path(shared_dir(spark))}/aerostage/schedules-*"))
+    got = E.queries()["streaming_landing"](spark, str(tmp_path))
+    assert got.count() == 2000
+    root, = set(glob.glob(f"{local_path(shared_dir(spark))}/aerostage/schedules-*")) - before
+    on_disk, text = landed_bytes(root)
+    assert spark.read.text(root).count() == 4000 and on_disk < text / 4
