@@ -162,3 +162,25 @@ def test_a_compressed_file_holds_few_lines_and_plain_files_are_read_beside_it(sp
     assert got.count() == r.count() + 1 and got.where("number = 'LH 9'").count() == 1
     cols = ["number", "airport_icao", "flight_date", "departure_scheduledtime_utc", "arrival_gate"]
     assert got.where("number <> 'LH 9'").select(cols).exceptAll(r.select(cols)).isEmpty()
+
+
+def test_request_coverage_lands_compressed(spark, tmp_path):
+    """Legs and bundled responses."""
+    import glob
+
+    import __spark_entry__ as E
+    from aerostage.session import shared_dir
+
+    spark.range(0, 2000, numPartitions=1).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:11' + make_dt_interval(0, id % 40) AS ts", "id % 90 AS user_id",
+        "element_at(array('view', 'purchase', 'error'), int(id % 3) + 1) AS event_type").write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(1000, numPartitions=1).selectExpr("id AS s_suppkey", "'s' AS s_name", "id AS s_nationkey").write.parquet(str(tmp_path / "supplier.parquet"))
+    folder = f"{local_path(shared_dir(spark))}/aerostage"
+    before = set(glob.glob(f"{folder}/*"))
+    status = {r.status: r["count"] for r in E.queries()["request_coverage"](spark, str(tmp_path)).groupBy("status").count().collect()}
+    assert status["no_content"] >= 800 * 2 and sum(status.values()) == 804 * 2 * 2
+    for name in ("schedules", "bundles"):
+        root = [f for f in set(glob.glob(f"{folder}/{name}-*")) - before]
+        assert len(root) == 1
+        on_disk, text = landed_bytes(root[0])
+        assert 0 < on_disk < text / 4
